@@ -46,7 +46,7 @@ def decode_records(records: DataFrame) -> DataFrame:
     )
 
 
-def speed_rule(df_cols=None):
+def speed_rule():
     """a speed alert, or a GPS update strictly above the limit."""
     kind, speed = F.col("tipo_evento"), F.col("velocidad_kmh")
     return (kind == F.lit(S.EVENT_SPEED)) | ((kind == F.lit(S.EVENT_GPS)) & (speed > F.lit(S.SPEED_ALERT_KMH)))

@@ -256,4 +256,30 @@ SELECT placa_vehiculo, alerta_tipo, count(*) AS total_alertas,
        time_bucket(INTERVAL 2 MINUTE, kafka_timestamp) + INTERVAL 2 MINUTE AS ventana_fin
 FROM alerts GROUP BY placa_vehiculo, alerta_tipo, time_bucket(INTERVAL 2 MINUTE, kafka_timestamp)""",
                                      "alerts")
+    q["stage_counts"] = _sel("""
+SELECT 'vehiculos' AS tabla, 'leidas' AS etapa, count(*) AS filas FROM vehicles
+UNION ALL SELECT 'entregas', 'leidas', count(*) FROM deliveries_raw
+UNION ALL SELECT 'entregas', 'limpias', count(*) FROM deliveries
+UNION ALL SELECT 'rutas_gps', 'leidas', count(*) FROM gps_raw
+UNION ALL SELECT 'rutas_gps', 'limpias', count(*) FROM gps
+UNION ALL SELECT 'incidencias', 'leidas', count(*) FROM incidents_raw
+UNION ALL SELECT 'incidencias', 'limpias', count(*) FROM incidents
+UNION ALL SELECT 'reporte_flota', 'generado', count(*) FROM report
+UNION ALL SELECT 'eventos_sistema', 'parseadas', count(*) FROM log
+UNION ALL SELECT 'eventos_sistema', 'errores', count(*) FROM log WHERE nivel = 'ERROR'""",
+                             "vehicles", "deliveries", "gps", "incidents", "report", "log")
+    q["publish_report"] = q["fleet_report"]
+    q["publish_report_csv"] = q["fleet_report"]
+    q["kpi_summary_json"] = _sel("""
+SELECT placa_vehiculo, modelo, total_entregas, tasa_exito_pct, km_totales, velocidad_promedio,
+       total_incidencias FROM report""", "report")
+    q["event_feed"] = q["event_codec"]
+    q["alert_feed"] = q["alerts"]
+    q["events_by_type_1m_stream"] = q["events_by_type_1m"]
+    q["events_by_type_1m_closed"] = (q["events_by_type_1m"].rstrip()
+        + "\nHAVING date_trunc('minute', kafka_timestamp) + INTERVAL 1 MINUTE"
+          " <= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE")
+    q["alerts_by_vehicle_2m_closed"] = (q["alerts_by_vehicle_2m"].rstrip()
+        + "\nHAVING time_bucket(INTERVAL 2 MINUTE, kafka_timestamp) + INTERVAL 2 MINUTE"
+          " <= (SELECT max(kafka_timestamp) FROM alerts) - INTERVAL 5 MINUTE")
     return q

@@ -10,9 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flotilla.operators import clean, dashboard, events, kpis, logs, report, windows
+import uuid
+
+from flotilla import schemas as S
+from flotilla.operators import clean, dashboard, events, kpis, logs, quality, report, windows
 from flotilla.plans import standins as T
-from flotilla.session import apply_runtime_defaults
+from flotilla.session import apply_runtime_defaults, scratch_path
+from flotilla.sinks import publish, read_latest, write_csv, write_json
+from flotilla.sinks.stream import append_feed, replace_table
+from flotilla.sources import read_table, table_stream
+from flotilla.streaming import build_plan
 
 # Fixed report stamp for reproducible results (the job stamps its own run time).
 REPORT_TIME = "2024-02-01 00:00:00"
@@ -208,4 +215,117 @@ BATCH = {
 }
 
 
-ALL = dict(BATCH)
+def q_stage_counts(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    log = i.log()
+    return quality.stage_counts([
+        ("vehiculos", "leidas", i.vehicles()),
+        ("entregas", "leidas", i.deliveries_raw()),
+        ("entregas", "limpias", i.deliveries()),
+        ("rutas_gps", "leidas", i.gps_raw()),
+        ("rutas_gps", "limpias", i.gps()),
+        ("incidencias", "leidas", i.incidents_raw()),
+        ("incidencias", "limpias", i.incidents()),
+        ("reporte_flota", "generado", i.report()),
+        ("eventos_sistema", "parseadas", log),
+        ("eventos_sistema", "errores", logs.error_lines(log)),
+    ])
+
+
+# --- publish and read back -------------------------------------------------------------------
+
+def q_publish_report(spark, sf_dir):
+    """O1 + S7: the report written once as Parquet and read back whole."""
+    out = scratch_path(spark, "queries", "reporte_flota")
+    publish(Inputs(spark, sf_dir).report(), out)
+    return as_wall_clock(read_table(spark, out))
+
+
+def q_publish_report_csv(spark, sf_dir):
+    """O2: the published report exported as CSV (from the Parquet copy) and read back."""
+    i = Inputs(spark, sf_dir)
+    base = scratch_path(spark, "queries", "reporte_csv")
+    publish(i.report(), f"{base}/parquet")
+    rep = read_table(spark, f"{base}/parquet")
+    write_csv(rep, f"{base}/csv")
+    back = spark.read.schema(rep.schema).option("header", True).csv(f"{base}/csv")
+    return as_wall_clock(back)
+
+
+def q_kpi_summary_json(spark, sf_dir):
+    """O3: the seven-column KPI summary written as JSON Lines and read back."""
+    rep = Inputs(spark, sf_dir).report()
+    out = scratch_path(spark, "queries", "kpi_resumen")
+    summary = report.report_summary(rep)
+    write_json(summary, out)
+    return spark.read.schema(summary.schema).json(out)
+
+
+# --- stream ------------------------------------------------------------------------------------
+
+def _records(spark, sf_dir):
+    """The driver's events table read as a file stream, shaped as topic records."""
+    schema = T.table(spark, sf_dir, "events").schema
+    return T.keyed_records(table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet*", schema))
+
+
+def _run_append(spark, df, name):
+    base = scratch_path(spark, "queries", name)
+    q = append_feed(df, f"{name}_{uuid.uuid4().hex[:8]}", f"{base}/data", f"{base}/checkpoint",
+                    trigger="availableNow")
+    q.awaitTermination()
+    return read_table(spark, f"{base}/data")
+
+
+def q_event_feed(spark, sf_dir):
+    """Decoded events appended by a stream, read back."""
+    plan = build_plan(_records(spark, sf_dir))
+    return as_wall_clock(_run_append(spark, plan.events, "event_feed"))
+
+
+def q_alert_feed(spark, sf_dir):
+    """Alerts appended by a stream (processing stamp dropped for comparison)."""
+    plan = build_plan(_records(spark, sf_dir), processed_at=True)
+    back = _run_append(spark, plan.alerts, "alert_feed")
+    return as_wall_clock(back.drop("procesado_en"))
+
+
+def q_events_by_type_1m_closed(spark, sf_dir):
+    """W1, W2, W5 (chained exact distinct): closed windows published in append mode."""
+    plan = build_plan(_records(spark, sf_dir))
+    return as_wall_clock(_run_append(spark, plan.events_by_type, "events_by_type_1m_closed"))
+
+
+def q_alerts_by_vehicle_2m_closed(spark, sf_dir):
+    """Closed alert windows on event time, append mode, 5-minute watermark."""
+    plan = build_plan(_records(spark, sf_dir))
+    return as_wall_clock(_run_append(spark, plan.alerts_by_vehicle, "alerts_by_vehicle_2m_closed"))
+
+
+def q_events_by_type_1m_stream(spark, sf_dir):
+    """Complete-mode summary replaced per micro-batch; the newest snapshot."""
+    plan = build_plan(_records(spark, sf_dir))
+    name = "events_by_type_1m_stream"
+    base = scratch_path(spark, "queries", name)
+    q = replace_table(plan.events_by_type_latest, f"{name}_{uuid.uuid4().hex[:8]}",
+                      f"{base}/data", f"{base}/checkpoint", trigger="availableNow")
+    q.awaitTermination()
+    return as_wall_clock(read_latest(spark, f"{base}/data"))
+
+
+EXTRA = {
+    "stage_counts": q_stage_counts,
+    "publish_report": q_publish_report,
+    "publish_report_csv": q_publish_report_csv,
+    "kpi_summary_json": q_kpi_summary_json,
+}
+
+STREAM = {
+    "event_feed": q_event_feed,
+    "alert_feed": q_alert_feed,
+    "events_by_type_1m_closed": q_events_by_type_1m_closed,
+    "alerts_by_vehicle_2m_closed": q_alerts_by_vehicle_2m_closed,
+    "events_by_type_1m_stream": q_events_by_type_1m_stream,
+}
+
+ALL = {**BATCH, **EXTRA, **STREAM}

@@ -1,0 +1,6 @@
+"""Readers (S1-S8): batch files with explicit schemas, published tables, event streams."""
+
+from flotilla.sources.files import (  # noqa: F401
+    read_deliveries, read_gps, read_incidents, read_log, read_optional, read_table, read_vehicles,
+)
+from flotilla.sources.stream import file_records, kafka_records, table_stream  # noqa: F401

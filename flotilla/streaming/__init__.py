@@ -1,0 +1,3 @@
+"""The event stream: decode, alert, summarise, publish."""
+
+from flotilla.streaming.pipeline import StreamPlan, build_plan, start_plan  # noqa: F401
