@@ -32,13 +32,17 @@ def decode_records(records: DataFrame) -> DataFrame:
 
     ``placa_vehiculo`` is one column: the payload's plate, else the record key. Malformed
     JSON yields a row with the key and null fields; unknown fields are ignored.
+
+    The struct is parsed once in its own projection and then flattened: written as
+    ``from_json(...)[field]`` per field, the optimizer prunes the schema per field and the
+    plan parses every payload once per field (measured 3x slower).
     """
     raw = records.select(
         F.col("key").cast("string").alias("_key"),
-        F.col("value").cast("string").alias("_json"),
+        F.from_json(F.col("value").cast("string"), S.EVENT).alias("_d"),
         F.col("timestamp").alias("kafka_timestamp"),
     )
-    d = F.from_json(F.col("_json"), S.EVENT)
+    d = F.col("_d")
     return raw.select(
         F.coalesce(d["placa_vehiculo"], F.col("_key")).alias("placa_vehiculo"),
         "kafka_timestamp",
