@@ -9,6 +9,11 @@ Distinct vehicles per window (W5) has three exact forms:
   evicted once the watermark passes the window end.
 - ``"set"`` (stream, complete/update): ``size(collect_set(vehicle))``; state per group holds the
   window's vehicle set, bounded by the fleet size, not the event volume.
+
+Late rows: Spark drops a row whose event time is older than the watermark of the *previous*
+micro-batch (the watermark computed from a batch takes effect in the next one). A window is
+published in append mode once the current watermark passes its end, and from then on rows for
+it are late and dropped.
 """
 
 from __future__ import annotations

@@ -38,6 +38,9 @@ def build_plan(records: DataFrame, processed_at=True, alert_time: str = "kafka_t
 
     ``alert_time="procesado_en"`` windows alerts on processing time instead (results then
     depend on when the job runs).
+    Alert windows advance with the alert stream's own event time (the watermark is on the
+    alerts, as the rules filter first): sparse alerts keep a window open longer. A watermark on
+    the decoded events would not help — Catalyst pushes the rule filter below it.
     """
     ev = decode_records(records)
     al = alert_rules(ev, processed_at=processed_at)
