@@ -76,3 +76,35 @@ SELECT placa_vehiculo,
 FROM {view}
 GROUP BY placa_vehiculo
 """
+
+GPS_KPIS_SQL = """
+SELECT placa_vehiculo,
+       count(*) AS total_registros_gps,
+       floor(CAST(sum(CAST(velocidad_kmh AS DECIMAL(18,2))) * 100 AS DOUBLE)
+             / (count(velocidad_kmh) * 1) + 0.5) / 100 AS velocidad_promedio,
+       round(max(velocidad_kmh), 2) AS velocidad_maxima,
+       round(min(precision_gps), 2) AS mejor_precision,
+       floor(CAST(sum(CAST(satelites AS DECIMAL(18,0))) * 10 AS DOUBLE)
+             / (count(satelites) * 1) + 0.5) / 10 AS satelites_promedio
+FROM {view}
+GROUP BY placa_vehiculo
+"""
+
+INCIDENT_KPIS_SQL = """
+SELECT placa_vehiculo,
+       count(*) AS total_incidencias,
+       count_if(severidad = 'Alta') AS incidencias_alta,
+       count_if(severidad = 'Media') AS incidencias_media,
+       count_if(severidad = 'Baja') AS incidencias_baja,
+       count_if(resuelta = true) AS incidencias_resueltas,
+       floor(CAST(sum(CAST(costo_estimado_soles AS DECIMAL(18,2))) * 100 AS DOUBLE)
+             / (count(costo_estimado_soles) * 1) + 0.5) / 100 AS costo_promedio_soles
+FROM {view}
+GROUP BY placa_vehiculo
+"""
+
+
+def kpis_sql(spark, df: DataFrame, text: str, view: str) -> DataFrame:
+    """Register ``df`` as a temp view and run one of the KPI statements over it."""
+    df.createOrReplaceTempView(view)
+    return spark.sql(text.format(view=view))

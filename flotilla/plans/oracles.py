@@ -205,6 +205,8 @@ def build() -> dict[str, str]:
     q["fleet_report"] = _sel("SELECT * FROM report", "report")
     q["delivery_kpis"] = _sel("SELECT * FROM delivery_kpis", "delivery_kpis")
     q["delivery_kpis_sql"] = q["delivery_kpis"]
+    q["gps_kpis_sql"] = _sel("SELECT * FROM gps_kpis", "gps_kpis")
+    q["incident_kpis_sql"] = _sel("SELECT * FROM incident_kpis", "incident_kpis")
     q["gps_kpis"] = _sel("SELECT * FROM gps_kpis", "gps_kpis")
     q["incident_kpis"] = _sel("SELECT * FROM incident_kpis", "incident_kpis")
     q["clean_deliveries"] = _sel("SELECT * FROM deliveries", "deliveries")

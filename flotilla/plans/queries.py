@@ -89,9 +89,17 @@ def q_delivery_kpis(spark, sf_dir):
 
 
 def q_delivery_kpis_sql(spark, sf_dir):
-    view = "flotilla_entregas"
-    Inputs(spark, sf_dir).deliveries().createOrReplaceTempView(view)
-    return spark.sql(kpis.DELIVERY_KPIS_SQL.format(view=view))
+    return kpis.kpis_sql(spark, Inputs(spark, sf_dir).deliveries(), kpis.DELIVERY_KPIS_SQL,
+                         "flotilla_entregas")
+
+
+def q_gps_kpis_sql(spark, sf_dir):
+    return kpis.kpis_sql(spark, Inputs(spark, sf_dir).gps(), kpis.GPS_KPIS_SQL, "flotilla_gps")
+
+
+def q_incident_kpis_sql(spark, sf_dir):
+    return kpis.kpis_sql(spark, Inputs(spark, sf_dir).incidents(), kpis.INCIDENT_KPIS_SQL,
+                         "flotilla_incidencias")
 
 
 def q_gps_kpis(spark, sf_dir):
@@ -191,7 +199,9 @@ BATCH = {
     "delivery_kpis": q_delivery_kpis,
     "delivery_kpis_sql": q_delivery_kpis_sql,
     "gps_kpis": q_gps_kpis,
+    "gps_kpis_sql": q_gps_kpis_sql,
     "incident_kpis": q_incident_kpis,
+    "incident_kpis_sql": q_incident_kpis_sql,
     "clean_deliveries": q_clean_deliveries,
     "clean_gps": q_clean_gps,
     "clean_incidents": q_clean_incidents,

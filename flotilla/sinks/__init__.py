@@ -2,5 +2,5 @@
 
 from flotilla.sinks.tables import publish, publish_counted, write_csv, write_json  # noqa: F401
 from flotilla.sinks.stream import (  # noqa: F401
-    append_feed, console_feed, read_latest, replace_table,
+    append_feed, console_feed, read_latest, replace_table, topic_feed,
 )
