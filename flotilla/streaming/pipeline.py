@@ -55,8 +55,13 @@ def build_plan(records: DataFrame, processed_at=True, alert_time: str = "kafka_t
 
 def start_plan(plan: StreamPlan, out_root: str, checkpoint_root: str,
                feed_trigger: str | None = "10 seconds", summary_trigger: str | None = "30 seconds",
-               latest: bool = True, console: bool = False, prefix: str = "flota") -> list[StreamingQuery]:
-    """Start every sink as its own named query with its own checkpoint."""
+               latest: bool = False, console: bool = False, prefix: str = "flota") -> list[StreamingQuery]:
+    """Start every sink as its own named query with its own checkpoint.
+
+    ``latest`` adds the complete-mode summary (replaced per batch). Its state keeps every window
+    ever seen (complete mode never evicts), so it suits bounded replays, not an endless stream;
+    the durable summary is the append-mode table.
+    """
     def paths(name):
         return f"{out_root}/{name}", f"{checkpoint_root}/{prefix}_{name}"
 

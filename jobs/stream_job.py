@@ -33,6 +33,8 @@ def main(argv=None):
     ap.add_argument("--processing-time-alerts", action="store_true",
                     help="window alerts on processing time instead of event time")
     ap.add_argument("--console", action="store_true")
+    ap.add_argument("--latest", action="store_true",
+                    help="also keep a complete-mode summary replaced per batch (state never evicted)")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = build_session(a.master, app_name="flotilla-stream")
@@ -43,7 +45,7 @@ def main(argv=None):
     trig = "availableNow" if a.available_now else None
     queries = start_plan(plan, a.output, ck,
                          feed_trigger=trig or "10 seconds", summary_trigger=trig or "30 seconds",
-                         console=a.console)
+                         latest=a.latest, console=a.console)
     if a.available_now:
         for q in queries:
             q.awaitTermination()

@@ -123,3 +123,44 @@ def test_dedup_total_order_and_hot_key(spark):
     for k, _, c in rows:
         last[k] = max(last.get(k, c), c)
     assert {r.k: r.c for r in dedup_first(df, ["k"], order=["c"], keep="last").collect()} == last
+
+
+def test_kpis_with_a_hot_vehicle_match_brute_force(spark):
+    """One vehicle owns a third of the deliveries (and duplicates); KPIs equal a pandas pick."""
+    import random
+
+    import pandas as pd
+    rnd = random.Random(7)
+    rows = []
+    for i in range(3000):
+        plate = "HOT" if i % 3 == 0 else f"V{rnd.randint(1, 40)}"
+        oid = f"ORD-{rnd.randint(1, 2500)}"                  # ids repeat: dedup matters
+        rows.append((oid, plate, "o", "d", round(rnd.uniform(10, 9000), 2), "2025-01-01 10:00:00",
+                     rnd.choice(["Completado", "Fallido", None]), rnd.choice(["10", "", "25"]),
+                     round(rnd.uniform(1, 50), 2), f"CLI-{rnd.randint(1, 30)}"))
+    df = spark.createDataFrame(rows, S.DELIVERIES_RAW).repartition(7)
+    got = {r.placa_vehiculo: r for r in kpis.delivery_kpis(clean.clean_deliveries(df)).collect()}
+
+    pdf = pd.DataFrame(rows, columns=[f.name for f in S.DELIVERIES_RAW.fields])
+    rest = [c for c in pdf.columns if c != "orden_id"]
+    first = (pdf.sort_values(["orden_id"] + rest, na_position="first", kind="mergesort")
+                .groupby("orden_id", dropna=False).head(1))
+    first = first.assign(
+        peso_kg=first.peso_kg.where(first.peso_kg <= 8000),
+        estado=first.estado.fillna("Desconocido"),
+        duracion_min=pd.to_numeric(first.duracion_min, errors="coerce").fillna(0).astype(int))
+    from decimal import ROUND_HALF_UP, Decimal
+
+    def r2(x):
+        return float(Decimal(x).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+    for plate, g in first.groupby("placa_vehiculo"):
+        k = got[plate]
+        done = int((g.estado == "Completado").sum())
+        w = [Decimal(str(v)) for v in g.peso_kg.dropna()]
+        assert k.total_entregas == len(g) and k.entregas_completadas == done
+        assert k.tasa_exito_pct == r2(Decimal(done * 100) / len(g))
+        assert k.duracion_promedio_min == r2(Decimal(int(g.duracion_min.sum())) / len(g))
+        assert k.peso_promedio_kg == r2(sum(w) / len(w))
+        assert k.km_totales == float(sum(Decimal(str(v)) for v in g.distancia_km))
+        assert k.clientes_atendidos == g.cliente_id.nunique()
+    assert got["HOT"].total_entregas > 500
