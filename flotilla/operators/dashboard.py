@@ -58,9 +58,8 @@ def headline_kpis(report: DataFrame, deliveries: DataFrame, incidents: DataFrame
 
 def kpi_sheet(kpis: DataFrame) -> DataFrame:
     """The headline table with its display text (``name: value`` lines)."""
-    fmt = F.col("kpi")
-    text = F.coalesce(*[F.when(fmt == k, F.format_string(f, F.col("valor").cast("long")
-                                                          if "d" in f else F.col("valor")))
+    name, value = F.col("kpi"), F.col("valor")
+    text = F.coalesce(*[F.when(name == k, F.format_string(f, value.cast("long") if f == "%d" else value))
                         for k, f in KPI_FORMATS.items()])
     return kpis.withColumn("texto", text)
 

@@ -212,6 +212,13 @@ def build() -> dict[str, str]:
     q["clean_deliveries"] = _sel("SELECT * FROM deliveries", "deliveries")
     q["clean_gps"] = _sel("SELECT * FROM gps", "gps")
     q["clean_incidents"] = _sel("SELECT * FROM incidents", "incidents")
+    q["parse_timestamps"] = """
+SELECT o_orderkey,
+       try_strptime(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS fecha,
+       try_strptime(strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ'), '%Y-%m-%dT%H:%M:%SZ') AS fecha_iso,
+       try_strptime(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '?', '%Y-%m-%d %H:%M:%S')
+           AS fecha_invalida
+FROM orders"""
     q["log_parse"] = _sel("SELECT * FROM log", "log")
     q["log_level_counts"] = _sel("SELECT nivel, count(*) AS cantidad FROM log GROUP BY nivel", "log")
     q["log_component_counts"] = _sel(

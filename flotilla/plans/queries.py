@@ -122,6 +122,20 @@ def q_clean_incidents(spark, sf_dir):
     return as_wall_clock(Inputs(spark, sf_dir).incidents())
 
 
+def q_parse_timestamps(spark, sf_dir):
+    """Order dates printed in both input formats (and one junk suffix), parsed back."""
+    from flotilla.functions import parse_ts
+    o = Inputs(spark, sf_dir).t("orders")
+    plain = F.date_format("o_orderdate", S.DELIVERY_TS_FORMAT)
+    iso = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return as_wall_clock(o.select(
+        "o_orderkey",
+        parse_ts(plain, S.DELIVERY_TS_FORMAT).alias("fecha"),
+        parse_ts(iso, S.ISO_TS_FORMAT).alias("fecha_iso"),
+        parse_ts(F.concat(plain, F.lit("?")), S.DELIVERY_TS_FORMAT).alias("fecha_invalida"),
+    ))
+
+
 def q_log_parse(spark, sf_dir):
     return Inputs(spark, sf_dir).log()
 
@@ -205,6 +219,7 @@ BATCH = {
     "clean_deliveries": q_clean_deliveries,
     "clean_gps": q_clean_gps,
     "clean_incidents": q_clean_incidents,
+    "parse_timestamps": q_parse_timestamps,
     "log_parse": q_log_parse,
     "log_level_counts": q_log_level_counts,
     "log_component_counts": q_log_component_counts,
