@@ -15,6 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flotilla import schemas as S
@@ -66,8 +67,12 @@ def start_plan(plan: StreamPlan, out_root: str, checkpoint_root: str,
         return f"{out_root}/{name}", f"{checkpoint_root}/{prefix}_{name}"
 
     qs = []
-    for name, df, trig in [("eventos_streaming", plan.events, feed_trigger),
-                           ("alertas_streaming", plan.alerts, feed_trigger),
+    # The raw event feed grows with the stream: partition it by event day so readers prune.
+    daily = plan.events.withColumn("dia", F.to_date("kafka_timestamp"))
+    out, ck = paths("eventos_streaming")
+    qs.append(append_feed(daily, f"{prefix}_eventos_streaming", out, ck, feed_trigger,
+                          partition_by=["dia"]))
+    for name, df, trig in [("alertas_streaming", plan.alerts, feed_trigger),
                            ("resumen_eventos", plan.events_by_type, summary_trigger),
                            ("resumen_alertas", plan.alerts_by_vehicle, summary_trigger)]:
         out, ck = paths(name)

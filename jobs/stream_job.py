@@ -25,7 +25,7 @@ def main(argv=None):
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--kafka")
     src.add_argument("--records")
-    ap.add_argument("--topic", default="smartlogis-events")
+    ap.add_argument("--topic", required=False, default=None, help="topic to subscribe to (with --kafka)")
     ap.add_argument("--output", required=True)
     ap.add_argument("--checkpoint", default=None)
     ap.add_argument("--starting-offsets", default="earliest")
@@ -37,6 +37,8 @@ def main(argv=None):
                     help="also keep a complete-mode summary replaced per batch (state never evicted)")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
+    if a.kafka and not a.topic:
+        ap.error("--topic is required with --kafka")
     spark = build_session(a.master, app_name="flotilla-stream")
     ck = a.checkpoint or f"{checkpoint_root(spark)}/flotilla-stream"
     records = (kafka_records(spark, a.kafka, a.topic, a.starting_offsets) if a.kafka
