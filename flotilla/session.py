@@ -57,18 +57,23 @@ def apply_runtime_defaults(spark: SparkSession) -> None:
                 pass
 
 
+_LOCAL_ROOT: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Read from the session; only when it is unset (tests, a laptop) is a folder of our own
     chosen and written back, so lineage cuts and stream state always land in one place.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_ROOT.get("root")
     if not root:
-        root = os.path.join(os.environ.get("TMPDIR", "/tmp"), f"flotilla-ckpt-{uuid.uuid4().hex[:8]}")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _LOCAL_ROOT.setdefault(
+            "root", os.path.join(os.environ.get("TMPDIR", "/tmp"), f"flotilla-ckpt-{uuid.uuid4().hex[:8]}"))
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # a core setting may be read-only at runtime; the memo above holds it
+            pass
     try:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(root)
