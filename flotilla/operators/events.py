@@ -80,8 +80,9 @@ def alerts(events: DataFrame, processed_at=None, keep=("kafka_timestamp",)) -> D
         alert_route_text("desviacion_km").alias("alerta_descripcion")))
     extra = [c for c in keep if c in events.columns]
     base = [c for c in S.ALERT_COLUMNS if c not in ("alerta_tipo", "alerta_descripcion")]
+    # No separate filter: a filter would be pushed below the decode projection and re-evaluate
+    # the JSON parse inside its condition. The generator emits nothing for non-matching events.
     out = (events
-           .filter(speed_rule() | route_rule())
            .select(*base, *extra, F.explode(F.array_compact(F.array(speed, route))).alias("_a"))
            .select(*base, *extra, "_a.alerta_tipo", "_a.alerta_descripcion")
            .select(*_alert_columns(extra)))

@@ -67,7 +67,13 @@ def deliveries_raw(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def _with_k(events: DataFrame) -> DataFrame:
+    """``props.k`` extracted once (its own projection, so it is not re-parsed per use)."""
+    return events.withColumn("_k", _k())
+
+
 def gps_raw(events: DataFrame) -> DataFrame:
+    events = _with_k(events)
     return events.select(
         F.concat_ws("-", F.col("user_id").cast("string"),
                     F.date_format("ts", "yyyyMMddHH")).alias("registro_id"),
@@ -76,14 +82,14 @@ def gps_raw(events: DataFrame) -> DataFrame:
         F.lit(None).cast("double").alias("longitud"),
         F.col("value").alias("velocidad_kmh"),
         _iso().alias("timestamp"),
-        _k().cast("long").alias("satelites"),
-        (_k() / F.lit(10.0)).alias("precision_gps"),
+        F.col("_k").cast("long").alias("satelites"),
+        (F.col("_k") / F.lit(10.0)).alias("precision_gps"),
     )
 
 
 def incidents_raw(events: DataFrame) -> DataFrame:
-    v, k = F.col("value"), _k()
-    return events.filter(F.col("event_type") == "error").select(
+    v, k = F.col("value"), F.col("_k")
+    return _with_k(events.filter(F.col("event_type") == "error")).select(
         F.col("event_id").cast("string").alias("incidencia_id"),
         F.col("user_id").alias("placa_vehiculo"),
         F.col("event_type").alias("tipo"),
@@ -130,7 +136,8 @@ def log_lines(events: DataFrame) -> DataFrame:
 
 def stream_events(events: DataFrame) -> DataFrame:
     """Driver events as fleet stream events (one JSON object per event, wide schema)."""
-    et, v, k = F.col("event_type"), F.col("value"), _k()
+    events = _with_k(events)
+    et, v, k = F.col("event_type"), F.col("value"), F.col("_k")
     kind = F.coalesce(*[F.when(et == src, F.lit(dst)) for src, dst in EVENT_KIND.items()])
     has_pos = kind != F.lit(S.EVENT_DELIVERY)
     has_speed = kind.isin(S.EVENT_GPS, S.EVENT_SPEED)

@@ -53,3 +53,9 @@ def test_master_broadcast_only_after_size_check(spark):
     p = plan(E.queries()["fleet_report"](spark, SF), "simple")
     assert "BroadcastHashJoin" in p
     assert report.MASTER_BROADCAST_ROWS >= 1000
+
+
+def test_alert_rules_do_not_reparse_json(spark):
+    for name in ("alerts", "alerts_by_vehicle_2m"):
+        p = plan(E.queries()[name](spark, SF), "simple")
+        assert p.count("from_json(") == 1, name
