@@ -33,9 +33,11 @@ def decode_records(records: DataFrame) -> DataFrame:
     ``placa_vehiculo`` is one column: the payload's plate, else the record key. Malformed
     JSON yields a row with the key and null fields; unknown fields are ignored.
 
-    The struct is parsed once in its own projection and then flattened: written as
-    ``from_json(...)[field]`` per field, the optimizer prunes the schema per field and the
-    plan parses every payload once per field (measured 3x slower).
+    The payload is parsed once per record, whatever consumes the result: the flat row is
+    emitted by a generator (``inline`` of a one-element array). A filter on decoded fields
+    cannot be pushed below a generator's output, whereas over a plain projection Catalyst
+    would inline ``from_json`` into every pushed-down predicate (and per field, with schema
+    pruning): measured 1.8x slower for a filtered count, 3x for a per-field decode.
     """
     raw = records.select(
         F.col("key").cast("string").alias("_key"),
@@ -43,11 +45,12 @@ def decode_records(records: DataFrame) -> DataFrame:
         F.col("timestamp").alias("kafka_timestamp"),
     )
     d = F.col("_d")
-    return raw.select(
+    row = F.struct(
         F.coalesce(d["placa_vehiculo"], F.col("_key")).alias("placa_vehiculo"),
-        "kafka_timestamp",
+        F.col("kafka_timestamp").alias("kafka_timestamp"),
         *[d[c].alias(c) for c in S.EVENT_FIELDS if c != "placa_vehiculo"],
     )
+    return raw.select(F.inline(F.array(row)))
 
 
 def speed_rule():

@@ -13,9 +13,11 @@ def parse_log(lines: DataFrame, column: str = "value") -> DataFrame:
     """Lines (``spark.read.text``) to ``timestamp, nivel, componente, mensaje``.
 
     Lines with fewer than four space-separated parts are dropped (F5). ``timestamp`` stays
-    text, as written in the line.
+    text, as written in the line. Each line is split once: the parts come out of a generator
+    (``explode`` of a one-element array), so the length filter above it cannot be pushed down
+    into a second split, and fields a consumer does not use are still pruned.
     """
-    parts = lines.select(log_parts(column).alias("_p"))
+    parts = lines.select(F.explode(F.array(log_parts(column))).alias("_p"))
     fields = log_fields(F.col("_p"))
     return parts.filter(F.size("_p") >= 4).select(*[fields[c].alias(c) for c in S.LOG_COLUMNS])
 

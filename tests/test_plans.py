@@ -59,3 +59,10 @@ def test_alert_rules_do_not_reparse_json(spark):
     for name in ("alerts", "alerts_by_vehicle_2m"):
         p = plan(E.queries()[name](spark, SF), "simple")
         assert p.count("from_json(") == 1, name
+
+
+def test_filters_over_decoded_events_and_log_lines_do_not_recompute(spark):
+    p = plan(E.queries()["event_type_counts"](spark, SF), "simple")
+    assert p.count("from_json(") == 1
+    p = plan(E.queries()["log_level_counts"](spark, SF), "simple")
+    assert p.count("split(") == 1 and "regexp_replace" not in p
