@@ -23,10 +23,12 @@ def clean_deliveries(raw: DataFrame, max_weight: float = S.MAX_WEIGHT_KG,
     ``Desconocido`` and missing duration 0 (so it pulls the mean duration down).
     """
     df = dedup_first(raw, ["orden_id"])
-    df = (df.withColumn("fecha_entrega", parse_ts("fecha_entrega", ts_format))
-            .withColumn("duracion_min", text_to_int("duracion_min"))
-            .withColumn("peso_kg", null_if("peso_kg", F.col("peso_kg") > F.lit(max_weight))))
-    return df.fillna({"estado": S.STATE_UNKNOWN, "duracion_min": 0})
+    return df.withColumns({
+        "fecha_entrega": parse_ts("fecha_entrega", ts_format),
+        "duracion_min": F.coalesce(text_to_int("duracion_min"), F.lit(0)),
+        "peso_kg": null_if("peso_kg", F.col("peso_kg") > F.lit(max_weight)),
+        "estado": F.coalesce(F.col("estado"), F.lit(S.STATE_UNKNOWN)),
+    })
 
 
 def clean_gps(raw: DataFrame, min_speed: float = S.MIN_SPEED_KMH,
@@ -37,14 +39,14 @@ def clean_gps(raw: DataFrame, min_speed: float = S.MIN_SPEED_KMH,
     Null speed or satellite counts are dropped (a comparison with null is not true).
     """
     df = dedup_first(raw, ["registro_id"])
-    return (df.withColumn("timestamp", parse_ts("timestamp", ts_format))
-              .filter(F.col("velocidad_kmh").between(min_speed, max_speed))
-              .filter(F.col("satelites") >= F.lit(min_satellites)))
+    keep = F.col("velocidad_kmh").between(min_speed, max_speed) & (F.col("satelites") >= F.lit(min_satellites))
+    return df.filter(keep).withColumn("timestamp", parse_ts("timestamp", ts_format))
 
 
 def clean_incidents(raw: DataFrame, ts_format: str = S.ISO_TS_FORMAT) -> DataFrame:
     """First row per ``incidencia_id``; unresolved → no resolution time."""
     df = dedup_first(raw, ["incidencia_id"])
-    return (df.withColumn("fecha", parse_ts("fecha", ts_format))
-              .withColumn("tiempo_resolucion_min",
-                          null_unless_true("tiempo_resolucion_min", "resuelta")))
+    return df.withColumns({
+        "fecha": parse_ts("fecha", ts_format),
+        "tiempo_resolucion_min": null_unless_true("tiempo_resolucion_min", "resuelta"),
+    })

@@ -33,8 +33,27 @@ EVENT_KIND = {"view": S.EVENT_GPS, "signup": S.EVENT_GPS, "click": S.EVENT_SPEED
               "error": S.EVENT_ROUTE, "purchase": S.EVENT_DELIVERY}
 
 
+# Schemas of the driver tables the stand-ins read. Declaring them skips the schema-inference
+# job Spark otherwise runs on every ``read.parquet`` (measured ~0.5 s per read locally).
+DRIVER_SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+              "props STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                "c_mktsegment STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if name in DRIVER_SCHEMAS:
+        return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(path)
+    return spark.read.parquet(path)
 
 
 def _k(props="props"):
