@@ -32,15 +32,22 @@ def append_feed(df: DataFrame, name: str, path: str, checkpoint: str,
 
 
 def replace_table(df: DataFrame, name: str, path: str, checkpoint: str,
-                  trigger: str | None = "30 seconds", mode: str = "complete") -> StreamingQuery:
+                  trigger: str | None = "30 seconds", mode: str = "complete",
+                  retain: int = 3) -> StreamingQuery:
     """The full result table per micro-batch, one folder per batch id.
 
     Retrying a batch overwrites its own folder (idempotent); readers take the newest one
-    with ``read_latest``. Used for complete mode, which file sinks refuse.
+    with ``read_latest``. Used for complete mode, which file sinks refuse. Snapshots older
+    than ``retain`` batches are overwritten with an empty frame, so storage stays bounded on
+    an endless stream.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-              .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+        snap = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        snap.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        old = batch_id - retain
+        if old >= 0:
+            empty = batch.sparkSession.createDataFrame([], snap.schema)
+            empty.write.mode("overwrite").parquet(f"{path}/batch_id={old}")
 
     w = (df.writeStream.queryName(name).outputMode(mode).foreachBatch(write)
          .option("checkpointLocation", checkpoint))

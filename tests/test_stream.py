@@ -103,3 +103,17 @@ def test_alert_windows_and_latest_snapshot(spark, tmp_dir):
     q.awaitTermination()
     snap = read_latest(spark, latest)
     assert snap.count() == 4 and "batch_id" not in snap.columns
+
+
+def test_latest_snapshots_are_bounded(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    for i in range(3):
+        _write_slice(spark, src, [_ev(i, "gps_update", "A", _m(i))], i)
+    dec = events.decode_records(file_records(spark, src + "/*", max_files=1))
+    latest = os.path.join(tmp_dir, "latest")
+    q = replace_table(windows.events_by_type(dec, watermark=S.EVENT_WATERMARK, distinct="set"),
+                      "t_bounded", latest, latest + "_ck", trigger="availableNow", retain=1)
+    q.awaitTermination()
+    every = spark.read.parquet(latest)
+    assert sorted({r.batch_id for r in every.select("batch_id").collect()}) == [2]   # older ones emptied
+    assert read_latest(spark, latest).count() == 3
