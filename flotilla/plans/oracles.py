@@ -212,6 +212,11 @@ def build() -> dict[str, str]:
     q["clean_deliveries"] = _sel("SELECT * FROM deliveries", "deliveries")
     q["clean_gps"] = _sel("SELECT * FROM gps", "gps")
     q["clean_incidents"] = _sel("SELECT * FROM incidents", "incidents")
+    q["cast_fill"] = _sel("""
+SELECT orden_id, placa_vehiculo, coalesce(estado, 'Desconocido') AS estado,
+       coalesce(TRY_CAST(duracion_min AS INTEGER), 0) AS duracion_min,
+       coalesce(CASE WHEN peso_kg > 8000 THEN NULL ELSE peso_kg END, 0) AS peso_kg
+FROM deliveries_raw""", "deliveries_raw")
     q["parse_timestamps"] = """
 SELECT o_orderkey,
        try_strptime(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS fecha,

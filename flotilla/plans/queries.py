@@ -122,6 +122,19 @@ def q_clean_incidents(spark, sf_dir):
     return as_wall_clock(Inputs(spark, sf_dir).incidents())
 
 
+def q_cast_fill(spark, sf_dir):
+    """P8, P9, P11, P12 on the raw deliveries: text to int, implausible weight to null, the
+    per-column defaults, then every remaining numeric null to 0."""
+    from flotilla.functions import null_if, text_to_int
+    raw = Inputs(spark, sf_dir).deliveries_raw()
+    typed = raw.select(
+        "orden_id", "placa_vehiculo", "estado",
+        text_to_int("duracion_min").alias("duracion_min"),
+        null_if("peso_kg", F.col("peso_kg") > F.lit(S.MAX_WEIGHT_KG)).alias("peso_kg"),
+    )
+    return typed.fillna({"estado": S.STATE_UNKNOWN}).fillna(0)
+
+
 def q_parse_timestamps(spark, sf_dir):
     """Order dates printed in both input formats (and one junk suffix), parsed back."""
     from flotilla.functions import parse_ts
@@ -220,6 +233,7 @@ BATCH = {
     "clean_gps": q_clean_gps,
     "clean_incidents": q_clean_incidents,
     "parse_timestamps": q_parse_timestamps,
+    "cast_fill": q_cast_fill,
     "log_parse": q_log_parse,
     "log_level_counts": q_log_level_counts,
     "log_component_counts": q_log_component_counts,
