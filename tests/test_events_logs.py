@@ -96,3 +96,23 @@ def test_value_counts_share_and_guard(spark):
         raise AssertionError("expected a missing-column error")
     except dashboard.MissingColumnError as e:
         assert "estado" in str(e)
+
+
+def test_log_parse_property_random_lines(spark):
+    """Random lines over a tricky alphabet: Spark's parse equals the line rule on every one."""
+    import random
+    rnd = random.Random(11)
+    alphabet = ["a", "Z", "0", " ", " ", "[", "]", "\t", "é", "-", ":", "]]", "[["]
+    lines = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(3000)]
+    lines += ["2025-01-01 10:00:00 [WARN] [GPS_TRACKER] señal débil ] extra",
+              "a b c", "a b c ", "a  b c d", " a b c"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, value string")
+    from pyspark.sql import functions as F
+    from flotilla.functions import log_fields, log_parts
+    p = df.select("i", log_parts("value").alias("_p"))
+    f = log_fields(F.col("_p"))
+    got = {r.i: (r.timestamp, r.nivel, r.componente, r.mensaje)
+           for r in p.filter(F.size("_p") >= 4).select("i", *[f[c].alias(c) for c in S.LOG_COLUMNS]).collect()}
+    want = {i: _python_rule(x) for i, x in enumerate(lines) if _python_rule(x)}
+    assert got == want
+    assert logs.parse_log(df.select("value")).count() == len(want)
