@@ -7,7 +7,9 @@ text, and a null plate forms one row that matches nothing.
 
 Join strategy: the KPI sides are one row per vehicle and grow with the fleet, so no hint is
 forced on them; adaptive execution broadcasts them when their runtime size is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold`` and sort-merge joins them otherwise. The
+``spark.sql.adaptive.autoBroadcastJoinThreshold`` and sort-merge joins them otherwise. Each
+KPI aggregate is already hash-partitioned on the vehicle by its own shuffle, so the
+sort-merge joins reuse that partitioning and add no exchange of their own. The
 vehicle master is broadcast only after a row count proves it small (see
 ``broadcast_if_small``); the same pass proves the key unique, since a repeated plate would
 multiply report rows.
@@ -41,9 +43,10 @@ def check_master(master: DataFrame, key: str = "placa") -> int:
     return int(row["n"])
 
 
-def broadcast_if_small(df: DataFrame, rows: int, max_rows: int = MASTER_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, rows: int, max_rows: int | None = None) -> DataFrame:
     """Broadcast hint only behind a proven size bound; otherwise leave the choice to Spark."""
-    return F.broadcast(df) if rows <= max_rows else df
+    limit = MASTER_BROADCAST_ROWS if max_rows is None else max_rows
+    return F.broadcast(df) if rows <= limit else df
 
 
 def fleet_report(deliveries_kpis: DataFrame, gps_kpis: DataFrame, incident_kpis: DataFrame,

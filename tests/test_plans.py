@@ -66,3 +66,24 @@ def test_filters_over_decoded_events_and_log_lines_do_not_recompute(spark):
     assert p.count("from_json(") == 1
     p = plan(E.queries()["log_level_counts"](spark, SF), "simple")
     assert p.count("split(") == 1 and "regexp_replace" not in p
+
+
+def test_without_broadcasts_kpi_joins_reuse_the_aggregate_partitioning(spark, monkeypatch):
+    from flotilla.operators import report
+    monkeypatch.setattr(report, "MASTER_BROADCAST_ROWS", 0)
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        p = plan(E.queries()["fleet_report"](spark, SF), "simple")
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert p.count("SortMergeJoin") == 3 and "BroadcastHashJoin" not in p
+    # one shuffle per KPI aggregate on the vehicle, one for the master; none added by the joins
+    assert p.count("Exchange hashpartitioning(placa_vehiculo") == 3
+    assert p.count("Exchange hashpartitioning(placa#") == 1
