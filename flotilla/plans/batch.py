@@ -8,6 +8,7 @@ and nothing is recomputed.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -51,6 +52,26 @@ def read_inputs(spark: SparkSession, folder: str, multi_line_json: bool = False,
     )
 
 
+def read_driver_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
+    """The five inputs taken from the driver tables (see ``plans.standins``)."""
+    from flotilla.plans import standins as T
+    events = T.table(spark, sf_dir, "events")
+    return RawInputs(
+        vehicles=T.vehicles(T.table(spark, sf_dir, "supplier")),
+        deliveries=T.deliveries_raw(T.table(spark, sf_dir, "lineitem")),
+        gps=T.gps_raw(events),
+        incidents=T.incidents_raw(events),
+        log_lines=T.log_lines(events),
+    )
+
+
+def _concurrently(jobs: dict) -> dict:
+    """Run independent Spark actions from a few driver threads; re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
@@ -73,11 +94,15 @@ def run_batch(spark: SparkSession, raw: RawInputs, out: str, report_time=None) -
     incidents = clean.clean_incidents(staged["incidencias"])
     log = logs.parse_log(staged["eventos_sistema"])
 
-    counts.append(("vehiculos", "publicadas", publish_counted(raw.vehicles, f"{out}/vehiculos", "v")))
-    for name, df in [("entregas", deliveries), ("rutas_gps", gps), ("incidencias", incidents),
-                     ("eventos_sistema", log)]:
-        n = publish_counted(df, f"{out}/{name}", f"pub_{name}")
-        counts += [(name, "leidas", int(read_obs[name].get["rows"])), (name, "publicadas", n)]
+    # The five publishes are independent jobs: submitted together, the scheduler runs their
+    # stages side by side instead of leaving the cluster idle behind the slowest one.
+    published = _concurrently({name: (lambda df=df, name=name: publish_counted(df, f"{out}/{name}", f"pub_{name}"))
+                               for name, df in [("vehiculos", raw.vehicles), ("entregas", deliveries),
+                                                ("rutas_gps", gps), ("incidencias", incidents),
+                                                ("eventos_sistema", log)]})
+    counts.append(("vehiculos", "publicadas", published["vehiculos"]))
+    for name in ["entregas", "rutas_gps", "incidencias", "eventos_sistema"]:
+        counts += [(name, "leidas", int(read_obs[name].get["rows"])), (name, "publicadas", published[name])]
 
     # KPIs from the published, cleaned tables: the cleaning is not run twice.
     rep = report.fleet_report(
@@ -87,16 +112,16 @@ def run_batch(spark: SparkSession, raw: RawInputs, out: str, report_time=None) -
         read_table(spark, f"{out}/vehiculos"), report_time=report_time)
     counts.append(("reporte_flota", "publicadas", publish_counted(rep, f"{out}/reporte_flota", "rep")))
 
-    published = read_table(spark, f"{out}/reporte_flota")
-    write_csv(published, f"{out}/reporte_flota_csv")                         # O2
-    write_json(report.report_summary(published), f"{out}/kpi_resumen")     # O3
-
+    rep_back = read_table(spark, f"{out}/reporte_flota")
     plog = read_table(spark, f"{out}/eventos_sistema")
-    publish(logs.level_counts(plog), f"{out}/eventos_por_nivel")               # A4
-    publish(logs.component_counts(plog), f"{out}/eventos_por_componente")      # A5
-    publish(logs.error_lines(plog), f"{out}/eventos_error")                    # F6
-    counts.append(("eventos_sistema", "errores",
-                   int(logs.error_lines(plog).agg(F.count(F.lit(1))).first()[0])))
+    done = _concurrently({
+        "csv": lambda: write_csv(rep_back, f"{out}/reporte_flota_csv"),                       # O2
+        "json": lambda: write_json(report.report_summary(rep_back), f"{out}/kpi_resumen"),   # O3
+        "levels": lambda: publish(logs.level_counts(plog), f"{out}/eventos_por_nivel"),       # A4
+        "components": lambda: publish(logs.component_counts(plog), f"{out}/eventos_por_componente"),
+        "errors": lambda: publish_counted(logs.error_lines(plog), f"{out}/eventos_error", "err"),  # F6
+    })
+    counts.append(("eventos_sistema", "errores", done["errors"]))
 
     table = quality.counts_table(spark, counts)
     publish(table, f"{out}/calidad")                                            # A6
@@ -110,10 +135,13 @@ def run_dashboard(spark: SparkSession, published: str, out: str) -> None:
     incidents = read_table(spark, f"{published}/incidencias")
     events = read_optional(spark, f"{published}/eventos_streaming",
                            S.EVENT.add("kafka_timestamp", "timestamp"))
-    write_json(dashboard.kpi_sheet(dashboard.headline_kpis(rep, deliveries, incidents)), f"{out}/kpis")
-    publish(dashboard.value_counts(deliveries, "estado"), f"{out}/entregas_por_estado")
     sev = dashboard.value_counts(incidents, "severidad")
-    publish(dashboard.share_of_total(sev), f"{out}/incidencias_por_severidad")
-    publish(dashboard.top_n(rep, "km_totales"), f"{out}/top_km")
-    publish(dashboard.top_n(rep, "tasa_exito_pct"), f"{out}/top_exito")
-    publish(dashboard.value_counts(events, "tipo_evento"), f"{out}/eventos_por_tipo")
+    _concurrently({
+        "kpis": lambda: write_json(dashboard.kpi_sheet(dashboard.headline_kpis(rep, deliveries, incidents)),
+                                   f"{out}/kpis"),
+        "estado": lambda: publish(dashboard.value_counts(deliveries, "estado"), f"{out}/entregas_por_estado"),
+        "severidad": lambda: publish(dashboard.share_of_total(sev), f"{out}/incidencias_por_severidad"),
+        "top_km": lambda: publish(dashboard.top_n(rep, "km_totales"), f"{out}/top_km"),
+        "top_exito": lambda: publish(dashboard.top_n(rep, "tasa_exito_pct"), f"{out}/top_exito"),
+        "eventos": lambda: publish(dashboard.value_counts(events, "tipo_evento"), f"{out}/eventos_por_tipo"),
+    })

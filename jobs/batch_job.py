@@ -14,13 +14,15 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from flotilla.plans.batch import read_inputs, run_batch  # noqa: E402
+from flotilla.plans.batch import read_driver_inputs, read_inputs, run_batch  # noqa: E402
 from flotilla.session import build_session, scratch_path  # noqa: E402
 
 
 def main(argv=None):
     ap = argparse.ArgumentParser()
-    ap.add_argument("--input", required=True)
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--input", help="folder with the five fleet input files")
+    src.add_argument("--driver-tables", help="a folder of driver tables standing in for them")
     ap.add_argument("--output", required=True)
     ap.add_argument("--multiline-json", action="store_true",
                     help="GPS/incident files are pretty-printed JSON arrays")
@@ -28,8 +30,11 @@ def main(argv=None):
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = build_session(a.master, app_name="flotilla-batch")
-    landing = scratch_path(spark, "landing") if a.multiline_json else None
-    raw = read_inputs(spark, a.input, multi_line_json=a.multiline_json, landing=landing)
+    if a.driver_tables:
+        raw = read_driver_inputs(spark, a.driver_tables)
+    else:
+        landing = scratch_path(spark, "landing") if a.multiline_json else None
+        raw = read_inputs(spark, a.input, multi_line_json=a.multiline_json, landing=landing)
     counts = run_batch(spark, raw, a.output, report_time=a.report_time)
     counts.show(truncate=False)
     spark.stop()

@@ -70,3 +70,23 @@ def test_stream_job_available_now(spark, tmp_dir):
               "--available-now"])
     assert spark.read.parquet(f"{tmp_dir}/out/eventos_streaming").count() == 1
     assert spark.read.parquet(f"{tmp_dir}/out/alertas_streaming").count() == 1
+
+
+def test_batch_job_on_driver_tables_equals_the_report_query(spark, tmp_dir):
+    import __spark_entry__ as E
+    from flotilla.plans.batch import read_driver_inputs
+    from flotilla.plans.queries import REPORT_TIME, as_wall_clock
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    out = f"{tmp_dir}/out"
+    counts = {(r.tabla, r.etapa): r.filas
+              for r in run_batch(spark, read_driver_inputs(spark, sf), out, report_time=REPORT_TIME).collect()}
+    published = as_wall_clock(read_table(spark, f"{out}/reporte_flota"))
+    query = E.queries()["fleet_report"](spark, sf)
+    assert sorted(map(tuple, published.collect()), key=str) == sorted(map(tuple, query.collect()), key=str)
+    stage = {(r.tabla, r.etapa): r.filas for r in E.queries()["stage_counts"](spark, sf).collect()}
+    assert counts[("entregas", "leidas")] == stage[("entregas", "leidas")]
+    assert counts[("entregas", "publicadas")] == stage[("entregas", "limpias")]
+    assert counts[("rutas_gps", "publicadas")] == stage[("rutas_gps", "limpias")]
+    assert counts[("eventos_sistema", "errores")] == stage[("eventos_sistema", "errores")]
