@@ -22,8 +22,13 @@ def _c(c) -> Column:
 
 
 def avg_round(c, digits: int = 2, input_scale: int = 2) -> Column:
-    """Half-up ``round(avg(c), digits)``; nulls ignored like AVG."""
-    c = _c(c)
+    """Half-up ``round(avg(c), digits)``; nulls ignored like AVG.
+
+    Built from the very SQL text the oracles run (``avg_round_sql``): one formula for both
+    engines, and one JVM call to build instead of a dozen.
+    """
+    if isinstance(c, str):
+        return F.expr(avg_round_sql(f"`{c}`", digits, input_scale))
     s = max(digits, input_scale)
     units = (F.sum(c.cast(f"decimal(18,{input_scale})")) * F.lit(10 ** s)).cast("double")
     den = F.count(c) * F.lit(10 ** (s - digits))
@@ -38,7 +43,9 @@ def avg_round_sql(x: str, digits: int = 2, input_scale: int = 2) -> str:
 
 def sum_round(c, digits: int = 2) -> Column:
     """``round(sum(c), digits)`` computed exactly as a DECIMAL sum."""
-    return F.sum(_c(c).cast(f"decimal(18,{digits})")).cast("double")
+    if isinstance(c, str):
+        return F.expr(sum_round_sql(f"`{c}`", digits))
+    return F.sum(c.cast(f"decimal(18,{digits})")).cast("double")
 
 
 def sum_round_sql(x: str, digits: int = 2) -> str:
@@ -47,6 +54,8 @@ def sum_round_sql(x: str, digits: int = 2) -> str:
 
 def pct_round(num, den, digits: int = 2) -> Column:
     """Half-up ``round(num * 100 / den, digits)`` for integer counts."""
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(pct_round_sql(f"`{num}`", f"`{den}`", digits))
     scale = 10 ** (digits + 2)
     return F.floor(_c(num).cast("double") * F.lit(scale) / _c(den) + F.lit(0.5)) / F.lit(10 ** digits)
 

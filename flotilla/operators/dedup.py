@@ -15,33 +15,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _RANK = "__rank"
 
 
-def _order(c, keep: str) -> Column:
-    if isinstance(c, Column):
-        return c
-    col = F.col(f"`{c}`")
-    return col.asc_nulls_first() if keep == "first" else col.desc_nulls_last()
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence | None = None,
+def _order(c, keep: str) -> str:
+    if not isinstance(c, str):
+        raise TypeError("order entries are column names; use keep='last' for descending")
+    return f"{_q(c)} ASC NULLS FIRST" if keep == "first" else f"{_q(c)} DESC NULLS LAST"
+
+
+def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None,
                 keep: str = "first") -> DataFrame:
     """One row per ``keys``: the first (``keep="first"``) or last row in ``order``.
 
-    ``order`` holds column names (ascending for "first") or explicit Column sort orders;
-    columns not named are appended as tie-breakers so the pick is total. Column order of
-    ``df`` is kept. A null key forms its own group, as in dropDuplicates.
+    ``order`` holds column names; columns not named are appended as tie-breakers so the pick
+    is total. Column order of ``df`` is kept. A null key forms its own group, as in
+    dropDuplicates. (The window is written as one SQL expression: the same plan as the
+    Column API, built in one call instead of one per column.)
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     order = list(order) if order else []
-    named = {c for c in order if isinstance(c, str)}
-    spec = [_order(c, keep) for c in order] + [_order(c, keep) for c in rest if c not in named]
-    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*spec)
-    return (df.withColumn(_RANK, F.row_number().over(w))
+    spec = [_order(c, keep) for c in order] + [_order(c, keep) for c in rest if c not in order]
+    rank = F.expr(f"row_number() OVER (PARTITION BY {', '.join(map(_q, keys))} "
+                  f"ORDER BY {', '.join(spec)})")
+    return (df.withColumn(_RANK, rank)
               .filter(F.col(_RANK) == 1)
               .drop(_RANK))

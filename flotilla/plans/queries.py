@@ -27,9 +27,11 @@ REPORT_TIME = "2024-02-01 00:00:00"
 
 def as_wall_clock(df: DataFrame) -> DataFrame:
     """TIMESTAMP columns as UTC wall-clock TIMESTAMP_NTZ (session zone is UTC)."""
-    cols = [F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c)
-            for c, t in df.dtypes]
-    return df.select(*cols)
+    dtypes = df.dtypes
+    if not any(t == "timestamp" for _, t in dtypes):
+        return df
+    return df.selectExpr(*[f"CAST(`{c}` AS TIMESTAMP_NTZ) AS `{c}`" if t == "timestamp" else f"`{c}`"
+                           for c, t in dtypes])
 
 
 class Inputs:

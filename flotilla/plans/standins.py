@@ -56,81 +56,72 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _k(props="props"):
-    return F.get_json_object(F.col(props), "$.k").cast("int")
+# The projections are written as SQL expressions (``selectExpr``): the same Catalyst plan as
+# the Column API, built with one call per projection instead of several per column.
+K = "CAST(get_json_object(props, '$.k') AS INT)"
+ISO = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+STATE = ("CASE WHEN l_returnflag = 'R' THEN 'Fallido' WHEN l_returnflag = 'A' THEN 'Completado' "
+         "WHEN l_linestatus = 'O' THEN 'Pendiente' END")
 
 
-def _iso(ts="ts"):
-    return F.date_format(F.col(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+def _with_k(events: DataFrame) -> DataFrame:
+    """``props.k`` extracted once (its own projection, so it is not re-parsed per use)."""
+    return events.selectExpr("*", f"{K} AS _k")
 
 
 def deliveries_raw(lineitem: DataFrame) -> DataFrame:
-    rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
-    state = (F.when(rf == "R", F.lit("Fallido"))
-              .when(rf == "A", F.lit("Completado"))
-              .when(ls == "O", F.lit("Pendiente")))
-    duration = F.when(state == "Pendiente", F.lit("")).otherwise(
-        (F.col("l_quantity").cast("int") * 2).cast("string"))
-    return lineitem.select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"),
-                    F.col("l_linenumber").cast("string")).alias("orden_id"),
-        F.col("l_suppkey").alias("placa_vehiculo"),
-        F.col("l_returnflag").alias("origen"),
-        F.col("l_linestatus").alias("destino"),
-        (F.col("l_quantity") * 200).alias("peso_kg"),
-        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("fecha_entrega"),
-        state.alias("estado"),
-        duration.alias("duracion_min"),
-        F.col("l_extendedprice").alias("distancia_km"),
-        F.col("l_partkey").alias("cliente_id"),
+    return lineitem.selectExpr(
+        "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING)) AS orden_id",
+        "l_suppkey AS placa_vehiculo",
+        "l_returnflag AS origen",
+        "l_linestatus AS destino",
+        "l_quantity * 200 AS peso_kg",
+        "date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss') AS fecha_entrega",
+        f"{STATE} AS estado",
+        f"CASE WHEN {STATE} = 'Pendiente' THEN '' "
+        "ELSE CAST(CAST(l_quantity AS INT) * 2 AS STRING) END AS duracion_min",
+        "l_extendedprice AS distancia_km",
+        "l_partkey AS cliente_id",
     )
 
 
-def _with_k(events: DataFrame) -> DataFrame:
-    """``props.k`` extracted once (its own projection, so it is not re-parsed per use)."""
-    return events.withColumn("_k", _k())
-
-
 def gps_raw(events: DataFrame) -> DataFrame:
-    events = _with_k(events)
-    return events.select(
-        F.concat_ws("-", F.col("user_id").cast("string"),
-                    F.date_format("ts", "yyyyMMddHH")).alias("registro_id"),
-        F.col("user_id").alias("placa_vehiculo"),
-        F.lit(None).cast("double").alias("latitud"),
-        F.lit(None).cast("double").alias("longitud"),
-        F.col("value").alias("velocidad_kmh"),
-        _iso().alias("timestamp"),
-        F.col("_k").cast("long").alias("satelites"),
-        (F.col("_k") / F.lit(10.0)).alias("precision_gps"),
+    return _with_k(events).selectExpr(
+        "concat_ws('-', CAST(user_id AS STRING), date_format(ts, 'yyyyMMddHH')) AS registro_id",
+        "user_id AS placa_vehiculo",
+        "CAST(NULL AS DOUBLE) AS latitud",
+        "CAST(NULL AS DOUBLE) AS longitud",
+        "value AS velocidad_kmh",
+        f"{ISO} AS timestamp",
+        "CAST(_k AS BIGINT) AS satelites",
+        "_k / 10.0D AS precision_gps",
     )
 
 
 def incidents_raw(events: DataFrame) -> DataFrame:
-    v, k = F.col("value"), F.col("_k")
-    return _with_k(events.filter(F.col("event_type") == "error")).select(
-        F.col("event_id").cast("string").alias("incidencia_id"),
-        F.col("user_id").alias("placa_vehiculo"),
-        F.col("event_type").alias("tipo"),
-        F.when(v > 100, F.lit(S.SEVERITY_HIGH)).when(v > 30, F.lit(S.SEVERITY_MEDIUM))
-         .otherwise(F.lit(S.SEVERITY_LOW)).alias("severidad"),
-        _iso().alias("fecha"),
-        F.col("props").alias("descripcion"),
-        v.alias("costo_estimado_soles"),
-        F.when(k < 10, F.lit(None).cast("boolean")).otherwise(k >= 50).alias("resuelta"),
-        k.cast("long").alias("tiempo_resolucion_min"),
+    return _with_k(events.filter("event_type = 'error'")).selectExpr(
+        "CAST(event_id AS STRING) AS incidencia_id",
+        "user_id AS placa_vehiculo",
+        "event_type AS tipo",
+        f"CASE WHEN value > 100 THEN '{S.SEVERITY_HIGH}' WHEN value > 30 THEN '{S.SEVERITY_MEDIUM}' "
+        f"ELSE '{S.SEVERITY_LOW}' END AS severidad",
+        f"{ISO} AS fecha",
+        "props AS descripcion",
+        "value AS costo_estimado_soles",
+        "CASE WHEN _k < 10 THEN CAST(NULL AS BOOLEAN) ELSE _k >= 50 END AS resuelta",
+        "CAST(_k AS BIGINT) AS tiempo_resolucion_min",
     )
 
 
 def vehicles(supplier: DataFrame) -> DataFrame:
-    return supplier.select(
-        F.col("s_suppkey").alias("placa"),
-        F.col("s_name").alias("modelo"),
-        F.col("s_nationkey").alias("capacidad_kg"),
-        F.concat(F.lit("DRV-"), F.col("s_nationkey").cast("string")).alias("conductor_id"),
-        (F.col("s_nationkey") + 2000).alias("ano_fabricacion"),
-        F.when(F.col("s_acctbal") < 0, F.lit("Diesel")).otherwise(F.lit("GNV")).alias("tipo_combustible"),
-        (F.col("s_acctbal") >= 0).alias("activo"),
+    return supplier.selectExpr(
+        "s_suppkey AS placa",
+        "s_name AS modelo",
+        "s_nationkey AS capacidad_kg",
+        "concat('DRV-', CAST(s_nationkey AS STRING)) AS conductor_id",
+        "s_nationkey + 2000 AS ano_fabricacion",
+        "CASE WHEN s_acctbal < 0 THEN 'Diesel' ELSE 'GNV' END AS tipo_combustible",
+        "s_acctbal >= 0 AS activo",
     )
 
 
@@ -141,43 +132,35 @@ def log_lines(events: DataFrame) -> DataFrame:
     component ``U{user_id}``; events with ``value < 1`` have no component bracket and
     events with ``value > 300`` are cut to a short line that the parser drops.
     """
-    et = F.col("event_type")
-    level = (F.when(et == "error", F.lit("ERROR")).when(et == "click", F.lit("WARN"))
-              .when(et == "view", F.lit("DEBUG")).otherwise(F.lit("INFO")))
-    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    full = F.concat(stamp, F.lit(" ["), level, F.lit("] [U"), F.col("user_id").cast("string"),
-                    F.lit("] "), F.col("props"))
-    bare = F.concat(stamp, F.lit(" ["), level, F.lit("] "), F.col("props"))
-    short = F.concat(F.lit("cut "), et)
-    line = (F.when(F.col("value") > 300, short).when(F.col("value") < 1, bare).otherwise(full))
-    return events.select(line.alias("value"))
+    level = ("CASE WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'click' THEN 'WARN' "
+             "WHEN event_type = 'view' THEN 'DEBUG' ELSE 'INFO' END")
+    stamp = "date_format(ts, 'yyyy-MM-dd HH:mm:ss')"
+    return events.selectExpr(
+        f"CASE WHEN value > 300 THEN concat('cut ', event_type) "
+        f"WHEN value < 1 THEN concat({stamp}, ' [', {level}, '] ', props) "
+        f"ELSE concat({stamp}, ' [', {level}, '] [U', CAST(user_id AS STRING), '] ', props) END AS value")
 
 
 def stream_events(events: DataFrame) -> DataFrame:
     """Driver events as fleet stream events (one JSON object per event, wide schema)."""
-    events = _with_k(events)
-    et, v, k = F.col("event_type"), F.col("value"), F.col("_k")
-    kind = F.coalesce(*[F.when(et == src, F.lit(dst)) for src, dst in EVENT_KIND.items()])
-    has_pos = kind != F.lit(S.EVENT_DELIVERY)
-    has_speed = kind.isin(S.EVENT_GPS, S.EVENT_SPEED)
-    level = (F.when(kind == S.EVENT_SPEED, F.when(v > 150, F.lit("ALTA")).otherwise(F.lit("MEDIA")))
-              .when(kind == S.EVENT_ROUTE, F.lit("ALTA"))
-              .when(kind == S.EVENT_DELIVERY, F.lit("BAJA")))
-    return events.select(
-        F.concat(F.lit("EV-"), F.col("event_id").cast("string")).alias("evento_id"),
-        kind.alias("tipo_evento"),
-        F.col("user_id").cast("string").alias("placa_vehiculo"),
-        F.when(has_pos, k / F.lit(100.0) - F.lit(12.0)).alias("latitud"),
-        F.when(has_pos, k / F.lit(100.0) - F.lit(77.0)).alias("longitud"),
-        F.when(has_speed, v).alias("velocidad_kmh"),
-        _iso().alias("timestamp"),
-        level.alias("nivel_alerta"),
-        F.when(kind != S.EVENT_GPS, F.col("props")).alias("mensaje"),
-        F.when(kind == S.EVENT_DELIVERY, F.concat(F.lit("ORD-"), k.cast("string"))).alias("orden_id"),
-        F.when(kind == S.EVENT_DELIVERY,
-               F.when(k >= 50, F.lit("Completado")).otherwise(F.lit("Fallido"))).alias("estado_nuevo"),
-        F.when(kind == S.EVENT_ROUTE, v).alias("desviacion_km"),
-        F.col("ts").cast("timestamp").alias("kafka_timestamp"),
+    kind = "CASE event_type " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in EVENT_KIND.items()) + " END"
+    return _with_k(events).selectExpr("*", f"{kind} AS _kind").selectExpr(
+        "concat('EV-', CAST(event_id AS STRING)) AS evento_id",
+        "_kind AS tipo_evento",
+        "CAST(user_id AS STRING) AS placa_vehiculo",
+        f"CASE WHEN _kind <> '{S.EVENT_DELIVERY}' THEN _k / 100.0D - 12.0D END AS latitud",
+        f"CASE WHEN _kind <> '{S.EVENT_DELIVERY}' THEN _k / 100.0D - 77.0D END AS longitud",
+        f"CASE WHEN _kind IN ('{S.EVENT_GPS}', '{S.EVENT_SPEED}') THEN value END AS velocidad_kmh",
+        f"{ISO} AS timestamp",
+        f"CASE WHEN _kind = '{S.EVENT_SPEED}' THEN (CASE WHEN value > 150 THEN 'ALTA' ELSE 'MEDIA' END) "
+        f"WHEN _kind = '{S.EVENT_ROUTE}' THEN 'ALTA' WHEN _kind = '{S.EVENT_DELIVERY}' THEN 'BAJA' END "
+        "AS nivel_alerta",
+        f"CASE WHEN _kind <> '{S.EVENT_GPS}' THEN props END AS mensaje",
+        f"CASE WHEN _kind = '{S.EVENT_DELIVERY}' THEN concat('ORD-', CAST(_k AS STRING)) END AS orden_id",
+        f"CASE WHEN _kind = '{S.EVENT_DELIVERY}' THEN (CASE WHEN _k >= 50 THEN 'Completado' "
+        "ELSE 'Fallido' END) END AS estado_nuevo",
+        f"CASE WHEN _kind = '{S.EVENT_ROUTE}' THEN value END AS desviacion_km",
+        "CAST(ts AS TIMESTAMP) AS kafka_timestamp",
     )
 
 
