@@ -7,11 +7,11 @@ wall-clock (TIMESTAMP_NTZ), the type DuckDB's TIMESTAMP has.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import uuid
-
 from flotilla import schemas as S
 from flotilla.operators import clean, dashboard, events, kpis, logs, quality, report, windows
 from flotilla.plans import standins as T
