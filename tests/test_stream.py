@@ -117,3 +117,18 @@ def test_latest_snapshots_are_bounded(spark, tmp_dir):
     every = spark.read.parquet(latest)
     assert sorted({r.batch_id for r in every.select("batch_id").collect()}) == [2]   # older ones emptied
     assert read_latest(spark, latest).count() == 3
+
+
+def test_approximate_distinct_vehicles_within_error(spark):
+    """W5 approximate form: every window's estimate within 3 standard errors of the exact count."""
+    from pyspark.sql import functions as F
+    ev = spark.range(0, 60000).select(
+        F.concat(F.lit("P"), (F.col("id") * 7919 % 5000).cast("string")).alias("placa_vehiculo"),
+        F.when(F.col("id") % 3 == 0, F.lit("gps_update")).otherwise(F.lit("speed_alert")).alias("tipo_evento"),
+        (F.lit(_m(0)).cast("timestamp") + F.make_interval(secs=(F.col("id") % 600).cast("int"))).alias("kafka_timestamp"))
+    exact = {(r.ventana_inicio, r.tipo_evento): r.vehiculos_afectados
+             for r in windows.events_by_type(ev).collect()}
+    approx = {(r.ventana_inicio, r.tipo_evento): r.vehiculos_afectados
+              for r in windows.events_by_type(ev, distinct="approx", rsd=0.02).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - v) <= 0.06 * v + 1 for k, v in exact.items())
