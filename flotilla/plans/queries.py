@@ -304,11 +304,15 @@ def q_kpi_summary_json(spark, sf_dir):
 
 # --- stream ------------------------------------------------------------------------------------
 
-def _records(spark, sf_dir):
+def driver_records(spark, sf_dir, max_files=None):
     """The driver's events table read as a file stream, shaped as topic records."""
     apply_runtime_defaults(spark)
     schema = T.table(spark, sf_dir, "events").schema
-    return T.keyed_records(table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet*", schema))
+    return T.keyed_records(table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet*", schema,
+                                        max_files=max_files))
+
+
+_records = driver_records
 
 
 def _run_append(spark, df, name):

@@ -79,3 +79,31 @@ def topic_feed(records: DataFrame, name: str, bootstrap: str, topic: str, checkp
          .option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
+
+
+def shared_feed(events: DataFrame, name: str, events_path: str, alerts_path: str, checkpoint: str,
+                trigger: str | None = "10 seconds", processed_at=True) -> StreamingQuery:
+    """O4/W6/W7 from one scan: decoded events and their alerts, written per micro-batch.
+
+    The batch is persisted for its two writes (decode once), then released. Each write goes to
+    ``batch_id=N`` with overwrite, so a batch retried after a failure replaces its own output.
+    Events are also partitioned by event day, so readers prune by date.
+    """
+    from pyspark import StorageLevel
+
+    from flotilla.operators.events import alerts as alert_rules
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            (batch.withColumn("dia", F.to_date("kafka_timestamp"))
+                  .write.mode("overwrite").partitionBy("dia")
+                  .parquet(f"{events_path}/batch_id={batch_id}"))
+            (alert_rules(batch, processed_at=processed_at)
+                  .write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}"))
+        finally:
+            batch.unpersist()
+
+    w = (events.writeStream.queryName(name).outputMode("append").foreachBatch(write)
+         .option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger).start()

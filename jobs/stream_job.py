@@ -25,6 +25,7 @@ def main(argv=None):
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--kafka")
     src.add_argument("--records")
+    src.add_argument("--driver-events", help="a folder of driver tables: its events as the stream")
     ap.add_argument("--topic", required=False, default=None, help="topic to subscribe to (with --kafka)")
     ap.add_argument("--output", required=True)
     ap.add_argument("--checkpoint", default=None)
@@ -33,6 +34,8 @@ def main(argv=None):
     ap.add_argument("--processing-time-alerts", action="store_true",
                     help="window alerts on processing time instead of event time")
     ap.add_argument("--console", action="store_true")
+    ap.add_argument("--shared-feeds", action="store_true",
+                    help="write the event and alert feeds from one scan (foreachBatch)")
     ap.add_argument("--latest", action="store_true",
                     help="also keep a complete-mode summary replaced per batch (state never evicted)")
     ap.add_argument("--master", default=None)
@@ -41,13 +44,18 @@ def main(argv=None):
         ap.error("--topic is required with --kafka")
     spark = build_session(a.master, app_name="flotilla-stream")
     ck = a.checkpoint or f"{checkpoint_root(spark)}/flotilla-stream"
-    records = (kafka_records(spark, a.kafka, a.topic, a.starting_offsets) if a.kafka
-               else file_records(spark, a.records))
+    if a.kafka:
+        records = kafka_records(spark, a.kafka, a.topic, a.starting_offsets)
+    elif a.driver_events:
+        from flotilla.plans.queries import driver_records
+        records = driver_records(spark, a.driver_events)
+    else:
+        records = file_records(spark, a.records)
     plan = build_plan(records, alert_time="procesado_en" if a.processing_time_alerts else "kafka_timestamp")
     trig = "availableNow" if a.available_now else None
     queries = start_plan(plan, a.output, ck,
                          feed_trigger=trig or "10 seconds", summary_trigger=trig or "30 seconds",
-                         latest=a.latest, console=a.console)
+                         latest=a.latest, console=a.console, shared_feeds=a.shared_feeds)
     if a.available_now:
         for q in queries:
             q.awaitTermination()

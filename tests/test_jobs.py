@@ -90,3 +90,33 @@ def test_batch_job_on_driver_tables_equals_the_report_query(spark, tmp_dir):
     assert counts[("entregas", "publicadas")] == stage[("entregas", "limpias")]
     assert counts[("rutas_gps", "publicadas")] == stage[("rutas_gps", "limpias")]
     assert counts[("eventos_sistema", "errores")] == stage[("eventos_sistema", "errores")]
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_stream_job_on_driver_events_equals_the_stream_queries(spark, tmp_dir, shared):
+    import __spark_entry__ as E
+    import jobs.stream_job as job
+    from flotilla.plans.queries import as_wall_clock
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    job.main(["--driver-events", sf, "--output", f"{tmp_dir}/out", "--checkpoint", f"{tmp_dir}/ck",
+              "--available-now"] + (["--shared-feeds"] if shared else []))
+    alerts = as_wall_clock(read_table(spark, f"{tmp_dir}/out/alertas_streaming").drop("batch_id", "procesado_en"))
+    alert_q = E.queries()["alert_feed"](spark, sf)
+    assert sorted(map(tuple, alerts.select(*alert_q.columns).collect()), key=str) == \
+        sorted(map(tuple, alert_q.collect()), key=str)
+
+    def same(a, b):
+        return sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    feed = as_wall_clock(read_table(spark, f"{tmp_dir}/out/eventos_streaming").drop("dia", "batch_id"))
+    assert same(feed.select(*E.queries()["event_feed"](spark, sf).columns), E.queries()["event_feed"](spark, sf))
+    summary = as_wall_clock(read_table(spark, f"{tmp_dir}/out/resumen_eventos"))
+    closed = E.queries()["events_by_type_1m_closed"](spark, sf)
+    assert same(summary.select(*closed.columns), closed)
+    per_vehicle = as_wall_clock(read_table(spark, f"{tmp_dir}/out/resumen_alertas"))
+    closed_alerts = E.queries()["alerts_by_vehicle_2m_closed"](spark, sf)
+    assert same(per_vehicle.select(*closed_alerts.columns), closed_alerts)
