@@ -7,8 +7,9 @@ Distinct vehicles per window (W5) has three exact forms:
 - ``"chained"`` (stream, append): ``groupBy(window, kind, vehicle)`` then ``groupBy(window,
   kind)``. State is one small row per (window, kind, vehicle), hashed across partitions; it is
   evicted once the watermark passes the window end.
-- ``"set"`` (stream, complete/update): ``size(collect_set(vehicle))``; state per group holds the
-  window's vehicle set, bounded by the fleet size, not the event volume.
+- ``"set"``: ``size(collect_set(vehicle))``; one state row holds a window's whole vehicle set
+  (bounded by the fleet, not by the event volume). Kept as an option; the complete-mode view
+  uses ``vehicle_counts`` as its only stateful step and rolls up each micro-batch instead.
 - ``"approx"`` (either): ``approx_count_distinct`` (HyperLogLog++, ~5% relative error), a
   fixed-size sketch per group whatever the fleet size; not exact, so not used for the
   published numbers.
@@ -44,26 +45,42 @@ def flatten_window(df: DataFrame, window: str = "window") -> DataFrame:
 def events_by_type(events: DataFrame, ts: str = "kafka_timestamp", duration: str = S.EVENT_WINDOW,
                    watermark: str | None = None, distinct: str = "exact", rsd: float = 0.05) -> DataFrame:
     """Events and distinct vehicles per (window, event kind)."""
+    if distinct == "chained":
+        return roll_up_vehicles(vehicle_counts(events, ts, duration, watermark))
     df = events
     if watermark:
         df = event_time(df, ts).withWatermark(ts, watermark)
-    w = F.window(ts, duration)
-    if distinct == "chained":
-        per_vehicle = (df.groupBy(w.alias("window"), "tipo_evento", "placa_vehiculo")
-                         .agg(F.count(F.lit(1)).alias("_n")))
-        out = (per_vehicle.groupBy("window", "tipo_evento")
-               .agg(F.sum("_n").alias("cantidad_eventos"),
-                    F.count("placa_vehiculo").alias("vehiculos_afectados")))
+    if distinct == "set":
+        vehicles = F.size(F.collect_set("placa_vehiculo"))
+    elif distinct == "approx":
+        vehicles = F.approx_count_distinct("placa_vehiculo", rsd)
     else:
-        if distinct == "set":
-            vehicles = F.size(F.collect_set("placa_vehiculo"))
-        elif distinct == "approx":
-            vehicles = F.approx_count_distinct("placa_vehiculo", rsd)
-        else:
-            vehicles = F.count_distinct("placa_vehiculo")
-        out = (df.groupBy(w.alias("window"), "tipo_evento")
-                 .agg(F.count(F.lit(1)).alias("cantidad_eventos"),
-                      vehicles.cast("long").alias("vehiculos_afectados")))
+        vehicles = F.count_distinct("placa_vehiculo")
+    out = (df.groupBy(F.window(ts, duration).alias("window"), "tipo_evento")
+             .agg(F.count(F.lit(1)).alias("cantidad_eventos"),
+                  vehicles.cast("long").alias("vehiculos_afectados")))
+    return flatten_window(out)
+
+
+def vehicle_counts(events: DataFrame, ts: str = "kafka_timestamp", duration: str = S.EVENT_WINDOW,
+                   watermark: str | None = None) -> DataFrame:
+    """First level of the exact distinct count: events per (window, kind, vehicle).
+
+    As a stream this is the only stateful step (one small state row per key, spread by hash);
+    in complete mode its full result is rolled up per micro-batch with ``roll_up_vehicles``.
+    """
+    df = events
+    if watermark:
+        df = event_time(df, ts).withWatermark(ts, watermark)
+    return (df.groupBy(F.window(ts, duration).alias("window"), "tipo_evento", "placa_vehiculo")
+              .agg(F.count(F.lit(1)).alias("_n")))
+
+
+def roll_up_vehicles(per_vehicle: DataFrame) -> DataFrame:
+    """Second level: events and distinct vehicles per (window, kind), flattened."""
+    out = (per_vehicle.groupBy("window", "tipo_evento")
+           .agg(F.sum("_n").alias("cantidad_eventos"),
+                F.count("placa_vehiculo").alias("vehiculos_afectados")))
     return flatten_window(out)
 
 

@@ -33,15 +33,18 @@ def append_feed(df: DataFrame, name: str, path: str, checkpoint: str,
 
 def replace_table(df: DataFrame, name: str, path: str, checkpoint: str,
                   trigger: str | None = "30 seconds", mode: str = "complete",
-                  retain: int = 3) -> StreamingQuery:
+                  retain: int = 3, transform=None) -> StreamingQuery:
     """The full result table per micro-batch, one folder per batch id.
 
     Retrying a batch overwrites its own folder (idempotent); readers take the newest one
     with ``read_latest``. Used for complete mode, which file sinks refuse. Snapshots older
     than ``retain`` batches are overwritten with an empty frame, so storage stays bounded on
-    an endless stream.
+    an endless stream. ``transform`` is a batch DataFrame function applied to each result
+    before it is written (e.g. the second level of a two-level aggregation).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        if transform is not None:
+            batch = transform(batch)
         snap = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
         snap.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         old = batch_id - retain
@@ -62,10 +65,22 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def console_feed(df: DataFrame, name: str, mode: str = "complete",
-                 trigger: str | None = "30 seconds") -> StreamingQuery:
-    """Print each result untruncated (for watching a job; output goes to the driver log)."""
-    w = (df.writeStream.queryName(name).format("console").outputMode(mode)
-         .option("truncate", "false"))
+                 trigger: str | None = "30 seconds", transform=None, rows: int = 20,
+                 order: list | None = None) -> StreamingQuery:
+    """Print each result untruncated, for watching a job.
+
+    Only the first ``rows`` rows (in ``order``) reach the driver: the full table stays on the
+    executors, unlike the console sink, which gathers the whole result to print it.
+    """
+    def show(batch: DataFrame, batch_id: int) -> None:
+        if transform is not None:
+            batch = transform(batch)
+        if order:
+            batch = batch.orderBy(*order)
+        print(f"-- {name} batch {batch_id}")
+        batch.show(rows, truncate=False)
+
+    w = df.writeStream.queryName(name).outputMode(mode).foreachBatch(show)
     return _trigger(w, trigger).start()
 
 

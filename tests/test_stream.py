@@ -98,8 +98,9 @@ def test_alert_windows_and_latest_snapshot(spark, tmp_dir):
     assert rows == [("A", "VELOCIDAD_EXCEDIDA", 2, _m(0))]
 
     latest = os.path.join(tmp_dir, "latest")
-    q = replace_table(windows.events_by_type(dec, watermark=S.EVENT_WATERMARK, distinct="set"),
-                      "t_latest", latest, latest + "_ck", trigger="availableNow")
+    q = replace_table(windows.vehicle_counts(dec, watermark=S.EVENT_WATERMARK),
+                      "t_latest", latest, latest + "_ck", trigger="availableNow",
+                      transform=windows.roll_up_vehicles)
     q.awaitTermination()
     snap = read_latest(spark, latest)
     assert snap.count() == 4 and "batch_id" not in snap.columns
@@ -111,8 +112,9 @@ def test_latest_snapshots_are_bounded(spark, tmp_dir):
         _write_slice(spark, src, [_ev(i, "gps_update", "A", _m(i))], i)
     dec = events.decode_records(file_records(spark, src + "/*", max_files=1))
     latest = os.path.join(tmp_dir, "latest")
-    q = replace_table(windows.events_by_type(dec, watermark=S.EVENT_WATERMARK, distinct="set"),
-                      "t_bounded", latest, latest + "_ck", trigger="availableNow", retain=1)
+    q = replace_table(windows.vehicle_counts(dec, watermark=S.EVENT_WATERMARK),
+                      "t_bounded", latest, latest + "_ck", trigger="availableNow", retain=1,
+                      transform=windows.roll_up_vehicles)
     q.awaitTermination()
     every = spark.read.parquet(latest)
     assert sorted({r.batch_id for r in every.select("batch_id").collect()}) == [2]   # older ones emptied
