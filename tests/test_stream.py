@@ -134,3 +134,22 @@ def test_approximate_distinct_vehicles_within_error(spark):
               for r in windows.events_by_type(ev, distinct="approx", rsd=0.02).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - v) <= 0.06 * v + 1 for k, v in exact.items())
+
+
+def test_alert_windows_on_processing_time(spark, tmp_dir):
+    """W3/W4 as the application had them: alerts windowed on their processing stamp."""
+    src = os.path.join(tmp_dir, "src")
+    _write_slice(spark, src, [_ev(1, "speed_alert", "A", _m(0), 130.0),
+                              _ev(2, "gps_update", "A", _m(1), 120.0),
+                              _ev(3, "speed_alert", "B", _m(2), 110.0),
+                              _ev(4, "gps_update", "B", _m(3), 50.0)], 0)
+    al = events.alerts(events.decode_records(file_records(spark, src + "/*")), processed_at=True)
+    per_vehicle = windows.alerts_by_vehicle(al, ts="procesado_en", watermark=S.ALERT_WATERMARK)
+    out = os.path.join(tmp_dir, "pt")
+    q = replace_table(per_vehicle, "t_processing_time", out, out + "_ck", trigger="availableNow")
+    q.awaitTermination()
+    got = {}
+    for r in read_latest(spark, out).collect():
+        got[r.placa_vehiculo] = got.get(r.placa_vehiculo, 0) + r.total_alertas
+        assert r.ventana_fin - r.ventana_inicio == dt.timedelta(minutes=2)
+    assert got == {"A": 2, "B": 1}      # all stamped in this run, whatever the event times
