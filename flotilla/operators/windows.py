@@ -1,6 +1,6 @@
 """Tumbling-window summaries (W1-W5, P13), the same code for batch and stream.
 
-Distinct vehicles per window (W5) has three exact forms:
+Distinct vehicles per window (W5) has four forms, the first three exact:
 
 - ``"exact"`` (batch): ``count_distinct``; Spark pre-aggregates (window, kind, vehicle) before
   the shuffle, so the work spreads by vehicle even when one kind dominates.

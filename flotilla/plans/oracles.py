@@ -295,5 +295,5 @@ SELECT placa_vehiculo, modelo, total_entregas, tasa_exito_pct, km_totales, veloc
           " <= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE")
     q["alerts_by_vehicle_2m_closed"] = (q["alerts_by_vehicle_2m"].rstrip()
         + "\nHAVING time_bucket(INTERVAL 2 MINUTE, kafka_timestamp) + INTERVAL 2 MINUTE"
-          " <= (SELECT max(kafka_timestamp) FROM alerts) - INTERVAL 5 MINUTE")
+          " <= (SELECT max(ts) FROM events) - INTERVAL 5 MINUTE")
     return q

@@ -21,7 +21,9 @@ from pyspark.sql.streaming import StreamingQuery
 from flotilla import schemas as S
 from flotilla.operators.events import alerts as alert_rules
 from flotilla.operators.events import decode_records
-from flotilla.operators.windows import alerts_by_vehicle, events_by_type, roll_up_vehicles, vehicle_counts
+from flotilla.operators.windows import (
+    alerts_by_vehicle, event_time, events_by_type, roll_up_vehicles, vehicle_counts,
+)
 from flotilla.sinks.stream import append_feed, console_feed, replace_table, shared_feed
 
 
@@ -37,19 +39,23 @@ class StreamPlan:
 def build_plan(records: DataFrame, processed_at=True, alert_time: str = "kafka_timestamp") -> StreamPlan:
     """All stream outputs as lazy streaming DataFrames over one record source.
 
-    ``alert_time="procesado_en"`` windows alerts on processing time instead (results then
-    depend on when the job runs).
-    Alert windows advance with the alert stream's own event time (the watermark is on the
-    alerts, as the rules filter first): sparse alerts keep a window open longer. A watermark on
-    the decoded events would not help — Catalyst pushes the rule filter below it.
+    Alert windows advance with the whole stream's event time: the watermark sits on the decoded
+    events and the alert rules (a generator, no filter that could be pushed below it) come
+    after, so windows close even when alerts are rare. ``alert_time="procesado_en"`` windows
+    alerts on processing time instead (results then depend on when the job runs).
     """
     ev = decode_records(records)
     al = alert_rules(ev, processed_at=processed_at)
+    if alert_time == "kafka_timestamp":
+        timed = event_time(ev, alert_time).withWatermark(alert_time, S.ALERT_WATERMARK)
+        per_vehicle = alerts_by_vehicle(alert_rules(timed, processed_at=processed_at), ts=alert_time)
+    else:
+        per_vehicle = alerts_by_vehicle(al, ts=alert_time, watermark=S.ALERT_WATERMARK)
     return StreamPlan(
         events=ev,
         alerts=al,
         events_by_type=events_by_type(ev, watermark=S.EVENT_WATERMARK, distinct="chained"),
-        alerts_by_vehicle=alerts_by_vehicle(al, ts=alert_time, watermark=S.ALERT_WATERMARK),
+        alerts_by_vehicle=per_vehicle,
         events_by_type_latest=vehicle_counts(ev, watermark=S.EVENT_WATERMARK),
     )
 
