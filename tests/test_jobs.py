@@ -120,3 +120,20 @@ def test_stream_job_on_driver_events_equals_the_stream_queries(spark, tmp_dir, s
     per_vehicle = as_wall_clock(read_table(spark, f"{tmp_dir}/out/resumen_alertas"))
     closed_alerts = E.queries()["alerts_by_vehicle_2m_closed"](spark, sf)
     assert same(per_vehicle.select(*closed_alerts.columns), closed_alerts)
+
+
+def test_batch_stream_and_dashboard_jobs_end_to_end(spark, tmp_dir):
+    """Batch job and stream job publish into one folder; the dashboard reads both."""
+    import jobs.stream_job as job
+    from flotilla.plans.batch import read_driver_inputs
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    out, dash = f"{tmp_dir}/published", f"{tmp_dir}/dash"
+    run_batch(spark, read_driver_inputs(spark, sf), out, report_time="2024-02-01 00:00:00")
+    job.main(["--driver-events", sf, "--output", out, "--checkpoint", f"{tmp_dir}/ck", "--available-now"])
+    run_dashboard(spark, out, dash)
+    kinds = {r.tipo_evento: r.cantidad for r in spark.read.parquet(f"{dash}/eventos_por_tipo").collect()}
+    assert set(kinds) == {"gps_update", "speed_alert", "route_deviation", "delivery_status"}
+    assert sum(kinds.values()) == spark.read.parquet(f"{sf}/events.parquet").count()
+    assert spark.read.parquet(f"{dash}/top_km").count() == min(10, spark.read.parquet(f"{out}/reporte_flota").count())
