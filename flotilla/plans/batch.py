@@ -133,8 +133,7 @@ def run_dashboard(spark: SparkSession, published: str, out: str) -> None:
     rep = read_table(spark, f"{published}/reporte_flota")
     deliveries = read_table(spark, f"{published}/entregas")
     incidents = read_table(spark, f"{published}/incidencias")
-    events = read_optional(spark, f"{published}/eventos_streaming",
-                           S.EVENT.add("kafka_timestamp", "timestamp"))
+    events = read_optional(spark, f"{published}/eventos_streaming", S.EVENT_ROW)
     sev = dashboard.value_counts(incidents, "severidad")
     _concurrently({
         "kpis": lambda: write_json(dashboard.kpi_sheet(dashboard.headline_kpis(rep, deliveries, incidents)),

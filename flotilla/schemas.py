@@ -101,6 +101,8 @@ EVENT = _s(
     ("desviacion_km", T.DoubleType()),
 )
 EVENT_FIELDS = [f.name for f in EVENT.fields]
+# A decoded event row as the feeds store it: the event fields plus the record time.
+EVENT_ROW = T.StructType(list(EVENT.fields) + [T.StructField("kafka_timestamp", T.TimestampType(), True)])
 
 # What a topic (or its file stand-in) delivers: key, value, broker time.
 KEYED_RECORD = _s(

@@ -23,6 +23,8 @@ SESSION_DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Each micro-batch uploads the state changes, not a full snapshot of every store.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
