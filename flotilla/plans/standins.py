@@ -21,7 +21,6 @@ Mapping (the oracle SQL in ``flotilla.plans.oracles`` builds the same views):
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from flotilla import schemas as S
 
