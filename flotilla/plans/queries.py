@@ -34,8 +34,20 @@ def as_wall_clock(df: DataFrame) -> DataFrame:
                            for c, t in dtypes])
 
 
+def _once(method):
+    """Build a frame once per ``Inputs`` (one query call): shared by every use in that query."""
+    name = f"_memo_{method.__name__}"
+
+    def wrapper(self):
+        if name not in self.__dict__:
+            self.__dict__[name] = method(self)
+        return self.__dict__[name]
+    wrapper.__name__, wrapper.__doc__ = method.__name__, method.__doc__
+    return wrapper
+
+
 class Inputs:
-    """Stand-in fleet inputs over one scale-factor folder; frames are built lazily."""
+    """Stand-in fleet inputs over one scale-factor folder; frames are built lazily, once each."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         apply_runtime_defaults(spark)
@@ -44,38 +56,49 @@ class Inputs:
     def t(self, name):
         return T.table(self.spark, self.sf_dir, name)
 
+    @_once
     def deliveries_raw(self):
         return T.deliveries_raw(self.t("lineitem"))
 
+    @_once
     def gps_raw(self):
         return T.gps_raw(self.t("events"))
 
+    @_once
     def incidents_raw(self):
         return T.incidents_raw(self.t("events"))
 
+    @_once
     def vehicles(self):
         return T.vehicles(self.t("supplier"))
 
+    @_once
     def deliveries(self):
         return clean.clean_deliveries(self.deliveries_raw())
 
+    @_once
     def gps(self):
         return clean.clean_gps(self.gps_raw())
 
+    @_once
     def incidents(self):
         return clean.clean_incidents(self.incidents_raw())
 
+    @_once
     def report(self):
         return report.fleet_report(kpis.delivery_kpis(self.deliveries()), kpis.gps_kpis(self.gps()),
                                    kpis.incident_kpis(self.incidents()), self.vehicles(),
                                    report_time=REPORT_TIME)
 
+    @_once
     def log(self):
         return logs.parse_log(T.log_lines(self.t("events")))
 
+    @_once
     def stream_events(self):
         return T.stream_events(self.t("events"))
 
+    @_once
     def decoded(self):
         return events.decode_records(T.keyed_records(self.t("events")))
 
