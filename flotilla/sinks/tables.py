@@ -35,3 +35,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_json(df: DataFrame, path: str) -> None:
     """JSON Lines."""
     publish(df, path, fmt="json")
+
+
+def write_topic(records: DataFrame, bootstrap: str, topic: str) -> None:
+    """O8 in batch: publish ``key``/``value`` records (``operators.events.encode_events``).
+
+    Needs the Kafka package on the class path; the records are the same as the stream form's.
+    """
+    (records.select("key", "value").write.format("kafka")
+            .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
