@@ -3,9 +3,9 @@
 ``ROUND(AVG(x), 2)`` on doubles depends on summation order (so on partitioning) and on how
 an engine rounds a binary fraction at a half-cent tie. Here a money-like column is summed as
 DECIMAL (exact, associative, so every partitioning gives the same bits), the average is one
-IEEE division of two integers, and half-up rounding is ``floor(q + 0.5)``. A tie then lands
-exactly on ``k + 0.5``, so the result is the true half-up rounding of the exact average for
-non-negative inputs with at most ``input_scale`` decimals.
+IEEE division of two integers, and half-up rounding (away from zero, as SQL ``ROUND``) is
+``sign(q) * floor(abs(q) + 0.5)``. A tie then lands exactly on ``k + 0.5``, so the result is the
+true half-up rounding of the exact average for inputs with at most ``input_scale`` decimals.
 
 Each helper has a ``*_sql`` twin that emits the same expression as SQL text, used by the
 oracle queries so both engines evaluate one formula.
@@ -31,14 +31,15 @@ def avg_round(c, digits: int = 2, input_scale: int = 2) -> Column:
         return F.expr(avg_round_sql(f"`{c}`", digits, input_scale))
     s = max(digits, input_scale)
     units = (F.sum(c.cast(f"decimal(18,{input_scale})")) * F.lit(10 ** s)).cast("double")
-    den = F.count(c) * F.lit(10 ** (s - digits))
-    return F.floor(units / den + F.lit(0.5)) / F.lit(10 ** digits)
+    q = units / (F.count(c) * F.lit(10 ** (s - digits)))
+    return F.signum(q) * F.floor(F.abs(q) + F.lit(0.5)) / F.lit(10 ** digits)
 
 
 def avg_round_sql(x: str, digits: int = 2, input_scale: int = 2) -> str:
     s = max(digits, input_scale)
-    return (f"floor(CAST(sum(CAST({x} AS DECIMAL(18,{input_scale}))) * {10 ** s} AS DOUBLE)"
-            f" / (count({x}) * {10 ** (s - digits)}) + 0.5) / {10 ** digits}")
+    q = (f"(CAST(sum(CAST({x} AS DECIMAL(18,{input_scale}))) * {10 ** s} AS DOUBLE)"
+         f" / (count({x}) * {10 ** (s - digits)}))")
+    return f"sign({q}) * floor(abs({q}) + 0.5) / {10 ** digits}"
 
 
 def sum_round(c, digits: int = 2) -> Column:

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flotilla import schemas as S
-from flotilla.functions import avg_round, count_if, pct_round, sum_round
+from flotilla.functions import (
+    avg_round, avg_round_sql, count_if, pct_round, pct_round_sql, sum_round, sum_round_sql,
+)
 
 VEHICLE = "placa_vehiculo"
 
@@ -61,45 +63,39 @@ def incident_kpis(incidents: DataFrame) -> DataFrame:
 
 # The same three roll-ups as SQL text over temp views (X1): the application's own interface
 # was SQL over registered views; this runs that form through ``spark.sql``.
-DELIVERY_KPIS_SQL = """
+DELIVERY_KPIS_SQL = f"""
 SELECT placa_vehiculo,
        count(*) AS total_entregas,
        count_if(estado = 'Completado') AS entregas_completadas,
-       floor(CAST(count_if(estado = 'Completado') AS DOUBLE) * 10000 / count(*) + 0.5) / 100
-           AS tasa_exito_pct,
-       floor(CAST(sum(CAST(duracion_min AS DECIMAL(18,0))) * 100 AS DOUBLE)
-             / (count(duracion_min) * 1) + 0.5) / 100 AS duracion_promedio_min,
-       CAST(sum(CAST(distancia_km AS DECIMAL(18,2))) AS DOUBLE) AS km_totales,
-       floor(CAST(sum(CAST(peso_kg AS DECIMAL(18,2))) * 100 AS DOUBLE)
-             / (count(peso_kg) * 1) + 0.5) / 100 AS peso_promedio_kg,
+       {pct_round_sql("count_if(estado = 'Completado')", "count(*)", 2)} AS tasa_exito_pct,
+       {avg_round_sql("duracion_min", 2, 0)} AS duracion_promedio_min,
+       {sum_round_sql("distancia_km", 2)} AS km_totales,
+       {avg_round_sql("peso_kg", 2)} AS peso_promedio_kg,
        count(DISTINCT cliente_id) AS clientes_atendidos
-FROM {view}
+FROM {{view}}
 GROUP BY placa_vehiculo
 """
 
-GPS_KPIS_SQL = """
+GPS_KPIS_SQL = f"""
 SELECT placa_vehiculo,
        count(*) AS total_registros_gps,
-       floor(CAST(sum(CAST(velocidad_kmh AS DECIMAL(18,2))) * 100 AS DOUBLE)
-             / (count(velocidad_kmh) * 1) + 0.5) / 100 AS velocidad_promedio,
+       {avg_round_sql("velocidad_kmh", 2)} AS velocidad_promedio,
        round(max(velocidad_kmh), 2) AS velocidad_maxima,
        round(min(precision_gps), 2) AS mejor_precision,
-       floor(CAST(sum(CAST(satelites AS DECIMAL(18,0))) * 10 AS DOUBLE)
-             / (count(satelites) * 1) + 0.5) / 10 AS satelites_promedio
-FROM {view}
+       {avg_round_sql("satelites", 1, 0)} AS satelites_promedio
+FROM {{view}}
 GROUP BY placa_vehiculo
 """
 
-INCIDENT_KPIS_SQL = """
+INCIDENT_KPIS_SQL = f"""
 SELECT placa_vehiculo,
        count(*) AS total_incidencias,
        count_if(severidad = 'Alta') AS incidencias_alta,
        count_if(severidad = 'Media') AS incidencias_media,
        count_if(severidad = 'Baja') AS incidencias_baja,
        count_if(resuelta = true) AS incidencias_resueltas,
-       floor(CAST(sum(CAST(costo_estimado_soles AS DECIMAL(18,2))) * 100 AS DOUBLE)
-             / (count(costo_estimado_soles) * 1) + 0.5) / 100 AS costo_promedio_soles
-FROM {view}
+       {avg_round_sql("costo_estimado_soles", 2)} AS costo_promedio_soles
+FROM {{view}}
 GROUP BY placa_vehiculo
 """
 

@@ -72,6 +72,12 @@ def test_avg_round_half_up_exact(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (2.0,), (2.0,)], "x double")   # 1.75 -> 1.8
     assert df.agg(avg_round("x", 1).alias("a")).first().a == 1.8
     assert df.agg(F.count("x")).first()[0] == 4
+    # negative ties round away from zero, as SQL ROUND does; both the SQL and Column forms
+    neg = spark.createDataFrame([(-2.67,), (-2.68,)], "x double")
+    assert neg.agg(avg_round("x", 2).alias("a")).first().a == -2.68
+    assert neg.agg(avg_round(F.col("x"), 2).alias("a")).first().a == -2.68
+    mixed = spark.createDataFrame([(-1.0,), (1.0,)], "x double")
+    assert mixed.agg(avg_round("x", 2).alias("a")).first().a == 0.0
 
 
 def _vehicles(spark):
