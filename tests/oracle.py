@@ -63,11 +63,28 @@ def rows_of(pdf):
     return cols, out
 
 
+# Spark type -> the DuckDB type it should meet.
+TYPE_PAIRS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+              "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
+def type_problems(sdf, rel) -> list[str]:
+    duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for c, t in sdf.dtypes:
+        want = TYPE_PAIRS.get(t, t.upper())
+        if c in duck and duck[c] != want:
+            out.append(f"{c}: spark {t} vs duck {duck[c]}")
+    return out
+
+
 def compare(spark, name: str, query, sql: str, sf_dir: str, con=None, verbose=True):
     con = con or duckdb_con(sf_dir)
     sdf = query(spark, sf_dir)
     spdf = sdf.toPandas()
-    dpdf = con.execute(sql).df()
+    rel = con.sql(sql)
+    types = type_problems(sdf, rel)
+    dpdf = rel.df()
     scols, srows = rows_of(spdf)
     dcols, drows = rows_of(dpdf)
     problems = []
@@ -75,6 +92,8 @@ def compare(spark, name: str, query, sql: str, sf_dir: str, con=None, verbose=Tr
         problems.append(f"columns differ: spark={scols} duck={dcols}")
     if len(srows) != len(drows):
         problems.append(f"rows differ: spark={len(srows)} duck={len(drows)}")
+    if types:
+        problems.append("types differ: " + "; ".join(types))
     if not problems:
         cs, cd = Counter(srows), Counter(drows)
         if cs != cd:
