@@ -137,3 +137,26 @@ def test_batch_stream_and_dashboard_jobs_end_to_end(spark, tmp_dir):
     assert set(kinds) == {"gps_update", "speed_alert", "route_deviation", "delivery_status"}
     assert sum(kinds.values()) == spark.read.parquet(f"{sf}/events.parquet").count()
     assert spark.read.parquet(f"{dash}/top_km").count() == min(10, spark.read.parquet(f"{out}/reporte_flota").count())
+
+
+def test_job_command_lines(tmp_dir):
+    """The batch and dashboard jobs as a user runs them: separate processes, own sessions."""
+    import subprocess
+    import sys
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=root)
+    out, dash = f"{tmp_dir}/out", f"{tmp_dir}/dash"
+    for args in (["jobs/batch_job.py", "--driver-tables", sf, "--output", out, "--master", "local[2]",
+                  "--report-time", "2024-02-01 00:00:00"],
+                 ["jobs/dashboard_job.py", "--published", out, "--output", dash, "--master", "local[2]"]):
+        done = subprocess.run([sys.executable, *args], cwd=root, env=env, capture_output=True,
+                              text=True, timeout=600)
+        assert done.returncode == 0, done.stderr[-3000:]
+    for folder in ["vehiculos", "entregas", "rutas_gps", "incidencias", "reporte_flota",
+                   "eventos_sistema", "reporte_flota_csv", "kpi_resumen", "calidad"]:
+        assert os.path.isdir(f"{out}/{folder}"), folder
+    for folder in ["kpis", "entregas_por_estado", "incidencias_por_severidad", "top_km", "top_exito"]:
+        assert os.path.isdir(f"{dash}/{folder}"), folder
