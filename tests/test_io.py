@@ -52,3 +52,19 @@ def test_counted_publish(spark, tmp_dir):
     n = publish_counted(spark.range(123), os.path.join(tmp_dir, "t"), "t")
     assert n == 123
     assert spark.read.parquet(os.path.join(tmp_dir, "t")).count() == 123
+
+
+def test_malformed_fields_become_null_not_failures(spark, tmp_dir):
+    """Explicit schemas, permissive parsing: a bad number or flag is null, the row is kept."""
+    p = os.path.join(tmp_dir, "entregas.csv")
+    with open(p, "w") as f:
+        f.write(",".join(f.name for f in S.DELIVERIES_RAW.fields) + "\n")
+        f.write("ORD-1,ABC-001,Lima,Callao,heavy,2025-01-01 10:00:00,Completado,15,far,CLI-001\n")
+    r = read_deliveries(spark, p).first()
+    assert r.orden_id == "ORD-1" and r.peso_kg is None and r.distancia_km is None
+    j = os.path.join(tmp_dir, "inc.json")
+    with open(j, "w") as f:
+        f.write(json.dumps({"incidencia_id": "I1", "resuelta": "maybe", "costo_estimado_soles": 12.5}) + "\n")
+    from flotilla.sources import read_incidents
+    row = read_incidents(spark, j).first()
+    assert row.incidencia_id == "I1" and row.resuelta is None and row.costo_estimado_soles == 12.5
