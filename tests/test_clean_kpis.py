@@ -170,3 +170,31 @@ def test_kpis_with_a_hot_vehicle_match_brute_force(spark):
         assert k.km_totales == float(sum(Decimal(str(v)) for v in g.distancia_km))
         assert k.clientes_atendidos == g.cliente_id.nunique()
     assert got["HOT"].total_entregas > 500
+
+
+def test_avg_round_matches_decimal_half_up_on_random_groups(spark):
+    """Exactness of the rounding rule: random cent values, many exact ties, both signs."""
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from pyspark.sql import functions as F
+
+    from flotilla.functions import avg_round
+    rnd = random.Random(5)
+    rows = []
+    for g in range(3000):
+        n = rnd.choice([2, 4, 8, 3])                     # even counts make half-cent ties
+        for _ in range(n):
+            rows.append((g, rnd.randint(-2_000_000, 2_000_000) / 100))
+    df = spark.createDataFrame(rows, "g int, x double").repartition(6)
+    got = {r.g: (r.a, r.b, r.c) for r in df.groupBy("g").agg(
+        avg_round("x", 2).alias("a"), avg_round(F.col("x"), 2).alias("b"),
+        avg_round("x", 1).alias("c")).collect()}
+    groups = {}
+    for g, x in rows:
+        groups.setdefault(g, []).append(Decimal(str(x)))
+    for g, xs in groups.items():
+        mean = sum(xs) / len(xs)
+        want2 = float(mean.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+        want1 = float(mean.quantize(Decimal("0.1"), rounding=ROUND_HALF_UP))
+        assert got[g][0] == want2 and got[g][1] == want2 and got[g][2] == want1, (g, xs, got[g])
