@@ -87,3 +87,11 @@ def test_without_broadcasts_kpi_joins_reuse_the_aggregate_partitioning(spark, mo
     # one shuffle per KPI aggregate on the vehicle, one for the master; none added by the joins
     assert len(re.findall(r"Exchange hashpartitioning\(placa_vehiculo#\d+L, \d+\)", p)) == 3
     assert len(re.findall(r"Exchange hashpartitioning\(placa#\d+L, \d+\)", p)) == 1
+
+
+def test_gps_filters_stay_above_the_dedup_window(spark):
+    """Filtering before the dedup would change which ping survives for an id: keep the order."""
+    lines = plan(E.queries()["clean_gps"](spark, SF), "simple").splitlines()
+    window = next(i for i, x in enumerate(lines) if "Window [row_number()" in x)
+    speed = next(i for i, x in enumerate(lines) if "Filter" in x and "velocidad_kmh" in x)
+    assert speed < window            # printed above = runs after the window
