@@ -30,6 +30,8 @@ def main(argv=None):
     ap.add_argument("--output", required=True)
     ap.add_argument("--checkpoint", default=None)
     ap.add_argument("--starting-offsets", default="earliest")
+    ap.add_argument("--max-offsets", type=int, default=None, help="records per micro-batch (Kafka)")
+    ap.add_argument("--max-files", type=int, default=None, help="files per micro-batch (file sources)")
     ap.add_argument("--available-now", action="store_true", help="drain what exists, then stop")
     ap.add_argument("--processing-time-alerts", action="store_true",
                     help="window alerts on processing time instead of event time")
@@ -45,12 +47,12 @@ def main(argv=None):
     spark = build_session(a.master, app_name="flotilla-stream")
     ck = a.checkpoint or f"{checkpoint_root(spark)}/flotilla-stream"
     if a.kafka:
-        records = kafka_records(spark, a.kafka, a.topic, a.starting_offsets)
+        records = kafka_records(spark, a.kafka, a.topic, a.starting_offsets, max_offsets=a.max_offsets)
     elif a.driver_events:
         from flotilla.plans.queries import driver_records
-        records = driver_records(spark, a.driver_events)
+        records = driver_records(spark, a.driver_events, max_files=a.max_files)
     else:
-        records = file_records(spark, a.records)
+        records = file_records(spark, a.records, max_files=a.max_files)
     plan = build_plan(records, alert_time="procesado_en" if a.processing_time_alerts else "kafka_timestamp")
     trig = "availableNow" if a.available_now else None
     queries = start_plan(plan, a.output, ck,
