@@ -38,6 +38,7 @@ def _s(*fields):
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# --- fixed values: input and event schemas (field names, order and types) ----------------
 VEHICLES = _s(
     ("placa", T.StringType()),
     ("modelo", T.StringType()),
@@ -100,6 +101,7 @@ EVENT = _s(
     ("estado_nuevo", T.StringType()),
     ("desviacion_km", T.DoubleType()),
 )
+# --- end of fixed values: schemas -------------------------------------------------------
 EVENT_FIELDS = [f.name for f in EVENT.fields]
 # A decoded event row as the feeds store it: the event fields plus the record time.
 EVENT_ROW = T.StructType(list(EVENT.fields) + [T.StructField("kafka_timestamp", T.TimestampType(), True)])
@@ -111,6 +113,7 @@ KEYED_RECORD = _s(
     ("timestamp", T.TimestampType()),
 )
 
+# --- fixed values: published column names and order -------------------------------------
 # Report column order (22 columns).
 REPORT_COLUMNS = [
     "placa_vehiculo", "modelo", "capacidad_kg", "conductor_id", "tipo_combustible",
@@ -129,3 +132,4 @@ ALERT_COLUMNS = [
     "latitud", "longitud", "timestamp", "nivel_alerta",
 ]
 LOG_COLUMNS = ["timestamp", "nivel", "componente", "mensaje"]
+# --- end of fixed values: published columns ----------------------------------------------

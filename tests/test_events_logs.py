@@ -1,6 +1,7 @@
 """Event codec, alert rules and log parsing on the edge rows of FIXTURES.md §2."""
 
 import json
+import re
 
 from flotilla import schemas as S
 from flotilla.operators import dashboard, events, logs
@@ -65,12 +66,20 @@ LOG = [
 ]
 
 
+_FOUR_PARTS = re.compile(r"([^ ]*) ([^ ]*) ([^ ]*) (.*)", re.S)
+
+
 def _python_rule(line):
-    parts = line.split(" ", 3)
-    if len(parts) < 4:
+    """The stated line format, independently: four space-separated parts (the last takes the
+    rest); level without brackets; component up to the first ']' without '['; message after
+    that ']' with whitespace trimmed, or the whole last part when it has no ']'."""
+    m = _FOUR_PARTS.fullmatch(line)
+    if m is None:
         return None
-    return (parts[0] + " " + parts[1], parts[2].strip("[]"), parts[3].split("]")[0].strip("["),
-            parts[3].split("]", 1)[1].strip() if "]" in parts[3] else parts[3])
+    day, clock, level, rest = m.groups()
+    component, bracket, after = rest.partition("]")
+    message = after.strip() if bracket else rest
+    return (f"{day} {clock}", level.strip("[]"), component.strip("["), message)
 
 
 def test_log_parse_matches_line_rule(spark):
