@@ -27,6 +27,8 @@ def main(argv=None):
     ap.add_argument("--multiline-json", action="store_true",
                     help="GPS/incident files are pretty-printed JSON arrays")
     ap.add_argument("--report-time", default=None, help="fixed report stamp (default: now)")
+    ap.add_argument("--partition-by-day", action="store_true",
+                    help="partition the cleaned fact tables by event day")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = build_session(a.master, app_name="flotilla-batch")
@@ -35,7 +37,8 @@ def main(argv=None):
     else:
         landing = scratch_path(spark, "landing") if a.multiline_json else None
         raw = read_inputs(spark, a.input, multi_line_json=a.multiline_json, landing=landing)
-    counts = run_batch(spark, raw, a.output, report_time=a.report_time)
+    counts = run_batch(spark, raw, a.output, report_time=a.report_time,
+                       partition_by_day=a.partition_by_day)
     counts.show(truncate=False)
     spark.stop()
 

@@ -160,3 +160,18 @@ def test_job_command_lines(tmp_dir):
         assert os.path.isdir(f"{out}/{folder}"), folder
     for folder in ["kpis", "entregas_por_estado", "incidencias_por_severidad", "top_km", "top_exito"]:
         assert os.path.isdir(f"{dash}/{folder}"), folder
+
+
+def test_batch_job_partitioned_by_day_gives_the_same_report(spark, tmp_dir):
+    import __spark_entry__ as E
+    from flotilla.plans.batch import read_driver_inputs
+    from flotilla.plans.queries import REPORT_TIME, as_wall_clock
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    out = f"{tmp_dir}/out"
+    run_batch(spark, read_driver_inputs(spark, sf), out, report_time=REPORT_TIME, partition_by_day=True)
+    assert any(name.startswith("dia=") for name in os.listdir(f"{out}/entregas"))
+    published = as_wall_clock(read_table(spark, f"{out}/reporte_flota"))
+    query = E.queries()["fleet_report"](spark, sf)
+    assert sorted(map(tuple, published.collect()), key=str) == sorted(map(tuple, query.collect()), key=str)
