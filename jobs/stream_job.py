@@ -67,3 +67,7 @@ def main(argv=None):
 
 if __name__ == "__main__":
     main()
+    from pyspark.sql import SparkSession
+    session = SparkSession.getActiveSession()
+    if session is not None:   # stop cleanly once the queries are done (or one has failed)
+        session.stop()
