@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from flotilla import schemas as S
 from flotilla.plans.batch import read_inputs, run_batch, run_dashboard
 from flotilla.sources import read_table
@@ -92,9 +94,6 @@ def test_batch_job_on_driver_tables_equals_the_report_query(spark, tmp_dir):
     assert counts[("eventos_sistema", "errores")] == stage[("eventos_sistema", "errores")]
 
 
-import pytest  # noqa: E402
-
-
 @pytest.mark.parametrize("shared", [False, True])
 def test_stream_job_on_driver_events_equals_the_stream_queries(spark, tmp_dir, shared):
     import __spark_entry__ as E
