@@ -198,3 +198,25 @@ def test_avg_round_matches_decimal_half_up_on_random_groups(spark):
         want2 = float(mean.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
         want1 = float(mean.quantize(Decimal("0.1"), rounding=ROUND_HALF_UP))
         assert got[g][0] == want2 and got[g][1] == want2 and got[g][2] == want1, (g, xs, got[g])
+
+
+def test_dedup_with_nulls_matches_brute_force(spark):
+    """First row per key in (all other columns, ascending, nulls first), nulls in every column."""
+    import random
+    rnd = random.Random(9)
+
+    def maybe(v):
+        return None if rnd.random() < 0.2 else v
+    rows = [(maybe(rnd.randint(0, 40)), maybe(rnd.choice(["a", "b", "c"])),
+             maybe(rnd.randint(-3, 3) / 2), maybe(rnd.randint(0, 5))) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "k int, s string, x double, n int").repartition(5)
+    got = {r.k: (r.s, r.x, r.n) for r in dedup_first(df, ["k"]).collect()}
+
+    def key(v):                      # nulls first, then the value
+        return (0, 0) if v is None else (1, v)
+    want = {}
+    for k, s, x, n in rows:
+        cand = (s, x, n)
+        if k not in want or tuple(map(key, cand)) < tuple(map(key, want[k])):
+            want[k] = cand
+    assert got == want
