@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from flotilla.session import scratch_path
 
 # A task works on this many text bytes at a time (or on one longer text).
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 # Rows without an id come after all others.
 LAST_ID = (1 << 63) - 1
 
