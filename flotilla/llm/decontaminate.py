@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flotilla.llm.common import Words, byte_table, column_of, documents, flat, merged, ship, slices, stored
 
@@ -166,24 +166,26 @@ def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> list[list[tuple[st
             for b in range(n)]
 
 
-FOUND = ("n_words long, n_hit long, longest long, "
+FOUND = ("text string, n_words long, n_hit long, longest long, "
          "spans array<struct<start: long, end: long>>, items array<string>")
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Columns ``doc_id, text`` of ``docs`` and for each row: ``n_words``; ``n_hit`` words inside
+    """For each row of ``docs``: ``row``, a struct of its columns but ``text`` (so no name can
+    clash); ``text``; ``n_words``; ``n_hit`` words inside
     occurrences of windows; ``longest`` match in words where a window was hit; ``spans`` of hit
     bytes in the UTF-8 text, ascending and apart; ``items`` found, sorted.
 
-    A null text has no words and stays null; null ids stay null; repeated rows each get their
-    result. Null or wordless items match nothing, items that share an id count as one. Empty
-    tables give no rows or no hits. Other columns of either table are ignored.
+    A null text has no words and stays null; repeated rows each get their result. Null or
+    wordless items match nothing, items that share an id count as one, a null item id is an
+    empty one. Empty tables give no rows or no hits.
     """
     spark = docs.sparkSession
     ship(spark)
-    frame = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    id_type = frame.schema["doc_id"].dataType.simpleString()
+    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
+                        F.col("text").cast("string").alias("text"))
+    schema = T.StructType([frame.schema["row"], *T._parse_datatype_string(FOUND).fields])
     parts = blocks(benchmark, block_bytes)
     for k, items in enumerate(parts):
         sent = spark.sparkContext.broadcast(items)      # at most about block_bytes
@@ -196,13 +198,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
                 if again:
                     _add_earlier(got, part, data, off)
                 yield pa.RecordBatch.from_arrays([
-                    column_of(part, "doc_id"), column_of(part, "text"),
+                    column_of(part, "row"), column_of(part, "text"),
                     *(pa.array(got[c], pa.int64()) for c in ("n_words", "n_hit", "longest")),
                     pa.array([[{"start": a, "end": b} for a, b in x] for x in got["spans"]], SPANS),
                     pa.array([sorted(x) for x in got["items"]], pa.list_(pa.string()))],
-                    ["doc_id", "text", "n_words", "n_hit", "longest", "spans", "items"])
+                    ["row", "text", "n_words", "n_hit", "longest", "spans", "items"])
 
-        frame = frame.mapInArrow(look, f"doc_id {id_type}, text string, {FOUND}")
+        frame = frame.mapInArrow(look, schema)
         if k + 1 < len(parts):
             frame = stored(frame, "decontaminate")
     return frame
@@ -226,13 +228,13 @@ def _add_earlier(got: dict, part: pa.RecordBatch, data: np.ndarray, off: np.ndar
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   max_coverage: float = 0.5, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id, text`` of the documents that stay: hit spans (``window`` words or more, or a whole
+    """``row, text`` (as ``scan``) of the documents that stay: hit spans (``window`` words or more, or a whole
     shorter item) are taken out of the text; a document of whose words more than the share
     ``max_coverage`` are hit goes altogether. Edge cases as for ``scan``; a null text stays null.
     """
     ship(docs.sparkSession)
     found = scan(docs, benchmark, window, block_bytes)
-    id_type = found.schema["doc_id"].dataType.simpleString()
+    schema = T.StructType([found.schema["row"], found.schema["text"]])
 
     def cut(batches):
         for part in slices(batches):
@@ -244,14 +246,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                         kept.append(raw[at:s["start"]])
                         at = s["end"]
                     texts[t] = b"".join([*kept, raw[at:]]).decode()
-            yield pa.RecordBatch.from_arrays([column_of(part, "doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([column_of(part, "row"), pa.array(texts, pa.string())], ["row", "text"])
 
     return found.where(F.col("n_hit") <= F.lit(max_coverage) * F.col("n_words")) \
-        .select("doc_id", "text", "spans").mapInArrow(cut, f"doc_id {id_type}, text string")
+        .select("row", "text", "spans").mapInArrow(cut, schema)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+    found = scan(documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))

@@ -125,8 +125,12 @@ def near_enough(a, b, size_a, size_b, percent: int) -> np.ndarray:
 
 # --- the steps --------------------------------------------------------------------------
 
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``id, n, set_key, regs`` of each row; the key of an empty set is null."""
+    """``id, text_hash, n, set_key, regs`` of each row; the key of an empty set is null."""
     ship(docs.sparkSession)
 
     def sketch(batches):
@@ -135,13 +139,13 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
             n, keys, regs = np.diff(off), set_keys(sets, off), registers(sets, off)
             none = n == 0
             yield pa.RecordBatch.from_arrays([
-                column_of(part, "id"), pa.array(n),
+                column_of(part, "id"), column_of(part, "text_hash"), pa.array(n),
                 pa.array([None if e else k.tobytes() for k, e in zip(keys, none, strict=True)], pa.binary()),
                 pa.array([None if e else r.tobytes() for r, e in zip(regs, none, strict=True)], pa.binary())],
-                ["id", "n", "set_key", "regs"])
+                ["id", "text_hash", "n", "set_key", "regs"])
 
-    return docs.select(id_or_last().alias("id"), "text") \
-        .mapInArrow(sketch, "id long, n long, set_key binary, regs binary")
+    return docs.select(id_or_last().alias("id"), text_hash().alias("text_hash"), "text") \
+        .mapInArrow(sketch, "id long, text_hash long, n long, set_key binary, regs binary")
 
 
 def classes_of(sketch: DataFrame) -> DataFrame:
@@ -292,7 +296,7 @@ def _across(open_members: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """``id, doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (``doc_id``, ``text``).
+    """``id, text_hash, doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (``doc_id``, ``text``).
 
     ``component_id`` is the smallest id that links reach; ``kept`` says that the row has it. Rows
     without words (null, empty, white space) link with nothing and are kept. Rows without an id
@@ -326,11 +330,21 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("id").alias("component"))
     by_set = named.join(least, "label").select("set_key", "component")
-    return sketch.select("id", "n", "set_key").join(by_set, "set_key", "left") \
+    return sketch.select("id", "text_hash", "n", "set_key").join(by_set, "set_key", "left") \
         .withColumn("component", F.coalesce("component", "id")) \
-        .select("id", id_back(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"),
+        .select("id", "text_hash", id_back(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"),
                 id_back(F.col("component")).alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``near_duplicates`` keeps."""
+    gone = stored(near_duplicates(docs, rule).where(~F.col("kept")).select("id", "text_hash").distinct(), "gone")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), id_or_last().alias("id"),
+                       text_hash().alias("text_hash"))
+    return rows.join(gone, ["id", "text_hash"], "left_anti").select("row.*")
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir), Rule(words=3, percent=85)).drop("id")
+    return near_duplicates(documents(spark, sf_dir), Rule(words=3, percent=85)).drop("id", "text_hash")

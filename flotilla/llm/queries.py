@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from flotilla.llm.decontaminate import op2_decontaminate
 from flotilla.llm.langid import op8_language
 from flotilla.llm.line_dedup import OP9_SQL, op9_line_dedup
 from flotilla.llm.near_dup import op5_near_duplicates
 from flotilla.llm.packing import op3_packing
 from flotilla.llm.quality import op6_quality
+from flotilla.llm.suffix_dedup import op1_suffix_dedup
 from flotilla.llm.token_counts import op7_token_counts
 from flotilla.llm.token_store import op4_token_store
 from flotilla.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_packing": op3_packing,
     "op4_token_store": op4_token_store,
@@ -22,6 +25,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {"op9_line_dedup": OP9_SQL}

@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from flotilla.llm.common import Words, column_of, documents, flat, ship, slices
 from flotilla.llm.decontaminate import WORD
 
-TRAIN_ROWS = 8000           # most labelled rows of the training sample
+TRAIN_ROWS = 10_000         # most labelled rows of the training sample
 TRAIN_BYTES = 20_000        # only texts up to this long are sampled, so the sample has a byte bound
 MAX_WORDS = 4096            # most features
-MIN_DOCS = 5                # sample rows a feature must be in
-MIN_CHI2 = 20.0             # chi-squared of a word's presence and a grade above 0
+MIN_DOCS = 4                # sample rows a feature must be in
+MIN_CHI2 = 10.83            # chi-squared of a word's presence and a grade above 0: one in 1000 by chance
 STEPS, RATE, PENALTY = 400, 0.5, 1e-4
 
 
