@@ -63,15 +63,16 @@ def fragments(data: np.ndarray, off: np.ndarray):
 
 # --- suffix sorting ---------------------------------------------------------------------
 
-def two_stage_order(text: np.ndarray, at: np.ndarray, first: np.ndarray, sortable: np.ndarray) -> np.ndarray:
+def two_stage_order(text: np.ndarray, at: np.ndarray, first: np.ndarray, last: np.ndarray,
+                    room: np.ndarray) -> np.ndarray:
     """The positions ``at`` (ascending) in the order of the LENGTH bytes that start there.
 
-    ``first``: no position precedes it in its fragment. ``sortable``: it's the last one of its
-    fragment, so it is sorted directly. For the others the next position is in ``at`` too.
+    ``first``: no position precedes it in its fragment. ``last``: it's the last one taken of its
+    fragment, to whose end ``room`` bytes are left; what its predecessors need of it, they have.
+    For all others the next position is in ``at`` too.
     """
     byte = text[at]
-    following = np.append(byte[1:], 0)
-    direct = sortable | (byte <= following)
+    direct = last | (byte <= np.append(byte[1:], 0))
     # stage one: sort directly, by the bytes themselves
     own = np.flatnonzero(direct)
     word = _words64(text)
@@ -80,7 +81,8 @@ def two_stage_order(text: np.ndarray, at: np.ndarray, first: np.ndarray, sortabl
     for k in range(0, LENGTH, 8):
         wide[:, k // 8] = word[np.minimum(at[own] + k, len(word) - 1)].byteswap()
     key[:, LENGTH:] = 0
-    key[sortable[own], LENGTH - 1] = 0          # a fragment ends one byte short of it
+    short = np.flatnonzero(room[own] < LENGTH)
+    key[short] *= np.arange(56) < room[own[short], None]
     own = own[np.argsort(key.view("S56").ravel(), kind="stable")]
     own_byte = byte[own]
     split = np.searchsorted(own_byte, np.arange(257))
@@ -126,24 +128,30 @@ def least_ids(data: np.ndarray, off: np.ndarray, ids: np.ndarray) -> tuple[np.nd
     windows = np.diff(off) - LENGTH + 1
     bounds = np.zeros(len(windows) + 1, np.int64)
     np.cumsum(windows, out=bounds[1:])
-    # the windows of a fragment and one more position, from which the last may be induced
-    at = ranges(off[:-1], windows + 1)
-    owner = np.repeat(np.arange(len(windows)), windows + 1)
-    first = np.zeros(len(at), bool)
-    last = np.zeros(len(at), bool)
-    ends = np.cumsum(windows + 1)
-    first[ends - (windows + 1)] = True
+    # the windows of a fragment and the positions after them up to one that is sorted directly:
+    # a byte not above the next, or the fragment's last, of which one byte is all that matters
+    stop = np.append(data[:-1] <= data[1:], True)
+    stop[off[1:] - 1] = True
+    stop = np.flatnonzero(stop)
+    taken = stop[np.searchsorted(stop, off[:-1] + windows)] - off[:-1] + 1
+    at = ranges(off[:-1], taken)
+    owner = np.repeat(np.arange(len(windows)), taken)
+    ends = np.cumsum(taken)
+    first, last = np.zeros(len(at), bool), np.zeros(len(at), bool)
+    first[ends - taken] = True
     last[ends - 1] = True
+    room = off[owner + 1] - at
     padded = np.concatenate([data, np.zeros(LENGTH, np.uint8)])
-    order = two_stage_order(padded, at, first, last)
-    order = order[~last[order]]
+    order = two_stage_order(padded, at, first, last, room)
+    window = room >= LENGTH
+    order = order[window[order]]
     starts = np.flatnonzero(common_prefixes(padded, at[order]) < LENGTH)
     least = np.minimum.reduceat(ids[owner[order]], starts) if len(starts) else np.zeros(0, np.int64)
     group = np.zeros(len(order), np.int64)
     group[starts] = 1
     out = np.empty(len(at), np.int64)
     out[order] = least[np.cumsum(group) - 1] if len(order) else 0
-    return out[~last], bounds
+    return out[window], bounds
 
 
 # --- the steps --------------------------------------------------------------------------
