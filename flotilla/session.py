@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -50,37 +49,22 @@ def build_session(master: str | None = None, app_name: str = "flotilla",
 
 
 def apply_runtime_defaults(spark: SparkSession) -> None:
-    """Set the SQL defaults on a session someone else built (the driver's, a test's)."""
+    """Set the SQL defaults, the state store's too, on a session someone else built (the
+    driver's, a test's). Settings that a running session can't change are left as they are."""
     for key, value in SESSION_DEFAULTS.items():
-        if key.startswith("spark.sql.") and "stateStore" not in key:
-            try:
-                spark.conf.set(key, value)
-            except Exception:  # static conf on an already-started session
-                pass
-
-
-_LOCAL_ROOT: dict[str, str] = {}
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; fails when it names none.
 
-    Read from the session; only when it is unset (tests, a laptop) is a folder of our own
-    chosen and written back, so lineage cuts and stream state always land in one place.
+    Whatever executors must see of each other's work lies there: landed inputs, tables read
+    back, stream state. A folder of this machine would not do on a cluster, so none is made up.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_ROOT.get("root")
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = _LOCAL_ROOT.setdefault(
-            "root", os.path.join(os.environ.get("TMPDIR", "/tmp"), f"flotilla-ckpt-{uuid.uuid4().hex[:8]}"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", root)
-        except Exception:  # a core setting may be read-only at runtime; the memo above holds it
-            pass
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:
-        pass
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     return root.rstrip("/")
 
 
