@@ -1,14 +1,12 @@
-"""Aggregates with exact, engine-independent rounding.
+"""Aggregates that round once, at the end, and alike for every partitioning.
 
-``ROUND(AVG(x), 2)`` on doubles depends on summation order (so on partitioning) and on how
-an engine rounds a binary fraction at a half-cent tie. Here a money-like column is summed as
-DECIMAL (exact, associative, so every partitioning gives the same bits), the average is one
-IEEE division of two integers, and half-up rounding (away from zero, as SQL ``ROUND``) is
-``sign(q) * floor(abs(q) + 0.5)``. A tie then lands exactly on ``k + 0.5``, so the result is the
-true half-up rounding of the exact average for inputs with at most ``input_scale`` decimals.
+``ROUND(AVG(x), 2)`` on doubles depends on summation order and on how a binary fraction looks
+at a half-cent tie. Here values become DECIMAL(28,10) one by one (exact for up to ten
+decimals; NaN, infinities and values of 10**18 and more don't fit and are left out like nulls,
+also of the count), are summed exactly, and the quotient is rounded half-up, away from zero,
+in integers: ``(2 * |sum| + count) div (2 * count)`` in units of the last digit.
 
-Each helper has a ``*_sql`` twin that emits the same expression as SQL text, used by the
-oracle queries so both engines evaluate one formula.
+Each helper has a ``*_sql`` twin with the expression as Spark SQL text.
 """
 
 from __future__ import annotations
@@ -16,59 +14,49 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+SCALE = 10          # decimals kept of each value
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def avg_round(c, digits: int = 2, input_scale: int = 2) -> Column:
-    """Half-up ``round(avg(c), digits)``; nulls ignored like AVG.
-
-    Built from the very SQL text the oracles run (``avg_round_sql``): one formula for both
-    engines, and one JVM call to build instead of a dozen.
-    """
-    if isinstance(c, str):
-        return F.expr(avg_round_sql(f"`{c}`", digits, input_scale))
-    s = max(digits, input_scale)
-    units = (F.sum(c.cast(f"decimal(18,{input_scale})")) * F.lit(10 ** s)).cast("double")
-    q = units / (F.count(c) * F.lit(10 ** (s - digits)))
-    return F.signum(q) * F.floor(F.abs(q) + F.lit(0.5)) / F.lit(10 ** digits)
+def _exact_sql(x: str) -> str:
+    return f"try_cast({x} AS DECIMAL(28,{SCALE}))"
 
 
-def avg_round_sql(x: str, digits: int = 2, input_scale: int = 2) -> str:
-    s = max(digits, input_scale)
-    q = (f"(CAST(sum(CAST({x} AS DECIMAL(18,{input_scale}))) * {10 ** s} AS DOUBLE)"
-         f" / (count({x}) * {10 ** (s - digits)}))")
-    return f"sign({q}) * floor(abs({q}) + 0.5) / {10 ** digits}"
+def avg_round_sql(x: str, digits: int = 2) -> str:
+    """Half-up ``round(avg(x), digits)``; null without a value."""
+    v = _exact_sql(x)
+    total, unit = f"sum({v})", 10 ** (SCALE - digits)
+    n = f"CAST(nullif(count({v}), 0) AS DECIMAL(20,0))"
+    return (f"CAST(signum({total}) AS DOUBLE) * CAST((abs({total}) * {2 * 10 ** SCALE}BD + {n} * {unit}BD) "
+            f"div ({n} * {2 * unit}BD) AS DOUBLE) / {10 ** digits}.0D")
 
 
-def sum_round(c, digits: int = 2) -> Column:
-    """``round(sum(c), digits)`` computed exactly as a DECIMAL sum."""
-    if isinstance(c, str):
-        return F.expr(sum_round_sql(f"`{c}`", digits))
-    return F.sum(c.cast(f"decimal(18,{digits})")).cast("double")
+def avg_round(c: str, digits: int = 2) -> Column:
+    return F.expr(avg_round_sql(f"`{c}`", digits))
 
 
 def sum_round_sql(x: str, digits: int = 2) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(18,{digits}))) AS DOUBLE)"
+    """``round(sum(x), digits)``, half-up."""
+    return f"CAST(round(sum({_exact_sql(x)}), {digits}) AS DOUBLE)"
 
 
-def pct_round(num, den, digits: int = 2) -> Column:
-    """Half-up ``round(num * 100 / den, digits)`` for integer counts."""
-    if isinstance(num, str) and isinstance(den, str):
-        return F.expr(pct_round_sql(f"`{num}`", f"`{den}`", digits))
-    scale = 10 ** (digits + 2)
-    return F.floor(_c(num).cast("double") * F.lit(scale) / _c(den) + F.lit(0.5)) / F.lit(10 ** digits)
+def sum_round(c: str, digits: int = 2) -> Column:
+    return F.expr(sum_round_sql(f"`{c}`", digits))
 
 
 def pct_round_sql(num: str, den: str, digits: int = 2) -> str:
-    return f"floor(CAST({num} AS DOUBLE) * {10 ** (digits + 2)} / {den} + 0.5) / {10 ** digits}"
+    """Half-up ``round(num * 100 / den, digits)`` of counts."""
+    n, d = f"CAST({num} AS DECIMAL(20,0))", f"CAST(nullif({den}, 0) AS DECIMAL(20,0))"
+    return f"CAST(({n} * {2 * 10 ** (digits + 2)}BD + {d}) div ({d} * 2BD) AS DOUBLE) / {10 ** digits}.0D"
+
+
+def pct_round(num: str, den: str, digits: int = 2) -> Column:
+    return F.expr(pct_round_sql(f"`{num}`", f"`{den}`", digits))
 
 
 def count_if(cond: Column) -> Column:
     """``SUM(CASE WHEN cond THEN 1 ELSE 0 END)``: a null condition counts as 0."""
     return F.count_if(cond)
-
-
-def count_if_sql(cond: str) -> str:
-    return f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT)"

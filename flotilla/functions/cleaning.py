@@ -16,8 +16,9 @@ def parse_ts(c, fmt: str) -> Column:
 
 
 def text_to_int(c) -> Column:
-    """Blank, null or non-numeric text becomes null; an int column passes through."""
-    return _c(c).try_cast("int")
+    """Blank, null or non-numeric text becomes null; ``45.0`` is 45 (a fraction is cut off); an
+    int column passes through."""
+    return F.coalesce(_c(c).try_cast("int"), _c(c).try_cast("double").try_cast("int"))
 
 
 def null_if(c, cond: Column) -> Column:

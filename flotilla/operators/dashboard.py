@@ -38,22 +38,24 @@ def _kv(name: str, value) -> F.Column:
     return F.struct(F.lit(name).alias("kpi"), value.cast("double").alias("valor"))
 
 
-def headline_kpis(report: DataFrame, deliveries: DataFrame, incidents: DataFrame) -> DataFrame:
+def headline_kpis(report: DataFrame, incidents: DataFrame) -> DataFrame:
     """A7-A10 as a long ``(kpi, valor)`` table.
 
+    Every cleaned delivery is in one report row, so their number is the sum over the report.
     Success rate and speed are unweighted means over report rows (zeros filled for vehicles
     without GPS count), rounded like their display (2 and 1 decimals); km is the exact total.
-    Three single-row aggregates are unioned: no join, each a partial + final aggregation.
+    ``incidents`` has one row for each incident (vehicles without deliveries have some, too).
+    Two single-row aggregates are unioned: no join, each a partial + final aggregation.
     """
-    require_columns(report, "tasa_exito_pct", "km_totales", "velocidad_promedio")
+    require_columns(report, "total_entregas", "tasa_exito_pct", "km_totales", "velocidad_promedio")
     rep = report.agg(F.array(
+        _kv(KPI_DELIVERIES, F.coalesce(F.sum("total_entregas"), F.lit(0))),
         _kv(KPI_SUCCESS, avg_round("tasa_exito_pct", 2)),
         _kv(KPI_KM, sum_round("km_totales", 2)),
-        _kv(KPI_SPEED, avg_round("velocidad_promedio", 1, input_scale=2)),
+        _kv(KPI_SPEED, avg_round("velocidad_promedio", 1)),
     ).alias("_r"))
-    dlv = deliveries.agg(F.array(_kv(KPI_DELIVERIES, F.count(F.lit(1)))).alias("_r"))
     inc = incidents.agg(F.array(_kv(KPI_INCIDENTS, F.count(F.lit(1)))).alias("_r"))
-    return dlv.unionByName(rep).unionByName(inc).select(F.inline("_r"))
+    return rep.unionByName(inc).select(F.inline("_r"))
 
 
 def kpi_sheet(kpis: DataFrame) -> DataFrame:
@@ -65,22 +67,27 @@ def kpi_sheet(kpis: DataFrame) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str, count_name: str = "cantidad") -> DataFrame:
-    """Rows per value, nulls dropped, most frequent first (ties by value)."""
+    """Rows per value, nulls dropped; ``puesto`` is the place in the order of K5, most
+    frequent first (ties by value), and the rows come in it.
+
+    The order is one task's work over one row per category, not over the rows counted.
+    """
     require_columns(df, column)
-    return (df.filter(F.col(column).isNotNull())
-              .groupBy(column).agg(F.count(F.lit(1)).alias(count_name))
-              .orderBy(F.desc(count_name), F.asc(column)))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(count_name))
+    place = F.row_number().over(Window.orderBy(F.desc(count_name), F.asc(column))).cast("long")
+    return counts.withColumn("puesto", place).orderBy("puesto")
 
 
 def share_of_total(counts: DataFrame, count_name: str = "cantidad", digits: int = 1,
                    name: str = "porcentaje") -> DataFrame:
-    """Percent of the total per category, half-up at ``digits``.
+    """Percent of the total per category, half-up at ``digits``, in the order of ``puesto``.
 
     The window has no partition key, so it runs in one task — over the per-category
     counts, whose size is the number of categories, not the number of rows.
     """
     total = F.sum(count_name).over(Window.partitionBy())
-    return counts.withColumn(name, pct_round(F.col(count_name), total, digits))
+    return (counts.withColumn("_total", total)
+            .withColumn(name, pct_round(count_name, "_total", digits)).drop("_total").orderBy("puesto"))
 
 
 def top_n(report: DataFrame, by: str, n: int = 10, key: str = "placa_vehiculo") -> DataFrame:

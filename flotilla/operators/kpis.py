@@ -28,7 +28,7 @@ def delivery_kpis(deliveries: DataFrame) -> DataFrame:
     return (deliveries.groupBy(VEHICLE).agg(
         F.count(F.lit(1)).alias("total_entregas"),
         done.alias("entregas_completadas"),
-        avg_round("duracion_min", 2, input_scale=0).alias("duracion_promedio_min"),
+        avg_round("duracion_min", 2).alias("duracion_promedio_min"),
         sum_round("distancia_km", 2).alias("km_totales"),
         avg_round("peso_kg", 2).alias("peso_promedio_kg"),
         F.count_distinct("cliente_id").alias("clientes_atendidos"),
@@ -44,7 +44,7 @@ def gps_kpis(gps: DataFrame) -> DataFrame:
         avg_round("velocidad_kmh", 2).alias("velocidad_promedio"),
         F.round(F.max("velocidad_kmh"), 2).alias("velocidad_maxima"),
         F.round(F.min("precision_gps"), 2).alias("mejor_precision"),
-        avg_round("satelites", 1, input_scale=0).alias("satelites_promedio"),
+        avg_round("satelites", 1).alias("satelites_promedio"),
     )
 
 
@@ -68,7 +68,7 @@ SELECT placa_vehiculo,
        count(*) AS total_entregas,
        count_if(estado = 'Completado') AS entregas_completadas,
        {pct_round_sql("count_if(estado = 'Completado')", "count(*)", 2)} AS tasa_exito_pct,
-       {avg_round_sql("duracion_min", 2, 0)} AS duracion_promedio_min,
+       {avg_round_sql("duracion_min", 2)} AS duracion_promedio_min,
        {sum_round_sql("distancia_km", 2)} AS km_totales,
        {avg_round_sql("peso_kg", 2)} AS peso_promedio_kg,
        count(DISTINCT cliente_id) AS clientes_atendidos
@@ -82,7 +82,7 @@ SELECT placa_vehiculo,
        {avg_round_sql("velocidad_kmh", 2)} AS velocidad_promedio,
        round(max(velocidad_kmh), 2) AS velocidad_maxima,
        round(min(precision_gps), 2) AS mejor_precision,
-       {avg_round_sql("satelites", 1, 0)} AS satelites_promedio
+       {avg_round_sql("satelites", 1)} AS satelites_promedio
 FROM {{view}}
 GROUP BY placa_vehiculo
 """

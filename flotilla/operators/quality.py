@@ -8,14 +8,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def stage_counts(stages: list[tuple[str, str, DataFrame]]) -> DataFrame:
-    parts = [df.agg(F.count(F.lit(1)).alias("filas"))
-               .select(F.lit(table).alias("tabla"), F.lit(stage).alias("etapa"), "filas")
-             for table, stage, df in stages]
+def stage_counts(stages: list[tuple[DataFrame, list[tuple[str, str, Column]]]]) -> DataFrame:
+    """For each frame one aggregate, whatever the number of its (table, stage, count) entries."""
+    parts = []
+    for df, entries in stages:
+        rows = [F.struct(F.lit(table).alias("tabla"), F.lit(stage).alias("etapa"),
+                         F.coalesce(count, F.lit(0)).cast("long").alias("filas")) for table, stage, count in entries]
+        parts.append(df.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows")))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -9,10 +9,9 @@ Join strategy: the KPI sides are one row per vehicle and grow with the fleet, so
 forced on them; adaptive execution broadcasts them when their runtime size is under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and sort-merge joins them otherwise. Each
 KPI aggregate is already hash-partitioned on the vehicle by its own shuffle, so the
-sort-merge joins reuse that partitioning and add no exchange of their own. The
-vehicle master is broadcast only after a row count proves it small (see
-``broadcast_if_small``); the same pass proves the key unique, since a repeated plate would
-multiply report rows.
+sort-merge joins reuse that partitioning and add no exchange of their own. The vehicle master
+has no hint either: its size in bytes decides. A repeated plate in it would multiply report
+rows; ``check_master`` is the job's one check of that, and building the report runs nothing.
 """
 
 from __future__ import annotations
@@ -23,9 +22,8 @@ from pyspark.sql import functions as F
 from flotilla import schemas as S
 
 VEHICLE = "placa_vehiculo"
-# Master rows below which a broadcast is safe: ~100 bytes a row keeps it far under the
-# executors' broadcast budget.
-MASTER_BROADCAST_ROWS = 2_000_000
+# Numeric columns whose nulls become 0; the key may be numeric, too, and stays null.
+MEASURES = [c for c in S.REPORT_COLUMNS if c not in (VEHICLE, "modelo", "conductor_id", "tipo_combustible", "fecha_reporte")]
 
 
 class DuplicateKeyError(ValueError):
@@ -43,26 +41,15 @@ def check_master(master: DataFrame, key: str = "placa") -> int:
     return int(row["n"])
 
 
-def broadcast_if_small(df: DataFrame, rows: int, max_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only behind a proven size bound; otherwise leave the choice to Spark."""
-    limit = MASTER_BROADCAST_ROWS if max_rows is None else max_rows
-    return F.broadcast(df) if rows <= limit else df
-
-
 def fleet_report(deliveries_kpis: DataFrame, gps_kpis: DataFrame, incident_kpis: DataFrame,
-                 vehicles: DataFrame, report_time=None, check: bool = True,
-                 master_rows: int | None = None) -> DataFrame:
-    """Delivery KPIs ⟕ GPS KPIs ⟕ incident KPIs ⟕ master, 22 columns, numeric nulls → 0.
+                 vehicles: DataFrame, report_time=None) -> DataFrame:
+    """Delivery KPIs ⟕ GPS KPIs ⟕ incident KPIs ⟕ master, 22 columns, nulls of measures → 0.
 
     ``report_time``: a fixed stamp for ``fecha_reporte`` (text or datetime); ``None`` stamps
     the query start. Write the result once and read it back for further outputs, so every
     output carries the same stamp.
     """
-    if check:
-        master_rows = check_master(vehicles)
     master = vehicles.select("placa", "modelo", "capacidad_kg", "conductor_id", "tipo_combustible")
-    if master_rows is not None:
-        master = broadcast_if_small(master, master_rows)
     gps = gps_kpis.select(VEHICLE, "total_registros_gps", "velocidad_promedio", "velocidad_maxima")
     inc = incident_kpis.select(VEHICLE, "total_incidencias", "incidencias_alta", "incidencias_media",
                                "incidencias_baja", "incidencias_resueltas", "costo_promedio_soles")
@@ -73,7 +60,7 @@ def fleet_report(deliveries_kpis: DataFrame, gps_kpis: DataFrame, incident_kpis:
               .join(master, F.col(VEHICLE) == F.col("placa"), "left"))
     out = joined.select(*[c for c in S.REPORT_COLUMNS if c != "fecha_reporte"],
                         stamp.alias("fecha_reporte"))
-    return out.fillna(0)
+    return out.fillna(0, subset=MEASURES)
 
 
 def report_summary(report: DataFrame) -> DataFrame:

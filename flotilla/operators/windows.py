@@ -1,15 +1,12 @@
 """Tumbling-window summaries (W1-W5, P13), the same code for batch and stream.
 
-Distinct vehicles per window (W5) has four forms, the first three exact:
+Distinct vehicles per window (W5) has three forms, the first two exact:
 
 - ``"exact"`` (batch): ``count_distinct``; Spark pre-aggregates (window, kind, vehicle) before
   the shuffle, so the work spreads by vehicle even when one kind dominates.
 - ``"chained"`` (stream, append): ``groupBy(window, kind, vehicle)`` then ``groupBy(window,
   kind)``. State is one small row per (window, kind, vehicle), hashed across partitions; it is
   evicted once the watermark passes the window end.
-- ``"set"``: ``size(collect_set(vehicle))``; one state row holds a window's whole vehicle set
-  (bounded by the fleet, not by the event volume). Kept as an option; the complete-mode view
-  uses ``vehicle_counts`` as its only stateful step and rolls up each micro-batch instead.
 - ``"approx"`` (either): ``approx_count_distinct`` (HyperLogLog++, ~5% relative error), a
   fixed-size sketch per group whatever the fleet size; not exact, so not used for the
   published numbers.
@@ -26,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flotilla import schemas as S
+from flotilla.operators.events import stamp
 
 
 def event_time(df: DataFrame, column: str) -> DataFrame:
@@ -43,23 +41,23 @@ def flatten_window(df: DataFrame, window: str = "window") -> DataFrame:
 
 
 def events_by_type(events: DataFrame, ts: str = "kafka_timestamp", duration: str = S.EVENT_WINDOW,
-                   watermark: str | None = None, distinct: str = "exact", rsd: float = 0.05) -> DataFrame:
-    """Events and distinct vehicles per (window, event kind)."""
+                   watermark: str | None = None, distinct: str = "exact", rsd: float = 0.05,
+                   processed_at=None) -> DataFrame:
+    """Events and distinct vehicles per (window, event kind). ``processed_at``:
+    add ``procesado_en`` (``True`` = now, or a fixed stamp)."""
     if distinct == "chained":
-        return roll_up_vehicles(vehicle_counts(events, ts, duration, watermark))
+        return stamp(roll_up_vehicles(vehicle_counts(events, ts, duration, watermark)), processed_at)
     df = events
     if watermark:
         df = event_time(df, ts).withWatermark(ts, watermark)
-    if distinct == "set":
-        vehicles = F.size(F.collect_set("placa_vehiculo"))
-    elif distinct == "approx":
+    if distinct == "approx":
         vehicles = F.approx_count_distinct("placa_vehiculo", rsd)
     else:
         vehicles = F.count_distinct("placa_vehiculo")
     out = (df.groupBy(F.window(ts, duration).alias("window"), "tipo_evento")
              .agg(F.count(F.lit(1)).alias("cantidad_eventos"),
                   vehicles.cast("long").alias("vehiculos_afectados")))
-    return flatten_window(out)
+    return stamp(flatten_window(out), processed_at)
 
 
 def vehicle_counts(events: DataFrame, ts: str = "kafka_timestamp", duration: str = S.EVENT_WINDOW,
@@ -67,7 +65,7 @@ def vehicle_counts(events: DataFrame, ts: str = "kafka_timestamp", duration: str
     """First level of the exact distinct count: events per (window, kind, vehicle).
 
     As a stream this is the only stateful step (one small state row per key, spread by hash);
-    in complete mode its full result is rolled up per micro-batch with ``roll_up_vehicles``.
+    in update mode the latest rows of all keys are rolled up by ``roll_up_latest``.
     """
     df = events
     if watermark:
@@ -84,9 +82,19 @@ def roll_up_vehicles(per_vehicle: DataFrame) -> DataFrame:
     return flatten_window(out)
 
 
+LATEST_KEYS = ["ventana_inicio", "ventana_fin", "tipo_evento", "placa_vehiculo"]
+
+
+def roll_up_latest(per_vehicle: DataFrame) -> DataFrame:
+    """``roll_up_vehicles`` of flattened rows, one for each of ``LATEST_KEYS``."""
+    return (per_vehicle.groupBy("tipo_evento", "ventana_inicio", "ventana_fin")
+            .agg(F.sum("_n").alias("cantidad_eventos"), F.count("placa_vehiculo").alias("vehiculos_afectados"))
+            .select("tipo_evento", "cantidad_eventos", "vehiculos_afectados", "ventana_inicio", "ventana_fin"))
+
+
 def alerts_by_vehicle(alerts: DataFrame, ts: str = "kafka_timestamp", duration: str = S.ALERT_WINDOW,
-                      watermark: str | None = None) -> DataFrame:
-    """Alerts per (window, vehicle, alert kind).
+                      watermark: str | None = None, processed_at=None) -> DataFrame:
+    """Alerts per (window, vehicle, alert kind).
 
     Windows on event time by default; pass ``ts="procesado_en"`` for processing time.
     """
@@ -95,4 +103,4 @@ def alerts_by_vehicle(alerts: DataFrame, ts: str = "kafka_timestamp", duration:
         df = event_time(df, ts).withWatermark(ts, watermark)
     out = (df.groupBy(F.window(ts, duration).alias("window"), "placa_vehiculo", "alerta_tipo")
              .agg(F.count(F.lit(1)).alias("total_alertas")))
-    return flatten_window(out)
+    return stamp(flatten_window(out), processed_at)

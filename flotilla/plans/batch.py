@@ -18,7 +18,8 @@ from flotilla import schemas as S
 from flotilla.operators import clean, dashboard, kpis, logs, quality, report
 from flotilla.sinks import publish, publish_counted, write_csv, write_json
 from flotilla.sources import (
-    read_deliveries, read_gps, read_incidents, read_log, read_optional, read_table, read_vehicles,
+    BAD, read_deliveries, read_gps, read_incidents, read_log, read_optional, read_table, read_vehicles,
+    refuse_if_nothing_fits,
 )
 
 # Published table names (fixed values: the collections the dashboard reads).
@@ -38,15 +39,15 @@ def read_inputs(spark: SparkSession, folder: str, multi_line_json: bool = False,
                 landing: str | None = None) -> RawInputs:
     """S1-S5 from one folder. Pretty-printed JSON arrays are read by one task each, so with
     ``multi_line_json`` they are landed once as Parquet under ``landing`` and read back split."""
-    gps = read_gps(spark, f"{folder}/gps_registros.json", multi_line=multi_line_json)
-    inc = read_incidents(spark, f"{folder}/incidencias.json", multi_line=multi_line_json)
+    gps = read_gps(spark, f"{folder}/gps_registros.json", multi_line=multi_line_json, bad_column=BAD)
+    inc = read_incidents(spark, f"{folder}/incidencias.json", multi_line=multi_line_json, bad_column=BAD)
     if multi_line_json and landing:
         publish(gps, f"{landing}/gps_registros")
         publish(inc, f"{landing}/incidencias")
         gps, inc = read_table(spark, f"{landing}/gps_registros"), read_table(spark, f"{landing}/incidencias")
     return RawInputs(
-        vehicles=read_vehicles(spark, f"{folder}/vehiculos.csv"),
-        deliveries=read_deliveries(spark, f"{folder}/entregas.csv"),
+        vehicles=read_vehicles(spark, f"{folder}/vehiculos.csv", bad_column=BAD),
+        deliveries=read_deliveries(spark, f"{folder}/entregas.csv", bad_column=BAD),
         gps=gps, incidents=inc,
         log_lines=read_log(spark, f"{folder}/eventos_sistema.log"),
     )
@@ -73,8 +74,10 @@ def _concurrently(jobs: dict) -> dict:
 
 
 def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` without its mark of malformed records; rows and marks are counted as they pass."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    counted = [F.count(F.lit(1)).alias("rows")] + ([F.count(BAD).alias("bad")] if BAD in df.columns else [])
+    return df.observe(obs, *counted).drop(BAD), obs
 
 
 # Event-time column of each cleaned fact table, for the optional day partitioning.
@@ -85,6 +88,10 @@ def run_batch(spark: SparkSession, raw: RawInputs, out: str, report_time=None,
               partition_by_day: bool = False) -> DataFrame:
     """Publish the six tables, the report CSV, the KPI summary JSON and the stage counts.
 
+    ``calidad`` has for each input the records read (``leidas``) and, where the reader marks
+    them, those that don't fit its schema (``malformadas``). An input none of whose records fits
+    stops the job. So does a plate that repeats in the vehicle master.
+
     ``partition_by_day`` writes the cleaned deliveries, pings and incidents partitioned by their
     event day (column ``dia``), so date-bounded readers prune. It costs a sort by day in each
     write task and more files per task, so it is off by default.
@@ -93,8 +100,9 @@ def run_batch(spark: SparkSession, raw: RawInputs, out: str, report_time=None,
     counts: list[tuple[str, str, int]] = []
     read_obs = {}
     staged = {}
-    for name, df in [("entregas", raw.deliveries), ("rutas_gps", raw.gps),
-                     ("incidencias", raw.incidents), ("eventos_sistema", raw.log_lines)]:
+    sources = {"vehiculos": raw.vehicles, "entregas": raw.deliveries, "rutas_gps": raw.gps,
+               "incidencias": raw.incidents, "eventos_sistema": raw.log_lines}
+    for name, df in sources.items():
         staged[name], read_obs[name] = _observed(df, f"leidas_{name}")
 
     deliveries = clean.clean_deliveries(staged["entregas"])
@@ -104,7 +112,7 @@ def run_batch(spark: SparkSession, raw: RawInputs, out: str, report_time=None,
 
     # The five publishes are independent jobs: submitted together, the scheduler runs their
     # stages side by side instead of leaving the cluster idle behind the slowest one.
-    tables = [("vehiculos", raw.vehicles), ("entregas", deliveries), ("rutas_gps", gps),
+    tables = [("vehiculos", staged["vehiculos"]), ("entregas", deliveries), ("rutas_gps", gps),
               ("incidencias", incidents), ("eventos_sistema", log)]
     def publish_one(name: str, df: DataFrame) -> int:
         if partition_by_day and name in DAY_COLUMNS:
@@ -114,9 +122,13 @@ def run_batch(spark: SparkSession, raw: RawInputs, out: str, report_time=None,
 
     published = _concurrently({name: (lambda df=df, name=name: publish_one(name, df))
                                for name, df in tables})
-    counts.append(("vehiculos", "publicadas", published["vehiculos"]))
-    for name in ["entregas", "rutas_gps", "incidencias", "eventos_sistema"]:
-        counts += [(name, "leidas", int(read_obs[name].get["rows"])), (name, "publicadas", published[name])]
+    for name, df in sources.items():
+        rows, bad = int(read_obs[name].get["rows"]), read_obs[name].get.get("bad")
+        counts += [(name, "leidas", rows), (name, "publicadas", published[name])]
+        if bad is not None:
+            counts.append((name, "malformadas", int(bad)))
+            refuse_if_nothing_fits(name, rows, int(bad))
+    report.check_master(read_table(spark, f"{out}/vehiculos"))
 
     # KPIs from the published, cleaned tables: the cleaning is not run twice. The report chain
     # (report, then its CSV and JSON) and the log series are independent: run them together.
@@ -150,14 +162,21 @@ def run_batch(spark: SparkSession, raw: RawInputs, out: str, report_time=None,
 
 
 def run_dashboard(spark: SparkSession, published: str, out: str) -> None:
-    """Headline KPI sheet (O7) and chart series (A11, A12, K1, K2), from published tables."""
+    """Headline KPI sheet (O7) and chart series (A11, A12, K1, K2), from published tables.
+
+    Without an event table its series is empty, and ``calidad`` says ``eventos/ausente``.
+    """
     rep = read_table(spark, f"{published}/reporte_flota")
     deliveries = read_table(spark, f"{published}/entregas")
     incidents = read_table(spark, f"{published}/incidencias")
     events = read_optional(spark, f"{published}/eventos_streaming", S.EVENT_ROW)
+    absent = events is None
+    if absent:
+        events = spark.createDataFrame([], S.EVENT_ROW)
+    publish(quality.counts_table(spark, [("eventos", "ausente", int(absent))]), f"{out}/calidad")
     sev = dashboard.value_counts(incidents, "severidad")
     _concurrently({
-        "kpis": lambda: write_json(dashboard.kpi_sheet(dashboard.headline_kpis(rep, deliveries, incidents)),
+        "kpis": lambda: write_json(dashboard.kpi_sheet(dashboard.headline_kpis(rep, incidents)),
                                    f"{out}/kpis"),
         "estado": lambda: publish(dashboard.value_counts(deliveries, "estado"), f"{out}/entregas_por_estado"),
         "severidad": lambda: publish(dashboard.share_of_total(sev), f"{out}/incidencias_por_severidad"),

@@ -2,12 +2,40 @@
 
 The stand-in views are the SQL twins of ``flotilla.plans.standins``; the cleaning and KPI
 CTEs state the fleet rules in plain SQL (dedup as ``row_number() = 1`` over the full column
-order, KPIs as GROUP BY with the same exact-rounding formulas).
+order, KPIs as GROUP BY). The rounding formulas are this module's own: nothing is imported from
+the code that they check.
 """
 
 from __future__ import annotations
 
-from flotilla.functions import avg_round_sql, count_if_sql, pct_round_sql, sum_round_sql
+
+def _units(x: str) -> str:
+    """A value as whole ten-billionths, from its shortest decimal text."""
+    return f"TRY_CAST(CAST({x} AS VARCHAR) AS DECIMAL(28,10))"
+
+
+def mean(x: str, digits: int) -> str:
+    """The mean, half-up (away from zero) at ``digits``, by whole-number division."""
+    total = f"CAST(sum({_units(x)}) * CAST(10000000000 AS DECIMAL(11,0)) AS HUGEINT)"
+    n = f"CAST(count({_units(x)}) AS HUGEINT)"
+    step = 10 ** (10 - digits)
+    return (f"CASE WHEN count({_units(x)}) > 0 THEN (CASE WHEN {total} < 0 THEN -1e0 ELSE 1e0 END) "
+            f"* CAST((2 * abs({total}) + {step} * {n}) // (2 * {step} * {n}) AS DOUBLE) / 1e{digits} END")
+
+
+def total(x: str) -> str:
+    return f"CAST(round(sum({_units(x)}), 2) AS DOUBLE)"
+
+
+def share(part: str, whole: str, digits: int) -> str:
+    """``part`` of ``whole`` in percent, half-up at ``digits``."""
+    return (f"CAST((2 * {10 ** (digits + 2)} * CAST({part} AS HUGEINT) + CAST({whole} AS HUGEINT)) "
+            f"// (2 * CAST({whole} AS HUGEINT)) AS DOUBLE) / 1e{digits}")
+
+
+def times(condition: str) -> str:
+    return f"count(*) FILTER (WHERE {condition})"
+
 
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%SZ')"
@@ -41,15 +69,16 @@ SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS or
        strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS fecha_entrega,
        {STATE} AS estado,
        CASE WHEN {STATE} = 'Pendiente' THEN ''
-            ELSE CAST(CAST(l_quantity AS INTEGER) * 2 AS VARCHAR) END AS duracion_min,
-       l_extendedprice AS distancia_km, l_partkey AS cliente_id
+            ELSE CAST(CAST(l_quantity AS INTEGER) * 2 AS VARCHAR) || CASE WHEN l_linenumber % 2 = 0 THEN '.0' ELSE '' END
+            END AS duracion_min,
+       l_extendedprice * (1 - l_discount) AS distancia_km, l_partkey AS cliente_id
 FROM lineitem""",
     "deliveries": f"""
 SELECT orden_id, placa_vehiculo, origen, destino,
        CASE WHEN peso_kg > 8000 THEN NULL ELSE peso_kg END AS peso_kg,
        try_strptime(fecha_entrega, '%Y-%m-%d %H:%M:%S') AS fecha_entrega,
        coalesce(estado, 'Desconocido') AS estado,
-       coalesce(TRY_CAST(duracion_min AS INTEGER), 0) AS duracion_min,
+       coalesce(CAST(trunc(TRY_CAST(duracion_min AS DOUBLE)) AS INTEGER), 0) AS duracion_min,
        distancia_km, cliente_id
 FROM {_first_by_all('deliveries_raw', 'orden_id', DELIVERY_COLS[1:])}""",
     "gps_raw": f"""
@@ -66,7 +95,7 @@ WHERE velocidad_kmh BETWEEN 0 AND 200 AND satelites >= 3""",
     "incidents_raw": f"""
 SELECT CAST(event_id AS VARCHAR) AS incidencia_id, user_id AS placa_vehiculo, event_type AS tipo,
        CASE WHEN value > 100 THEN 'Alta' WHEN value > 30 THEN 'Media' ELSE 'Baja' END AS severidad,
-       {ISO} AS fecha, props AS descripcion, value AS costo_estimado_soles,
+       {ISO} AS fecha, props AS descripcion, value * 1.18e0 AS costo_estimado_soles,
        CASE WHEN {K} < 10 THEN NULL ELSE {K} >= 50 END AS resuelta,
        CAST({K} AS BIGINT) AS tiempo_resolucion_min
 FROM events WHERE event_type = 'error'""",
@@ -83,27 +112,27 @@ SELECT s_suppkey AS placa, s_name AS modelo, s_nationkey AS capacidad_kg,
 FROM supplier""",
     "delivery_kpis": f"""
 SELECT placa_vehiculo, count(*) AS total_entregas,
-       {count_if_sql("estado = 'Completado'")} AS entregas_completadas,
-       {pct_round_sql(count_if_sql("estado = 'Completado'"), 'count(*)', 2)} AS tasa_exito_pct,
-       {avg_round_sql('duracion_min', 2, 0)} AS duracion_promedio_min,
-       {sum_round_sql('distancia_km', 2)} AS km_totales,
-       {avg_round_sql('peso_kg', 2)} AS peso_promedio_kg,
+       {times("estado = 'Completado'")} AS entregas_completadas,
+       {share(times("estado = 'Completado'"), 'count(*)', 2)} AS tasa_exito_pct,
+       {mean('duracion_min', 2)} AS duracion_promedio_min,
+       {total('distancia_km')} AS km_totales,
+       {mean('peso_kg', 2)} AS peso_promedio_kg,
        count(DISTINCT cliente_id) AS clientes_atendidos
 FROM deliveries GROUP BY placa_vehiculo""",
     "gps_kpis": f"""
 SELECT placa_vehiculo, count(*) AS total_registros_gps,
-       {avg_round_sql('velocidad_kmh', 2)} AS velocidad_promedio,
+       {mean('velocidad_kmh', 2)} AS velocidad_promedio,
        round(max(velocidad_kmh), 2) AS velocidad_maxima,
        round(min(precision_gps), 2) AS mejor_precision,
-       {avg_round_sql('satelites', 1, 0)} AS satelites_promedio
+       {mean('satelites', 1)} AS satelites_promedio
 FROM gps GROUP BY placa_vehiculo""",
     "incident_kpis": f"""
 SELECT placa_vehiculo, count(*) AS total_incidencias,
-       {count_if_sql("severidad = 'Alta'")} AS incidencias_alta,
-       {count_if_sql("severidad = 'Media'")} AS incidencias_media,
-       {count_if_sql("severidad = 'Baja'")} AS incidencias_baja,
-       {count_if_sql("resuelta = true")} AS incidencias_resueltas,
-       {avg_round_sql('costo_estimado_soles', 2)} AS costo_promedio_soles
+       {times("severidad = 'Alta'")} AS incidencias_alta,
+       {times("severidad = 'Media'")} AS incidencias_media,
+       {times("severidad = 'Baja'")} AS incidencias_baja,
+       {times("resuelta = true")} AS incidencias_resueltas,
+       {mean('costo_estimado_soles', 2)} AS costo_promedio_soles
 FROM incidents GROUP BY placa_vehiculo""",
     "report": """
 SELECT d.placa_vehiculo, v.modelo, coalesce(v.capacidad_kg, 0) AS capacidad_kg, v.conductor_id,
@@ -200,6 +229,11 @@ def _sel(body: str, *needs: str) -> str:
     return _with(*needs) + body
 
 
+def _ranked(view: str, column: str) -> str:
+    return (f"SELECT *, row_number() OVER (ORDER BY cantidad DESC, {column}) AS puesto FROM "
+            f"(SELECT {column}, count(*) AS cantidad FROM {view} WHERE {column} IS NOT NULL GROUP BY {column})")
+
+
 def build() -> dict[str, str]:
     q = {}
     q["fleet_report"] = _sel("SELECT * FROM report", "report")
@@ -214,7 +248,7 @@ def build() -> dict[str, str]:
     q["clean_incidents"] = _sel("SELECT * FROM incidents", "incidents")
     q["cast_fill"] = _sel("""
 SELECT orden_id, placa_vehiculo, coalesce(estado, 'Desconocido') AS estado,
-       coalesce(TRY_CAST(duracion_min AS INTEGER), 0) AS duracion_min,
+       coalesce(CAST(trunc(TRY_CAST(duracion_min AS DOUBLE)) AS INTEGER), 0) AS duracion_min,
        coalesce(CASE WHEN peso_kg > 8000 THEN NULL ELSE peso_kg END, 0) AS peso_kg
 FROM deliveries_raw""", "deliveries_raw")
     q["parse_timestamps"] = """
@@ -234,21 +268,15 @@ FROM orders"""
         "log")
     q["headline_kpis"] = _sel(f"""
 SELECT 'Total Entregas' AS kpi, CAST(count(*) AS DOUBLE) AS valor FROM deliveries
-UNION ALL SELECT 'Tasa Éxito Promedio', {avg_round_sql('tasa_exito_pct', 2)} FROM report
-UNION ALL SELECT 'KM Totales Recorridos', {sum_round_sql('km_totales', 2)} FROM report
-UNION ALL SELECT 'Velocidad Promedio', {avg_round_sql('velocidad_promedio', 1, 2)} FROM report
+UNION ALL SELECT 'Tasa Éxito Promedio', {mean('tasa_exito_pct', 2)} FROM report
+UNION ALL SELECT 'KM Totales Recorridos', {total('km_totales')} FROM report
+UNION ALL SELECT 'Velocidad Promedio', {mean('velocidad_promedio', 1)} FROM report
 UNION ALL SELECT 'Total Incidencias', CAST(count(*) AS DOUBLE) FROM incidents""",
                               "report", "deliveries", "incidents")
-    q["status_counts"] = _sel(
-        "SELECT estado, count(*) AS cantidad FROM deliveries WHERE estado IS NOT NULL GROUP BY estado",
-        "deliveries")
-    q["severity_share"] = _sel(f"""
-SELECT severidad, cantidad, {pct_round_sql('cantidad', 'sum(cantidad) OVER ()', 1)} AS porcentaje
-FROM (SELECT severidad, count(*) AS cantidad FROM incidents WHERE severidad IS NOT NULL
-      GROUP BY severidad)""", "incidents")
-    q["event_type_counts"] = _sel(
-        "SELECT tipo_evento, count(*) AS cantidad FROM decoded WHERE tipo_evento IS NOT NULL "
-        "GROUP BY tipo_evento", "decoded")
+    q["status_counts"] = _sel(_ranked("deliveries", "estado"), "deliveries")
+    q["severity_share"] = _sel(f"SELECT *, {share('cantidad', 'sum(cantidad) OVER ()', 1)} AS porcentaje "
+                               f"FROM ({_ranked('incidents', 'severidad')})", "incidents")
+    q["event_type_counts"] = _sel(_ranked("decoded", "tipo_evento"), "decoded")
     q["top_km"] = _sel("SELECT placa_vehiculo, km_totales FROM report "
                        "ORDER BY km_totales DESC, placa_vehiculo LIMIT 10", "report")
     q["top_success"] = _sel("SELECT placa_vehiculo, tasa_exito_pct FROM report "
@@ -282,6 +310,26 @@ UNION ALL SELECT 'reporte_flota', 'generado', count(*) FROM report
 UNION ALL SELECT 'eventos_sistema', 'parseadas', count(*) FROM log
 UNION ALL SELECT 'eventos_sistema', 'errores', count(*) FROM log WHERE nivel = 'ERROR'""",
                              "vehicles", "deliveries", "gps", "incidents", "report", "log")
+    q["kpi_sheet"] = f"""
+SELECT kpi, valor, CASE kpi
+  WHEN 'Total Entregas' THEN CAST(CAST(valor AS BIGINT) AS VARCHAR)
+  WHEN 'Total Incidencias' THEN CAST(CAST(valor AS BIGINT) AS VARCHAR)
+  WHEN 'Tasa Éxito Promedio' THEN printf('%.2f', valor) || '%'
+  WHEN 'KM Totales Recorridos' THEN format('{{:,}}', CAST(round(valor) AS BIGINT)) || ' km'
+  ELSE printf('%.1f', valor) || ' km/h' END AS texto
+FROM ({q["headline_kpis"]})"""
+    q["read_vehicles_csv"] = _sel("""
+SELECT CAST(placa AS VARCHAR) AS placa, modelo, CAST(capacidad_kg AS INTEGER) AS capacidad_kg, conductor_id,
+       CAST(ano_fabricacion AS INTEGER) AS ano_fabricacion, tipo_combustible, activo FROM vehicles""", "vehicles")
+    q["read_deliveries_csv"] = _sel("""
+SELECT * REPLACE (CAST(placa_vehiculo AS VARCHAR) AS placa_vehiculo, CAST(cliente_id AS VARCHAR) AS cliente_id,
+                  nullif(duracion_min, '') AS duracion_min)
+FROM deliveries_raw""", "deliveries_raw")
+    q["read_gps_json"] = _sel(
+        "SELECT * REPLACE (CAST(placa_vehiculo AS VARCHAR) AS placa_vehiculo) FROM gps_raw", "gps_raw")
+    q["read_incidents_array"] = _sel(
+        "SELECT * REPLACE (CAST(placa_vehiculo AS VARCHAR) AS placa_vehiculo) FROM incidents_raw", "incidents_raw")
+    q["read_log_text"] = _sel("SELECT * FROM log_lines", "log_lines")
     q["publish_report"] = q["fleet_report"]
     q["publish_report_csv"] = q["fleet_report"]
     q["kpi_summary_json"] = _sel("""
@@ -290,10 +338,11 @@ SELECT placa_vehiculo, modelo, total_entregas, tasa_exito_pct, km_totales, veloc
     q["event_feed"] = q["event_codec"]
     q["alert_feed"] = q["alerts"]
     q["events_by_type_1m_stream"] = q["events_by_type_1m"]
-    q["events_by_type_1m_closed"] = (q["events_by_type_1m"].rstrip()
+    stamped = lambda sql: sql.replace("_fin\nFROM", "_fin, true AS procesado_despues\nFROM").rstrip()
+    q["events_by_type_1m_closed"] = (stamped(q["events_by_type_1m"])
         + "\nHAVING date_trunc('minute', kafka_timestamp) + INTERVAL 1 MINUTE"
           " <= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE")
-    q["alerts_by_vehicle_2m_closed"] = (q["alerts_by_vehicle_2m"].rstrip()
+    q["alerts_by_vehicle_2m_closed"] = (stamped(q["alerts_by_vehicle_2m"])
         + "\nHAVING time_bucket(INTERVAL 2 MINUTE, kafka_timestamp) + INTERVAL 2 MINUTE"
           " <= (SELECT max(ts) FROM events) - INTERVAL 5 MINUTE")
     return q

@@ -17,8 +17,10 @@ from flotilla.operators import clean, dashboard, events, kpis, logs, quality, re
 from flotilla.plans import standins as T
 from flotilla.session import apply_runtime_defaults, scratch_path
 from flotilla.sinks import publish, read_latest, write_csv, write_json
-from flotilla.sinks.stream import append_feed, replace_table
-from flotilla.sources import read_table, table_stream
+from flotilla.sinks.stream import append_feed, upsert_table
+from flotilla.sources import (
+    read_deliveries, read_gps, read_incidents, read_log, read_table, read_vehicles, table_stream,
+)
 from flotilla.streaming import build_plan
 
 # Fixed report stamp for reproducible results (the job stamps its own run time).
@@ -98,9 +100,18 @@ class Inputs:
     def stream_events(self):
         return T.stream_events(self.t("events"))
 
+    @_once
+    def incident_ids(self):
+        """One row for each incident: cleaning keeps one row per id, whichever it is."""
+        return self.incidents_raw().select("incidencia_id").distinct()
+
+    @_once
+    def records(self):
+        return T.keyed_records(self.t("events"))
+
     @_once
     def decoded(self):
-        return events.decode_records(T.keyed_records(self.t("events")))
+        return events.decode_records(self.records())
 
 
 # --- batch ----------------------------------------------------------------------------------
@@ -196,7 +207,12 @@ def q_log_first_errors(spark, sf_dir):
 
 def q_headline_kpis(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return dashboard.headline_kpis(i.report(), i.deliveries(), i.incidents())
+    return dashboard.headline_kpis(i.report(), i.incident_ids())
+
+
+def q_kpi_sheet(spark, sf_dir):
+    """The headline KPIs with their display text."""
+    return dashboard.kpi_sheet(q_headline_kpis(spark, sf_dir))
 
 
 def q_status_counts(spark, sf_dir):
@@ -209,7 +225,8 @@ def q_severity_share(spark, sf_dir):
 
 
 def q_event_type_counts(spark, sf_dir):
-    return dashboard.value_counts(Inputs(spark, sf_dir).decoded(), "tipo_evento")
+    only = events.decode_records(Inputs(spark, sf_dir).records(), ["tipo_evento"])
+    return dashboard.value_counts(only, "tipo_evento")
 
 
 def q_top_km(spark, sf_dir):
@@ -238,7 +255,8 @@ def q_alerts_union(spark, sf_dir):
 
 
 def q_events_by_type_1m(spark, sf_dir):
-    return as_wall_clock(windows.events_by_type(Inputs(spark, sf_dir).decoded()))
+    only = events.decode_records(Inputs(spark, sf_dir).records(), ["tipo_evento"])
+    return as_wall_clock(windows.events_by_type(only))
 
 
 def q_alerts_by_vehicle_2m(spark, sf_dir):
@@ -265,6 +283,7 @@ BATCH = {
     "log_errors": q_log_errors,
     "log_first_errors": q_log_first_errors,
     "headline_kpis": q_headline_kpis,
+    "kpi_sheet": q_kpi_sheet,
     "status_counts": q_status_counts,
     "severity_share": q_severity_share,
     "event_type_counts": q_event_type_counts,
@@ -280,22 +299,70 @@ BATCH = {
 
 
 def q_stage_counts(spark, sf_dir):
+    """A6 with one pass over each source's rows for each kind of count, and one dedup at most:
+    a report row is a vehicle with deliveries, and a cleaned incident is an incident id."""
     i = Inputs(spark, sf_dir)
-    log = i.log()
+    one, n = F.count(F.lit(1)), F.sum("n")
+    by_vehicle = i.deliveries().groupBy("placa_vehiculo").agg(one.alias("n"))
+    incidents = i.incidents_raw().groupBy("incidencia_id").agg(one.alias("n"))
     return quality.stage_counts([
-        ("vehiculos", "leidas", i.vehicles()),
-        ("entregas", "leidas", i.deliveries_raw()),
-        ("entregas", "limpias", i.deliveries()),
-        ("rutas_gps", "leidas", i.gps_raw()),
-        ("rutas_gps", "limpias", i.gps()),
-        ("incidencias", "leidas", i.incidents_raw()),
-        ("incidencias", "limpias", i.incidents()),
-        ("reporte_flota", "generado", i.report()),
-        ("eventos_sistema", "parseadas", log),
-        ("eventos_sistema", "errores", logs.error_lines(log)),
+        (i.vehicles(), [("vehiculos", "leidas", one)]),
+        (i.deliveries_raw(), [("entregas", "leidas", one)]),
+        (by_vehicle, [("entregas", "limpias", n), ("reporte_flota", "generado", one)]),
+        (i.gps_raw(), [("rutas_gps", "leidas", one)]),
+        (i.gps(), [("rutas_gps", "limpias", one)]),
+        (incidents, [("incidencias", "leidas", n), ("incidencias", "limpias", one)]),
+        (i.log(), [("eventos_sistema", "parseadas", one),
+                   ("eventos_sistema", "errores", F.count_if(F.col("nivel") == F.lit(S.LOG_LEVEL_ERROR)))]),
     ])
 
 
+# --- files written and read back --------------------------------------------------------------
+
+def _text_types(df, schema):
+    """The columns with the types of an input file, in another order than the schema's."""
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in reversed(schema.fields)])
+
+
+def q_read_vehicles_csv(spark, sf_dir):
+    """Columns found by name."""
+    out = scratch_path(spark, "queries", "vehiculos_csv")
+    write_csv(_text_types(Inputs(spark, sf_dir).vehicles(), S.VEHICLES), out)
+    return read_vehicles(spark, out)
+
+
+def q_read_deliveries_csv(spark, sf_dir):
+    """Columns found by name."""
+    out = scratch_path(spark, "queries", "entregas_csv")
+    write_csv(_text_types(Inputs(spark, sf_dir).deliveries_raw(), S.DELIVERIES_RAW), out)
+    return read_deliveries(spark, out)
+
+
+def q_read_gps_json(spark, sf_dir):
+    """S3 as JSON Lines."""
+    out = scratch_path(spark, "queries", "gps_json")
+    write_json(_text_types(Inputs(spark, sf_dir).gps_raw(), S.GPS_RAW), out)
+    return read_gps(spark, out)
+
+
+def q_read_incidents_array(spark, sf_dir):
+    """S4 as JSON arrays, one for each file; a file has about 5,000 incidents."""
+    out = scratch_path(spark, "queries", "incidencias_json")
+    rows = _text_types(Inputs(spark, sf_dir).incidents_raw(), S.INCIDENTS_RAW)
+    files = max(1, rows.count() // 5000)
+    arrays = (rows.groupBy(F.pmod(F.xxhash64("incidencia_id"), F.lit(files)).alias("archivo"))
+              .agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value")))
+    arrays.write.partitionBy("archivo").text(out)
+    return read_incidents(spark, f"{out}/*", multi_line=True)
+
+
+def q_read_log_text(spark, sf_dir):
+    """Text lines."""
+    out = scratch_path(spark, "queries", "eventos_log")
+    T.log_lines(Inputs(spark, sf_dir).t("events")).write.text(out)
+    return read_log(spark, out)
+
+
 # --- publish and read back -------------------------------------------------------------------
 
 def q_publish_report(spark, sf_dir):
@@ -346,6 +413,19 @@ def _run_append(spark, df, name):
     return read_table(spark, f"{base}/data")
 
 
+def _sorted_parts(spark, sf_dir, parts=4):
+    """The events table as files of ascending time, written one after the other: a stream that
+    reads one file at a time takes as many micro-batches, and none of the rows comes late."""
+    rows = T.table(spark, sf_dir, "events")
+    out = scratch_path(spark, "queries", "events_by_time")
+    low, high = rows.agg(F.min("ts"), F.max("ts")).first()
+    edges = [low + (high - low) * k / parts for k in range(1, parts)] if low is not None else []
+    place = sum((F.coalesce(F.col("ts") >= F.lit(e), F.lit(False)).cast("int") for e in edges), F.lit(0))
+    for k in range(len(edges) + 1):
+        rows.where(place == k).write.mode("append").parquet(out)
+    return out, rows.schema
+
+
 def q_event_feed(spark, sf_dir):
     """Decoded events appended by a stream, read back."""
     plan = build_plan(_records(spark, sf_dir))
@@ -354,40 +434,51 @@ def q_event_feed(spark, sf_dir):
 
 def q_alert_feed(spark, sf_dir):
     """Alerts appended by a stream (processing stamp dropped for comparison)."""
-    plan = build_plan(_records(spark, sf_dir), processed_at=True)
+    plan = build_plan(_records(spark, sf_dir))
     back = _run_append(spark, plan.alerts, "alert_feed")
     return as_wall_clock(back.drop("procesado_en"))
 
 
 def q_events_by_type_1m_closed(spark, sf_dir):
-    """W1, W2, W5 (chained exact distinct): closed windows published in append mode."""
+    """W1, W2, W5 (chained exact distinct): closed windows published in append mode. The stamp of
+    P6 is replaced by whether it is there and not before the window's end."""
     plan = build_plan(_records(spark, sf_dir))
-    return as_wall_clock(_run_append(spark, plan.events_by_type, "events_by_type_1m_closed"))
+    return as_wall_clock(_stamp_checked(_run_append(spark, plan.events_by_type, "events_by_type_1m_closed")))
 
 
 def q_alerts_by_vehicle_2m_closed(spark, sf_dir):
-    """Closed alert windows on event time, append mode, 5-minute watermark."""
+    """Closed alert windows on event time, append mode, 5-minute watermark; P6 as above."""
     plan = build_plan(_records(spark, sf_dir))
-    return as_wall_clock(_run_append(spark, plan.alerts_by_vehicle, "alerts_by_vehicle_2m_closed"))
+    return as_wall_clock(_stamp_checked(_run_append(spark, plan.alerts_by_vehicle, "alerts_by_vehicle_2m_closed")))
+
+
+def _stamp_checked(df):
+    return df.withColumn("procesado_despues", F.col("procesado_en") >= F.col("ventana_fin")).drop("procesado_en")
 
 
 def q_events_by_type_1m_stream(spark, sf_dir):
-    """Complete-mode summary replaced per micro-batch; the newest snapshot.
+    """The summary of all windows, open ones too, kept current over several micro-batches.
 
     Exact distinct vehicles without a per-window set in state: the stream keeps counts per
-    (window, kind, vehicle) and each snapshot is rolled up by a batch aggregation."""
-    plan = build_plan(_records(spark, sf_dir))
+    (window, kind, vehicle), writes those that changed, and drops the state of closed windows."""
+    apply_runtime_defaults(spark)
+    path, schema = _sorted_parts(spark, sf_dir)
+    plan = build_plan(T.keyed_records(table_stream(spark, path, schema, max_files=1)))
     name = "events_by_type_1m_stream"
     base = scratch_path(spark, "queries", name)
-    q = replace_table(plan.events_by_type_latest, f"{name}_{uuid.uuid4().hex[:8]}",
-                      f"{base}/data", f"{base}/checkpoint", trigger="availableNow",
-                      transform=windows.roll_up_vehicles)
+    q = upsert_table(plan.events_by_type_latest, f"{name}_{uuid.uuid4().hex[:8]}", f"{base}/data",
+                     f"{base}/checkpoint", windows.LATEST_KEYS, trigger="availableNow", merge_every=2)
     q.awaitTermination()
-    return as_wall_clock(read_latest(spark, f"{base}/data"))
+    return as_wall_clock(windows.roll_up_latest(read_latest(spark, f"{base}/data")))
 
 
 EXTRA = {
     "stage_counts": q_stage_counts,
+    "read_vehicles_csv": q_read_vehicles_csv,
+    "read_deliveries_csv": q_read_deliveries_csv,
+    "read_gps_json": q_read_gps_json,
+    "read_incidents_array": q_read_incidents_array,
+    "read_log_text": q_read_log_text,
     "publish_report": q_publish_report,
     "publish_report_csv": q_publish_report_csv,
     "kpi_summary_json": q_kpi_summary_json,

@@ -9,11 +9,12 @@ Mapping (the oracle SQL in ``flotilla.plans.oracles`` builds the same views):
 
 - deliveries <- lineitem: order id ``{l_orderkey}-{l_linenumber}`` (repeats: real duplicates),
   vehicle ``l_suppkey``, weight ``l_quantity * 200`` (so > 8000 kg occurs), state from the
-  return flag / line status (one combination left null), duration text blank for pending,
-  distance ``l_extendedprice``, client ``l_partkey``, delivery time as text.
+  return flag / line status (one combination left null), duration text blank for pending and
+  like ``90.0`` in even lines, distance ``l_extendedprice * (1 - l_discount)`` (more than two
+  decimals), client ``l_partkey``, delivery time as text.
 - GPS pings <- events: record id ``{user_id}-{yyyyMMddHH}`` (repeats within an hour),
   vehicle ``user_id``, speed ``value``, satellites ``props.k``, ISO text time.
-- incidents <- events of type ``error``: severity bands on ``value``, cost ``value``,
+- incidents <- events of type ``error``: severity bands on ``value``, cost ``value * 1.18``,
   resolved from ``props.k`` (null for k < 10), resolution minutes ``props.k``.
 - vehicles <- supplier; log lines and keyed stream events <- events.
 """
@@ -78,8 +79,9 @@ def deliveries_raw(lineitem: DataFrame) -> DataFrame:
         "date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss') AS fecha_entrega",
         f"{STATE} AS estado",
         f"CASE WHEN {STATE} = 'Pendiente' THEN '' "
+        "WHEN l_linenumber % 2 = 0 THEN concat(CAST(CAST(l_quantity AS INT) * 2 AS STRING), '.0') "
         "ELSE CAST(CAST(l_quantity AS INT) * 2 AS STRING) END AS duracion_min",
-        "l_extendedprice AS distancia_km",
+        "l_extendedprice * (1 - l_discount) AS distancia_km",
         "l_partkey AS cliente_id",
     )
 
@@ -106,7 +108,7 @@ def incidents_raw(events: DataFrame) -> DataFrame:
         f"ELSE '{S.SEVERITY_LOW}' END AS severidad",
         f"{ISO} AS fecha",
         "props AS descripcion",
-        "value AS costo_estimado_soles",
+        "value * 1.18D AS costo_estimado_soles",
         "CASE WHEN _k < 10 THEN CAST(NULL AS BOOLEAN) ELSE _k >= 50 END AS resuelta",
         "CAST(_k AS BIGINT) AS tiempo_resolucion_min",
     )

@@ -48,6 +48,26 @@ def build_session(master: str | None = None, app_name: str = "flotilla",
     return spark
 
 
+# Input bytes for each shuffle partition: a dedup ships nearly all its rows.
+PARTITION_BYTES = 128 << 20
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """The size of files and folders in any store Spark reaches; what isn't there has none."""
+    total, conf = 0, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            total += fs.getContentSummary(p).getLength()
+    return total
+
+
+def shuffle_width(n_bytes: int, least: int = 8) -> int:
+    """Shuffle partitions for so much input. AQE merges small ones; it never makes more."""
+    return max(least, -(-n_bytes // PARTITION_BYTES))
+
+
 def apply_runtime_defaults(spark: SparkSession) -> None:
     """Set the SQL defaults, the state store's too, on a session someone else built (the
     driver's, a test's). Settings that a running session can't change are left as they are."""

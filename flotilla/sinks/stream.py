@@ -1,16 +1,94 @@
 """Streaming sinks, each a named query with its own checkpoint.
 
 A name and an explicit ``checkpointLocation`` per query mean a restart resumes from its own
-offsets and state (no shared root, no random sub-folder). File sinks commit through their
-metadata log, so a batch retried after a lost executor is written once.
+offsets and state. What a folder holds is tied to the checkpoint that wrote it: file sinks skip
+batch numbers they have committed, so another checkpoint on the same folder would lose data
+without an error. ``claim`` refuses that, and a change of layout, before a query starts.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+# Batches that ``upsert_table`` keeps apart before it merges them into one.
+MERGE_EVERY = 20
+
+
+class FolderInUseError(RuntimeError):
+    pass
+
+
+# --- small files beside the data, in any store Spark reaches ------------------------------
+
+def _store(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _read_note(spark: SparkSession, path: str) -> dict | None:
+    fs, p = _store(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return json.loads(bytes(stream.readAllBytes()))
+    finally:
+        stream.close()
+
+
+def _write_note(spark: SparkSession, path: str, note: dict) -> None:
+    """Written under another name, then renamed over the old note: readers see one or the other."""
+    fs, p = _store(spark, path)
+    temp = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex}")
+    stream = fs.create(temp, True)
+    try:
+        stream.write(json.dumps(note).encode())
+    finally:
+        stream.close()
+    jvm = spark._jvm
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(temp), fs.makeQualified(p), over)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """A folder of this sink's own that no reader is told of any more."""
+    fs, p = _store(spark, path)
+    fs.delete(p, True)
+
+
+def _has_data(spark: SparkSession, path: str) -> bool:
+    fs, p = _store(spark, path)
+    return fs.exists(p) and len(fs.listStatus(p)) > 0
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """A name that a checkpoint folder keeps for life."""
+    note = _read_note(spark, f"{checkpoint}/_flotilla_id")
+    if note is None:
+        note = {"id": uuid.uuid4().hex}
+        _write_note(spark, f"{checkpoint}/_flotilla_id", note)
+    return note["id"]
+
+
+def claim(spark: SparkSession, path: str, checkpoint: str, layout: str) -> None:
+    """Tie ``path`` to a checkpoint and a layout, or fail if it is tied to others."""
+    mine = {"checkpoint": checkpoint_id(spark, checkpoint), "layout": layout}
+    there = _read_note(spark, f"{path}/_owner")
+    if there is None and _has_data(spark, path):
+        raise FolderInUseError(f"{path} holds data of an unknown writer; name another folder")
+    if there is not None and there != mine:
+        what = "layout" if there["layout"] != layout else "checkpoint"
+        raise FolderInUseError(f"{path} was written with another {what} ({there}); go on with that one or name another folder")
+    if there is None:
+        _write_note(spark, f"{path}/_owner", mine)
+
 
 def _trigger(writer, trigger):
     if trigger == "availableNow":
@@ -20,10 +98,13 @@ def _trigger(writer, trigger):
     return writer
 
 
+# --- feeds --------------------------------------------------------------------------------
+
 def append_feed(df: DataFrame, name: str, path: str, checkpoint: str,
                 trigger: str | None = "10 seconds", fmt: str = "parquet",
                 partition_by: list[str] | None = None) -> StreamingQuery:
     """Append each micro-batch (stateless rows, or closed windows after a watermark)."""
+    claim(df.sparkSession, path, checkpoint, "file sink")
     w = (df.writeStream.queryName(name).format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint))
     if partition_by:
@@ -31,59 +112,152 @@ def append_feed(df: DataFrame, name: str, path: str, checkpoint: str,
     return _trigger(w, trigger).start(path)
 
 
+def shared_feed(events: DataFrame, name: str, events_path: str, alerts_path: str, checkpoint: str,
+                trigger: str | None = "10 seconds", processed_at=True) -> StreamingQuery:
+    """O4/W6/W7 from one scan: decoded events and their alerts, written per micro-batch.
+
+    The batch is persisted for its two writes (decode once), then released. Each write goes to
+    ``batch_id=N`` with overwrite, so a batch retried after a failure replaces its own output.
+    Events are also partitioned by event day, so readers prune by date.
+    """
+    from pyspark import StorageLevel
+
+    from flotilla.operators.events import alerts as alert_rules
+
+    for path in (events_path, alerts_path):
+        claim(events.sparkSession, path, checkpoint, "folder per batch")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            (batch.withColumn("dia", F.to_date("kafka_timestamp"))
+                  .write.mode("overwrite").partitionBy("dia")
+                  .parquet(f"{events_path}/batch_id={batch_id}"))
+            (alert_rules(batch, processed_at=processed_at)
+                  .write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}"))
+        finally:
+            batch.unpersist()
+
+    w = (events.writeStream.queryName(name).outputMode("append").foreachBatch(write)
+         .option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger).start()
+
+
+# --- tables that a stream keeps current ---------------------------------------------------
+
 def replace_table(df: DataFrame, name: str, path: str, checkpoint: str,
                   trigger: str | None = "30 seconds", mode: str = "complete",
-                  retain: int = 3, transform=None) -> StreamingQuery:
-    """The full result table per micro-batch, one folder per batch id.
-
-    Retrying a batch overwrites its own folder (idempotent); readers take the newest one
-    with ``read_latest``. Used for complete mode, which file sinks refuse. Snapshots older
-    than ``retain`` batches are overwritten with an empty frame, so storage stays bounded on
-    an endless stream. ``transform`` is a batch DataFrame function applied to each result
-    before it is written (e.g. the second level of a two-level aggregation).
+                  transform=None) -> StreamingQuery:
+    """The full result table per micro-batch; ``read_latest`` reads the committed one.
+
+    A batch writes a folder of its own, then the note ``_current`` names it: a reader sees a
+    whole snapshot, and after a restart, with the same checkpoint or another, the one written
+    last. Then older folders go. ``transform`` is a batch function applied before the write.
+    Complete mode keeps all state; for an endless stream use ``upsert_table``.
     """
+    spark = df.sparkSession
+    run = checkpoint_id(spark, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        if transform is not None:
-            batch = transform(batch)
-        snap = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        snap.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        old = batch_id - retain
-        if old >= 0:
-            empty = batch.sparkSession.createDataFrame([], snap.schema)
-            empty.write.mode("overwrite").parquet(f"{path}/batch_id={old}")
+        own = batch.sparkSession
+        before = _read_note(own, f"{path}/_current")
+        folder = f"run={run}/batch={batch_id}"
+        (transform(batch) if transform else batch).write.mode("overwrite").parquet(f"{path}/{folder}")
+        _write_note(own, f"{path}/_current", {"folders": [folder]})
+        for old in (before or {}).get("folders", []):
+            if old != folder:
+                _remove(own, f"{path}/{old}")
 
     w = (df.writeStream.queryName(name).outputMode(mode).foreachBatch(write)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
 
+def upsert_table(df: DataFrame, name: str, path: str, checkpoint: str, keys: list[str],
+                 trigger: str | None = "30 seconds", merge_every: int = MERGE_EVERY,
+                 watch=None) -> StreamingQuery:
+    """W8 for an endless stream: each micro-batch writes only the rows it changed (update mode),
+    and with a watermark the state of closed windows is dropped.
+
+    ``read_latest`` takes the newest row of each key. Every ``merge_every`` batches they are
+    merged into one folder. The note ``_current`` names the folders that count, so a batch that
+    is repeated overwrites or finds its own; another checkpoint starts a table of its own, which
+    replaces the old one with its first batch. ``watch`` is called with the table after each
+    batch (O6).
+    """
+    spark = df.sparkSession
+    run = checkpoint_id(spark, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
+        now = _read_note(own, f"{path}/_current") or {}
+        mine = now.get("run") == run
+        if mine and batch_id <= now["merged"]:
+            return                              # repeated after it was merged
+        folders = [f for f in now.get("folders", []) if mine]
+        folder = f"run={run}/batch={batch_id:012d}"
+        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{path}/{folder}")
+        folders = [*(f for f in folders if f != folder), folder]
+        merged = now["merged"] if mine else -1
+        if len(folders) > merge_every:
+            whole = f"run={run}/merged={batch_id:012d}"
+            _newest(own.read.parquet(*[f"{path}/{f}" for f in folders]), keys) \
+                .write.mode("overwrite").parquet(f"{path}/{whole}")
+            gone, folders, merged = folders, [whole], batch_id
+        else:
+            gone = []
+        _write_note(own, f"{path}/_current", {"run": run, "folders": folders, "merged": merged, "keys": keys})
+        for old in [*gone, *([] if mine else now.get("folders", []))]:
+            _remove(own, f"{path}/{old}")
+        if watch is not None:
+            watch(read_latest(own, path), batch_id)
+
+    w = (df.writeStream.queryName(name).outputMode("update").foreachBatch(write)
+         .option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger).start()
+
+
+def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    rest = [c for c in rows.columns if c not in keys]
+    last = F.max_by(F.struct(*rest), "_batch").alias("_last")
+    return rows.groupBy(*keys).agg(last).select(*keys, "_last.*")
+
+
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete snapshot written by ``replace_table``."""
-    snaps = spark.read.parquet(path)
-    newest = snaps.agg(F.max("batch_id")).first()[0]
-    return snaps.filter(F.col("batch_id") == F.lit(newest)).drop("batch_id")
+    """The table that ``replace_table`` or ``upsert_table`` committed last."""
+    now = _read_note(spark, f"{path}/_current")
+    if now is None:
+        raise FileNotFoundError(f"{path} has no committed table yet")
+    rows = spark.read.parquet(*[f"{path}/{f}" for f in now["folders"]])
+    return _newest(rows, now["keys"]).drop("_batch") if "keys" in now else rows
 
 
-def console_feed(df: DataFrame, name: str, mode: str = "complete",
+def console_feed(df: DataFrame, name: str, checkpoint: str | None = None, mode: str = "update",
                  trigger: str | None = "30 seconds", transform=None, rows: int = 20,
                  order: list | None = None) -> StreamingQuery:
-    """Print each result untruncated, for watching a job.
+    """Print each micro-batch's result untruncated, for watching a job.
 
     Only the first ``rows`` rows (in ``order``) reach the driver: the full table stays on the
     executors, unlike the console sink, which gathers the whole result to print it.
     """
     def show(batch: DataFrame, batch_id: int) -> None:
-        if transform is not None:
-            batch = transform(batch)
-        if order:
-            batch = batch.orderBy(*order)
-        print(f"-- {name} batch {batch_id}")
-        batch.show(rows, truncate=False)
+        print_rows(transform(batch) if transform else batch, name, batch_id, rows, order)
 
     w = df.writeStream.queryName(name).outputMode(mode).foreachBatch(show)
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
+def print_rows(table: DataFrame, name: str, batch_id: int, rows: int = 20, order: list | None = None) -> None:
+    print(f"-- {name} batch {batch_id}")
+    (table.orderBy(*order) if order else table).show(rows, truncate=False)
+
+
+def topic_options(bootstrap: str, topic: str) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": bootstrap, "topic": topic}
+
+
 def topic_feed(records: DataFrame, name: str, bootstrap: str, topic: str, checkpoint: str,
                trigger: str | None = "10 seconds") -> StreamingQuery:
     """Publish ``key``/``value`` records (``operators.events.encode_events``) to a topic.
@@ -91,34 +265,5 @@ def topic_feed(records: DataFrame, name: str, bootstrap: str, topic: str, checkp
     Needs the Kafka package on the class path; the record shape is the same as the file form.
     """
     w = (records.select("key", "value").writeStream.queryName(name).format("kafka")
-         .option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
-         .option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger).start()
-
-
-def shared_feed(events: DataFrame, name: str, events_path: str, alerts_path: str, checkpoint: str,
-                trigger: str | None = "10 seconds", processed_at=True) -> StreamingQuery:
-    """O4/W6/W7 from one scan: decoded events and their alerts, written per micro-batch.
-
-    The batch is persisted for its two writes (decode once), then released. Each write goes to
-    ``batch_id=N`` with overwrite, so a batch retried after a failure replaces its own output.
-    Events are also partitioned by event day, so readers prune by date.
-    """
-    from pyspark import StorageLevel
-
-    from flotilla.operators.events import alerts as alert_rules
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            (batch.withColumn("dia", F.to_date("kafka_timestamp"))
-                  .write.mode("overwrite").partitionBy("dia")
-                  .parquet(f"{events_path}/batch_id={batch_id}"))
-            (alert_rules(batch, processed_at=processed_at)
-                  .write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}"))
-        finally:
-            batch.unpersist()
-
-    w = (events.writeStream.queryName(name).outputMode("append").foreachBatch(write)
-         .option("checkpointLocation", checkpoint))
+         .options(**topic_options(bootstrap, topic)).option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()

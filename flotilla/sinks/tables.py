@@ -42,5 +42,5 @@ def write_topic(records: DataFrame, bootstrap: str, topic: str) -> None:
 
     Needs the Kafka package on the class path; the records are the same as the stream form's.
     """
-    (records.select("key", "value").write.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
+    from flotilla.sinks.stream import topic_options
+    records.select("key", "value").write.format("kafka").options(**topic_options(bootstrap, topic)).save()

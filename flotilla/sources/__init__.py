@@ -1,6 +1,7 @@
 """Readers (S1-S8): batch files with explicit schemas, published tables, event streams."""
 
 from flotilla.sources.files import (  # noqa: F401
-    read_deliveries, read_gps, read_incidents, read_log, read_optional, read_table, read_vehicles,
+    BAD, UnreadableInputError, read_deliveries, read_gps, read_incidents, read_log, read_optional, read_table,
+    read_vehicles, refuse_if_nothing_fits,
 )
-from flotilla.sources.stream import file_records, kafka_records, table_stream  # noqa: F401
+from flotilla.sources.stream import file_records, kafka_options, kafka_records, table_stream  # noqa: F401

@@ -1,41 +1,76 @@
 """Batch readers with explicit schemas (no inference pass over the data).
 
-JSON inputs come either as JSON Lines (splittable, the format for volume) or as one
-pretty-printed array (``multi_line=True``). A multi-line file is read by one task, so land it
-once as Parquet (``flotilla.sinks.publish``) and read the Parquet copy afterwards.
+CSV columns are found by the header's names, whatever their order. JSON inputs come either as
+JSON Lines (splittable, the format for volume) or as one pretty-printed array
+(``multi_line=True``). A multi-line file is read by one task, so land it once as Parquet
+(``flotilla.sinks.publish``) and read the Parquet copy afterwards.
+
+With ``bad_column`` a reader adds a text column of that name: null where the whole record fits
+the schema, else what didn't (the JSON record, or the names of the CSV fields). The record
+itself is kept, with nulls for what doesn't fit.
 """
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from flotilla import schemas as S
 
+log = logging.getLogger(__name__)
+
+BAD = "_malformado"
+
+
+class UnreadableInputError(ValueError):
+    pass
+
 
-def read_vehicles(spark: SparkSession, path: str) -> DataFrame:
+def _csv(spark: SparkSession, schema: StructType, path: str, bad_column: str | None) -> DataFrame:
+    # all files must have the header of the first one; the fields are text until they're chosen
+    text = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    missing = [f.name for f in schema.fields if f.name not in text.columns]
+    if missing:
+        raise UnreadableInputError(f"{path}: no column {', '.join(missing)} in the header {', '.join(text.columns)}")
+    value = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields}
+    out = {f.name: value[f.name] for f in schema.fields}
+    if bad_column:
+        misfits = F.concat_ws(",", *[F.when(F.col(f"`{n}`").isNotNull() & v.isNull(), F.lit(n)) for n, v in value.items()])
+        out[bad_column] = F.nullif(misfits, F.lit(""))
+    return text.select(*[c.alias(n) for n, c in out.items()])
+
+
+def read_vehicles(spark: SparkSession, path: str, bad_column: str | None = None) -> DataFrame:
     """Vehicle master CSV with a header row."""
-    return spark.read.schema(S.VEHICLES).option("header", True).csv(path)
+    return _csv(spark, S.VEHICLES, path, bad_column)
 
 
-def read_deliveries(spark: SparkSession, path: str) -> DataFrame:
+def read_deliveries(spark: SparkSession, path: str, bad_column: str | None = None) -> DataFrame:
     """Deliveries CSV; ``duracion_min`` read as text, an empty field is null."""
-    return spark.read.schema(S.DELIVERIES_RAW).option("header", True).csv(path)
+    return _csv(spark, S.DELIVERIES_RAW, path, bad_column)
 
 
-def _json(spark: SparkSession, schema: StructType, path: str, multi_line: bool) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+def _json(spark: SparkSession, schema: StructType, path: str, multi_line: bool, bad_column: str | None) -> DataFrame:
+    reader = spark.read.option("multiLine", multi_line)
+    if bad_column:
+        schema = StructType([*schema.fields, StructField(bad_column, StringType(), True)])
+        reader = reader.option("columnNameOfCorruptRecord", bad_column)
+    return reader.schema(schema).json(path)
 
 
-def read_gps(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_gps(spark: SparkSession, path: str, multi_line: bool = False, bad_column: str | None = None) -> DataFrame:
     """S3: GPS pings, one JSON object each."""
-    return _json(spark, S.GPS_RAW, path, multi_line)
+    return _json(spark, S.GPS_RAW, path, multi_line, bad_column)
 
 
-def read_incidents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_incidents(spark: SparkSession, path: str, multi_line: bool = False,
+                   bad_column: str | None = None) -> DataFrame:
     """Incidents, one JSON object each."""
-    return _json(spark, S.INCIDENTS_RAW, path, multi_line)
+    return _json(spark, S.INCIDENTS_RAW, path, multi_line, bad_column)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -43,16 +78,24 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def refuse_if_nothing_fits(name: str, rows: int, bad: int) -> None:
+    """Every record is malformed: the file isn't what it was taken for (a JSON array read line by
+    line, say), and an empty result would hide it."""
+    if rows and rows == bad:
+        raise UnreadableInputError(f"{name}: none of {rows} records fits the schema (a JSON array needs multi-line reading)")
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A published table, whole."""
     return spark.read.format(fmt).load(path)
 
 
-def read_optional(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
-    """A table that may not exist yet; absent means an empty frame with the schema."""
+def read_optional(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame | None:
+    """A table that may not exist yet; absent means None, and a warning in the log."""
     try:
         return spark.read.schema(schema).format(fmt).load(path)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log.warning("no table at %s", path)
+        return None

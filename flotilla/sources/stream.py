@@ -13,17 +13,21 @@ from pyspark.sql.types import StructType
 from flotilla import schemas as S
 
 
-def kafka_records(spark: SparkSession, bootstrap: str, topic: str,
-                  starting_offsets: str = "earliest", max_offsets: int | None = None) -> DataFrame:
-    """Subscribe to one topic. Offsets live in the query checkpoint, so a restart resumes
-    where it stopped; ``failOnDataLoss=false`` keeps running past expired offsets."""
-    reader = (spark.readStream.format("kafka")
-              .option("kafka.bootstrap.servers", bootstrap)
-              .option("subscribe", topic)
-              .option("startingOffsets", starting_offsets)
-              .option("failOnDataLoss", "false"))
+def kafka_options(bootstrap: str, topic: str, starting_offsets: str = "earliest",
+                  max_offsets: int | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
+    """The source's options. Offsets that expired unread stop the query, unless
+    ``fail_on_data_loss`` is false: then it goes on without those records."""
+    out = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting_offsets,
+           "failOnDataLoss": str(fail_on_data_loss).lower()}
     if max_offsets:
-        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets))
+        out["maxOffsetsPerTrigger"] = str(max_offsets)
+    return out
+
+
+def kafka_records(spark: SparkSession, bootstrap: str, topic: str, **options) -> DataFrame:
+    """Subscribe to one topic (``options`` as for ``kafka_options``). Offsets live in the query
+    checkpoint, so a restart resumes where it stopped."""
+    reader = spark.readStream.format("kafka").options(**kafka_options(bootstrap, topic, **options))
     return reader.load().select("key", "value", "timestamp")
 
 

@@ -7,7 +7,7 @@ records ─ decode ─┬─ event feed (append)
 
 Summaries window on **event time** (the record timestamp) with a watermark and are published
 in append mode: a window is written once, when the watermark passes its end, and its state
-is dropped then. A "latest" complete view is optional (its state is never evicted).
+is dropped then. A "latest" view of open windows, in update mode, is optional.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ from flotilla import schemas as S
 from flotilla.operators.events import alerts as alert_rules
 from flotilla.operators.events import decode_records
 from flotilla.operators.windows import (
-    alerts_by_vehicle, event_time, events_by_type, roll_up_vehicles, vehicle_counts,
+    LATEST_KEYS, alerts_by_vehicle, event_time, events_by_type, flatten_window, roll_up_latest, vehicle_counts,
 )
-from flotilla.sinks.stream import append_feed, console_feed, replace_table, shared_feed
+from flotilla.sinks.stream import append_feed, print_rows, shared_feed, upsert_table
 
 
 @dataclass
@@ -48,15 +48,18 @@ def build_plan(records: DataFrame, processed_at=True, alert_time: str = "kafka_t
     al = alert_rules(ev, processed_at=processed_at)
     if alert_time == "kafka_timestamp":
         timed = event_time(ev, alert_time).withWatermark(alert_time, S.ALERT_WATERMARK)
-        per_vehicle = alerts_by_vehicle(alert_rules(timed, processed_at=processed_at), ts=alert_time)
+        per_vehicle = alerts_by_vehicle(alert_rules(timed, processed_at=processed_at), ts=alert_time,
+                                        processed_at=processed_at)
     else:
-        per_vehicle = alerts_by_vehicle(al, ts=alert_time, watermark=S.ALERT_WATERMARK)
+        per_vehicle = alerts_by_vehicle(al, ts=alert_time, watermark=S.ALERT_WATERMARK, processed_at=processed_at)
     return StreamPlan(
         events=ev,
         alerts=al,
-        events_by_type=events_by_type(ev, watermark=S.EVENT_WATERMARK, distinct="chained"),
+        events_by_type=events_by_type(decode_records(records, ["tipo_evento"]), watermark=S.EVENT_WATERMARK,
+                                      distinct="chained", processed_at=processed_at),
         alerts_by_vehicle=per_vehicle,
-        events_by_type_latest=vehicle_counts(ev, watermark=S.EVENT_WATERMARK),
+        events_by_type_latest=flatten_window(vehicle_counts(decode_records(records, ["tipo_evento"]),
+                                                            watermark=S.EVENT_WATERMARK)),
     )
 
 
@@ -66,13 +69,13 @@ def start_plan(plan: StreamPlan, out_root: str, checkpoint_root: str,
                shared_feeds: bool = False, processed_at=True) -> list[StreamingQuery]:
     """Start every sink as its own named query with its own checkpoint.
 
-    ``latest`` adds the complete-mode summary (replaced per batch): its stateful step keeps one
-    row per (window, kind, vehicle), and each batch's full result is rolled up to (window, kind)
-    by a distributed batch aggregation. Complete mode never evicts, so it suits bounded replays,
-    not an endless stream; the durable summary is the append-mode table. ``shared_feeds`` writes the event and alert
-    feeds from one query (one scan and decode per micro-batch, idempotent per-batch folders)
-    instead of two file-sink queries; locally it measured no faster, so it is opt-in for
-    streams where decoding dominates.
+    ``latest`` adds a summary of open windows, too, brought up to date by each micro-batch: its
+    stateful step keeps one row per (window, kind, vehicle) until the watermark passes the
+    window, batches write the rows they changed, and ``read_latest`` with ``roll_up_latest``
+    gives (window, kind). ``console`` prints its newest rows after each batch. ``shared_feeds``
+    writes the event and alert feeds from one query (one scan and decode per micro-batch,
+    idempotent per-batch folders) instead of two file-sink queries; locally it measured no
+    faster, so it is opt-in for streams where decoding dominates.
     """
     def paths(name):
         return f"{out_root}/{name}", f"{checkpoint_root}/{prefix}_{name}"
@@ -97,12 +100,10 @@ def start_plan(plan: StreamPlan, out_root: str, checkpoint_root: str,
                            ("resumen_alertas", plan.alerts_by_vehicle, summary_trigger)]:
         out, ck = paths(name)
         qs.append(append_feed(df, f"{prefix}_{name}", out, ck, trig))
-    if latest:
+    if latest or console:
         out, ck = paths("resumen_eventos_actual")
-        qs.append(replace_table(plan.events_by_type_latest, f"{prefix}_resumen_eventos_actual",
-                                out, ck, summary_trigger, transform=roll_up_vehicles))
-    if console:
-        qs.append(console_feed(plan.events_by_type_latest, f"{prefix}_resumen_consola",
-                               trigger=summary_trigger, transform=roll_up_vehicles,
-                               order=[F.desc("ventana_inicio"), F.asc("tipo_evento")]))
+        name = f"{prefix}_resumen_eventos_actual"
+        newest = [F.desc("ventana_inicio"), F.asc("tipo_evento")]
+        watch = (lambda t, n: print_rows(roll_up_latest(t), name, n, order=newest)) if console else None
+        qs.append(upsert_table(plan.events_by_type_latest, name, out, ck, LATEST_KEYS, summary_trigger, watch=watch))
     return qs

@@ -1,7 +1,7 @@
 """Batch ETL job: read the five inputs, clean, roll up, report, publish.
 
     spark-submit jobs/batch_job.py --input <folder> --output <folder> [--multiline-json]
-        [--report-time "2025-01-31 00:00:00"]
+        [--report-time "2025-01-31 00:00:00"] [--shuffle-partitions N]
 
 Inputs in ``--input``: vehiculos.csv, entregas.csv, gps_registros.json, incidencias.json,
 eventos_sistema.log. Outputs: one Parquet folder per published table plus the report CSV, the
@@ -15,7 +15,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from flotilla.plans.batch import read_driver_inputs, read_inputs, run_batch  # noqa: E402
-from flotilla.session import build_session, scratch_path  # noqa: E402
+from flotilla.session import build_session, input_bytes, scratch_path, shuffle_width  # noqa: E402
 
 
 def main(argv=None):
@@ -29,9 +29,14 @@ def main(argv=None):
     ap.add_argument("--report-time", default=None, help="fixed report stamp (default: now)")
     ap.add_argument("--partition-by-day", action="store_true",
                     help="partition the cleaned fact tables by event day")
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="default: one for each 128 MB of input")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
-    spark = build_session(a.master, app_name="flotilla-batch")
+    spark = build_session(a.master, app_name="flotilla-batch", shuffle_partitions=a.shuffle_partitions)
+    if not a.shuffle_partitions:
+        width = shuffle_width(input_bytes(spark, a.driver_tables or a.input))
+        spark.conf.set("spark.sql.shuffle.partitions", str(width))
     if a.driver_tables:
         raw = read_driver_inputs(spark, a.driver_tables)
     else:

@@ -1,12 +1,16 @@
 """Stream job: topic records → event feed, alert feed, window summaries.
 
     spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version> \
-        jobs/stream_job.py --kafka host:9092 --topic <topic> --output <folder>
-    spark-submit jobs/stream_job.py --records <folder of key/value/timestamp files> --output <folder>
+        jobs/stream_job.py --kafka host:9092 --topic <topic> --output <folder> --shuffle-partitions N
+    spark-submit jobs/stream_job.py --records <folder of key/value/timestamp files> --output <folder> \
+        --shuffle-partitions N
 
-Each sink is a named query with its own checkpoint under ``--checkpoint`` (default: the
-session's ``spark.checkpoint.dir``), so a restart resumes offsets and window state. The job
-waits until any query stops (``awaitAnyTermination``).
+Each sink is a named query with its own checkpoint under ``--checkpoint`` (default:
+``_checkpoints`` in the output folder, the same after a restart), so a restart resumes offsets
+and window state. An output folder goes on with the checkpoint that wrote it and refuses others.
+``--shuffle-partitions`` is fixed for a checkpoint's life by the first start, so it has to be
+named: about the number of cores, times what the state should grow. The job waits until any
+query stops (``awaitAnyTermination``).
 """
 
 import argparse
@@ -15,11 +19,16 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from flotilla.session import build_session, checkpoint_root  # noqa: E402
+from flotilla.session import build_session  # noqa: E402
 from flotilla.sources import file_records, kafka_records  # noqa: E402
 from flotilla.streaming import build_plan, start_plan  # noqa: E402
 
 
+def wait(spark) -> None:
+    """Until a query stops; if it failed, its error is raised."""
+    spark.streams.awaitAnyTermination()
+
+
 def main(argv=None):
     ap = argparse.ArgumentParser()
     src = ap.add_mutually_exclusive_group(required=True)
@@ -39,15 +48,20 @@ def main(argv=None):
     ap.add_argument("--shared-feeds", action="store_true",
                     help="write the event and alert feeds from one scan (foreachBatch)")
     ap.add_argument("--latest", action="store_true",
-                    help="also keep a complete-mode summary replaced per batch (state never evicted)")
+                    help="also keep a summary of open windows, brought up to date per batch")
+    ap.add_argument("--allow-data-loss", action="store_true",
+                    help="go on when offsets have expired unread (Kafka's failOnDataLoss=false)")
+    ap.add_argument("--shuffle-partitions", type=int, required=True)
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     if a.kafka and not a.topic:
         ap.error("--topic is required with --kafka")
-    spark = build_session(a.master, app_name="flotilla-stream")
-    ck = a.checkpoint or f"{checkpoint_root(spark)}/flotilla-stream"
+    spark = build_session(a.master, app_name="flotilla-stream", shuffle_partitions=a.shuffle_partitions)
+    spark.conf.set("spark.sql.shuffle.partitions", str(a.shuffle_partitions))   # of a session that was there
+    ck = a.checkpoint or f"{a.output.rstrip('/')}/_checkpoints"
     if a.kafka:
-        records = kafka_records(spark, a.kafka, a.topic, a.starting_offsets, max_offsets=a.max_offsets)
+        records = kafka_records(spark, a.kafka, a.topic, starting_offsets=a.starting_offsets,
+                                max_offsets=a.max_offsets, fail_on_data_loss=not a.allow_data_loss)
     elif a.driver_events:
         from flotilla.plans.queries import driver_records
         records = driver_records(spark, a.driver_events, max_files=a.max_files)
@@ -62,7 +76,7 @@ def main(argv=None):
         for q in queries:
             q.awaitTermination()
     else:
-        spark.streams.awaitAnyTermination()
+        wait(spark)
 
 
 if __name__ == "__main__":

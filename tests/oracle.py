@@ -114,7 +114,7 @@ def main(argv):
     import __spark_entry__ as E
     from flotilla.session import build_session
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session(os.environ.get("ORACLE_MASTER", "local[8]"), shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = E.queries(), E.oracle_sql()
     names = argv or list(qs)

@@ -97,7 +97,7 @@ def test_log_parse_matches_line_rule(spark):
 def test_value_counts_share_and_guard(spark):
     df = spark.createDataFrame([("Alta",), ("Media",), ("Media",), (None,)], "severidad string")
     vc = dashboard.value_counts(df, "severidad")
-    assert [tuple(r) for r in vc.collect()] == [("Media", 2), ("Alta", 1)]
+    assert [tuple(r) for r in vc.collect()] == [("Media", 2, 1), ("Alta", 1, 2)]
     share = {r.severidad: r.porcentaje for r in dashboard.share_of_total(vc).collect()}
     assert share == {"Media": 66.7, "Alta": 33.3}
     try:

@@ -3,9 +3,13 @@
 import json
 import os
 
+import pytest
+
 from flotilla import schemas as S
 from flotilla.sinks import publish_counted
-from flotilla.sources import read_deliveries, read_gps, read_optional, read_vehicles
+from flotilla.sources import (
+    UnreadableInputError, kafka_options, read_deliveries, read_gps, read_optional, read_vehicles, refuse_if_nothing_fits,
+)
 
 
 def test_vehicle_csv_crlf_and_booleans(spark, tmp_dir):
@@ -43,9 +47,54 @@ def test_json_array_and_lines(spark, tmp_dir):
     assert a[0].satelites == 5
 
 
-def test_optional_table_missing_is_empty(spark, tmp_dir):
-    df = read_optional(spark, os.path.join(tmp_dir, "nope"), S.EVENT)
-    assert df.count() == 0 and df.schema == S.EVENT
+def test_optional_table_missing_is_none_and_logged(spark, tmp_dir, caplog):
+    assert read_optional(spark, os.path.join(tmp_dir, "nope"), S.EVENT) is None
+    assert "nope" in caplog.text
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_dir):
+    names = [f.name for f in S.DELIVERIES_RAW.fields]
+    swapped = [names[1], names[0], *names[2:]]
+    p = os.path.join(tmp_dir, "entregas.csv")
+    with open(p, "w") as f:
+        f.write(",".join([*swapped, "otra"]) + "\nABC-001,ORD-1,Lima,Callao,1.5,2025-01-01 10:00:00,Completado,45.0,2.5,CLI-1,x\n")
+    r = read_deliveries(spark, p).first()
+    assert (r.orden_id, r.placa_vehiculo, r.duracion_min) == ("ORD-1", "ABC-001", "45.0")
+    with open(p, "w") as f:
+        f.write(",".join(names[1:]) + "\n")
+    with pytest.raises(UnreadableInputError, match="orden_id"):
+        read_deliveries(spark, p)
+
+
+def test_malformed_records_are_marked(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "entregas.csv")
+    with open(p, "w") as f:
+        f.write(",".join(f.name for f in S.DELIVERIES_RAW.fields) + "\n")
+        f.write("ORD-1,A,Lima,Callao,heavy,2025-01-01 10:00:00,Completado,15,far,CLI-1\n")
+        f.write("ORD-2,A,Lima,Callao,,2025-01-01 10:00:00,Completado,15,2.5,CLI-1\n")
+    got = {r.orden_id: r.malo for r in read_deliveries(spark, p, bad_column="malo").collect()}
+    assert got == {"ORD-1": "peso_kg,distancia_km", "ORD-2": None}
+    j = os.path.join(tmp_dir, "gps.json")
+    with open(j, "w") as f:
+        f.write('{"registro_id": "G1", "satelites": 5}\n{"registro_id": "G2", "satelites": "many"}\nnot json\n')
+    rows = read_gps(spark, j, bad_column="malo").collect()
+    assert [r.malo is None for r in rows] == [True, False, False] and rows[1].registro_id == "G2"
+
+
+def test_nothing_that_fits_is_an_error():
+    refuse_if_nothing_fits("gps", 0, 0)
+    refuse_if_nothing_fits("gps", 5, 4)
+    with pytest.raises(UnreadableInputError):
+        refuse_if_nothing_fits("gps", 5, 5)
+
+
+def test_kafka_options():
+    from flotilla.sinks.stream import topic_options
+    assert kafka_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "subscribe": "t",
+                                         "startingOffsets": "earliest", "failOnDataLoss": "true"}
+    more = kafka_options("h:1", "t", starting_offsets="latest", max_offsets=5, fail_on_data_loss=False)
+    assert (more["startingOffsets"], more["maxOffsetsPerTrigger"], more["failOnDataLoss"]) == ("latest", "5", "false")
+    assert topic_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "topic": "t"}
 
 
 def test_counted_publish(spark, tmp_dir):

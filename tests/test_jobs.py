@@ -7,7 +7,7 @@ import pytest
 
 from flotilla import schemas as S
 from flotilla.plans.batch import read_inputs, run_batch, run_dashboard
-from flotilla.sources import read_table
+from flotilla.sources import UnreadableInputError, read_table
 
 
 def _inputs(folder):
@@ -58,6 +58,26 @@ def test_batch_and_dashboard_jobs(spark, tmp_dir):
     assert kpis["Total Entregas"].valor == 3 and kpis["Total Entregas"].texto == "3"
     assert kpis["Tasa Éxito Promedio"].texto == "25.00%"        # (50 + 0) / 2
     assert spark.read.parquet(f"{dash}/eventos_por_tipo").count() == 0   # no stream table yet
+    assert spark.read.parquet(f"{dash}/calidad").first()[:] == ("eventos", "ausente", 1)
+
+
+def test_batch_job_counts_what_does_not_fit_and_stops_if_nothing_does(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    _inputs(src)
+    # the arrays read line by line: no record fits, and the job says so
+    with pytest.raises(UnreadableInputError, match="multi-line"):
+        run_batch(spark, read_inputs(spark, src), f"{tmp_dir}/out")
+    lines = [{"registro_id": "G1", "placa_vehiculo": "A", "velocidad_kmh": 60.0, "satelites": 8},
+             {"registro_id": "G2", "placa_vehiculo": "A", "velocidad_kmh": "fast", "satelites": 8}]
+    with open(f"{src}/gps_registros.json", "w") as f:
+        f.write("\n".join(map(json.dumps, lines)))
+    with open(f"{src}/incidencias.json", "w") as f:
+        f.write(json.dumps({"incidencia_id": "I1", "costo_estimado_soles": 1.5}) + "\n")
+    counts = {(r.tabla, r.etapa): r.filas for r in run_batch(spark, read_inputs(spark, src), f"{tmp_dir}/out").collect()}
+    assert counts[("rutas_gps", "leidas")] == 2 and counts[("rutas_gps", "malformadas")] == 1
+    assert counts[("vehiculos", "leidas")] == 2 and counts[("vehiculos", "malformadas")] == 0
+    assert counts[("entregas", "malformadas")] == 0 and ("eventos_sistema", "malformadas") not in counts
+    assert "_malformado" not in read_table(spark, f"{tmp_dir}/out/rutas_gps").columns
 
 
 def test_stream_job_available_now(spark, tmp_dir):
@@ -68,8 +88,8 @@ def test_stream_job_available_now(spark, tmp_dir):
     import datetime as dt
     rows = [(k, v, dt.datetime(2025, 1, 1, 10, 0)) for k, v, _ in rows]
     spark.createDataFrame(rows, S.KEYED_RECORD).write.parquet(src)
-    job.main(["--records", src, "--output", f"{tmp_dir}/out", "--checkpoint", f"{tmp_dir}/ck",
-              "--available-now"])
+    job.main(["--records", src, "--output", f"{tmp_dir}/out", "--available-now",
+              "--shuffle-partitions", "4"])
     assert spark.read.parquet(f"{tmp_dir}/out/eventos_streaming").count() == 1
     assert spark.read.parquet(f"{tmp_dir}/out/alertas_streaming").count() == 1
 
@@ -103,7 +123,7 @@ def test_stream_job_on_driver_events_equals_the_stream_queries(spark, tmp_dir, s
     if not os.path.isdir(sf):
         return
     job.main(["--driver-events", sf, "--output", f"{tmp_dir}/out", "--checkpoint", f"{tmp_dir}/ck",
-              "--available-now"] + (["--shared-feeds"] if shared else []))
+              "--available-now", "--shuffle-partitions", "4"] + (["--shared-feeds"] if shared else []))
     alerts = as_wall_clock(read_table(spark, f"{tmp_dir}/out/alertas_streaming").drop("batch_id", "procesado_en"))
     alert_q = E.queries()["alert_feed"](spark, sf)
     assert sorted(map(tuple, alerts.select(*alert_q.columns).collect()), key=str) == \
@@ -113,10 +133,11 @@ def test_stream_job_on_driver_events_equals_the_stream_queries(spark, tmp_dir, s
         return sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
     feed = as_wall_clock(read_table(spark, f"{tmp_dir}/out/eventos_streaming").drop("dia", "batch_id"))
     assert same(feed.select(*E.queries()["event_feed"](spark, sf).columns), E.queries()["event_feed"](spark, sf))
-    summary = as_wall_clock(read_table(spark, f"{tmp_dir}/out/resumen_eventos"))
+    from flotilla.plans.queries import _stamp_checked
+    summary = as_wall_clock(_stamp_checked(read_table(spark, f"{tmp_dir}/out/resumen_eventos")))
     closed = E.queries()["events_by_type_1m_closed"](spark, sf)
     assert same(summary.select(*closed.columns), closed)
-    per_vehicle = as_wall_clock(read_table(spark, f"{tmp_dir}/out/resumen_alertas"))
+    per_vehicle = as_wall_clock(_stamp_checked(read_table(spark, f"{tmp_dir}/out/resumen_alertas")))
     closed_alerts = E.queries()["alerts_by_vehicle_2m_closed"](spark, sf)
     assert same(per_vehicle.select(*closed_alerts.columns), closed_alerts)
 
@@ -130,7 +151,7 @@ def test_batch_stream_and_dashboard_jobs_end_to_end(spark, tmp_dir):
         return
     out, dash = f"{tmp_dir}/published", f"{tmp_dir}/dash"
     run_batch(spark, read_driver_inputs(spark, sf), out, report_time="2024-02-01 00:00:00")
-    job.main(["--driver-events", sf, "--output", out, "--checkpoint", f"{tmp_dir}/ck", "--available-now"])
+    job.main(["--driver-events", sf, "--output", out, "--available-now", "--shuffle-partitions", "4"])
     run_dashboard(spark, out, dash)
     kinds = {r.tipo_evento: r.cantidad for r in spark.read.parquet(f"{dash}/eventos_por_tipo").collect()}
     assert set(kinds) == {"gps_update", "speed_alert", "route_deviation", "delivery_status"}

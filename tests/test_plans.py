@@ -30,7 +30,7 @@ def test_dedup_limits_each_key_before_the_shuffle(spark):
 def test_scans_read_only_used_columns(spark):
     p = plan(E.queries()["delivery_kpis"](spark, SF))
     schema = re.search(r"ReadSchema: struct<([^\n]*)>", p).group(1)
-    assert "l_discount" not in schema and "l_tax" not in schema
+    assert "l_discount" in schema and "l_tax" not in schema     # the distance needs the discount
 
 
 def test_event_json_parsed_once_per_record(spark):
@@ -48,11 +48,39 @@ def test_top_k_is_not_a_full_sort(spark):
     assert "TakeOrderedAndProject" in p
 
 
-def test_master_broadcast_only_after_size_check(spark):
-    from flotilla.operators import report
-    p = plan(E.queries()["fleet_report"](spark, SF), "simple")
-    assert "BroadcastHashJoin" in p
-    assert report.MASTER_BROADCAST_ROWS >= 1000
+def test_building_the_report_runs_nothing_and_hints_nothing(spark):
+    E.queries()["fleet_report"](spark, SF).count()      # settings and file listings are done once
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    df = E.queries()["fleet_report"](spark, SF)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    assert "Hint" not in df._jdf.queryExecution().logical().toString()
+
+
+def test_time_filter_on_decoded_records_reaches_the_scan(spark, tmp_dir):
+    import datetime as dt
+
+    from flotilla.operators.events import decode_records
+    from flotilla.plans.queries import Inputs
+    Inputs(spark, SF).records().write.parquet(f"{tmp_dir}/records")
+    records = spark.read.parquet(f"{tmp_dir}/records")
+    from pyspark.sql import functions as F
+    late = decode_records(records).where(F.col("kafka_timestamp") >= F.lit(dt.datetime(2024, 1, 15)))
+    p = plan(late, "simple")
+    assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(timestamp", p) and p.count("from_json(") == 1
+
+
+def test_counting_kinds_decodes_two_fields(spark):
+    p = plan(E.queries()["event_type_counts"](spark, SF), "extended")
+    assert re.search(r"from_json\(StructField\(tipo_evento[^)]*\), ?StructField\(placa_vehiculo|"
+                     r"from_json\(StructField\(tipo_evento", p) and "nivel_alerta,StringType" not in p.split("from_json")[1][:200]
+
+
+def test_counts_clean_each_source_once(spark):
+    for name in ("stage_counts", "headline_kpis"):
+        p = plan(E.queries()[name](spark, SF), "simple")
+        for key in ("orden_id", "registro_id", "incidencia_id"):
+            windows = [x for x in p.splitlines() if " Window [row_number()" in x and f"[{key}#" in x]
+            assert len(windows) <= 1, (name, key)
 
 
 def test_alert_rules_do_not_reparse_json(spark):
@@ -68,9 +96,7 @@ def test_filters_over_decoded_events_and_log_lines_do_not_recompute(spark):
     assert p.count("split(") == 1 and "regexp_replace" not in p
 
 
-def test_without_broadcasts_kpi_joins_reuse_the_aggregate_partitioning(spark, monkeypatch):
-    from flotilla.operators import report
-    monkeypatch.setattr(report, "MASTER_BROADCAST_ROWS", 0)
+def test_without_broadcasts_kpi_joins_reuse_the_aggregate_partitioning(spark):
     keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     old = {k: spark.conf.get(k, None) for k in keys}
     try:

@@ -4,13 +4,16 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from flotilla import schemas as S
 from flotilla.operators import events, windows
-from flotilla.sinks.stream import append_feed, read_latest, replace_table
+from flotilla.sinks.stream import (
+    FolderInUseError, append_feed, claim, console_feed, read_latest, replace_table, upsert_table,
+)
 from flotilla.sources import file_records
-from flotilla.streaming import build_plan
+from flotilla.streaming import build_plan, start_plan
 
 
 def _write_slice(spark, folder, rows, i):
@@ -95,6 +98,8 @@ def test_alert_windows_and_latest_snapshot(spark, tmp_dir):
     rows = [(r.placa_vehiculo, r.alerta_tipo, r.total_alertas, r.ventana_inicio)
             for r in spark.read.parquet(out).collect()]
     assert rows == [("A", "VELOCIDAD_EXCEDIDA", 2, _m(0))]
+    assert "procesado_en" in spark.read.parquet(out).columns                    # P6
+    assert "procesado_en" in build_plan(recs).events_by_type.columns
 
     latest = os.path.join(tmp_dir, "latest")
     q = replace_table(windows.vehicle_counts(dec, watermark=S.EVENT_WATERMARK),
@@ -105,19 +110,141 @@ def test_alert_windows_and_latest_snapshot(spark, tmp_dir):
     assert snap.count() == 3 and "batch_id" not in snap.columns
 
 
-def test_latest_snapshots_are_bounded(spark, tmp_dir):
+def _latest(spark, src, out, ck, merge_every=20, watch=None):
+    dec = events.decode_records(file_records(spark, src + "/*", max_files=1))
+    per_vehicle = windows.flatten_window(windows.vehicle_counts(dec, watermark=S.EVENT_WATERMARK))
+    q = upsert_table(per_vehicle, "t_upsert", out, ck, windows.LATEST_KEYS, trigger="availableNow",
+                     merge_every=merge_every, watch=watch)
+    q.awaitTermination()
+    return q, {(r.ventana_inicio, r.tipo_evento): (r.cantidad_eventos, r.vehiculos_afectados)
+               for r in windows.roll_up_latest(read_latest(spark, out)).collect()}
+
+
+def test_upserts_equal_the_batch_over_restarts_and_merges(spark, tmp_dir):
+    src, out, ck = (os.path.join(tmp_dir, x) for x in ("src", "out", "ck"))
+    rows = [_ev(i, "gps_update" if i % 3 else "speed_alert", "ABC"[i % 3], _m(i // 4, i)) for i in range(24)]
+    for k in range(4):
+        _write_slice(spark, src, rows[6 * k:6 * k + 6], k)
+
+    def batch():
+        all_rows = events.decode_records(spark.read.parquet(src + "/*"))
+        return {(r.ventana_inicio, r.tipo_evento): (r.cantidad_eventos, r.vehiculos_afectados)
+                for r in windows.events_by_type(all_rows).collect()}
+    seen = []
+    assert _latest(spark, src, out, ck, 2, lambda t, n: seen.append((n, t.count())))[1] == batch()
+    assert [n for n, _ in seen][:4] == [0, 1, 2, 3] and seen[-1][1] >= seen[0][1]
+    _write_slice(spark, src, [_ev(90, "gps_update", "Z", _m(8))], 4)
+    assert _latest(spark, src, out, ck, 2)[1] == batch()            # restart
+    assert _latest(spark, src, out, ck + "_new")[1] == batch()      # another checkpoint on the old folder
+    runs = [x for x in os.listdir(out) if x.startswith("run=")]
+    assert len([x for r in runs for x in os.listdir(os.path.join(out, r)) if not x.startswith(".")]) <= 20
+
+
+def test_state_of_closed_windows_is_dropped(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    for k in range(5):      # a window of 20 vehicles each, ten minutes apart
+        _write_slice(spark, src, [_ev(100 * k + i, "gps_update", f"P{i}", _m(10 * k, i)) for i in range(20)], k)
+    q, got = _latest(spark, src, out, out + "_ck")
+    state = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert len(got) == 5 and max(state) < 100 and state[-1] <= 20
+
+
+def test_a_folder_goes_on_with_its_own_checkpoint_only(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    _write_slice(spark, src, [_ev(i, "speed_alert", "A", _m(i)) for i in range(5)], 0)
+
+    def start(ck, shared):
+        return start_plan(build_plan(file_records(spark, src + "/*")), out, ck, "availableNow", "availableNow",
+                          shared_feeds=shared, prefix="t" + str(len(spark.streams.active)))
+    for q in start(out + "/_checkpoints", False):
+        q.awaitTermination()
+    _write_slice(spark, src, [_ev(10 + i, "speed_alert", "B", _m(i)) for i in range(7)], 1)
+    for ck, shared, what in ((out + "_other", False, "checkpoint"), (out + "/_checkpoints", True, "layout")):
+        with pytest.raises(FolderInUseError, match=what):
+            start(ck, shared)
+    for q in start(out + "/_checkpoints", False):
+        q.awaitTermination()
+    for name in ("eventos_streaming", "alertas_streaming"):
+        assert spark.read.parquet(f"{out}/{name}").count() == 12
+    foreign = os.path.join(tmp_dir, "foreign")
+    spark.range(3).write.parquet(foreign)
+    with pytest.raises(FolderInUseError, match="unknown"):
+        claim(spark, foreign, out + "_third", "file sink")
+
+
+def test_default_triggers_are_those_of_the_application():
+    import inspect
+    defaults = {k: p.default for k, p in inspect.signature(start_plan).parameters.items()}
+    assert defaults["feed_trigger"] == "10 seconds" and defaults["summary_trigger"] == "30 seconds"
+
+
+class _Writer:
+    """Records the calls of a stream writer."""
+    def __init__(self):
+        self.calls = {}
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            self.calls[name] = args or kwargs
+            return self
+        return call
+
+
+def test_processing_time_trigger_is_set():
+    from flotilla.sinks.stream import _trigger
+    for given, want in (("10 seconds", {"processingTime": "10 seconds"}), ("availableNow", {"availableNow": True})):
+        w = _Writer()
+        _trigger(w, given)
+        assert w.calls["trigger"] == want
+
+
+def test_processing_time_stream_and_console(spark, tmp_dir, capsys):
+    """A query on a timed trigger goes on with new files; the job ends when one stops."""
+    import threading
+    import time
+
+    import jobs.stream_job as job
+    src = os.path.join(tmp_dir, "src")
+    _write_slice(spark, src, [_ev(1, "gps_update", "A", _m(0))], 0)
+    dec = events.decode_records(file_records(spark, src + "/*"))
+    spark.streams.resetTerminated()
+    q = console_feed(dec.groupBy("tipo_evento").count(), "t_console", os.path.join(tmp_dir, "ck"),
+                     trigger="1 second", order=[F.asc("tipo_evento")])
+    q.processAllAvailable()
+    _write_slice(spark, src, [_ev(2, "speed_alert", "A", _m(1), 120.0)], 1)
+    q.processAllAvailable()
+    waiting = threading.Thread(target=job.wait, args=(spark,))
+    waiting.start()
+    time.sleep(0.5)
+    assert waiting.is_alive()
+    q.stop()
+    waiting.join(20)
+    assert not waiting.is_alive()
+    out = capsys.readouterr().out
+    assert "t_console batch 0" in out and "t_console batch 1" in out and "speed_alert" in out
+
+
+def test_snapshots_follow_the_commit_note(spark, tmp_dir):
     src = os.path.join(tmp_dir, "src")
     for i in range(3):
         _write_slice(spark, src, [_ev(i, "gps_update", "A", _m(i))], i)
     dec = events.decode_records(file_records(spark, src + "/*", max_files=1))
     latest = os.path.join(tmp_dir, "latest")
     q = replace_table(windows.vehicle_counts(dec, watermark=S.EVENT_WATERMARK),
-                      "t_bounded", latest, latest + "_ck", trigger="availableNow", retain=1,
+                      "t_bounded", latest, latest + "_ck", trigger="availableNow",
                       transform=windows.roll_up_vehicles)
     q.awaitTermination()
-    every = spark.read.parquet(latest)
-    assert sorted({r.batch_id for r in every.select("batch_id").collect()}) == [2]   # older ones emptied
+    run, = [x for x in os.listdir(latest) if x.startswith("run=")]
+    assert [x for x in os.listdir(f"{latest}/{run}") if not x.startswith(".")] == ["batch=2"]     # older ones are gone
     assert read_latest(spark, latest).count() == 3
+    # a new checkpoint starts at batch 0 again, with more in the source: its result counts
+    _write_slice(spark, src, [_ev(9, "gps_update", "B", _m(9))], 3)
+    again = events.decode_records(file_records(spark, src + "/*"))
+    replace_table(windows.vehicle_counts(again, watermark=S.EVENT_WATERMARK), "t_bounded_new", latest, latest + "_ck2",
+                  trigger="availableNow", transform=windows.roll_up_vehicles).awaitTermination()
+    assert read_latest(spark, latest).count() == 4
+    with pytest.raises(FileNotFoundError):
+        read_latest(spark, os.path.join(tmp_dir, "none"))
 
 
 def test_approximate_distinct_vehicles_within_error(spark):
