@@ -63,6 +63,19 @@ def digest(column: Column) -> Column:
     return F.unhex(F.md5(column.cast("binary")))
 
 
+# Copies of earlier texts are marked by a broadcast up to this many rows (24 bytes each).
+BROADCAST_COPIES = 300_000
+
+
+def later_copies(base: DataFrame) -> DataFrame:
+    """``id, digest, copy`` (true) of the rows of ``base`` whose text (``digest``) a smaller id has."""
+    ids = base.select("digest", "id")
+    copies = stored(ids.join(ids.groupBy("digest").agg(F.min("id").alias("least")), "digest")
+                    .where(F.col("id") > F.col("least")).select("id", "digest").distinct()
+                    .withColumn("copy", F.lit(True)), "copies")
+    return F.broadcast(copies) if copies.count() <= BROADCAST_COPIES else copies
+
+
 # --- Arrow text columns as flat bytes ---------------------------------------------------
 
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:

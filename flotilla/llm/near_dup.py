@@ -1,14 +1,15 @@
 """Operator 5: near-duplicates by HyperMinHash registers, exact links on full shingle sets.
 
 A document's shingle hashes fall into REGISTERS buckets. Of the least hash in a bucket the
-register keeps the number of leading zeros and ten bits after them (two bytes, zero if the
-bucket is empty). Documents with equal sets form one class; classes that agree in a band of
-registers are candidates.
-
-First every class of a band's bucket is compared with the bucket's least one. Then only pairs
-that are not yet in one component are left: the outsiders of a bucket against all its members,
-in blocks of bounded size. Either way the registers' Jaccard estimate, corrected for registers
-that agree by chance, has to come near the threshold, and the link is confirmed on full sets.
+register keeps the number of leading zeros and four bits after them, one byte in all, zero if
+the bucket is empty. Documents whose least hashes agree in a band, a fixed group of buckets,
+are candidates. Equal texts are one node from the start.
+
+In each band's bucket the node that shares most with others is the hub: all nodes of the bucket
+are compared with it first. Then only pairs that are not yet in one component are left: the
+outsiders of a bucket against all its members, in blocks of bounded size. Either way the
+registers' Jaccard estimate, corrected for registers that agree by chance, has to come near the
+threshold, and the link is confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -17,19 +18,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flotilla.llm.common import (NOT_WHITE, Words, column_of, documents, flat, id_back, id_or_last, mix,
-                                 ship, slices, stored)
+from flotilla.llm.common import (NOT_WHITE, Words, column_of, digest, documents, flat, id_back, id_or_last,
+                                 later_copies, mix, ship, slices, stored)
 from flotilla.llm.components import components
 
 ROWS, BANDS = 5, 32         # a pair at 0.85 shares no band once in 10**8, one at 0.8 once in 3 * 10**5
-REGISTERS = ROWS * BANDS
-MANTISSA_BITS = 10
+COARSE = ROWS * BANDS       # buckets that bands are made of
+REGISTERS = 4 * COARSE
+ZEROS_MOST, MANTISSA_BITS = 14, 4
+# Different least hashes give the same register with a probability between 1 / 88 (many shingles
+# in a bucket) and 1 / 48 (one): about this.
+CHANCE = 1 / 64
 # A pair is dropped unverified when its estimate is this many standard errors below the threshold.
 SLACK = 4.5
-BLOCK = 256                 # classes on either side of a block of comparisons
-MEMBERS = 2000              # classes compared with one copy of a hub's set in a task
+BLOCK = 256                 # nodes on either side of a block of comparisons
+MEMBERS = 2000              # nodes compared with one copy of a hub's set in a task
 # Ids of the documents whose sets are needed go to all executors up to this many.
 BROADCAST_IDS = 300_000
 
@@ -78,98 +83,107 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray,
     return s, np.searchsorted(t, np.arange(n_texts + 1))
 
 
+def _places(sets: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of each hash and its place in the bucket; both ascend with the hash."""
+    scaled = (sets >> np.uint64(32)) * np.uint64(buckets)
+    place = (scaled << np.uint64(32)) | (sets & np.uint64(0xFFFFFFFF))
+    return (scaled >> np.uint64(32)).astype(np.int64), place
+
+
+def _least(text: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Where a text's hashes enter a bucket: there the least one of it stands."""
+    first = np.ones(len(text), bool)
+    first[1:] = (bucket[1:] != bucket[:-1]) | (text[1:] != text[:-1])
+    return np.flatnonzero(first)
+
+
 def registers(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """One row of REGISTERS values of two bytes for each set."""
+    """One row of REGISTERS bytes for each set."""
     n = len(off) - 1
-    out = np.zeros((n, REGISTERS), np.uint16)
+    out = np.zeros((n, REGISTERS), np.uint8)
     text = np.repeat(np.arange(n), np.diff(off))
-    scaled = (sets >> np.uint64(32)) * np.uint64(REGISTERS)
-    bucket = (scaled >> np.uint64(32)).astype(np.int64)
-    first = np.ones(len(sets), bool)            # hashes ascend, and so do their buckets
-    first[1:] = (bucket[1:] != bucket[:-1]) | (text[1:] != text[:-1])
-    at = np.flatnonzero(first)
-    place = (scaled[at] << np.uint64(32)) | (sets[at] & np.uint64(0xFFFFFFFF))     # within the bucket
+    bucket, place = _places(sets, REGISTERS)
+    at = _least(text, bucket)
+    place = place[at]
     top = (place >> np.uint64(11)).astype(np.float64)       # 53 bits: exact
     zeros = np.where(top > 0, 53 - np.frexp(top)[1], 53).astype(np.uint64)
     after = (place << np.minimum(zeros + np.uint64(1), np.uint64(63))) >> np.uint64(64 - MANTISSA_BITS)
+    zeros = np.minimum(zeros, np.uint64(ZEROS_MOST))
     out[text[at], bucket[at]] = (zeros << np.uint64(MANTISSA_BITS)) + after + np.uint64(1)
     return out
 
 
-def set_keys(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """16 bytes that stand for each set (two sums of scrambled hashes); empty sets give zeros."""
-    out = np.zeros((len(off) - 1, 2), np.uint64)
-    full = np.flatnonzero(np.diff(off))
-    if len(full):
-        for j, salt in enumerate((0x51ED270B, 0xA24BAED4)):
-            out[full, j] = np.add.reduceat(mix(sets + np.uint64(salt)), off[:-1][full])
+def band_keys(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """One row of BANDS hashes of the bands' least hashes for each set; 0 where a band is empty."""
+    n = len(off) - 1
+    text = np.repeat(np.arange(n), np.diff(off))
+    bucket, _ = _places(sets, COARSE)
+    at = _least(text, bucket)
+    least = np.zeros((n, COARSE), np.uint64)
+    least[text[at], bucket[at]] = mix(sets[at] + np.uint64(1)) | np.uint64(1)
+    least = least.reshape(n, BANDS, ROWS)
+    out = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (n, BANDS)).copy()
+    for j in range(ROWS):
+        out = mix(out ^ least[:, :, j])
+    out[~least.any(-1)] = 0
     return out
 
 
-def estimates(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Jaccard estimates of register rows and the number of registers they rest on. Two different
-    minima agree in a register with probability about 0.72 / 2**bits * ab / (a + b)**2."""
-    filled = (a != 0) | (b != 0)
-    used = filled.sum(-1)
-    same = ((a == b) & filled).sum(-1) / np.maximum(used, 1)
-    total = size_a.astype(float) + size_b
-    chance = 0.7213 / 2**MANTISSA_BITS * size_a * size_b / np.maximum(total * total, 1)
-    return (same - chance) / (1 - chance), used
+def estimates(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Jaccard estimates of register rows, corrected for agreement by chance, and the number of
+    registers they rest on."""
+    used = ((a != 0) | (b != 0)).sum(-1)
+    both = ((a != 0) & (b != 0)).sum(-1)
+    same = ((a == b) & (a != 0)).sum(-1)
+    return (same - CHANCE * both) / (1 - CHANCE) / np.maximum(used, 1), used
 
 
 def near_enough(a, b, size_a, size_b, percent: int) -> np.ndarray:
-    value, used = estimates(a, b, size_a, size_b)
-    t = percent / 100
-    return value >= t - SLACK * np.sqrt(t * (1 - t) / np.maximum(used, 1))
+    """Whether estimates come within SLACK standard errors of the threshold. The registers in use
+    are a sample, without replacement, of the union; chance agreement adds its own noise."""
+    value, used = estimates(a, b)
+    t, used = percent / 100, np.maximum(used, 1)
+    union = np.maximum((size_a + size_b) / (1 + t), 2)
+    unseen = np.clip((union - used) / (union - 1), 0, 1)
+    return value >= t - SLACK * np.sqrt((t * (1 - t) * unseen + 0.004) / used)
 
 
 # --- the steps --------------------------------------------------------------------------
 
-def text_hash() -> Column:
-    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-
-
-def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``id, text_hash, n, set_key, regs`` of each row; the key of an empty set is null."""
-    ship(docs.sparkSession)
+def sketches(firsts: DataFrame, rule: Rule) -> DataFrame:
+    """``id, digest, n, bands, regs`` of each row with ``id, digest, text``."""
+    ship(firsts.sparkSession)
 
     def sketch(batches):
         for part in slices(batches):
             sets, off = shingle_sets(*flat(column_of(part, "text")), rule.words)
-            n, keys, regs = np.diff(off), set_keys(sets, off), registers(sets, off)
-            none = n == 0
-            yield pa.RecordBatch.from_arrays([
-                column_of(part, "id"), column_of(part, "text_hash"), pa.array(n),
-                pa.array([None if e else k.tobytes() for k, e in zip(keys, none, strict=True)], pa.binary()),
-                pa.array([None if e else r.tobytes() for r, e in zip(regs, none, strict=True)], pa.binary())],
-                ["id", "text_hash", "n", "set_key", "regs"])
-
-    return docs.select(id_or_last().alias("id"), text_hash().alias("text_hash"), "text") \
-        .mapInArrow(sketch, "id long, text_hash long, n long, set_key binary, regs binary")
-
+            full = np.diff(off) > 0
+            regs = pa.array([r.tobytes() if f else None for r, f in zip(registers(sets, off), full, strict=True)], pa.binary())
+            keys = pa.array([k[k != 0].view(np.int64).tolist() for k in band_keys(sets, off)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([column_of(part, "id"), column_of(part, "digest"), pa.array(np.diff(off)),
+                                              keys, regs], ["id", "digest", "n", "bands", "regs"])
 
-def classes_of(sketch: DataFrame) -> DataFrame:
-    """``node, id, n, set_key, regs``: a number and the least id for each distinct set."""
-    least = sketch.where(F.col("n") > 0).groupBy("set_key").agg(F.min("id").alias("id"))
-    one = sketch.join(least, ["set_key", "id"]).dropDuplicates(["set_key"])
-    return stored(one.select(F.monotonically_increasing_id().alias("node"), "id", "n", "set_key", "regs"), "classes")
+    return firsts.select("id", "digest", "text") \
+        .mapInArrow(sketch, "id long, digest binary, n long, bands array<long>, regs binary")
 
 
-def _bands(regs: Column) -> Column:
-    width = 2 * ROWS
-    empty = F.lit(bytearray(width))
-    cut = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
-                      lambda i: F.struct(i.alias("band"), F.substring(regs, i * width + 1, F.lit(width)).alias("part")))
-    return F.transform(F.filter(cut, lambda x: x["part"] != empty), lambda x: F.xxhash64(x["band"], x["part"]))
+def _hubs(bands: DataFrame) -> DataFrame:
+    """``key, node, hub`` of the buckets with two nodes or more. A node's weight is how many others
+    it meets in all its buckets; the hub is the heaviest node, and of those the least."""
+    sizes = bands.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
+    shared = stored(bands.join(sizes, "key"), "shared-bands")
+    weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
+    heaviest = shared.select("key", "node").join(weights, "node").groupBy("key") \
+        .agg(F.min(F.struct((-F.col("weight")).alias("w"), "node")).alias("first")).select("key", F.col("first.node").alias("hub"))
+    return stored(shared.select("key", "node").join(heaviest, "key"), "members")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, base: DataFrame, rule: Rule) -> DataFrame:
     """Of ``pairs`` (``hub``, ``node``), those linked by their full sets.
 
-    Sets are made from whole texts of the classes' least documents and sent to the hub's tasks:
-    a hub with many members has several, each with its own copy of the hub's set.
+    Sets are made from whole texts of the nodes' documents and sent to the hub's tasks: a hub
+    with many members has several, each with its own copy of the hub's set.
     """
-    spark = pairs.sparkSession
     pairs = stored(pairs, "pairs")
     splits = pairs.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).cast("int").alias("parts"))
     members = pairs.join(splits, "hub").select(
@@ -178,22 +192,23 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule)
     hubs = splits.select(F.col("hub").alias("node"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")) \
         .select("node", F.struct(F.col("node").alias("hub"), "part", F.lit(0).alias("role")).alias("role"))
     roles = stored(members.unionByName(hubs).groupBy("node").agg(F.collect_list("role").alias("roles"))
-                   .join(classes.select("node", "id", "set_key"), "node"), "roles")
+                   .join(nodes.select("node", "id", "digest"), "node"), "roles")
     if roles.count() <= BROADCAST_IDS and pairs.count() <= BROADCAST_IDS:
         roles = F.broadcast(roles)
-    texts = docs.select(id_or_last().alias("id"), "text").join(roles, "id")
+    texts = base.join(roles, ["id", "digest"])      # a row that repeats sends its set twice: no harm
 
     def build(batches):
         for part in slices(batches):
             sets, off = shingle_sets(*flat(column_of(part, "text")), rule.words)
-            keys, wanted = set_keys(sets, off), column_of(part, "set_key").to_pylist()
-            nodes, roles = column_of(part, "node").to_pylist(), column_of(part, "roles").to_pylist()
             out = []
-            for i, own in enumerate(wanted):
-                if keys[i].tobytes() == own:    # another text may share the id
-                    raw = sets[off[i]:off[i + 1]].tobytes()
-                    out += [{"hub": r["hub"], "part": r["part"], "role": r["role"], "node": nodes[i], "set": raw}
-                            for r in roles[i]]
+            for i, (node, own) in enumerate(zip(column_of(part, "node").to_pylist(), column_of(part, "roles").to_pylist(),
+                                                strict=True)):
+                raw = sets[off[i]:off[i + 1]].tobytes()
+                for r in own:
+                    out.append({"hub": r["hub"], "part": r["part"], "role": r["role"], "node": node, "set": raw})
+                    if len(out) >= 1000:
+                        yield pa.RecordBatch.from_pylist(out, schema=SENT)
+                        out = []
             yield pa.RecordBatch.from_pylist(out, schema=SENT)
 
     def compare(batches):
@@ -223,29 +238,28 @@ SENT = pa.schema([("hub", pa.int64()), ("part", pa.int32()), ("role", pa.int32()
                   ("set", pa.binary())])
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+def _estimated(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """The ``hub, node`` pairs whose registers come near the threshold."""
     def look(batches):
         for b in batches:
-            a, c = (np.frombuffer(b"".join(column_of(b, x).to_pylist()), np.uint16).reshape(-1, REGISTERS)
-                    for x in ("regs_a", "regs_b"))
+            a, c = (flat(column_of(b, x))[0].reshape(-1, REGISTERS) for x in ("regs_a", "regs_b"))
             ok = near_enough(a, c, column_of(b, "n_a").to_numpy(), column_of(b, "n_b").to_numpy(), rule.percent)
             yield b.select(["hub", "node"]).filter(pa.array(ok))
 
-    side = lambda name, tag: classes.select(
+    side = lambda name, tag: nodes.select(
         F.col("node").alias(name), F.col("regs").alias(f"regs_{tag}"), F.col("n").alias(f"n_{tag}"))
     return pairs.join(side("hub", "a"), "hub").join(side("node", "b"), "node") \
         .mapInArrow(look, "hub long, node long")
 
 
-def _across(open_members: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+def _across(open_members: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of different labels in the same bucket whose registers come near the threshold.
     ``open_members``: ``key, node, label, outside, n_out, n_all``. Outsiders meet all members
-    of their bucket, block by block; a block has about BLOCK classes on either side."""
+    of their bucket, block by block; a block has about BLOCK nodes on either side."""
     def blocks(count):
         return F.ceil(F.col(count) / F.lit(BLOCK)).cast("int")
 
-    rows = open_members.join(classes.select("node", "regs", "n"), "node") \
+    rows = open_members.join(nodes.select("node", "regs", "n"), "node") \
         .withColumn("nb_out", blocks("n_out")).withColumn("nb_all", blocks("n_all"))
     own = F.xxhash64("node")
     left = rows.where("outside").select(
@@ -274,8 +288,12 @@ def _across(open_members: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
 
     def meet(batches):
         found_a, found_b = [], []
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["x", "y"])
+
         for g in groups(batches):
-            regs = np.frombuffer(b"".join(column_of(g, "regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+            regs = flat(column_of(g, "regs"))[0].reshape(-1, REGISTERS)
             node, label, n = (column_of(g, c).to_numpy() for c in ("node", "label", "n"))
             side = column_of(g, "side").to_numpy()
             out = np.asarray(column_of(g, "outside").to_pylist(), bool)
@@ -287,16 +305,17 @@ def _across(open_members: DataFrame, classes: DataFrame, rule: Rule) -> DataFram
                 found_a += [int(node[x])] * len(ok)
                 found_b += node[ok].tolist()
             if len(found_a) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["x", "y"])
+                yield rows()
                 found_a, found_b = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["x", "y"])
+        yield rows()
 
     return dealt.mapInArrow(meet, "x long, y long") \
         .select(F.least("x", "y").alias("hub"), F.greatest("x", "y").alias("node")).distinct()
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """``id, text_hash, doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (``doc_id``, ``text``).
+    """``id, digest, doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (``doc_id``,
+    ``text``).
 
     ``component_id`` is the smallest id that links reach; ``kept`` says that the row has it. Rows
     without words (null, empty, white space) link with nothing and are kept. Rows without an id
@@ -304,47 +323,54 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     kept. Rows that repeat an id and a text are kept or not alike. Empty tables give no rows;
     other columns are ignored.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = stored(sketches(docs, rule), "sketches")
-    classes = classes_of(sketch)
-    bands = classes.select("node", F.explode(_bands(F.col("regs"))).alias("key"))
-    hubs = bands.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")) \
-        .where(F.col("hub") < F.col("last")).drop("last")
-    members = stored(bands.join(hubs, "key"), "members")        # of buckets with two classes or more
+    base = _base(docs)
+    firsts = base.join(later_copies(base), ["id", "digest"], "left").where(F.col("copy").isNull()).drop("copy")
+    found = stored(sketches(firsts, rule).withColumn("node", F.monotonically_increasing_id()), "sketches")
+    # a row that repeats an id and a text is one node
+    one = found.groupBy("id", "digest").agg(F.min("node").alias("node"), F.max("n").alias("n"))
+    bands = found.where(F.size("bands") > 0).select("node", F.explode("bands").alias("key"))
+    members = _hubs(bands)
+    nodes = stored(found.drop("bands").join(members.select("node").distinct(), "node", "left_semi"), "nodes")
     stars = members.where(F.col("hub") != F.col("node")).select("hub", "node").distinct()
-    links = stored(verified(_estimated(stars, classes, rule), classes, docs, rule), "links")
+    links = stored(verified(_estimated(stars, nodes, rule), nodes, base, rule), "links")
     first = components(links)
 
     labelled = members.join(first, "node", "left").withColumn("label", F.coalesce("label", "node"))
     per_key = labelled.groupBy("key").agg(
-        F.min("label").alias("l0"), F.max("label").alias("l1"), F.min_by("label", "node").alias("main"),
+        F.min("label").alias("l0"), F.max("label").alias("l1"),
+        F.max(F.when(F.col("node") == F.col("hub"), F.col("label"))).alias("main"),
         F.count("*").alias("n_all")).where(F.col("l0") != F.col("l1")).drop("l0", "l1")
     marked = labelled.select("key", "node", "label").join(per_key, "key") \
         .withColumn("outside", F.col("label") != F.col("main"))
     n_out = marked.where("outside").groupBy("key").agg(F.count("*").alias("n_out"))
-    across = _across(marked.join(n_out, "key").select("key", "node", "label", "outside", "n_out", "n_all"), classes, rule)
-    more = verified(across, classes, docs, rule)
+    across = _across(marked.join(n_out, "key").select("key", "node", "label", "outside", "n_out", "n_all"), nodes, rule)
+    more = verified(across, nodes, base, rule)
     labels = stored(components(links.unionByName(more)), "labels")
 
-    named = classes.select("node", "id", "set_key").join(labels, "node", "left") \
-        .withColumn("label", F.coalesce("label", "node"))
+    named = one.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("id").alias("component"))
-    by_set = named.join(least, "label").select("set_key", "component")
-    return sketch.select("id", "text_hash", "n", "set_key").join(by_set, "set_key", "left") \
-        .withColumn("component", F.coalesce("component", "id")) \
-        .select("id", "text_hash", id_back(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"),
+    by_text = named.join(least, "label").groupBy("digest").agg(F.min("component").alias("component"), F.max("n").alias("n"))
+    return base.select("id", "digest").join(by_text, "digest") \
+        .withColumn("component", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))) \
+        .select("id", "digest", id_back(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"),
                 id_back(F.col("component")).alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
+def _base(docs: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(id_or_last().alias("id"), text.alias("text"), digest(text).alias("digest"))
+
+
 def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The rows of ``docs``, all columns, that ``near_duplicates`` keeps."""
-    gone = stored(near_duplicates(docs, rule).where(~F.col("kept")).select("id", "text_hash").distinct(), "gone")
+    gone = stored(near_duplicates(docs, rule).where(~F.col("kept")).select("id", "digest").distinct(), "gone")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), id_or_last().alias("id"),
-                       text_hash().alias("text_hash"))
-    return rows.join(gone, ["id", "text_hash"], "left_anti").select("row.*")
+                       digest(text).alias("digest"))
+    return rows.join(gone, ["id", "digest"], "left_anti").select("row.*")
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir), Rule(words=3, percent=85)).drop("id", "text_hash")
+    return near_duplicates(documents(spark, sf_dir), Rule(words=3, percent=85)).drop("id", "digest")
