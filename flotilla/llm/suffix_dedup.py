@@ -20,15 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flotilla.llm.common import (binary_array, column_of, digest, documents, flat, id_back, id_or_last,
+from flotilla.llm.common import (binary_array, column_of, digest, documents, flat, id_back, id_or_last, later_copies,
                                  merged, mix, ranges, ship, slices, stored)
 
 LENGTH, GRAM = 50, 16
 BLOCK = 1 << 20             # windows whose signatures are computed at a time
 BUCKET_BYTES = 32 << 20     # text whose signatures go to one bucket
 SORT_BYTES = 4 << 20        # fragments sorted together; those of one signature always are
-# Copies of earlier texts are marked by a broadcast up to this many (24 bytes each).
-BROADCAST_ROWS = 300_000
 
 
 def _words64(data: np.ndarray) -> np.ndarray:
@@ -277,15 +275,26 @@ def _shared_fragments(part: pa.RecordBatch):
         yield text[keep], start[keep] - off[text[keep]], start[keep], count[keep] + LENGTH - 1, sig[keep], data
 
 
-def _names(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """Fragments as an array, and a 64-bit hash of each."""
-    import xxhash
+def _distinct(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct ones of fragments, and which of them each is."""
     bounds = np.zeros(len(size) + 1, np.int64)
     np.cumsum(size, out=bounds[1:])
-    array = binary_array(data[ranges(start, size)], bounds)
-    coded = array.dictionary_encode()
-    name = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    return array, name[coded.indices.to_numpy()] if len(name) else np.zeros(0, np.uint64)
+    coded = binary_array(data[ranges(start, size)], bounds).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy()
+
+
+def _names(distinct: pa.Array) -> np.ndarray:
+    """64-bit hashes of fragments; with the signature they stand for them."""
+    import xxhash
+    return np.fromiter((xxhash.xxh3_64_intdigest(x) for x in distinct.to_pylist()), np.uint64, len(distinct))
+
+
+def _extremes(which: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each number 0, 1, ... in ``which``: where one stands, its least and its greatest value."""
+    order = np.lexsort((values, which))
+    first = np.flatnonzero(np.append(True, np.diff(which[order]) != 0))
+    last = np.append(first[1:], len(order)) - 1
+    return order[first], values[order[first]], values[order[last]]
 
 
 def _as_long(x: np.ndarray) -> pa.Array:
@@ -301,25 +310,20 @@ def _verdicts(matched: DataFrame) -> DataFrame:
             for text, _, start, size, sig, data in _shared_fragments(part):
                 if not len(text):
                     continue
-                array, name = _names(data, start, size)
-                own = ids[text]
-                order = np.lexsort((own, name, sig))
-                s, m, o = sig[order], name[order], own[order]
-                edge = np.flatnonzero(np.append(True, (s[1:] != s[:-1]) | (m[1:] != m[:-1])))
-                end = np.append(edge[1:], len(s))
-                yield pa.RecordBatch.from_arrays([
-                    _as_long(s[edge]), _as_long(m[edge]), array.take(pa.array(order[edge])).cast(pa.binary()),
-                    pa.array(o[edge]), pa.array(o[end - 1])], ["sig", "name", "fragment", "least", "most"])
+                distinct, which = _distinct(data, start, size)
+                one, low, high = _extremes(which, ids[text])
+                yield pa.RecordBatch.from_arrays([_as_long(sig[one]), distinct.cast(pa.binary()), pa.array(low),
+                                                  pa.array(high - low)], ["sig", "fragment", "least", "more"])
 
     def judge(batches):
         for g in _groups(batches, "sig", "fragment", SORT_BYTES):
-            sig, name = column_of(g, "sig").to_numpy(), column_of(g, "name").to_numpy()
-            least, most = column_of(g, "least").to_numpy(), column_of(g, "most").to_numpy()
-            order = np.lexsort((name, sig))
-            edge = np.flatnonzero(np.append(True, (sig[order][1:] != sig[order][:-1]) | (name[order][1:] != name[order][:-1])))
-            one = order[edge]
-            low, high = np.minimum.reduceat(least[order], edge), np.maximum.reduceat(most[order], edge)
-            data, off = flat(column_of(g, "fragment").take(pa.array(one)))
+            coded = column_of(g, "fragment").dictionary_encode()
+            which, distinct = coded.indices.to_numpy(), coded.dictionary
+            least = column_of(g, "least").to_numpy()
+            one, low, _ = _extremes(which, least)
+            high = _extremes(which, least + column_of(g, "more").to_numpy())[2]
+            sig, name = column_of(g, "sig").to_numpy()[one], _names(distinct).view(np.int64)
+            data, off = flat(distinct)
             found, bounds = least_ids(data, off, low)
             earlier = found < np.repeat(low, np.diff(bounds))
             earlier_in = np.add.reduceat(earlier, bounds[:-1])
@@ -330,11 +334,11 @@ def _verdicts(matched: DataFrame) -> DataFrame:
                     at = np.flatnonzero(earlier[bounds[i]:bounds[i + 1]])
                     s, e = merged(at, at + LENGTH)
                     spans = [{"first": int(x), "end": int(y)} for x, y in zip(s, e, strict=True)]
-                out.append({"sig": int(sig[one[i]]), "name": int(name[one[i]]), "least": int(low[i]),
+                out.append({"sig": int(sig[i]), "name": int(name[i]), "least": int(low[i]),
                             "size": int(off[i + 1] - off[i]), "spans": spans})
             yield pa.RecordBatch.from_pylist(out, schema=VERDICT)
 
-    return matched.mapInArrow(bring, "sig long, name long, fragment binary, least long, most long") \
+    return matched.mapInArrow(bring, "sig long, fragment binary, least long, more long") \
         .repartition("sig").sortWithinPartitions("sig") \
         .mapInArrow(judge, "sig long, name long, least long, size long, spans array<struct<first: long, end: long>>")
 
@@ -348,15 +352,19 @@ def _occurrences(matched: DataFrame) -> DataFrame:
     def tell(batches):
         for part in slices(batches):
             ids = column_of(part, "id").to_numpy()
-            # the first 8 bytes of the digest
-            key = np.frombuffer(b"".join(x[:8] for x in column_of(part, "digest").to_pylist()), np.int64)
+            key = _text_key(column_of(part, "digest"))
             for text, inside, start, size, sig, data in _shared_fragments(part):
-                _, name = _names(data, start, size)
-                yield pa.RecordBatch.from_arrays([_as_long(sig), _as_long(name), pa.array(ids[text]),
+                distinct, which = _distinct(data, start, size)
+                yield pa.RecordBatch.from_arrays([_as_long(sig), _as_long(_names(distinct)[which]), pa.array(ids[text]),
                                                   pa.array(key[text]), pa.array(inside)],
                                                  ["sig", "name", "id", "text_hash", "start"])
 
-    return matched.mapInArrow(tell, "sig long, name long, id long, text_hash long, start long")
+    return matched.mapInArrow(tell, "sig long, name long, id long, text_hash int, start long")
+
+
+def _text_key(digests: pa.Array) -> np.ndarray:
+    """Tells the texts of one id apart: four bytes of each digest."""
+    return np.frombuffer(b"".join(x[:4] for x in digests.to_pylist()), np.int32)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -372,15 +380,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = docs.select(id_or_last().alias("id"), text.alias("text")).withColumn("digest", digest(F.col("text")))
     sizes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # rows whose text has a smaller id; those that have it first are searched
-    ids = base.select("digest", "id")
-    copies = stored(ids.join(ids.groupBy("digest").agg(F.min("id").alias("least")), "digest")
-                    .where(F.col("id") > F.col("least")).select("id", "digest").distinct()
-                    .withColumn("copy", F.lit(True)), "copies")
-    if copies.count() <= BROADCAST_ROWS:
-        copies = F.broadcast(copies)
     # one exchange of these rows by id serves all that follows
-    rows = base.join(copies, ["id", "digest"], "left").select(
+    rows = base.join(later_copies(base), ["id", "digest"], "left").select(
         "id", "text", "digest", F.col("copy").isNull().alias("is_first"))
     asked = _asked(rows.where("is_first").select("id", "text"), max(64, -(-sizes // BUCKET_BYTES)))
     matched = rows.join(stored(_answered(asked), "shared"), "id")
@@ -397,7 +398,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             out = []
             for row, raw in zip(part.drop_columns(["text"]).to_pylist(), texts, strict=True):
                 raw = raw.encode()
-                key = int.from_bytes(row["digest"][:8], "little", signed=True)
+                key = int.from_bytes(row["digest"][:4], "little", signed=True)
                 if not row["is_first"]:
                     whole = np.array([0, len(raw)][:2 * (len(raw) >= LENGTH)], np.int64)
                     s, e = whole[:1], whole[1:]
