@@ -22,7 +22,7 @@ TRAIN_BYTES = 20_000        # only texts up to this long are sampled, so the sam
 MAX_WORDS = 4096            # most features
 MIN_DOCS = 4                # sample rows a feature must be in
 MIN_CHI2 = 10.83            # chi-squared of a word's presence and a grade above 0: one in 1000 by chance
-STEPS, RATE, PENALTY = 400, 0.5, 1e-4
+STEPS, RATE, PENALTY = 1000, 0.5, 1e-5
 
 
 @dataclass
