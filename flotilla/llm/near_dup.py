@@ -255,19 +255,20 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
 def _across(open_members: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of different labels in the same bucket whose registers come near the threshold.
     ``open_members``: ``key, node, label, outside, n_out, n_all``. Outsiders meet all members
-    of their bucket, block by block; a block has about BLOCK nodes on either side."""
+    of their bucket, block by block; a block has about BLOCK nodes on either side. Of the buckets
+    that a pair has in common, each of which holds it, only the one with the least key tells."""
     def blocks(count):
         return F.ceil(F.col(count) / F.lit(BLOCK)).cast("int")
 
-    rows = open_members.join(nodes.select("node", "regs", "n"), "node") \
+    rows = open_members.join(nodes.select("node", "regs", "n", "bands"), "node") \
         .withColumn("nb_out", blocks("n_out")).withColumn("nb_all", blocks("n_all"))
     own = F.xxhash64("node")
     left = rows.where("outside").select(
         "key", F.pmod(own, F.col("nb_out")).cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("nb_all") - 1)).alias("j"), F.lit(0).alias("side"), "node", "label", "outside", "n", "regs")
+        F.explode(F.sequence(F.lit(0), F.col("nb_all") - 1)).alias("j"), F.lit(0).alias("side"), "node", "label", "outside", "n", "regs", "bands")
     right = rows.select(
         "key", F.explode(F.sequence(F.lit(0), F.col("nb_out") - 1)).alias("i"),
-        F.pmod(own, F.col("nb_all")).cast("int").alias("j"), F.lit(1).alias("side"), "node", "label", "outside", "n", "regs")
+        F.pmod(own, F.col("nb_all")).cast("int").alias("j"), F.lit(1).alias("side"), "node", "label", "outside", "n", "regs", "bands")
     dealt = left.unionByName(right).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
 
     def groups(batches):
@@ -298,12 +299,20 @@ def _across(open_members: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
             side = column_of(g, "side").to_numpy()
             out = np.asarray(column_of(g, "outside").to_pylist(), bool)
             a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            key, bands, keys = column_of(g, "key")[0].as_py(), column_of(g, "bands"), {}
+
+            def keys_of(row):
+                if row not in keys:
+                    keys[row] = frozenset(bands[int(row)].as_py())
+                return keys[row]
+
             for x in a:
                 # two outsiders meet twice: once is enough
                 y = b[(label[b] != label[x]) & (~out[b] | (node[b] > node[x]))]
                 ok = y[near_enough(regs[x][None, :], regs[y], n[x], n[y], rule.percent)] if len(y) else y
-                found_a += [int(node[x])] * len(ok)
-                found_b += node[ok].tolist()
+                here = [z for z in ok if min(keys_of(x) & keys_of(z)) == key]
+                found_a += [int(node[x])] * len(here)
+                found_b += node[here].tolist()
             if len(found_a) > 10_000:
                 yield rows()
                 found_a, found_b = [], []
@@ -330,7 +339,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     one = found.groupBy("id", "digest").agg(F.min("node").alias("node"), F.max("n").alias("n"))
     bands = found.where(F.size("bands") > 0).select("node", F.explode("bands").alias("key"))
     members = _hubs(bands)
-    nodes = stored(found.drop("bands").join(members.select("node").distinct(), "node", "left_semi"), "nodes")
+    nodes = stored(found.join(members.select("node").distinct(), "node", "left_semi"), "nodes")
     stars = members.where(F.col("hub") != F.col("node")).select("hub", "node").distinct()
     links = stored(verified(_estimated(stars, nodes, rule), nodes, base, rule), "links")
     first = components(links)
