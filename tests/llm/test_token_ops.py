@@ -1,5 +1,6 @@
 """Token counts, token store and packing: whole-text encodings, exact round trips, gapless packing."""
 
+import functools
 import itertools
 import random
 import zlib
@@ -17,9 +18,14 @@ SMALL = "/root/testdata/sf0.001"
 BYTE, WORD = public.path("byte_bpe_50k.json"), public.path("word_bpe_49k.json")
 
 
-def plain(path, texts):
+@functools.cache
+def tokenizer(path):
     from tokenizers import Tokenizer
-    return [e.ids for e in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    return Tokenizer.from_file(path)
+
+
+def plain(path, texts):
+    return [e.ids for e in tokenizer(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 def crc(ids):
