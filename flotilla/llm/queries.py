@@ -1,12 +1,13 @@
-"""The operators' registered queries and the SQL that some of them must equal."""
+"""The operators' registered queries (and the SQL that some of them must equal)."""
 
 from __future__ import annotations
 
 import corpus_pipeline
 from flotilla.llm.decontaminate import op2_decontaminate
 from flotilla.llm.langid import op8_language
-from flotilla.llm.line_dedup import OP9_SQL, op9_line_dedup
+from flotilla.llm.line_dedup import op9_line_dedup
 from flotilla.llm.near_dup import op5_near_duplicates
+from flotilla.llm.oracles import ORACLES  # noqa: F401
 from flotilla.llm.packing import op3_packing
 from flotilla.llm.quality import op6_quality
 from flotilla.llm.suffix_dedup import op1_suffix_dedup
@@ -28,4 +29,4 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {"op9_line_dedup": OP9_SQL}
+
