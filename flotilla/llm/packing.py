@@ -31,7 +31,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
 
     def pieces(batches):
         enc = tokens.encoder(sent.value)
-        for part in slices(batches):
+        for part in slices(batches, limit=tokens.SLICE):
             ids, off = enc.encode(*flat(column_of(part, "text")))
             n = len(off) - 1
             ids = np.insert(ids, off[1:], end_id).astype("<u4")

@@ -56,7 +56,7 @@ def token_counts(docs: DataFrame, cache_path: str, tokenizer_path: str) -> DataF
 
     def count(batches):
         enc = tokens.encoder(sent.value)
-        for part in slices(batches):
+        for part in slices(batches, limit=tokens.SLICE):
             _, off = enc.encode(*flat(column_of(part, "text")))
             yield pa.RecordBatch.from_arrays([column_of(part, "digest").cast(pa.binary()), pa.array(np.diff(off))],
                                              ["digest", "n_tokens"])

@@ -125,7 +125,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                 "part": part, "seq": seq, "n_tokens": len(ids), "doc_ids": np.array(names, "<i8").tobytes(),
                 "doc_offsets": off.tobytes(), "payload": encode_dac(ids)}], schema=SHARD_ARROW)
 
-        for piece in slices(batches):
+        for piece in slices(batches, limit=tokens.SLICE):
             ids, off = enc.encode(*flat(column_of(piece, "text")))
             n = len(off) - 1
             ids = np.insert(ids, off[1:], end_id)

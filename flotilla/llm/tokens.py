@@ -15,6 +15,7 @@ import itertools
 import json
 import os
 import re
+import struct
 
 import numpy as np
 
@@ -22,8 +23,10 @@ from flotilla.llm.common import WHITE, binary_array, ranges
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")    # a task has one core
 
-# Distinct segments whose ids a worker remembers; when full it starts afresh.
-MAX_KNOWN = 600_000
+# Distinct segments whose ids a worker remembers (about 200 bytes each); when full it starts afresh.
+MAX_KNOWN = 200_000
+# A task encodes this many text bytes at a time (or one longer text).
+SLICE = 4 << 20
 
 # What the two supported pre-tokenizers look like in their files. Fixed values.
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
@@ -57,6 +60,10 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def pack(ids: list[int]) -> bytes:
+    return struct.pack(f"={len(ids)}I", *ids)
+
+
 class Encoder:
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -88,7 +95,7 @@ class Encoder:
         # segments that are one pre-token: letters after at most one space
         self.single = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
         self.letters = byte_letters()
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, bytes] = {}     # segment to ids, 32 bit each
 
     def _cuts(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         kind = self.kind[data]
@@ -118,12 +125,12 @@ class Encoder:
                 if self.drops_white:
                     text = text.lower()
                 shown = text.replace(" ", "Ġ") if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
-                self.known[raw] = [t.id for t in model.tokenize(shown)]
+                self.known[raw] = pack([t.id for t in model.tokenize(shown)])
             else:
                 rest.append(raw)
         for raw, e in zip(rest, self.tokenizer.encode_batch_fast([r.decode("utf-8") for r in rest],
                                                                  add_special_tokens=False), strict=True):
-            self.known[raw] = e.ids
+            self.known[raw] = pack(e.ids)
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts given as bytes and offsets: (ids, n + 1 offsets into them)."""
@@ -144,8 +151,8 @@ class Encoder:
             fresh = distinct                    # _learn starts afresh
         self._learn(fresh)
         got = [self.known[s] for s in distinct]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        ids = np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(size.sum()))
+        size = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        ids = np.frombuffer(b"".join(got), np.uint32)
         first = np.cumsum(size) - size
         which = coded.indices.to_numpy()
         lengths = size[which]
