@@ -51,6 +51,15 @@ def counted(words: Words, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray,
     return pair // len(vocabulary), pair % len(vocabulary), count
 
 
+def _chunks(texts: list[bytes], n: int = 500):
+    """(number of the first one, words) of ``n`` texts after another."""
+    for lo in range(0, len(texts), n):
+        part = texts[lo:lo + n]
+        off = np.zeros(len(part) + 1, np.int64)
+        np.cumsum([len(t) for t in part], out=off[1:])
+        yield lo, Words(np.frombuffer(b"".join(part), np.uint8), off, WORD)
+
+
 def train(texts: list[bytes], grades: list[int]) -> Model:
     """Fit by full-batch gradient steps with momentum; the thresholds stay ordered because their
     differences are learnt as logarithms."""
@@ -58,25 +67,27 @@ def train(texts: list[bytes], grades: list[int]) -> Model:
     if len(y) == 0 or y.max() < 1:
         return Model([], np.zeros(0), np.array([40.0]))     # nothing to learn: nobody exceeds 0
     top = int(y.max())
-    off = np.zeros(len(texts) + 1, np.int64)
-    np.cumsum([len(t) for t in texts], out=off[1:])
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    words = Words(data, off, WORD)
-    coded = words.array.dictionary_encode()
-    where = np.repeat(np.arange(len(texts)), np.diff(words.off))
-    size = len(coded.dictionary)
-    seen = np.unique(where * size + coded.indices.to_numpy())
-    bad = (y > 0)[seen // size]
-    both = np.bincount(seen % size, minlength=size).astype(float)
-    in_bad = np.bincount((seen % size)[bad], minlength=size)
+    # the distinct words of each text, a few texts at a time
+    words, bad = [], []
+    for lo, part in _chunks(texts):
+        coded = part.array.dictionary_encode()
+        size = max(1, len(coded.dictionary))
+        text = np.repeat(np.arange(len(part.off) - 1), np.diff(part.off))
+        seen = np.unique(text * size + coded.indices.to_numpy())
+        words.append(coded.dictionary.take(pa.array(seen % size)))
+        bad.append(pa.array((y[lo + seen // size] > 0).astype(np.int64)))
+    table = pa.table({"word": pa.chunked_array(words, pa.large_binary()), "bad": pa.chunked_array(bad, pa.int64())}) \
+        .group_by("word").aggregate([("bad", "count"), ("bad", "sum")]).sort_by("word")
+    both, in_bad = table["bad_count"].to_numpy().astype(float), table["bad_sum"].to_numpy()
     n, n_bad = len(y), int((y > 0).sum())
     expected = both * n_bad / n
     spread = expected * (1 - n_bad / n) * (1 - both / n)
     chi2 = np.where((both >= MIN_DOCS) & (spread > 0), (in_bad - expected) ** 2 / np.maximum(spread, 1e-9), 0)
     pick = np.argsort(-chi2, kind="stable")[:MAX_WORDS]
     pick = pick[chi2[pick] >= MIN_CHI2]
-    vocabulary = coded.dictionary.take(pa.array(pick))
-    text, word, count = counted(words, vocabulary)
+    vocabulary = pa.array(table["word"].take(pa.array(pick)).to_pylist(), pa.large_binary())
+    found = [(lo + t, w, c) for lo, part in _chunks(texts) for t, w, c in [counted(part, vocabulary)]]
+    text, word, count = (np.concatenate(x) for x in zip(*found, strict=True))
     value = np.log1p(count)
 
     w = np.zeros(len(vocabulary))
@@ -124,12 +135,12 @@ def graded(texts: list[bytes], toxic: list[int], severe: int = 3) -> list[int]:
     """Grades 0, 1, 2 from 0/1 labels: a toxic text is severe when it has ``severe`` words or more
     that sample rows use almost only when they are toxic."""
     first = train(texts, toxic)
-    marks = {w for w, x in zip(first.vocabulary, first.weights, strict=True) if x > 1}
-    out = []
-    for raw, is_toxic in zip(texts, toxic, strict=True):
-        words = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), WORD).array.to_pylist()
-        out.append(0 if not is_toxic else 2 if sum(w in marks for w in words) >= severe else 1)
-    return out
+    marks = pa.array([w for w, x in zip(first.vocabulary, first.weights, strict=True) if x > 1], pa.large_binary())
+    marked = np.zeros(len(texts), np.int64)
+    for lo, part in _chunks(texts):
+        text, _, count = counted(part, marks)
+        np.add.at(marked, lo + text, count)
+    return [0 if not t else 2 if n >= severe else 1 for t, n in zip(toxic, marked.tolist(), strict=True)]
 
 
 def severity(docs: DataFrame, model: Model) -> DataFrame:
