@@ -12,6 +12,10 @@ a sequence of fragments, each the windows of one signature.
    are induced by one scan over the buckets of first bytes. Adjacent common prefixes of
    LENGTH bytes and more join equal windows, and the least id of each is known.
 3. Every occurrence of a fragment takes that verdict, and the covered bytes go.
+
+A signature with so many occurrences that sorting its fragments could take too much memory is
+heavy. Its windows are dealt out by their own hashes instead: blocks of text settle what they can
+and ask, for each window once, whether a smaller id than their least has it.
 """
 
 from __future__ import annotations
@@ -25,8 +29,12 @@ from flotilla.llm.common import (binary_array, column_of, digest, documents, fla
 
 LENGTH, GRAM = 50, 16
 BLOCK = 1 << 20             # windows whose signatures are computed at a time
-BUCKET_BYTES = 32 << 20     # text whose signatures go to one bucket
-SORT_BYTES = 4 << 20        # fragments sorted together; those of one signature always are
+BUCKET_BYTES = 32 << 20     # text whose signatures go to one bucket, or windows of heavy ones
+WINDOW_BYTES = 28           # of a heavy signature's window in a bucket
+SORT_BYTES = 4 << 20        # fragments sorted together; those of one signature are, unless it's heavy
+# A fragment has this many windows at most, unless its text repeats itself: then it counts as several.
+USUAL = LENGTH - GRAM + 1
+HEAVY = SORT_BYTES // (USUAL + LENGTH - 1)      # occurrences of a signature from which it's heavy
 
 
 def _words64(data: np.ndarray) -> np.ndarray:
@@ -167,45 +175,60 @@ def _groups(batches, key: str, weight: str | None = None, limit: int = 0):
             if hi == lo:
                 continue
             if held and column_of(held[-1], key)[-1].as_py() != codes[lo] and (not weight or size >= limit):
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                yield _one_batch(held)
                 held, size = [], 0
             held.append(b.slice(lo, hi - lo))
             size += int(bytes_at[hi] - bytes_at[lo]) if weight else 0
     if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield _one_batch(held)
+
+
+def _one_batch(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """All rows in one batch; binary columns become large ones, which 2 GB don't split."""
+    table = pa.Table.from_batches(held)
+    large = pa.schema([f.with_type(pa.large_binary()) if pa.types.is_binary(f.type) else f for f in table.schema])
+    batch, = table.cast(large).combine_chunks().to_batches()
+    return batch
 
 
 def _asked(texts: DataFrame, n_buckets: int) -> DataFrame:
     """Signatures by bucket: those that one id of a slice has, with the id; those that two have,
-    without. The latter need no answer: as rows with an ``id`` they are passed on."""
+    without. The latter need no answer: as rows with an ``id`` they are passed on. ``weight`` has a
+    byte for each single and double: eight times the binary logarithm of its occurrences."""
     def ask(batches):
         for part in slices(batches):
             data, off = flat(column_of(part, "text"))
             ids = column_of(part, "id").to_numpy()
-            found = [(t, v) for t, _, _, v in fragments(data, off)]
-            if not found:
+            found = [(t, c, v) for t, _, c, v in fragments(data, off)]
+            own = ids[np.concatenate([t for t, _, _ in found])] if found else ids[:0]
+            if not len(own):
                 continue
-            own = ids[np.concatenate([t for t, _ in found])]
-            sig = np.concatenate([v for _, v in found])
+            sig = np.concatenate([v for _, _, v in found])
             order = np.lexsort((own, sig))
             own, sig = own[order], sig[order]
+            times = -(-np.concatenate([c for _, c, _ in found])[order] // USUAL)
+            weight = np.add.reduceat(times, np.flatnonzero(np.append(True, sig[1:] != sig[:-1])))
+            weight = np.ceil(8 * np.log2(weight)).astype(np.uint8)
             fresh = np.ones(len(sig), bool)
             fresh[1:] = (sig[1:] != sig[:-1]) | (own[1:] != own[:-1])
             own, sig = own[fresh], sig[fresh]
             start = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
             many = np.diff(np.append(start, len(sig))) > 1
             one, two = start[~many], sig[start[many]]
-            rows = {"bucket": [], "single": [], "ids": [], "double": [], "id": []}
+            w1, w2 = weight[~many], weight[many]
+            rows = {"bucket": [], "single": [], "ids": [], "double": [], "weight": [], "id": []}
             bucket_of = lambda s: (mix(s) % np.uint64(n_buckets)).astype(np.int64)
             b1, b2 = bucket_of(sig[one]), bucket_of(two)
             o1, o2 = np.argsort(b1, kind="stable"), np.argsort(b2, kind="stable")
             e1, e2 = (np.searchsorted(b[o], np.arange(n_buckets + 1)) for b, o in ((b1, o1), (b2, o2)))
             for b in np.unique(np.concatenate([b1, b2])).tolist():
-                pick = one[o1[e1[b]:e1[b + 1]]]
+                p1, p2 = o1[e1[b]:e1[b + 1]], o2[e2[b]:e2[b + 1]]
+                pick = one[p1]
                 rows["bucket"].append(b)
                 rows["single"].append(sig[pick].tobytes())
                 rows["ids"].append(own[pick].tobytes())
-                rows["double"].append(two[o2[e2[b]:e2[b + 1]]].tobytes())
+                rows["double"].append(two[p2].tobytes())
+                rows["weight"].append(w1[p1].tobytes() + w2[p2].tobytes())
                 rows["id"].append(None)
             shared = np.repeat(many, np.diff(np.append(start, len(sig))))
             for name, raw in _by_id(own[shared], sig[shared]):
@@ -213,14 +236,15 @@ def _asked(texts: DataFrame, n_buckets: int) -> DataFrame:
                 rows["single"].append(raw)
                 rows["ids"].append(b"")
                 rows["double"].append(b"")
+                rows["weight"].append(b"")
                 rows["id"].append(name)
             yield pa.RecordBatch.from_pydict(rows, schema=ASKED)
 
-    return texts.mapInArrow(ask, "bucket long, single binary, ids binary, double binary, id long")
+    return texts.mapInArrow(ask, "bucket long, single binary, ids binary, double binary, weight binary, id long")
 
 
 ASKED = pa.schema([("bucket", pa.int64()), ("single", pa.binary()), ("ids", pa.binary()), ("double", pa.binary()),
-                   ("id", pa.int64())])
+                   ("weight", pa.binary()), ("id", pa.int64())])
 
 
 def _by_id(ids: np.ndarray, sig: np.ndarray):
@@ -232,17 +256,32 @@ def _by_id(ids: np.ndarray, sig: np.ndarray):
         yield int(ids[lo]), sig[lo:hi].tobytes()
 
 
-def _answered(asked: DataFrame) -> DataFrame:
-    """``id, sigs``: the signatures that another id has too, once for each id."""
+def _answered(asked: DataFrame, heavy_from: int = HEAVY) -> DataFrame:
+    """``id, sigs``: the signatures that another id has too, once for each id. A row without an id
+    has the heavy signatures, each with the number of its occurrences."""
     def answer(batches):
-        for g in _groups(batches, "bucket"):
-            name = column_of(g, "id")
-            passed = g.filter(name.is_valid())
-            if passed.num_rows:
-                yield pa.RecordBatch.from_arrays([column_of(passed, "id"), column_of(passed, "single")], ["id", "sigs"])
-            g = g.filter(name.is_null())
+        passed = []
+
+        def questions():
+            for b in batches:
+                name = column_of(b, "id")
+                known = b.filter(name.is_valid())
+                if known.num_rows:
+                    passed.append(pa.RecordBatch.from_arrays([column_of(known, "id"), column_of(known, "single")],
+                                                             ["id", "sigs"]))
+                yield b.filter(name.is_null())
+
+        for g in _groups(questions(), "bucket"):
+            yield from passed
+            passed.clear()
             read = lambda c, kind: np.frombuffer(b"".join(column_of(g, c).to_pylist()), kind)
-            sig, ids, double = read("single", np.uint64), read("ids", np.int64), np.unique(read("double", np.uint64))
+            sig, ids, double = read("single", np.uint64), read("ids", np.int64), read("double", np.uint64)
+            n_single = [len(x) // 8 for x in column_of(g, "single").to_pylist()]
+            heavy = _heavy(sig, double, column_of(g, "weight").to_pylist(), n_single, heavy_from)
+            if len(heavy):
+                yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([heavy.tobytes()], pa.binary())],
+                                                 ["id", "sigs"])
+            double = np.unique(double)
             order = np.lexsort((ids, sig))
             sig, ids = sig[order], ids[order]
             if not len(sig):
@@ -254,14 +293,141 @@ def _answered(asked: DataFrame) -> DataFrame:
             got = list(_by_id(ids[shared], sig[shared]))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.int64()),
                                               pa.array([x for _, x in got], pa.binary())], ["id", "sigs"])
+        yield from passed
 
     return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answer, "id long, sigs binary") \
         .groupBy("id").agg(F.collect_list("sigs").alias("sigs"))
 
 
-def _shared_fragments(part: pa.RecordBatch):
-    """Of a slice's first texts, the fragments with a shared signature, block by block: (row, first
-    byte in its text, first byte in the slice, size, signature, the slice's bytes)."""
+def _heavy(single: np.ndarray, double: np.ndarray, weights: list[bytes], n_single: list[int], heavy_from: int) -> np.ndarray:
+    """Signatures with ``heavy_from`` occurrences or more and, in a second column, how many."""
+    codes = b"".join([w[:n] for w, n in zip(weights, n_single, strict=True)]
+                     + [w[n:] for w, n in zip(weights, n_single, strict=True)])
+    sig, times = np.concatenate([single, double]), np.exp2(np.frombuffer(codes, np.uint8) / 8)
+    # few cells of signatures have so many: only those are looked at
+    cell = (sig >> np.uint64(48)).astype(np.int64)
+    full = (np.bincount(cell, times, 1 << 16) >= heavy_from)[cell]
+    sig, which = np.unique(sig[full], return_inverse=True)
+    times = np.bincount(which, times[full], len(sig))
+    much = times >= heavy_from
+    return np.column_stack([sig[much], np.ceil(times[much]).astype(np.uint64)])
+
+
+# --- windows of heavy signatures --------------------------------------------------------
+
+def _heavy_windows(data: np.ndarray, off: np.ndarray, heavy: np.ndarray):
+    """Windows with a heavy signature, block by block: (text, first byte, 128 bits of hash)."""
+    for text, start, count, sig in fragments(data, off):
+        keep = np.isin(sig, heavy)
+        if not keep.any():
+            continue
+        at = ranges(start[keep], count[keep])
+        lo = at[0]
+        word = _words64(data[lo:at[-1] + LENGTH])
+        h1, h2 = np.zeros(len(at), np.uint64), np.ones(len(at), np.uint64)
+        for k in [*range(0, LENGTH - 8, 8), LENGTH - 8]:
+            w = word[at - lo + k]
+            h1, h2 = mix(h1 ^ w), mix(h2 + mix(~w))
+        yield np.repeat(text[keep], count[keep]), at, h1, h2
+
+
+def _heavy_spans(matched: DataFrame, heavy: np.ndarray, n_buckets: int) -> DataFrame:
+    """``id, head`` (of the digest) with ``settled``, (digest, spans) of what a block of text has
+    settled, and ``windows``, the hashes of windows that a smaller id has elsewhere."""
+    sent = matched.sparkSession.sparkContext.broadcast(heavy)
+
+    def ask(batches):
+        for part in slices(batches):
+            data, off = flat(column_of(part, "text"))
+            ids, digests = column_of(part, "id").to_numpy(), column_of(part, "digest").to_pylist()
+            heads = np.frombuffer(b"".join(x[:4] for x in digests), np.int32)
+            for text, at, h1, h2 in _heavy_windows(data, off, sent.value):
+                order = np.lexsort((heads[text], ids[text], h2, h1))
+                text, at, h1, h2 = text[order], at[order], h1[order], h2[order]
+                own, head = ids[text], heads[text]
+                fresh = np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))
+                later = own > own[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+                rows = []
+                # a gap between texts keeps their spans apart
+                s, e = merged(at[later] + text[later], at[later] + text[later] + LENGTH)
+                of = np.searchsorted(off + np.arange(len(off)), s, "right") - 1
+                s, e = s - of - off[of], e - of - off[of]
+                edge = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else of
+                for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(of)], strict=True) if len(of) else ():
+                    t = int(of[lo])
+                    rows.append({"bucket": int.from_bytes(digests[t][:4], "big") % n_buckets, "id": int(ids[t]),
+                                 "digest": digests[t], "spans": np.column_stack([s, e])[lo:hi].tobytes()})
+                fresh[1:] |= (own[1:] != own[:-1]) | (head[1:] != head[:-1])
+                pick = np.flatnonzero(fresh & ~later)
+                bucket = (h1[pick] % np.uint64(n_buckets)).astype(np.int64)
+                by_bucket = np.argsort(bucket, kind="stable")
+                pick, bucket = pick[by_bucket], bucket[by_bucket]
+                edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(pick)], strict=True):
+                    p = pick[lo:hi]
+                    rows.append({"bucket": int(bucket[lo]), "windows": np.column_stack([h1[p], h2[p]]).tobytes(),
+                                 "ids": own[p].tobytes(), "heads": head[p].tobytes()})
+                yield pa.RecordBatch.from_pylist(rows, schema=WINDOWS)
+
+    def answer(batches):
+        passed = []
+
+        def questions():
+            for b in batches:
+                settled = column_of(b, "id").is_valid()
+                passed.extend({"id": r["id"], "head": r["digest"][:4], "settled": {"digest": r["digest"], "spans": r["spans"]}}
+                              for r in b.filter(settled).select(["id", "digest", "spans"]).to_pylist())
+                yield b.filter(column_of(b, "id").is_null())
+
+        for g in _groups(questions(), "bucket"):
+            read = lambda c, kind: np.frombuffer(b"".join(column_of(g, c).to_pylist()), kind)
+            hashes, own, head = read("windows", np.uint64).reshape(-1, 2), read("ids", np.int64), read("heads", np.int32)
+            order = np.lexsort((own, hashes[:, 1], hashes[:, 0]))
+            hashes, own, head = hashes[order], own[order], head[order]
+            fresh = np.append(True, (hashes[1:] != hashes[:-1]).any(1))
+            later = np.flatnonzero(own > own[np.flatnonzero(fresh)][np.cumsum(fresh) - 1])
+            later = later[np.lexsort((head[later], own[later]))]
+            hashes, own, head = hashes[later], own[later], head[later]
+            edge = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (head[1:] != head[:-1]))) if len(own) else own
+            out = [{"id": int(own[lo]), "head": head[lo:lo + 1].tobytes(), "windows": hashes[lo:hi].tobytes()}
+                   for lo, hi in (zip(edge.tolist(), [*edge[1:].tolist(), len(own)], strict=True) if len(own) else ())]
+            yield pa.RecordBatch.from_pylist([*passed, *out], schema=TOLD)
+            passed.clear()
+        yield pa.RecordBatch.from_pylist(passed, schema=TOLD)
+
+    return matched.where("is_first").select("id", "digest", "text") \
+        .mapInArrow(ask, "bucket long, windows binary, ids binary, heads binary, id long, digest binary, spans binary") \
+        .repartition("bucket").sortWithinPartitions("bucket") \
+        .mapInArrow(answer, "id long, head binary, settled struct<digest: binary, spans: binary>, windows binary") \
+        .groupBy("id", "head").agg(F.collect_list("settled").alias("settled"), F.collect_list("windows").alias("windows"))
+
+
+WINDOWS = pa.schema([("bucket", pa.int64()), ("windows", pa.binary()), ("ids", pa.binary()), ("heads", pa.binary()),
+                     ("id", pa.int64()), ("digest", pa.binary()), ("spans", pa.binary())])
+TOLD = pa.schema([("id", pa.int64()), ("head", pa.binary()),
+                  ("settled", pa.struct([("digest", pa.binary()), ("spans", pa.binary())])), ("windows", pa.binary())])
+
+
+def _heavy_pairs(raw: bytes, digest: bytes, settled: list[dict], windows: list[bytes], heavy: np.ndarray):
+    """The (first, end) bytes that go from a text by ``_heavy_spans``."""
+    for x in settled:
+        if x["digest"] == digest:
+            yield from np.frombuffer(x["spans"], np.int64).reshape(-1, 2).tolist()
+    if windows:
+        pair = [("h1", np.uint64), ("h2", np.uint64)]
+        told = np.frombuffer(b"".join(windows), pair)
+        for _, at, h1, h2 in _heavy_windows(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), heavy):
+            at, own = (x[np.isin(h1, told["h1"])] for x in (at, np.column_stack([h1, h2]).view(pair).ravel()))
+            gone = np.isin(own, told)
+            s, e = merged(at[gone], at[gone] + LENGTH)
+            yield from zip(s.tolist(), e.tolist(), strict=True)
+
+
+# --- fragments of the other signatures --------------------------------------------------
+
+def _shared_fragments(part: pa.RecordBatch, heavy: np.ndarray):
+    """Of a slice's first texts, the fragments with a shared signature that isn't heavy, block by
+    block: (row, first byte in its text, first byte in the slice, size, signature, the slice's bytes)."""
     data, off = flat(column_of(part, "text"))
     sigs = [np.frombuffer(b"".join(x if own else ()), np.uint64) for x, own in
             zip(column_of(part, "sigs").to_pylist(), column_of(part, "is_first").to_pylist(), strict=True)]
@@ -272,6 +438,8 @@ def _shared_fragments(part: pa.RecordBatch):
             lo, hi = edge[i], edge[i + 1]
             if hi > lo:
                 keep[lo:hi] = np.isin(sig[lo:hi], sigs[i])
+        if len(heavy):
+            keep &= ~np.isin(sig, heavy)
         yield text[keep], start[keep] - off[text[keep]], start[keep], count[keep] + LENGTH - 1, sig[keep], data
 
 
@@ -301,13 +469,15 @@ def _as_long(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64))
 
 
-def _verdicts(matched: DataFrame) -> DataFrame:
+def _verdicts(matched: DataFrame, heavy: np.ndarray) -> DataFrame:
     """For each fragment that several ids have or some window of which a smaller id has:
     ``sig, name, least, size`` and ``spans``, the (first, end) bytes to go where its id is least."""
+    sent = matched.sparkSession.sparkContext.broadcast(heavy)
+
     def bring(batches):
         for part in slices(batches):
             ids = column_of(part, "id").to_numpy()
-            for text, _, start, size, sig, data in _shared_fragments(part):
+            for text, _, start, size, sig, data in _shared_fragments(part, sent.value):
                 if not len(text):
                     continue
                 distinct, which = _distinct(data, start, size)
@@ -347,13 +517,15 @@ VERDICT = pa.schema([("sig", pa.int64()), ("name", pa.int64()), ("least", pa.int
                      ("spans", pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])))])
 
 
-def _occurrences(matched: DataFrame) -> DataFrame:
-    """``sig, name, id, text_hash, start`` of each fragment with a shared signature."""
+def _occurrences(matched: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """``sig, name, id, text_hash, start`` of each fragment with a shared signature that isn't heavy."""
+    sent = matched.sparkSession.sparkContext.broadcast(heavy)
+
     def tell(batches):
         for part in slices(batches):
             ids = column_of(part, "id").to_numpy()
             key = _text_key(column_of(part, "digest"))
-            for text, inside, start, size, sig, data in _shared_fragments(part):
+            for text, inside, start, size, sig, data in _shared_fragments(part, sent.value):
                 distinct, which = _distinct(data, start, size)
                 yield pa.RecordBatch.from_arrays([_as_long(sig), _as_long(_names(distinct)[which]), pa.array(ids[text]),
                                                   pa.array(key[text]), pa.array(inside)],
@@ -367,13 +539,14 @@ def _text_key(digests: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(x[:4] for x in digests.to_pylist()), np.int32)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, heavy_from: int = HEAVY) -> DataFrame:
     """``doc_id, n_bytes, n_removed, spans, kept`` of each row of ``docs`` (``doc_id``, ``text``):
     ``spans`` are the maximal (first, end) runs of removed bytes, ``kept`` the bytes that stay.
 
     Null text is empty. Rows without an id come after all others and, as one id, don't remove
     each other's bytes; neither do rows that repeat an id. Texts shorter than LENGTH stay whole.
     Texts of any length are searched whole. Empty tables give no rows; other columns are ignored.
+    Signatures count as heavy from ``heavy_from`` occurrences; the result doesn't depend on it.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -384,14 +557,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = base.join(later_copies(base), ["id", "digest"], "left").select(
         "id", "text", "digest", F.col("copy").isNull().alias("is_first"))
     asked = _asked(rows.where("is_first").select("id", "text"), max(64, -(-sizes // BUCKET_BYTES)))
-    matched = rows.join(stored(_answered(asked), "shared"), "id")
-    hits = _occurrences(matched).join(_verdicts(matched), ["sig", "name"])
+    shared = stored(_answered(asked, heavy_from), "shared")
+    matched = rows.join(shared.where(F.col("id").isNotNull()), "id")
+    # 16 bytes for each heavy signature
+    told = [bytes(x) for r in shared.where(F.col("id").isNull()).collect() for x in r["sigs"]]
+    told = np.frombuffer(b"".join(told), np.uint64).reshape(-1, 2)
+    heavy = np.unique(told[:, 0])
+    hits = _occurrences(matched, heavy).join(_verdicts(matched, heavy), ["sig", "name"])
     shifted = F.transform("spans", lambda s: F.struct((s["first"] + F.col("start")).alias("first"),
                                                       (s["end"] + F.col("start")).alias("end")))
     whole = F.array(F.struct(F.col("start").alias("first"), (F.col("start") + F.col("size")).alias("end")))
     spans = hits.select("id", "text_hash", F.when(F.col("id") > F.col("least"), whole).otherwise(shifted).alias("spans")) \
         .where(F.size("spans") > 0).groupBy("id").agg(F.collect_list(F.struct("text_hash", "spans")).alias("found"))
 
+    sent = spark.sparkContext.broadcast(heavy)
+
     def cut(batches):
         for part in slices(batches):
             texts = column_of(part, "text").to_pylist()
@@ -404,6 +584,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                     s, e = whole[:1], whole[1:]
                 else:
                     pairs = [(x["first"], x["end"]) for f in row["found"] or () if f["text_hash"] == key for x in f["spans"]]
+                    if row.get("settled") or row.get("windows"):
+                        pairs.extend(_heavy_pairs(raw, row["digest"], row["settled"], row["windows"], sent.value))
                     s, e = merged(np.array([a for a, _ in pairs], np.int64), np.array([b for _, b in pairs], np.int64))
                 edge = [0, *np.column_stack([s, e]).ravel().tolist(), len(raw)]
                 out.append({"id": row["id"], "n_bytes": len(raw), "n_removed": int((e - s).sum()),
@@ -411,7 +593,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                             "kept": b"".join(raw[a:b] for a, b in zip(edge[::2], edge[1::2], strict=True))})
             yield pa.RecordBatch.from_pylist(out, schema=CUT)
 
-    return rows.join(spans, "id", "left") \
+    joined = rows.join(spans, "id", "left")
+    if len(heavy):
+        n_buckets = max(64, -(-int(told[:, 1].sum()) * USUAL * WINDOW_BYTES // BUCKET_BYTES))
+        joined = joined.withColumn("head", F.substring("digest", 1, 4)) \
+            .join(_heavy_spans(matched, heavy, n_buckets), ["id", "head"], "left")
+    return joined \
         .mapInArrow(cut, "id long, n_bytes long, n_removed long, spans array<struct<first: long, end: long>>, kept binary") \
         .select(id_back(F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "spans", "kept")
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,6 +37,44 @@ def test_suffix_dedup_beyond_the_broadcast(spark, monkeypatch):
     assert multiset(map(tuple, got)) == multiset(brute.removed_bytes(rows))
 
 
+def crossed(n=60):
+    """Documents with one passage, each with other text before and after it, and odd ids."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 7)))
+    text = lambda k: " ".join(word() for _ in range(k))
+    passage, shorter, rule = text(14), text(3)[:20], "-" * 130
+    rows = [(i * 7 % n, f"{text(9)} {passage} {text(6)} {shorter} {text(5)}{rule[:rng.randint(40, 130)]}{text(3)}")
+            for i in range(n)]
+    return rows + [(None, f"{text(4)} {passage}"), (None, f"{passage} {text(4)}"), (5, f"{passage}!{rule}"), (-3, rule[:90])]
+
+
+@pytest.mark.parametrize("heavy_from", [1, 20])
+@pytest.mark.parametrize("name", ["awkward", "crossed"])
+def test_suffix_dedup_of_heavy_signatures(spark, name, heavy_from):
+    rows = crossed() if name == "crossed" else brute.awkward()
+    got = suffix_dedup.remove_repeats(brute.frame(spark, rows).repartition(5), heavy_from).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)).collect()
+    assert multiset(map(tuple, got)) == multiset(brute.removed_bytes(rows))
+
+
+def test_heavy_signatures_are_not_judged_together(spark):
+    df = brute.frame(spark, crossed()).select(F.coalesce("doc_id", F.lit(99)).alias("id"), "text", F.lit(True).alias("is_first"),
+                                              F.unhex(F.md5("text")).alias("digest"))
+    asked = suffix_dedup._answered(suffix_dedup._asked(df, 4), 20)
+    found = [x for r in asked.where("id is null").collect() for x in r["sigs"]]
+    heavy = np.unique(np.frombuffer(b"".join(map(bytes, found)), np.uint64)[::2])
+    sigs = asked.where("id is not null").join(df, "id")
+    judged = suffix_dedup._verdicts(sigs, heavy).select("sig").distinct().collect()
+    assert len(heavy) and judged and not {r["sig"] for r in judged} & set(heavy.view(np.int64).tolist())
+
+
+def test_groups_keep_all_rows_of_several_batches():
+    part = lambda keys: pa.RecordBatch.from_pydict({"k": keys, "x": [bytes([k]) for k in keys]},
+                                                   pa.schema([("k", pa.int64()), ("x", pa.binary())]))
+    got = list(suffix_dedup._groups([part([1, 1]), part([1, 2]), part([]), part([2])], "k"))
+    assert [g.num_rows for g in got] == [3, 2] and got[0].schema.field("x").type == pa.large_binary()
+
+
 def test_two_stage_sorting_against_plain_search():
     rng = random.Random(5)
     for _ in range(200):
