@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from flotilla.llm.common import (NOT_WHITE, Words, column_of, digest, documents, flat, id_back, id_or_last,
                                  later_copies, mix, ship, slices, stored)
@@ -332,6 +332,11 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     kept. Rows that repeat an id and a text are kept or not alike. Empty tables give no rows;
     other columns are ignored.
     """
+    return _grouped(docs, rule).drop("group")
+
+
+def _grouped(docs: DataFrame, rule: Rule) -> DataFrame:
+    """``near_duplicates`` with ``group``, a number for each component; null for rows without words."""
     base = _base(docs)
     firsts = base.join(later_copies(base), ["id", "digest"], "left").where(F.col("copy").isNull()).drop("copy")
     found = stored(sketches(firsts, rule).withColumn("node", F.monotonically_increasing_id()), "sketches")
@@ -358,11 +363,13 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     named = one.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("id").alias("component"))
-    by_text = named.join(least, "label").groupBy("digest").agg(F.min("component").alias("component"), F.max("n").alias("n"))
+    by_text = named.join(least, "label").groupBy("digest").agg(F.min("component").alias("component"), F.max("n").alias("n"),
+                                                             F.min("label").alias("group"))
     return base.select("id", "digest").join(by_text, "digest") \
         .withColumn("component", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))) \
         .select("id", "digest", id_back(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"),
-                id_back(F.col("component")).alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+                id_back(F.col("component")).alias("component_id"), (F.col("id") == F.col("component")).alias("kept"),
+                F.when(F.col("n") > 0, F.col("group")).alias("group"))
 
 
 def _base(docs: DataFrame) -> DataFrame:
@@ -371,14 +378,27 @@ def _base(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``near_duplicates`` keeps."""
-    gone = stored(near_duplicates(docs, rule).where(~F.col("kept")).select("id", "digest").distinct(), "gone")
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
+    """The rows of ``docs``, all columns, that ``near_duplicates`` keeps, but a single one of each
+    component: if its least id has several rows, or all lack an id, the first by text digest and
+    the other columns. Rows without words all stay."""
+    marks = stored(_grouped(docs, rule).select("id", "digest", "kept", "group"), "verdicts")
+    gone = _small(stored(marks.where(~F.col("kept")).select("id", "digest").distinct(), "gone"))
+    kept = marks.where(F.col("kept") & F.col("group").isNotNull())
+    several = kept.groupBy("group").agg(F.count("*").alias("rows")).where(F.col("rows") > 1).select("group")
+    tied = stored(kept.join(several, "group").select("id", "digest", "group").distinct(), "tied")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), id_or_last().alias("id"),
-                       digest(text).alias("digest"))
-    return rows.join(gone, ["id", "digest"], "left_anti").select("row.*")
+                       digest(text).alias("digest")).join(gone, ["id", "digest"], "left_anti")
+    if tied.isEmpty():
+        return rows.select("row.*")
+    order = Window.partitionBy("group").orderBy("id", "digest", F.xxhash64(F.to_json("row")), F.to_json("row"))
+    first = rows.join(_small(tied), ["id", "digest"]).withColumn("place", F.row_number().over(order)).where(F.col("place") == 1)
+    alone = rows.join(_small(tied.select("id", "digest")), ["id", "digest"], "left_anti")
+    return alone.select("row").unionByName(first.select("row")).select("row.*")
+
+
+def _small(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,6 +56,15 @@ def test_one_of_each_keeps_columns(spark):
     assert multiset((r["doc_id"], r["text"]) for r in got) == multiset(kept) and all(r["label"] == "x" for r in got)
 
 
+def test_one_of_each_keeps_a_single_row(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a, "en"), (1, a, "de"), (1, a + " end", "en"), (2, a, "en"), (None, b), (None, b), (None, b + " end"),
+            (None, c), (3, None), (3, None), (None, " ")]
+    got = near_dup.one_of_each(brute.frame(spark, rows)).collect()
+    assert sorted(str((r["doc_id"], (r["text"] or " ")[0])) for r in got) == sorted(
+        map(str, [(1, "a"), (None, "b"), (None, "c"), (3, " "), (3, " "), (None, " ")]))
+
+
 def test_registers_estimate_similarity():
     rng = np.random.default_rng(1)
     for size, share in ((40, 0.9), (400, 0.85), (5000, 0.5), (5000, 0.0)):
