@@ -9,6 +9,8 @@ the match is shorter than two words.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -156,14 +158,16 @@ class Automaton:
         return out
 
 
-def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> list[list[tuple[str, str]]]:
-    """The items as lists of at most about ``limit`` bytes: one list for any usual benchmark."""
+def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[tuple[bool, list[tuple[str, str]]]]:
+    """The items as lists of at most about ``limit`` bytes, collected one at a time, each with
+    whether it's the last: one list for any usual benchmark."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
                              F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // limit))
-    return [[(r["item"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).collect()]
-            for b in range(n)]
+    for b in range(n):
+        own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).collect()
+        yield b == n - 1, [(r["item"], r["text"]) for r in own]
 
 
 FOUND = ("text string, n_words long, n_hit long, longest long, "
@@ -186,8 +190,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
     frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
                         F.col("text").cast("string").alias("text"))
     schema = T.StructType([frame.schema["row"], *T._parse_datatype_string(FOUND).fields])
-    parts = blocks(benchmark, block_bytes)
-    for k, items in enumerate(parts):
+    for k, (is_last, items) in enumerate(blocks(benchmark, block_bytes)):
         sent = spark.sparkContext.broadcast(items)      # at most about block_bytes
 
         def look(batches, sent=sent, again=k > 0):
@@ -205,8 +208,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
                     ["row", "text", "n_words", "n_hit", "longest", "spans", "items"])
 
         frame = frame.mapInArrow(look, schema)
-        if k + 1 < len(parts):
+        if not is_last:
             frame = stored(frame, "decontaminate")
+            sent.unpersist()
     return frame
 
 

@@ -112,6 +112,16 @@ def test_decontamination(spark, name, block_bytes):
     assert multiset(map(tuple, got.collect())) == multiset(brute.contamination(rows, ITEMS))
 
 
+def test_one_block_of_items_at_a_time(spark, monkeypatch):
+    items, seen = spark.createDataFrame(ITEMS, "item_id long, text string"), []
+    kind, collect, stored = type(items), type(items).collect, decontaminate.stored
+    monkeypatch.setattr(kind, "collect", lambda self: (seen.append("collect"), collect(self))[1])
+    monkeypatch.setattr(decontaminate, "stored", lambda *a: (seen.append("stored"), stored(*a))[1])
+    decontaminate.scan(brute.frame(spark, brute.awkward()), items, block_bytes=40)
+    steps = "".join(x[0] for x in seen)
+    assert steps.count("s") > 1 and "cc" not in steps[steps.index("s"):] and steps.endswith("sc")
+
+
 def test_decontamination_given(spark):
     items = [(r["item_id"], r["text"]) for r in brute.read(SMALL, "benchmark")]
     got = decontaminate.op2_decontaminate(spark, SMALL).collect()
