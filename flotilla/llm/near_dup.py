@@ -31,8 +31,9 @@ ZEROS_MOST, MANTISSA_BITS = 14, 4
 # Different least hashes give the same register with a probability between 1 / 88 (many shingles
 # in a bucket) and 1 / 48 (one): about this.
 CHANCE = 1 / 64
-# A pair is dropped unverified when its estimate is this many standard errors below the threshold.
-SLACK = 4.5
+# A pair is dropped unverified when its estimate is this many standard errors below the threshold:
+# of pairs at the threshold, 6 in 10**9, no more than share no band at 0.85.
+SLACK = 5.7
 BLOCK = 256                 # nodes on either side of a block of comparisons
 MEMBERS = 2000              # nodes compared with one copy of a hub's set in a task
 # Ids of the documents whose sets are needed go to all executors up to this many.

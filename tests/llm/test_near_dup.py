@@ -1,5 +1,6 @@
 """Near-duplicates and connected components against all pairs."""
 
+import math
 import random
 
 import numpy as np
@@ -79,6 +80,11 @@ def test_registers_estimate_similarity():
         assert abs(np.mean(error)) < 0.03 and used[0] <= near_dup.REGISTERS
 
 
+def test_estimate_loses_no_more_than_the_bands():
+    no_band = (1 - 0.85 ** near_dup.ROWS) ** near_dup.BANDS
+    assert math.erfc(near_dup.SLACK / math.sqrt(2)) / 2 < no_band < 1e-8
+
+
 def test_components(spark):
     rng = random.Random(2)
     for edges in ([], [(1, 1)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 50)],
