@@ -12,12 +12,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
 from flotilla.llm.common import column_of, documents, flat, ship, slices
 
 TRAIN_ROWS = 4000           # most rows of the training sample, over all languages
-TRAIN_BYTES = 20_000        # only texts up to this long are sampled, so the sample has a byte bound
+TRAIN_BYTES = 20_000        # longer texts are sampled only for want of others; this times the rows bounds the bytes
+FEW = 50                    # short texts of a language from which longer ones aren't needed
 BUCKETS, WIDTH = 4096, 16   # rows and columns of the embedding table
 GRAMS = (2, 3)
 EPOCHS, BATCH, RATE = 6, 32, 20.0
@@ -142,18 +143,35 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[bytes], list[str]]:
-    """About equally many rows of each language, ``rows`` at most: those whose ids have the least
-    hashes as far as the language's number of rows tells."""
+    """About equally many rows of each language, ``rows`` at most: those of TRAIN_BYTES at most
+    whose ids have the least hashes as far as the language's number of rows tells. Where fewer than
+    FEW are so short, the shortest of the others make up for it, as far as TRAIN_BYTES for each
+    row of the language's share allow. A language of which no text is taken is an error."""
     able = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
-                      & (F.octet_length("text") <= TRAIN_BYTES) & (F.octet_length("text") > 0))
-    counts = {r["lang"]: r["n"] for r in able.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(rows + 1).collect()}
+                      & (F.octet_length("text") > 0)).withColumn("size", F.octet_length("text")).select("doc_id", "lang", "text", "size")
+    short = F.col("size") <= TRAIN_BYTES
+    found = able.groupBy("lang").agg(F.count_if(short).alias("n"), F.count("*").alias("all")).orderBy("lang").limit(rows + 1).collect()
+    counts = {r["lang"]: r["n"] for r in found}
     if not counts:
         raise ValueError("no labelled text to learn from")
     if len(counts) > rows:
         raise ValueError(f"more than {rows} languages")
     share, place = rows // len(counts), F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30))
-    chosen = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, 0.95 * share / n) * (1 << 30)))])
-    got = able.where(place < chosen[F.col("lang")]).select("text", "lang", place.alias("place")).limit(rows).collect()
+    chosen = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, 0.95 * share / max(n, 1)) * (1 << 30)))])
+    got = able.where(short & (place < chosen[F.col("lang")])).select("text", "lang", place.alias("place")).limit(rows).collect()
+    lacking = {r["lang"]: min(FEW, share) - r["n"] for r in found if r["n"] < min(FEW, share, r["all"])}
+    if lacking:
+        wanted = F.create_map(*[F.lit(x) for pair in lacking.items() for x in pair])
+        by_size = Window.partitionBy("lang").orderBy("size", "place", "text")
+        longer = able.where(~short & F.col("lang").isin(list(lacking))).withColumn("place", place) \
+            .withColumn("rank", F.row_number().over(by_size)).where(F.col("rank") <= FEW) \
+            .where(F.col("rank") <= wanted[F.col("lang")]) \
+            .withColumn("bytes", F.sum("size").over(by_size.rowsBetween(Window.unboundedPreceding, 0)))
+        left = F.lit(share * TRAIN_BYTES) - (F.lit(min(FEW, share)) - wanted[F.col("lang")]) * F.lit(TRAIN_BYTES)
+        got += longer.where(F.col("bytes") <= left).select("text", "lang", "place").collect()
+    missing = sorted(set(counts) - {r["lang"] for r in got})
+    if missing:
+        raise ValueError(f"no text short enough to learn from: {missing}")
     got.sort(key=lambda r: (r["place"], r["lang"], r["text"]))
     return [r["text"].encode() for r in got], [r["lang"] for r in got]
 

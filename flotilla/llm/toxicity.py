@@ -12,13 +12,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 
 from flotilla.llm.common import Words, column_of, documents, flat, ship, slices
 from flotilla.llm.decontaminate import WORD
 
 TRAIN_ROWS = 10_000         # most labelled rows of the training sample
-TRAIN_BYTES = 20_000        # only texts up to this long are sampled, so the sample has a byte bound
+TRAIN_BYTES = 20_000        # longer texts are sampled only for want of others; this times the rows bounds the bytes
+FEW = 50                    # short texts of a label from which longer ones aren't needed
 MAX_WORDS = 4096            # most features
 MIN_DOCS = 4                # sample rows a feature must be in
 MIN_CHI2 = 10.83            # chi-squared of a word's presence and a grade above 0: one in 1000 by chance
@@ -113,16 +114,33 @@ def train(texts: list[bytes], grades: list[int]) -> Model:
 
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[bytes], list[int]]:
     """Texts and 0/1 labels of at most ``rows`` labelled documents, as many toxic as others if there
-    are as many. Which ones, the hash of the id decides."""
+    are as many. Which ones of TRAIN_BYTES at most, the hash of the id decides. Where a label has
+    fewer than FEW so short, the shortest of the others make up for it, as far as TRAIN_BYTES for
+    each row of the label's half allow. A label of which no text is taken is an error."""
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()) \
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    n = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    texts = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
+        .withColumn("size", F.octet_length("text"))
+    sized = texts.select("doc_id", "size").join(marks, "doc_id")
+    short = F.col("size") <= TRAIN_BYTES
+    found = sized.groupBy("toxic").agg(F.count_if(short).alias("n"), F.count("*").alias("all")).collect()
+    n = {r["toxic"]: r["n"] for r in found}
     place = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1 << 30))
     limit = F.when(F.col("toxic") == 1, _share(rows, n.get(1, 0))).otherwise(_share(rows, n.get(0, 0)))
-    chosen = marks.where(place < limit).limit(rows)
-    got = docs.where(F.col("text").isNotNull() & (F.octet_length("text") <= TRAIN_BYTES)) \
-        .select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id") \
-        .select("text", "toxic", place.alias("place")).limit(rows).collect()
+    chosen = sized.where(short & (place < limit)).select("doc_id", "toxic").distinct().limit(rows)
+    got = texts.where(short).join(F.broadcast(chosen), "doc_id").select("text", "toxic", place.alias("place")).limit(rows).collect()
+    few = min(FEW, rows // 2)
+    for r in found:
+        if r["n"] < min(few, r["all"]):
+            by_size = Window.partitionBy("toxic").orderBy("size", "place", "doc_id")
+            longer = sized.where(~short & (F.col("toxic") == r["toxic"])).withColumn("place", place) \
+                .withColumn("rank", F.row_number().over(by_size)).where(F.col("rank") <= few - r["n"]) \
+                .withColumn("bytes", F.sum("size").over(by_size.rowsBetween(Window.unboundedPreceding, 0))) \
+                .where(F.col("bytes") <= (rows // 2 - r["n"]) * TRAIN_BYTES).select("doc_id", "size", "toxic", "place").distinct()
+            got += texts.join(F.broadcast(longer), ["doc_id", "size"]).select("text", "toxic", "place").limit(few - r["n"]).collect()
+    missing = sorted(set(n) - {r["toxic"] for r in got})
+    if missing:
+        raise ValueError(f"no text short enough to learn from with label {missing}")
     got.sort(key=lambda r: (r["place"], r["text"]))
     return [r["text"].encode() for r in got], [r["toxic"] for r in got]
 

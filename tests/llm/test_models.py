@@ -150,3 +150,15 @@ def test_sample_takes_labels_with_documents_only(spark):
     texts, toxic = toxicity.training_sample(docs, labels)
     assert len(texts) == 20 and sum(toxic) == 7
     assert docs.where(F.col("doc_id") == 0).count() == 1
+
+
+def test_classes_of_long_texts_only_are_learnt(spark):
+    long = "mot long " * 3000
+    rows = [(i, "text here", "en") for i in range(40)] + [(i, long + "x" * i, "fr") for i in range(40, 80)]
+    texts, labels = langid.training_sample(brute.frame(spark, rows))
+    assert set(labels) == {"en", "fr"} and min(len(t) for t, x in zip(texts, labels) if x == "fr") > langid.TRAIN_BYTES
+    with pytest.raises(ValueError):
+        langid.training_sample(brute.frame(spark, rows), 2)
+    marks = spark.createDataFrame([(i, 1, int(i >= 40)) for i in range(80)], "doc_id long, quality int, toxic int")
+    texts, toxic = toxicity.training_sample(brute.frame(spark, rows), marks)
+    assert sum(toxic) == 40 and len(texts) == 80
