@@ -7,6 +7,7 @@ What can't be put in SQL (token ids, packing, models) or would join all windows
 from __future__ import annotations
 
 from flotilla.llm.line_dedup import OP9_SQL
+from flotilla.llm.vector_codes import op13_sql
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FOLDED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
@@ -116,4 +117,5 @@ ORACLES = {
     "op5_near_duplicates": OP5_SQL,
     "op6_quality": OP6_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op13_vector_codes": op13_sql(),
 }

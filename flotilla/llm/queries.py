@@ -14,6 +14,7 @@ from flotilla.llm.suffix_dedup import op1_suffix_dedup
 from flotilla.llm.token_counts import op7_token_counts
 from flotilla.llm.token_store import op4_token_store
 from flotilla.llm.toxicity import op10_toxicity
+from flotilla.llm.vector_codes import op13_vector_codes
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
@@ -26,7 +27,6 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
+    "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
-
-
