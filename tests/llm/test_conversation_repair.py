@@ -1,0 +1,212 @@
+"""Conversation repair: edits against all edit sequences, whole tables against plain Python."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from flotilla.llm import conversation_repair as R
+
+SMALL = "/root/testdata/sf0.001"
+PATTERN = re.compile("(s?(ua)+)?")
+NAMES = {"s": "system", "u": "user", "a": "assistant"}
+FAULTS = [("s", 0), ("s", 1), ("u", 0), ("u", 1), ("a", 0), ("a", 1), ("t", 0), ("", 1), ("x", "go")]
+
+
+def every_way(rows):
+    """Cheapest cost and least audit of (initial, truncated or "go") rows, by trying all edits."""
+    best = None
+    gaps = [""] + ["".join(p) for n in (1, 2, 3) for p in itertools.product("ua", repeat=n)]
+    gaps = [g for g in gaps if len(g) < 2 or g in ("ua", "au", "uau", "aua")]
+    for ins in itertools.product(gaps, repeat=len(rows) + 1):
+        for acts in itertools.product("KUAD", repeat=len(rows)):
+            out, audit, cost = ins[0], "I" * len(ins[0]), 3 * len(ins[0])
+            for (initial, kind), act, g in zip(rows, acts, ins[1:], strict=True):
+                if kind == "go" and act != "D" or act == "K" and initial not in tuple("sua"):
+                    break
+                out += {"D": "", "K": initial, "U": "u", "A": "a"}[act] + g
+                audit += {"U": "R", "A": "R"}.get(act, act) + "I" * len(g)
+                cost += {"D": 4, "K": 0}.get(act, 3) + (3 * kind if act != "D" else 0) + 3 * len(g)
+            else:
+                if PATTERN.fullmatch(out) and (best is None or (cost, audit) < best):
+                    best = cost, audit
+    return best
+
+
+def symbols_of(rows):
+    return [(R.MUST_GO if kind == "go" else R.symbol(initial, bool(kind)), 1) for initial, kind in rows]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(FAULTS), max_size=3))
+def test_edits_equal_trying_all(rows):
+    runs = symbols_of(rows)
+    costs = R.END
+    for sym, n in reversed(runs):
+        costs = R.before(sym, n, costs)
+    edits, _ = R.unroll(runs, R.END, R.START, True)
+    assert (costs[R.START], "".join(edits)) == every_way(rows)
+
+
+def stepwise(rows):
+    """The same for longer ones: per state the least (cost, audit, roles)."""
+    follows = {"": "u", "s": "u", "u": "a", "a": "u"}
+
+    def inserted(states):
+        for _ in range(4):
+            for at, (cost, audit, out) in list(states.items()):
+                to = follows[at]
+                new = cost + 3, audit + "I", out + [("I", to)]
+                if to not in states or new < states[to]:
+                    states[to] = new
+        return states
+
+    states = {"": (0, "", [])}
+    for initial, kind in rows:
+        after = {}
+        for at, (cost, audit, out) in inserted(states).items():
+            options = [(at, 4, "D", None)]
+            if kind != "go":
+                options.append((follows[at], 3 + 3 * kind, "R", follows[at]))
+                if initial and initial in {"": "su", "s": "u", "u": "a", "a": "u"}[at]:
+                    options.append((initial, 3 * kind, "K", None))
+            for to, more, mark, role in options:
+                new = cost + more, audit + mark, out + [(mark, role)]
+                if to not in after or new < after[to]:
+                    after[to] = new
+        states = after
+    return min(v for k, v in inserted(states).items() if k in ("", "a"))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(FAULTS), st.integers(1, 9)), max_size=12), st.integers(1, 5))
+def test_runs_and_chunks_equal_row_by_row(runs, cuts):
+    rows = [r for r, n in runs for _ in range(n)]
+    want = stepwise(rows)
+    chunks = [[] for _ in range(cuts)]
+    for i, (r, n) in enumerate(runs):
+        chunks[i * cuts // len(runs)].append((symbols_of([r])[0][0], n))
+    behind, costs = [], R.END
+    for chunk in reversed(chunks):
+        behind.insert(0, costs)
+        m = R.matrix(chunk)
+        costs = tuple(int(min(m[i, j] + costs[j] for j in range(4))) for i in range(4))
+    audit, state = "", R.START
+    for i, chunk in enumerate(chunks):
+        edits, state = R.unroll(chunk, behind[i], state, i == cuts - 1)
+        audit += "".join(edits)
+    assert (costs[R.START], audit) == want[:2]
+
+
+def plain(rows):
+    """(conv_id, turn, role, text) rows, damaged and repaired."""
+    convs = {}
+    for c, t, role, text in rows:
+        own = convs.setdefault(c, [])
+        k = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if k == 1:
+            text = ""
+        if k == 2:
+            text = re.sub("[.!?]", "", text)
+        if k == 4:
+            role = "user"
+        own += [(t, role, text)] * {0: 0, 3: 2}.get(k, 1)
+    out = []
+    for c, own in convs.items():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        count, seen, kinds = {"blank": 0, "duplicate": 0, "truncated": 0}, set(), []
+        for _, role, text in own:
+            body = re.findall(r"[^\x20\x09-\x0D]", text)
+            if not body:
+                fault = "blank"
+            elif (role, text) in seen:
+                fault = "duplicate"
+            else:
+                fault = "truncated" if body[-1] not in ".!?" else ""
+            seen.add((role, text))
+            if fault:
+                count[fault] += 1
+            kinds.append((role[:1], "go" if fault in ("blank", "duplicate") else int(fault == "truncated")))
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(own))
+        turns = [t for t, *_ in own if t is not None]
+        cost, audit, edits = stepwise(kinds)
+        lines, at = [], iter(own)
+        for mark, role in edits:
+            _, name, text = next(at) if mark != "I" else (None, None, "")
+            if mark != "D":
+                lines.append(f"{NAMES[role] if role else name}:{text}")
+        sha = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+        out.append((c, max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, count["blank"], count["duplicate"],
+                    count["truncated"], illegal, cost, audit, sha))
+    return sorted(out, key=str)
+
+
+COLUMNS = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+
+
+def repaired(spark, tmp_dir, rows):
+    spark.createDataFrame([(*r, "x", "x", "x") for r in rows],
+                          "conv_id long, turn long, role string, text string, rows string, chunk string, copies string") \
+        .repartition(3).write.mode("overwrite").parquet(f"{tmp_dir}/conversations.parquet")
+    return sorted((tuple(r) for r in R.op12_conversation_repair(spark, tmp_dir).select(*COLUMNS).collect()), key=str)
+
+
+def awkward(seed=3, convs=40):
+    rng = random.Random(seed)
+    texts = [None, "", " \t\n", "Yes.", "No", "Why?", "é", "a\nb!", "x" * 3000, "Yes. ", "."]
+    roles = [None, "", "user", "assistant", "system", "tool", "u", "User"]
+    rows = []
+    for c in [None, *range(convs)]:
+        for t in range(rng.randrange(12)):
+            rows.append((c, rng.choice([None, t, t, t, 3, 100]), rng.choice(roles[2:5] * 3 + roles), rng.choice(texts)))
+    rows += rows[::7]
+    return rows
+
+
+def test_awkward_rows_equal_plain(spark, tmp_dir):
+    rows = awkward()
+    assert repaired(spark, tmp_dir, rows) == plain(rows)
+
+
+def test_conversations_over_many_chunks(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(R, "CHUNK_ROWS", 4)
+    rows = awkward(8, 12)
+    rng = random.Random(1)
+    rows += [(5, i // 2, rng.choice(["user", "assistant", "system"]), rng.choice(["Yes.", "No", "One more?", f"{i}."]))
+             for i in range(300)]
+    rows += [(6, 1, "user", "Same.")] * 50 + [(7, None, "user", f"{i}") for i in range(30)]
+    assert repaired(spark, tmp_dir, rows) == plain(rows)
+
+
+def test_empty_table_and_only_dropped_rows(spark, tmp_dir):
+    assert repaired(spark, tmp_dir, []) == []
+    gone = [(c, t, "user", "Hi.") for c in range(200) for t in [0] if zlib.crc32(f"{c}:{t}".encode()) % 20 == 0]
+    assert gone and repaired(spark, tmp_dir, gone) == plain(gone)
+
+
+def test_pieces_hold_the_repaired_rows(spark):
+    rows = [(1, 0, "user", "Hi."), (1, 1, "user", "Again?"), (1, 2, "assistant", "Yes.")]
+    done = R.repair(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = done.pieces.select("audit", "repaired").collect()
+    assert [tuple(r) for r in got] == [("KIKK", "user:Hi.\nassistant:\nuser:Again?\nassistant:Yes.")]
+    assert done.conversations.first()["cost"] == 3
+
+
+def test_given_table_equals_plain(spark):
+    import pyarrow.parquet as pq
+    rows = [tuple(r[c] for c in ("conv_id", "turn", "role", "text")) for r in pq.read_table(f"{SMALL}/conversations.parquet").to_pylist()]
+    assert sorted(map(tuple, R.op12_conversation_repair(spark, SMALL).select(*COLUMNS).collect()), key=str) == plain(rows)
+
+
+@pytest.mark.parametrize("length", [1, 2, 5, 64, 1000])
+def test_long_runs_by_powers(length):
+    for sym in range(9):
+        costs = R.END
+        for _ in range(length):
+            costs = R.before(sym, 1, costs)
+        assert R.before(sym, length, R.END) == costs
