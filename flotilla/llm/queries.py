@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from flotilla.llm.byte_bpe import op11_byte_bpe
 from flotilla.llm.conversation_repair import op12_conversation_repair
 from flotilla.llm.decontaminate import op2_decontaminate
 from flotilla.llm.langid import op8_language
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_byte_bpe": op11_byte_bpe,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
