@@ -2,8 +2,9 @@
 
 A text's byte n-grams are hashed to rows of an embedding table; their mean goes through a
 linear softmax. Table and softmax are trained together by stochastic gradient descent on a
-bounded, stratified sample. On a part of it that training doesn't see, a temperature makes
-the scores probabilities, and a threshold is set below which a prediction counts as rejected.
+bounded, stratified sample of rows: tasks count the n-grams of their whole texts, so the driver
+gets bucket counts, not texts. On a part of the sample that training doesn't see, a temperature
+makes the scores probabilities, and a threshold is set below which a prediction is rejected.
 """
 
 from __future__ import annotations
@@ -12,19 +13,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from flotilla.llm.common import column_of, documents, flat, ship, slices
+from flotilla.llm.common import column_of, documents, flat, ship, slices, trimmed
 
-TRAIN_ROWS = 4000           # most rows of the training sample, over all languages
-TRAIN_BYTES = 20_000        # longer texts are sampled only for want of others; this times the rows bounds the bytes
-FEW = 50                    # short texts of a language from which longer ones aren't needed
+TRAIN_ROWS = 4000           # most rows of the training sample, over all languages (8 bytes a bucket in use, each)
 BUCKETS, WIDTH = 4096, 16   # rows and columns of the embedding table
 GRAMS = (2, 3)
 EPOCHS, BATCH, RATE = 6, 32, 20.0
 SLICE = 2 << 20
 STRIDE = 1 << 20            # n-grams looked up at a time
 WANTED = 0.99               # accuracy that accepted predictions should have on unseen rows
+SPARED = 0.005              # share of the right predictions on unseen rows that rejection may cost
 UNDETERMINED = "und"
 _SEEN = np.arange(256, dtype=np.uint8)      # bytes as n-grams see them: lower case, no ASCII signs
 _SEEN[65:91] += 32
@@ -80,6 +80,8 @@ class Model:
 
     def predict(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The index of the likeliest language of each text and its probability."""
+        if not self.languages:
+            return np.zeros(len(off) - 1, np.int64), np.zeros(len(off) - 1)
         p = softmax(self.logits(data, off) / self.temperature)
         return p.argmax(1), p.max(1)
 
@@ -89,18 +91,29 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
+def bucket_counts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """texts x BUCKETS: how often n-grams of each text fall into each bucket."""
+    out = np.zeros((len(off) - 1, BUCKETS), np.float32)
+    for i, (a, b) in enumerate(zip(off[:-1], off[1:], strict=True)):
+        for n in GRAMS:
+            out[i] += np.bincount(gram_codes(data[a:b], np.array([0, b - a]), n)[0], minlength=BUCKETS)
+    return out
+
+
 def train(texts: list[bytes], labels: list[str], seed: int = 7) -> Model:
-    """Fit on four fifths of the rows, calibrate on the rest. Row order is part of the input."""
+    """``fit`` on the n-grams of texts."""
+    off = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)]).astype(np.int64)
+    return fit(bucket_counts(np.frombuffer(b"".join(texts), np.uint8), off), labels, seed)
+
+
+def fit(counts: np.ndarray, labels: list[str], seed: int = 7) -> Model:
+    """Fit on four fifths of the rows, calibrate on the rest. Row order is part of the input. No
+    rows give a model of no languages, which leaves every text undetermined."""
     languages = sorted(set(labels))
     if not languages:
-        raise ValueError("no labelled text to learn from")
+        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32))
     y = np.array([languages.index(x) for x in labels])
-    features = np.zeros((len(texts), BUCKETS), np.float32)
-    for i, raw in enumerate(texts):
-        data, off = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
-        for n in GRAMS:
-            features[i] += np.bincount(gram_codes(data, off, n)[0], minlength=BUCKETS)
-    features /= np.maximum(features.sum(1, keepdims=True), 1)
+    features = counts / np.maximum(counts.sum(1, keepdims=True), 1)
     rng = np.random.default_rng(seed)
     unseen = np.arange(len(y)) % 5 == 4
     own = np.flatnonzero(~unseen)
@@ -134,6 +147,8 @@ def train(texts: list[bytes], labels: list[str], seed: int = 7) -> Model:
         order = np.argsort(-sure)
         good = np.flatnonzero(np.cumsum(right[order]) >= WANTED * np.arange(1, len(order) + 1))
         model.threshold = float(sure[order[good[-1]]]) if len(good) else 1.0
+        if right.any():
+            model.threshold = max(model.threshold, float(np.quantile(sure[right], SPARED)))
     return model
 
 
@@ -142,45 +157,48 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def training_sample(docs: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[bytes], list[str]]:
-    """About equally many rows of each language, ``rows`` at most: those of TRAIN_BYTES at most
-    whose ids have the least hashes as far as the language's number of rows tells. Where fewer than
-    FEW are so short, the shortest of the others make up for it, as far as TRAIN_BYTES for each
-    row of the language's share allow. A language of which no text is taken is an error."""
-    able = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
-                      & (F.octet_length("text") > 0)).withColumn("size", F.octet_length("text")).select("doc_id", "lang", "text", "size")
-    short = F.col("size") <= TRAIN_BYTES
-    found = able.groupBy("lang").agg(F.count_if(short).alias("n"), F.count("*").alias("all")).orderBy("lang").limit(rows + 1).collect()
-    counts = {r["lang"]: r["n"] for r in found}
+def training_sample(docs: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, list[str]]:
+    """Bucket counts and languages of about equally many rows of each language, ``rows`` at most,
+    in a fixed order. A hash of id and text alone decides which (a language whose share is only a
+    few rows may be missed); equal rows count once. Texts are whole, however long. A table without
+    labelled text gives none."""
+    ship(docs.sparkSession)
+    text = F.col("text").cast("string")
+    able = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")) & (F.octet_length(text) > 0)) \
+        .select(F.col("lang").cast("string").alias("lang"), text.alias("text"), F.xxhash64("doc_id", text, F.lit(8)).alias("place"))
+    counts = {r["lang"]: r["n"] for r in able.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(rows + 1).collect()}
     if not counts:
-        raise ValueError("no labelled text to learn from")
+        return np.zeros((0, BUCKETS), np.float32), []
     if len(counts) > rows:
         raise ValueError(f"more than {rows} languages")
-    share, place = rows // len(counts), F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30))
-    chosen = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, 0.95 * share / max(n, 1)) * (1 << 30)))])
-    got = able.where(short & (place < chosen[F.col("lang")])).select("text", "lang", place.alias("place")).limit(rows).collect()
-    lacking = {r["lang"]: min(FEW, share) - r["n"] for r in found if r["n"] < min(FEW, share, r["all"])}
-    if lacking:
-        wanted = F.create_map(*[F.lit(x) for pair in lacking.items() for x in pair])
-        by_size = Window.partitionBy("lang").orderBy("size", "place", "text")
-        longer = able.where(~short & F.col("lang").isin(list(lacking))).withColumn("place", place) \
-            .withColumn("rank", F.row_number().over(by_size)).where(F.col("rank") <= FEW) \
-            .where(F.col("rank") <= wanted[F.col("lang")]) \
-            .withColumn("bytes", F.sum("size").over(by_size.rowsBetween(Window.unboundedPreceding, 0)))
-        left = F.lit(share * TRAIN_BYTES) - (F.lit(min(FEW, share)) - wanted[F.col("lang")]) * F.lit(TRAIN_BYTES)
-        got += longer.where(F.col("bytes") <= left).select("text", "lang", "place").collect()
-    missing = sorted(set(counts) - {r["lang"] for r in got})
-    if missing:
-        raise ValueError(f"no text short enough to learn from: {missing}")
-    got.sort(key=lambda r: (r["place"], r["lang"], r["text"]))
-    return [r["text"].encode() for r in got], [r["lang"] for r in got]
+    share = rows // len(counts)
+    part = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, 0.95 * share / n) * (1 << 30)))])
+    chosen = able.where(F.pmod("place", F.lit(1 << 30)) < part[F.col("lang")]).groupBy("lang", "place").agg(F.min("text").alias("text"))
+
+    def count(batches):
+        for b in slices(batches, limit=SLICE):
+            own = bucket_counts(*flat(column_of(b, "text")))
+            text_, bucket = np.nonzero(own)
+            ends = pa.array(np.searchsorted(text_, np.arange(b.num_rows + 1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([
+                column_of(b, "lang"), column_of(b, "place"), pa.ListArray.from_arrays(ends, pa.array(bucket.astype(np.int32))),
+                pa.ListArray.from_arrays(ends, pa.array(own[text_, bucket]))], ["lang", "place", "bucket", "n"])
+
+    got = chosen.mapInArrow(trimmed(count), "lang string, place long, bucket array<int>, n array<float>").toArrow().combine_chunks()
+    order = np.lexsort((got["lang"].to_numpy(), got["place"].to_numpy()))[:rows]
+    got = got.take(pa.array(order))
+    out = np.zeros((got.num_rows, BUCKETS), np.float32)
+    bucket, n = got["bucket"].combine_chunks(), got["n"].combine_chunks()
+    where = np.repeat(np.arange(got.num_rows), bucket.value_lengths().to_numpy())
+    out[where, bucket.flatten().to_numpy()] = n.flatten().to_numpy()
+    return out, got["lang"].to_pylist()
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang_pred, score, rejected`` of each row of ``docs`` (``doc_id``, ``text``).
 
-    A text that is null or has no letter is ``und`` with score 0 and rejected. ``rejected`` also
-    marks scores below the model's threshold. Whole texts count, however long; null ids stay
+    A text that is null or has no letter is ``und`` with score 0 and rejected; so is every text if
+    the model knows no language. ``rejected`` also marks scores below the model's threshold. Whole texts count, however long; null ids stay
     null; repeated rows get equal results; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -194,10 +212,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             data, off = flat(column_of(part, "text"))
             best, score = own.predict(data, off)
             letters = has_letter(data, off)
-            best[~letters], score[~letters] = len(own.languages), 0.0
+            unknown = ~letters | (not own.languages)
+            best[unknown], score[unknown] = len(own.languages), 0.0
             yield pa.RecordBatch.from_arrays([
                 column_of(part, "doc_id"), pa.array(names[best], pa.string()), pa.array(score, pa.float64()),
-                pa.array(~letters | (score < own.threshold))], ["doc_id", "lang_pred", "score", "rejected"])
+                pa.array(unknown | (score < own.threshold))], ["doc_id", "lang_pred", "score", "rejected"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .mapInArrow(predict, "doc_id long, lang_pred string, score double, rejected boolean")
@@ -205,5 +224,5 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    model = train(*training_sample(docs))
-    return identify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    model = fit(*training_sample(docs))
+    return identify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")

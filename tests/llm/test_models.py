@@ -67,11 +67,40 @@ def test_text_and_its_neighbours_do_not_mix(model):
 
 def test_held_out_rows_and_null_languages_are_not_learnt(spark):
     rows = [(i, "text here", None if i % 2 else "en") for i in range(200)]
-    texts, labels = langid.training_sample(brute.frame(spark, rows))
+    counts, labels = langid.training_sample(brute.frame(spark, rows))
     allowed = [i for i in range(0, 200, 2) if __import__("zlib").crc32(str(i).encode()) % 4 != 2]
-    assert set(labels) == {"en"} and 0 < len(texts) <= len(allowed)
-    with pytest.raises(ValueError):
-        langid.training_sample(brute.frame(spark, [(1, "x", None)]))
+    assert set(labels) == {"en"} and 0 < len(counts) == len(labels) <= len(allowed)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "text", None), (None, None, "en"), (2, "", "en")]])
+def test_nothing_to_learn_from_leaves_texts_undetermined(spark, tmp_dir, rows):
+    brute.frame(spark, rows).write.parquet(f"{tmp_dir}/documents.parquet")
+    got = langid.op8_language(spark, tmp_dir).collect()
+    assert len(got) == len(rows) and all((r["lang_pred"], r["score"], r["rejected"]) == ("und", 0.0, True) for r in got)
+
+
+def test_sample_is_bounded_whole_and_counts_equal_rows_once(spark):
+    rows = [(i, f"ka lo mi {i} " * (30_000 if i % 3 else 1), "aa" if i % 2 else "bb") for i in range(60)] + [(None, "xyz", "bb")] * 500
+    df = brute.frame(spark, rows).repartition(4)
+    counts, labels = langid.training_sample(df)
+    again, _ = langid.training_sample(df.repartition(7))
+    assert np.array_equal(counts, again) and labels.count("bb") <= 31 and counts.sum(1).max() > 400_000
+    few, labels = langid.training_sample(df, rows=10)
+    assert len(few) == len(labels) <= 10
+    # the counts are those of the whole texts
+    want = {tuple(langid.bucket_counts(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0]) for _, t, _ in set(rows)}
+    assert {tuple(x) for x in counts} <= want
+
+
+def test_strangers_are_rejected(spark, model):
+    rng = random.Random(9)
+    words = lambda of, n: " ".join("".join(rng.choices(of, k=6)) for _ in range(n))
+    strangers = [(i, words("αβγδεζηθικλμνξο", 30)) for i in range(60)] + [(100 + i, words("ежзийклмнп", 30)) for i in range(60)] \
+        + [(200 + i, words(["hub", "ded", "gop", "vaf", "jes"], 20)) for i in range(60)]
+    own = [(1000 + r[0], r[1]) for r in made(300, 4)]
+    got = {r["doc_id"]: r["rejected"] for r in langid.identify(brute.frame(spark, strangers + own), model).collect()}
+    assert np.mean([got[i] for i, _ in strangers]) > 0.9
+    assert np.mean([got[i] for i, _ in own]) < 0.05
 
 
 def bad_words(n, seed):
@@ -155,10 +184,8 @@ def test_sample_takes_labels_with_documents_only(spark):
 def test_classes_of_long_texts_only_are_learnt(spark):
     long = "mot long " * 3000
     rows = [(i, "text here", "en") for i in range(40)] + [(i, long + "x" * i, "fr") for i in range(40, 80)]
-    texts, labels = langid.training_sample(brute.frame(spark, rows))
-    assert set(labels) == {"en", "fr"} and min(len(t) for t, x in zip(texts, labels) if x == "fr") > langid.TRAIN_BYTES
-    with pytest.raises(ValueError):
-        langid.training_sample(brute.frame(spark, rows), 2)
+    counts, labels = langid.training_sample(brute.frame(spark, rows))
+    assert set(labels) == {"en", "fr"} and min(c.sum() for c, x in zip(counts, labels) if x == "fr") > 20_000
     marks = spark.createDataFrame([(i, 1, int(i >= 40)) for i in range(80)], "doc_id long, quality int, toxic int")
     texts, toxic = toxicity.training_sample(brute.frame(spark, rows), marks)
     assert sum(toxic) == 40 and len(texts) == 80
