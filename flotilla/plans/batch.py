@@ -3,11 +3,12 @@
 read → clean → KPIs → report → publish, with no action before the writes. Row counts per
 stage ride on the writes (``df.observe``); the report is written once and every later output
 (CSV, KPI summary, dashboard series) reads the written table, so all carry one report stamp
-and nothing is recomputed.
+and nothing is recomputed. All tables of a run are staged and checked, then published as one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from flotilla import schemas as S
 from flotilla.operators import clean, dashboard, kpis, logs, quality, report
-from flotilla.sinks import publish, publish_counted, write_csv, write_json
+from flotilla.sinks import Publication, Snapshot, publish, publish_counted, write_csv, write_json
 from flotilla.sources import (
     BAD, read_deliveries, read_gps, read_incidents, read_log, read_optional, read_table, read_vehicles,
     refuse_if_nothing_fits,
@@ -85,18 +86,27 @@ DAY_COLUMNS = {"entregas": "fecha_entrega", "rutas_gps": "timestamp", "incidenci
 
 
 def run_batch(spark: SparkSession, raw: RawInputs, out: str, report_time=None,
-              partition_by_day: bool = False) -> DataFrame:
+              partition_by_day: bool = False, most_bad: float = 1.0) -> DataFrame:
     """Publish the six tables, the report CSV, the KPI summary JSON and the stage counts.
 
     ``calidad`` has for each input the records read (``leidas``) and, where the reader marks
-    them, those that don't fit its schema (``malformadas``). An input none of whose records fits
-    stops the job. So does a plate that repeats in the vehicle master.
+    them, those that don't fit its schema (``malformadas``). The run is staged: an input none of
+    whose records fits (or more than the share ``most_bad`` of which don't), a plate that repeats
+    in the vehicle master or any other failure stops it, and what was published before stays.
 
     ``partition_by_day`` writes the cleaned deliveries, pings and incidents partitioned by their
     event day (column ``dia``), so date-bounded readers prune. It costs a sort by day in each
     write task and more files per task, so it is off by default.
-    Returns the stage-count table (also written to ``{out}/calidad``).
+    Returns the stage-count table (also published as ``calidad``).
     """
+    with Publication(spark, out) as run:
+        _stage(spark, raw, run.path, report_time, partition_by_day, most_bad)
+    return read_table(spark, f"{out}/calidad")
+
+
+def _stage(spark: SparkSession, raw: RawInputs, path: Callable[[str], str], report_time, partition_by_day: bool,
+           most_bad: float) -> None:
+    """All tables of a run, checked, at ``path(name)``."""
     counts: list[tuple[str, str, int]] = []
     read_obs = {}
     staged = {}
@@ -110,65 +120,63 @@ def run_batch(spark: SparkSession, raw: RawInputs, out: str, report_time=None,
     incidents = clean.clean_incidents(staged["incidencias"])
     log = logs.parse_log(staged["eventos_sistema"])
 
-    # The five publishes are independent jobs: submitted together, the scheduler runs their
+    # The five writes are independent jobs: submitted together, the scheduler runs their
     # stages side by side instead of leaving the cluster idle behind the slowest one.
     tables = [("vehiculos", staged["vehiculos"]), ("entregas", deliveries), ("rutas_gps", gps),
               ("incidencias", incidents), ("eventos_sistema", log)]
-    def publish_one(name: str, df: DataFrame) -> int:
+
+    def write_one(name: str, df: DataFrame) -> int:
         if partition_by_day and name in DAY_COLUMNS:
             return publish_counted(df.withColumn("dia", F.to_date(DAY_COLUMNS[name])),
-                                   f"{out}/{name}", f"pub_{name}", partition_by=["dia"])
-        return publish_counted(df, f"{out}/{name}", f"pub_{name}")
+                                   path(name), f"pub_{name}", partition_by=["dia"])
+        return publish_counted(df, path(name), f"pub_{name}")
 
-    published = _concurrently({name: (lambda df=df, name=name: publish_one(name, df))
-                               for name, df in tables})
+    written = _concurrently({name: (lambda df=df, name=name: write_one(name, df))
+                             for name, df in tables})
     for name, df in sources.items():
         rows, bad = int(read_obs[name].get["rows"]), read_obs[name].get.get("bad")
-        counts += [(name, "leidas", rows), (name, "publicadas", published[name])]
+        counts += [(name, "leidas", rows), (name, "publicadas", written[name])]
         if bad is not None:
             counts.append((name, "malformadas", int(bad)))
-            refuse_if_nothing_fits(name, rows, int(bad))
-    report.check_master(read_table(spark, f"{out}/vehiculos"))
+            refuse_if_nothing_fits(name, rows, int(bad), most_bad)
+    report.check_master(read_table(spark, path("vehiculos")))
 
-    # KPIs from the published, cleaned tables: the cleaning is not run twice. The report chain
+    # KPIs from the written, cleaned tables: the cleaning is not run twice. The report chain
     # (report, then its CSV and JSON) and the log series are independent: run them together.
     def report_chain() -> int:
         rep = report.fleet_report(
-            kpis.delivery_kpis(read_table(spark, f"{out}/entregas")),
-            kpis.gps_kpis(read_table(spark, f"{out}/rutas_gps")),
-            kpis.incident_kpis(read_table(spark, f"{out}/incidencias")),
-            read_table(spark, f"{out}/vehiculos"), report_time=report_time)
-        n = publish_counted(rep, f"{out}/reporte_flota", "rep")
-        rep_back = read_table(spark, f"{out}/reporte_flota")
+            kpis.delivery_kpis(read_table(spark, path("entregas"))),
+            kpis.gps_kpis(read_table(spark, path("rutas_gps"))),
+            kpis.incident_kpis(read_table(spark, path("incidencias"))),
+            read_table(spark, path("vehiculos")), report_time=report_time)
+        n = publish_counted(rep, path("reporte_flota"), "rep")
+        rep_back = read_table(spark, path("reporte_flota"))
         _concurrently({
-            "csv": lambda: write_csv(rep_back, f"{out}/reporte_flota_csv"),                     # O2
-            "json": lambda: write_json(report.report_summary(rep_back), f"{out}/kpi_resumen"),  # O3
+            "csv": lambda: write_csv(rep_back, path("reporte_flota_csv")),                     # O2
+            "json": lambda: write_json(report.report_summary(rep_back), path("kpi_resumen")),  # O3
         })
         return n
 
-    plog = read_table(spark, f"{out}/eventos_sistema")
+    plog = read_table(spark, path("eventos_sistema"))
     done = _concurrently({
         "report": report_chain,
-        "levels": lambda: publish(logs.level_counts(plog), f"{out}/eventos_por_nivel"),       # A4
-        "components": lambda: publish(logs.component_counts(plog), f"{out}/eventos_por_componente"),
-        "errors": lambda: publish_counted(logs.error_lines(plog), f"{out}/eventos_error", "err"),  # F6
+        "levels": lambda: publish(logs.level_counts(plog), path("eventos_por_nivel")),       # A4
+        "components": lambda: publish(logs.component_counts(plog), path("eventos_por_componente")),
+        "errors": lambda: publish_counted(logs.error_lines(plog), path("eventos_error"), "err"),  # F6
     })
     counts.append(("reporte_flota", "publicadas", done["report"]))
     counts.append(("eventos_sistema", "errores", done["errors"]))
-
-    table = quality.counts_table(spark, counts)
-    publish(table, f"{out}/calidad")                                            # A6
-    return table
+    publish(quality.counts_table(spark, counts), path("calidad"))                            # A6
 
 
 def run_dashboard(spark: SparkSession, published: str, out: str) -> None:
-    """Headline KPI sheet (O7) and chart series (A11, A12, K1, K2), from published tables.
+    """Headline KPI sheet (O7) and chart series (A11, A12, K1, K2), from the tables of one
+    published run.
 
     Without an event table its series is empty, and ``calidad`` says ``eventos/ausente``.
     """
-    rep = read_table(spark, f"{published}/reporte_flota")
-    deliveries = read_table(spark, f"{published}/entregas")
-    incidents = read_table(spark, f"{published}/incidencias")
+    now = Snapshot(spark, published)
+    rep, deliveries, incidents = (now.table(n) for n in ("reporte_flota", "entregas", "incidencias"))
     events = read_optional(spark, f"{published}/eventos_streaming", S.EVENT_ROW)
     absent = events is None
     if absent:

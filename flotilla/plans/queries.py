@@ -16,7 +16,7 @@ from flotilla import schemas as S
 from flotilla.operators import clean, dashboard, events, kpis, logs, quality, report, windows
 from flotilla.plans import standins as T
 from flotilla.session import apply_runtime_defaults, scratch_path
-from flotilla.sinks import publish, read_latest, write_csv, write_json
+from flotilla.sinks import Publication, publish, read_latest, write_csv, write_json
 from flotilla.sinks.stream import append_feed, upsert_table
 from flotilla.sources import (
     read_deliveries, read_gps, read_incidents, read_log, read_table, read_vehicles, table_stream,
@@ -366,10 +366,11 @@ def q_read_log_text(spark, sf_dir):
 # --- publish and read back -------------------------------------------------------------------
 
 def q_publish_report(spark, sf_dir):
-    """O1 + S7: the report written once as Parquet and read back whole."""
-    out = scratch_path(spark, "queries", "reporte_flota")
-    publish(Inputs(spark, sf_dir).report(), out)
-    return as_wall_clock(read_table(spark, out))
+    """O1 + S7: the report staged, committed and read back whole by way of the commit note."""
+    root = scratch_path(spark, "queries", "publicado")
+    with Publication(spark, root) as run:
+        publish(Inputs(spark, sf_dir).report(), run.path("reporte_flota"))
+    return as_wall_clock(read_table(spark, f"{root}/reporte_flota"))
 
 
 def q_publish_report_csv(spark, sf_dir):

@@ -8,13 +8,14 @@ without an error. ``claim`` refuses that, and a change of layout, before a query
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from flotilla.notes import has_data, read_note, remove, write_note
+
 # Batches that ``upsert_table`` keeps apart before it merges them into one.
 MERGE_EVERY = 20
 
@@ -23,71 +24,26 @@ class FolderInUseError(RuntimeError):
     pass
 
 
-# --- small files beside the data, in any store Spark reaches ------------------------------
-
-def _store(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def _read_note(spark: SparkSession, path: str) -> dict | None:
-    fs, p = _store(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        return json.loads(bytes(stream.readAllBytes()))
-    finally:
-        stream.close()
-
-
-def _write_note(spark: SparkSession, path: str, note: dict) -> None:
-    """Written under another name, then renamed over the old note: readers see one or the other."""
-    fs, p = _store(spark, path)
-    temp = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex}")
-    stream = fs.create(temp, True)
-    try:
-        stream.write(json.dumps(note).encode())
-    finally:
-        stream.close()
-    jvm = spark._jvm
-    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
-    context.rename(fs.makeQualified(temp), fs.makeQualified(p), over)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    """A folder of this sink's own that no reader is told of any more."""
-    fs, p = _store(spark, path)
-    fs.delete(p, True)
-
-
-def _has_data(spark: SparkSession, path: str) -> bool:
-    fs, p = _store(spark, path)
-    return fs.exists(p) and len(fs.listStatus(p)) > 0
-
-
 def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     """A name that a checkpoint folder keeps for life."""
-    note = _read_note(spark, f"{checkpoint}/_flotilla_id")
+    note = read_note(spark, f"{checkpoint}/_flotilla_id")
     if note is None:
         note = {"id": uuid.uuid4().hex}
-        _write_note(spark, f"{checkpoint}/_flotilla_id", note)
+        write_note(spark, f"{checkpoint}/_flotilla_id", note)
     return note["id"]
 
 
 def claim(spark: SparkSession, path: str, checkpoint: str, layout: str) -> None:
     """Tie ``path`` to a checkpoint and a layout, or fail if it is tied to others."""
     mine = {"checkpoint": checkpoint_id(spark, checkpoint), "layout": layout}
-    there = _read_note(spark, f"{path}/_owner")
-    if there is None and _has_data(spark, path):
+    there = read_note(spark, f"{path}/_owner")
+    if there is None and has_data(spark, path):
         raise FolderInUseError(f"{path} holds data of an unknown writer; name another folder")
     if there is not None and there != mine:
         what = "layout" if there["layout"] != layout else "checkpoint"
         raise FolderInUseError(f"{path} was written with another {what} ({there}); go on with that one or name another folder")
     if there is None:
-        _write_note(spark, f"{path}/_owner", mine)
+        write_note(spark, f"{path}/_owner", mine)
 
 
 def _trigger(writer, trigger):
@@ -160,13 +116,13 @@ def replace_table(df: DataFrame, name: str, path: str, checkpoint: str,
 
     def write(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
-        before = _read_note(own, f"{path}/_current")
+        before = read_note(own, f"{path}/_current")
         folder = f"run={run}/batch={batch_id}"
         (transform(batch) if transform else batch).write.mode("overwrite").parquet(f"{path}/{folder}")
-        _write_note(own, f"{path}/_current", {"folders": [folder]})
+        write_note(own, f"{path}/_current", {"folders": [folder]})
         for old in (before or {}).get("folders", []):
             if old != folder:
-                _remove(own, f"{path}/{old}")
+                remove(own, f"{path}/{old}")
 
     w = (df.writeStream.queryName(name).outputMode(mode).foreachBatch(write)
          .option("checkpointLocation", checkpoint))
@@ -190,7 +146,7 @@ def upsert_table(df: DataFrame, name: str, path: str, checkpoint: str, keys: lis
 
     def write(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
-        now = _read_note(own, f"{path}/_current") or {}
+        now = read_note(own, f"{path}/_current") or {}
         mine = now.get("run") == run
         if mine and batch_id <= now["merged"]:
             return                              # repeated after it was merged
@@ -206,9 +162,9 @@ def upsert_table(df: DataFrame, name: str, path: str, checkpoint: str, keys: lis
             gone, folders, merged = folders, [whole], batch_id
         else:
             gone = []
-        _write_note(own, f"{path}/_current", {"run": run, "folders": folders, "merged": merged, "keys": keys})
+        write_note(own, f"{path}/_current", {"run": run, "folders": folders, "merged": merged, "keys": keys})
         for old in [*gone, *([] if mine else now.get("folders", []))]:
-            _remove(own, f"{path}/{old}")
+            remove(own, f"{path}/{old}")
         if watch is not None:
             watch(read_latest(own, path), batch_id)
 
@@ -225,7 +181,7 @@ def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     """The table that ``replace_table`` or ``upsert_table`` committed last."""
-    now = _read_note(spark, f"{path}/_current")
+    now = read_note(spark, f"{path}/_current")
     if now is None:
         raise FileNotFoundError(f"{path} has no committed table yet")
     rows = spark.read.parquet(*[f"{path}/{f}" for f in now["folders"]])

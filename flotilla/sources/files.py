@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from flotilla import schemas as S
+from flotilla.notes import committed_path
 
 log = logging.getLogger(__name__)
 
@@ -78,16 +79,20 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def refuse_if_nothing_fits(name: str, rows: int, bad: int) -> None:
+def refuse_if_nothing_fits(name: str, rows: int, bad: int, most_bad: float = 1.0) -> None:
     """Every record is malformed: the file isn't what it was taken for (a JSON array read line by
-    line, say), and an empty result would hide it."""
+    line, say), and an empty result would hide it. ``most_bad``: the share of malformed records
+    beyond which an input is refused as well."""
     if rows and rows == bad:
         raise UnreadableInputError(f"{name}: none of {rows} records fits the schema (a JSON array needs multi-line reading)")
+    if bad > most_bad * rows:
+        raise UnreadableInputError(f"{name}: {bad} of {rows} records don't fit the schema, more than {most_bad:.2%}")
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A published table, whole."""
-    return spark.read.format(fmt).load(path)
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
+    """A published table, whole: that of the run that ``sinks.Publication`` committed last, or
+    a plain folder. Several tables of one run: ``sinks.Snapshot``."""
+    return spark.read.format(fmt).options(**options).load(committed_path(spark, path))
 
 
 def read_optional(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame | None:

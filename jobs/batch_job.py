@@ -5,7 +5,8 @@
 
 Inputs in ``--input``: vehiculos.csv, entregas.csv, gps_registros.json, incidencias.json,
 eventos_sistema.log. Outputs: one Parquet folder per published table plus the report CSV, the
-KPI summary JSON and a stage-count table (``calidad``).
+KPI summary JSON and a stage-count table (``calidad``), all in a folder ``run=<id>`` that the
+note ``_publicado`` names once the run is complete and checked; a failed run changes nothing.
 """
 
 import argparse
@@ -29,6 +30,8 @@ def main(argv=None):
     ap.add_argument("--report-time", default=None, help="fixed report stamp (default: now)")
     ap.add_argument("--partition-by-day", action="store_true",
                     help="partition the cleaned fact tables by event day")
+    ap.add_argument("--most-malformed", type=float, default=1.0,
+                    help="share of malformed records beyond which an input stops the run")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="default: one for each 128 MB of input")
     ap.add_argument("--master", default=None)
@@ -43,7 +46,7 @@ def main(argv=None):
         landing = scratch_path(spark, "landing") if a.multiline_json else None
         raw = read_inputs(spark, a.input, multi_line_json=a.multiline_json, landing=landing)
     counts = run_batch(spark, raw, a.output, report_time=a.report_time,
-                       partition_by_day=a.partition_by_day)
+                       partition_by_day=a.partition_by_day, most_bad=a.most_malformed)
     counts.show(truncate=False)
     spark.stop()
 

@@ -6,7 +6,8 @@ import os
 import pytest
 
 from flotilla import schemas as S
-from flotilla.plans.batch import read_inputs, run_batch, run_dashboard
+from flotilla.plans.batch import TABLES, read_inputs, run_batch, run_dashboard
+from flotilla.sinks import Publication, Snapshot, publish
 from flotilla.sources import UnreadableInputError, read_table
 
 
@@ -49,9 +50,9 @@ def test_batch_and_dashboard_jobs(spark, tmp_dir):
     rep = {r.placa_vehiculo: r for r in read_table(spark, f"{out}/reporte_flota").collect()}
     assert rep["A"].total_entregas == 2 and rep["A"].peso_promedio_kg == 100.0
     assert rep["A"].costo_promedio_soles == 150.5 and rep["Z"].modelo is None
-    csv = spark.read.option("header", True).csv(f"{out}/reporte_flota_csv")
+    csv = read_table(spark, f"{out}/reporte_flota_csv", "csv", header=True)
     assert csv.count() == 2 and csv.columns == S.REPORT_COLUMNS
-    assert spark.read.json(f"{out}/kpi_resumen").count() == 2
+    assert read_table(spark, f"{out}/kpi_resumen", "json").count() == 2
 
     run_dashboard(spark, out, dash)
     kpis = {r.kpi: r for r in spark.read.json(f"{dash}/kpis").collect()}
@@ -156,7 +157,7 @@ def test_batch_stream_and_dashboard_jobs_end_to_end(spark, tmp_dir):
     kinds = {r.tipo_evento: r.cantidad for r in spark.read.parquet(f"{dash}/eventos_por_tipo").collect()}
     assert set(kinds) == {"gps_update", "speed_alert", "route_deviation", "delivery_status"}
     assert sum(kinds.values()) == spark.read.parquet(f"{sf}/events.parquet").count()
-    assert spark.read.parquet(f"{dash}/top_km").count() == min(10, spark.read.parquet(f"{out}/reporte_flota").count())
+    assert spark.read.parquet(f"{dash}/top_km").count() == min(10, read_table(spark, f"{out}/reporte_flota").count())
 
 
 def test_job_command_lines(tmp_dir):
@@ -177,7 +178,7 @@ def test_job_command_lines(tmp_dir):
         assert done.returncode == 0, done.stderr[-3000:]
     for folder in ["vehiculos", "entregas", "rutas_gps", "incidencias", "reporte_flota",
                    "eventos_sistema", "reporte_flota_csv", "kpi_resumen", "calidad"]:
-        assert os.path.isdir(f"{out}/{folder}"), folder
+        assert os.path.isdir(f"{out}/{json.load(open(f'{out}/_publicado'))['run']}/{folder}"), folder
     for folder in ["kpis", "entregas_por_estado", "incidencias_por_severidad", "top_km", "top_exito"]:
         assert os.path.isdir(f"{dash}/{folder}"), folder
 
@@ -191,7 +192,71 @@ def test_batch_job_partitioned_by_day_gives_the_same_report(spark, tmp_dir):
         return
     out = f"{tmp_dir}/out"
     run_batch(spark, read_driver_inputs(spark, sf), out, report_time=REPORT_TIME, partition_by_day=True)
-    assert any(name.startswith("dia=") for name in os.listdir(f"{out}/entregas"))
+    assert any(name.startswith("dia=") for name in os.listdir(Snapshot(spark, out).path("entregas")))
     published = as_wall_clock(read_table(spark, f"{out}/reporte_flota"))
     query = E.queries()["fleet_report"](spark, sf)
     assert sorted(map(tuple, published.collect()), key=str) == sorted(map(tuple, query.collect()), key=str)
+
+
+def _runs(root):
+    return sorted(x for x in os.listdir(root) if x.startswith("run="))
+
+
+def test_failed_run_leaves_the_published_tables(spark, tmp_dir):
+    src, out = f"{tmp_dir}/in", f"{tmp_dir}/out"
+    _inputs(src)
+    run_batch(spark, read_inputs(spark, src, multi_line_json=True), out, report_time="2025-02-01 00:00:00")
+    before = {t: sorted(map(str, read_table(spark, f"{out}/{t}").collect())) for t in TABLES}
+    kept = _runs(out)
+    assert len(kept) == 1 and len(before["rutas_gps"]) == 1
+
+    def unchanged():
+        return _runs(out) == kept and before == {t: sorted(map(str, read_table(spark, f"{out}/{t}").collect())) for t in TABLES}
+    with pytest.raises(UnreadableInputError, match="multi-line"):       # arrays read by lines
+        run_batch(spark, read_inputs(spark, src), out)
+    assert unchanged()
+    with open(f"{src}/vehiculos.csv", "a") as f:                        # a plate twice in the master
+        f.write("A,Volvo,1,DRV-9,2021,Diesel,True\r\n")
+    with pytest.raises(ValueError):
+        run_batch(spark, read_inputs(spark, src, multi_line_json=True), out)
+    assert unchanged()
+    _inputs(src)
+    with open(f"{src}/entregas.csv", "a") as f:
+        f.write("ORD-9,A,Lima,Callao,heavy,2025-01-01 10:00:00,Completado,30,far,CLI-1\n")
+    with pytest.raises(UnreadableInputError, match="1 of 5"):
+        run_batch(spark, read_inputs(spark, src, multi_line_json=True), out, most_bad=0.1)
+    assert unchanged()
+    run_batch(spark, read_inputs(spark, src, multi_line_json=True), out, most_bad=0.2)
+    assert read_table(spark, f"{out}/entregas").count() == 4 and len(_runs(out)) == 2
+
+
+def test_readers_see_one_run(spark, tmp_dir):
+    def write(n):
+        with Publication(spark, tmp_dir) as run:
+            publish(spark.range(n), run.path("a"))
+            # nobody sees a table of the run before all are there
+            seen = Snapshot(spark, tmp_dir)
+            assert not seen.run or seen.table("a").count() == seen.table("b").count() == n - 1
+            publish(spark.range(n), run.path("b"))
+    write(1)
+    begun = Snapshot(spark, tmp_dir)
+    late = begun.table("a")
+    write(2)
+    assert begun.table("b").count() == late.count() == 1 and read_table(spark, f"{tmp_dir}/a").count() == 2
+    write(3)                                                            # now the first run goes
+    assert len(_runs(tmp_dir)) == 2 and Snapshot(spark, tmp_dir).table("b").count() == 3
+    # two runs at once: the last commit is what is published, neither loses a table
+    with Publication(spark, tmp_dir) as outer:
+        publish(spark.range(4), outer.path("a"))
+        with Publication(spark, tmp_dir) as inner:
+            publish(spark.range(5), inner.path("a"))
+        publish(spark.range(4), outer.path("b"))
+    assert Snapshot(spark, tmp_dir).table("a").count() == Snapshot(spark, tmp_dir).table("b").count() == 4
+
+
+def test_plain_folders_are_tables_too(spark, tmp_dir):
+    publish(spark.range(3), f"{tmp_dir}/plain")
+    assert read_table(spark, f"{tmp_dir}/plain").count() == Snapshot(spark, tmp_dir).table("plain").count() == 3
+    with Publication(spark, tmp_dir) as run:
+        publish(spark.range(1), run.path("other"))
+    assert read_table(spark, f"{tmp_dir}/plain").count() == 3           # not of the run: as it was
