@@ -46,6 +46,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder."""
+    fs, p = _store(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     fs, p = _store(spark, path)
     return fs.exists(p) and len(fs.listStatus(p)) > 0

@@ -461,14 +461,16 @@ def q_events_by_type_1m_stream(spark, sf_dir):
     """The summary of all windows, open ones too, kept current over several micro-batches.
 
     Exact distinct vehicles without a per-window set in state: the stream keeps counts per
-    (window, kind, vehicle), writes those that changed, and drops the state of closed windows."""
+    (window, kind, vehicle), writes those that changed, by day, and drops the state of closed
+    windows; days that the watermark has passed are merged and sealed."""
     apply_runtime_defaults(spark)
     path, schema = _sorted_parts(spark, sf_dir)
     plan = build_plan(T.keyed_records(table_stream(spark, path, schema, max_files=1)))
     name = "events_by_type_1m_stream"
     base = scratch_path(spark, "queries", name)
     q = upsert_table(plan.events_by_type_latest, f"{name}_{uuid.uuid4().hex[:8]}", f"{base}/data",
-                     f"{base}/checkpoint", windows.LATEST_KEYS, trigger="availableNow", merge_every=2)
+                     f"{base}/checkpoint", windows.LATEST_KEYS, trigger="availableNow", merge_every=2,
+                     day_of="ventana_inicio", delay=S.EVENT_WATERMARK)
     q.awaitTermination()
     return as_wall_clock(windows.roll_up_latest(read_latest(spark, f"{base}/data")))
 

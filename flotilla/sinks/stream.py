@@ -8,15 +8,18 @@ without an error. ``claim`` refuses that, and a change of layout, before a query
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+from functools import reduce
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from flotilla.notes import has_data, read_note, remove, write_note
+from flotilla.notes import children, has_data, read_note, remove, write_note
 
-# Batches that ``upsert_table`` keeps apart before it merges them into one.
+# Folders of a day that ``upsert_table`` keeps apart before it merges them into one.
 MERGE_EVERY = 20
 
 
@@ -131,61 +134,119 @@ def replace_table(df: DataFrame, name: str, path: str, checkpoint: str,
 
 def upsert_table(df: DataFrame, name: str, path: str, checkpoint: str, keys: list[str],
                  trigger: str | None = "30 seconds", merge_every: int = MERGE_EVERY,
-                 watch=None) -> StreamingQuery:
+                 watch=None, day_of: str | None = None, delay: str | None = None) -> StreamingQuery:
     """W8 for an endless stream: each micro-batch writes only the rows it changed (update mode),
     and with a watermark the state of closed windows is dropped.
 
-    ``read_latest`` takes the newest row of each key. Every ``merge_every`` batches they are
-    merged into one folder. The note ``_current`` names the folders that count, so a batch that
-    is repeated overwrites or finds its own; another checkpoint starts a table of its own, which
-    replaces the old one with its first batch. ``watch`` is called with the table after each
-    batch (O6).
+    ``day_of``: a time column, one of ``keys``, by whose day the table is kept. A batch writes one
+    folder for each day that it touched. A day of more than ``merge_every`` folders is merged into
+    one; other days' folders stay as they are. With ``delay``, the stream's watermark delay, a day
+    that the watermark has passed is merged for the last time and sealed: no batch can change it
+    any more, so it is read as it stands and never written again. The work of a batch and of a
+    merge then depends on the open days, not on the history. Without ``day_of`` the table is one day.
+
+    The note ``_current`` names the folders that count, by day, and the last batch in them: a batch
+    that is repeated finds itself there. Another checkpoint starts a table of its own, which
+    replaces the old one with its first batch. ``watch`` is called with the open days' rows after
+    each batch (O6).
     """
     spark = df.sparkSession
     run = checkpoint_id(spark, checkpoint)
+    lag = _seconds(delay) if delay else None
 
     def write(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
-        now = read_note(own, f"{path}/_current") or {}
-        mine = now.get("run") == run
-        if mine and batch_id <= now["merged"]:
-            return                              # repeated after it was merged
-        folders = [f for f in now.get("folders", []) if mine]
+        before = read_note(own, f"{path}/_current") or {}
+        mine = before.get("run") == run
+        now = before if mine else {"run": run, "keys": keys, "batch": -1, "high": None, "days": {}}
+        if batch_id > now["batch"]:
+            gone = _take(own, batch, batch_id, now)
+            write_note(own, f"{path}/_current", now)
+            for old in gone if mine else _folders(before):
+                remove(own, f"{path}/{old}")
+        if watch is not None and now["days"]:
+            watch(read_latest(own, path, open_only=True), batch_id)
+
+    def _take(own: SparkSession, batch: DataFrame, batch_id: int, now: dict) -> list[str]:
+        """Add a batch to the note's days; the folders that count no more."""
         folder = f"run={run}/batch={batch_id:012d}"
-        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{path}/{folder}")
-        folders = [*(f for f in folders if f != folder), folder]
-        merged = now["merged"] if mine else -1
-        if len(folders) > merge_every:
-            whole = f"run={run}/merged={batch_id:012d}"
-            _newest(own.read.parquet(*[f"{path}/{f}" for f in folders]), keys) \
-                .write.mode("overwrite").parquet(f"{path}/{whole}")
-            gone, folders, merged = folders, [whole], batch_id
+        rows = batch.withColumn("_batch", F.lit(batch_id).cast("long"))
+        if day_of:
+            rows.withColumn("dia", F.to_date(day_of)).write.mode("overwrite").partitionBy("dia").parquet(f"{path}/{folder}")
+            touched = {x.removeprefix("dia="): f"{folder}/{x}" for x in children(own, f"{path}/{folder}") if x.startswith("dia=")}
         else:
-            gone = []
-        write_note(own, f"{path}/_current", {"run": run, "folders": folders, "merged": merged, "keys": keys})
-        for old in [*gone, *([] if mine else now.get("folders", []))]:
-            remove(own, f"{path}/{old}")
-        if watch is not None:
-            watch(read_latest(own, path), batch_id)
+            rows.write.mode("overwrite").parquet(f"{path}/{folder}")
+            touched = {"": folder}
+        now["batch"], days = batch_id, now["days"]
+        for day, added in touched.items():
+            entry = days.setdefault(day, {"folders": [], "sealed": False})
+            entry["folders"].append(added)
+            entry["sealed"] = False
+        if touched and day_of and lag is not None:
+            newest = own.read.parquet(f"{path}/{touched[max(touched)]}").agg(F.unix_micros(F.max(F.col(day_of).cast("timestamp")))).first()[0]
+            now["high"] = max(newest / 1e6, now["high"] or 0)
+        gone = []
+        for day, entry in days.items():
+            # the watermark is at least this far: windows start no later than their rows
+            closes = bool(day) and now["high"] is not None and not entry["sealed"] and _day_end(own, day) <= now["high"] - lag
+            if len(entry["folders"]) > (1 if closes else merge_every):
+                whole = f"run={run}/merged={batch_id:012d}" + (f"/dia={day}" if day else "")
+                _newest(own.read.parquet(*[f"{path}/{f}" for f in entry["folders"]]), keys).write.mode("overwrite").parquet(f"{path}/{whole}")
+                gone += entry["folders"]
+                entry["folders"] = [whole]
+            entry["sealed"] = entry["sealed"] or closes
+        return gone
 
     w = (df.writeStream.queryName(name).outputMode("update").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
 
+UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def _seconds(delay: str) -> float:
+    """A delay as ``withWatermark`` takes it: "2 minutes"."""
+    number, unit = delay.split()
+    return float(number) * UNITS[unit.lower().rstrip("s")]
+
+
+def _day_end(spark: SparkSession, day: str) -> float:
+    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+    return (dt.datetime.fromisoformat(day) + dt.timedelta(days=1)).replace(tzinfo=zone).timestamp()
+
+
+def _folders(note: dict) -> list[str]:
+    return [f for entry in note.get("days", {}).values() for f in entry["folders"]]
+
+
 def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
     rest = [c for c in rows.columns if c not in keys]
     last = F.max_by(F.struct(*rest), "_batch").alias("_last")
     return rows.groupBy(*keys).agg(last).select(*keys, "_last.*")
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The table that ``replace_table`` or ``upsert_table`` committed last."""
+def read_latest(spark: SparkSession, path: str, since: str | None = None, open_only: bool = False) -> DataFrame:
+    """The table that ``replace_table`` or ``upsert_table`` committed last. Of a table by days:
+    those from the day ``since`` on, or the open ones only. Days of one folder (all sealed ones)
+    are read as they stand; only the others' rows are grouped by key."""
     now = read_note(spark, f"{path}/_current")
     if now is None:
         raise FileNotFoundError(f"{path} has no committed table yet")
-    rows = spark.read.parquet(*[f"{path}/{f}" for f in now["folders"]])
-    return _newest(rows, now["keys"]).drop("_batch") if "keys" in now else rows
+    if "days" not in now:
+        return spark.read.parquet(*[f"{path}/{f}" for f in now["folders"]])
+    every = [e["folders"] for e in now["days"].values()]
+    taken = [e["folders"] for day, e in now["days"].items() if day >= (since or "") and not (open_only and e["sealed"])]
+    plain = [f"{path}/{x[0]}" for x in taken if len(x) == 1]
+    several = [f"{path}/{f}" for x in taken if len(x) > 1 for f in x]
+    if not taken:           # the columns, without rows
+        if not every:
+            raise FileNotFoundError(f"{path} has no committed rows yet")
+        return spark.read.parquet(f"{path}/{every[0][0]}").drop("_batch").limit(0)
+    parts = [spark.read.parquet(*plain)] if plain else []
+    if several:
+        parts.append(_newest(spark.read.parquet(*several), now["keys"]))
+    return reduce(DataFrame.unionByName, parts).drop("_batch")
 
 
 def console_feed(df: DataFrame, name: str, checkpoint: str | None = None, mode: str = "update",

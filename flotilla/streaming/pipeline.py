@@ -71,8 +71,8 @@ def start_plan(plan: StreamPlan, out_root: str, checkpoint_root: str,
 
     ``latest`` adds a summary of open windows, too, brought up to date by each micro-batch: its
     stateful step keeps one row per (window, kind, vehicle) until the watermark passes the
-    window, batches write the rows they changed, and ``read_latest`` with ``roll_up_latest``
-    gives (window, kind). ``console`` prints its newest rows after each batch. ``shared_feeds``
+    window, batches write the rows they changed, by day, and ``read_latest`` with
+    ``roll_up_latest`` gives (window, kind); days that the watermark has passed are sealed. ``console`` prints its newest rows after each batch. ``shared_feeds``
     writes the event and alert feeds from one query (one scan and decode per micro-batch,
     idempotent per-batch folders) instead of two file-sink queries; locally it measured no
     faster, so it is opt-in for streams where decoding dominates.
@@ -105,5 +105,6 @@ def start_plan(plan: StreamPlan, out_root: str, checkpoint_root: str,
         name = f"{prefix}_resumen_eventos_actual"
         newest = [F.desc("ventana_inicio"), F.asc("tipo_evento")]
         watch = (lambda t, n: print_rows(roll_up_latest(t), name, n, order=newest)) if console else None
-        qs.append(upsert_table(plan.events_by_type_latest, name, out, ck, LATEST_KEYS, summary_trigger, watch=watch))
+        qs.append(upsert_table(plan.events_by_type_latest, name, out, ck, LATEST_KEYS, summary_trigger, watch=watch,
+                               day_of="ventana_inicio", delay=S.EVENT_WATERMARK))
     return qs

@@ -140,6 +140,60 @@ def test_upserts_equal_the_batch_over_restarts_and_merges(spark, tmp_dir):
     assert len([x for r in runs for x in os.listdir(os.path.join(out, r)) if not x.startswith(".")]) <= 20
 
 
+def _files(folder):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+
+def test_current_table_by_day_leaves_closed_days_alone(spark, tmp_dir):
+    """A merge writes the days that a batch touched, and sealed days stay as they are."""
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    ck = out + "_ck"
+
+    def at(day, minute):
+        return _m(0) + dt.timedelta(days=day, minutes=minute)
+
+    def run():
+        dec = events.decode_records(file_records(spark, src + "/*", max_files=1))
+        per_vehicle = windows.flatten_window(windows.vehicle_counts(dec, watermark=S.EVENT_WATERMARK))
+        upsert_table(per_vehicle, "t_by_day", out, ck, windows.LATEST_KEYS, trigger="availableNow", merge_every=2,
+                     day_of="ventana_inicio", delay=S.EVENT_WATERMARK).awaitTermination()
+        with open(f"{out}/_current") as f:
+            return json.load(f)
+
+    def table():
+        return {(r.ventana_inicio, r.tipo_evento): (r.cantidad_eventos, r.vehiculos_afectados)
+                for r in windows.roll_up_latest(read_latest(spark, out)).collect()}
+
+    def batch():
+        return {(r.ventana_inicio, r.tipo_evento): (r.cantidad_eventos, r.vehiculos_afectados)
+                for r in windows.events_by_type(events.decode_records(spark.read.parquet(src + "/*"))).collect()}
+    for k in range(3):          # three batches of one day, the same window again and again
+        _write_slice(spark, src, [_ev(10 * k + i, "gps_update", "ABC"[i % 3], at(0, 0)) for i in range(6)], k)
+    note = run()
+    day0, = note["days"]
+    assert not note["days"][day0]["sealed"] and "merged" in note["days"][day0]["folders"][0] and table() == batch()
+    _write_slice(spark, src, [_ev(50, "gps_update", "A", at(1, 0))], 3)
+    note = run()
+    assert note["days"][day0]["sealed"] and len(note["days"][day0]["folders"]) == 1
+    sealed = _files(f"{out}/{note['days'][day0]['folders'][0]}")
+    assert sealed
+    for k in range(4, 9):       # merges of the second day
+        _write_slice(spark, src, [_ev(10 * k + i, "speed_alert", "AB"[i % 2], at(1, k)) for i in range(4)], k)
+    note = run()
+    day1 = max(note["days"])
+    assert day1 > day0 and any("merged" in f for f in note["days"][day1]["folders"])
+    assert _files(f"{out}/{note['days'][day0]['folders'][0]}") == sealed and table() == batch()
+    # readers of a range and of open days don't see the sealed one
+    assert read_latest(spark, out, since=day1).select("ventana_inicio").distinct().count() == 6
+    assert read_latest(spark, out, open_only=True).count() == read_latest(spark, out, since=day1).count()
+    # a late row of the sealed day is dropped by the stream, so its folder needs no change
+    _write_slice(spark, src, [_ev(99, "gps_update", "Z", at(0, 0))], 9)
+    before = table()
+    run()
+    assert table() == before and _files(f"{out}/{note['days'][day0]['folders'][0]}") == sealed
+
+
 def test_state_of_closed_windows_is_dropped(spark, tmp_dir):
     src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
     for k in range(5):      # a window of 20 vehicles each, ten minutes apart
