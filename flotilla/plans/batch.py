@@ -22,6 +22,7 @@ from flotilla.sources import (
     BAD, read_deliveries, read_gps, read_incidents, read_log, read_optional, read_table, read_vehicles,
     refuse_if_nothing_fits,
 )
+from flotilla.sources.arrays import element_border
 
 # Published table names (fixed values: the collections the dashboard reads).
 TABLES = ["vehiculos", "entregas", "rutas_gps", "incidencias", "reporte_flota", "eventos_sistema"]
@@ -38,14 +39,18 @@ class RawInputs:
 
 def read_inputs(spark: SparkSession, folder: str, multi_line_json: bool = False,
                 landing: str | None = None) -> RawInputs:
-    """S1-S5 from one folder. Pretty-printed JSON arrays are read by one task each, so with
-    ``multi_line_json`` they are landed once as Parquet under ``landing`` and read back split."""
-    gps = read_gps(spark, f"{folder}/gps_registros.json", multi_line=multi_line_json, bad_column=BAD)
-    inc = read_incidents(spark, f"{folder}/incidencias.json", multi_line=multi_line_json, bad_column=BAD)
-    if multi_line_json and landing:
-        publish(gps, f"{landing}/gps_registros")
-        publish(inc, f"{landing}/incidencias")
-        gps, inc = read_table(spark, f"{landing}/gps_registros"), read_table(spark, f"{landing}/incidencias")
+    """S1-S5 from one folder. JSON arrays that can't be split between elements are read by one task
+    each, so with ``multi_line_json`` they are landed once as Parquet under ``landing`` and read
+    back split."""
+    def read(reader, name: str) -> DataFrame:
+        path = f"{folder}/{name}.json"
+        rows = reader(spark, path, multi_line=multi_line_json, bad_column=BAD)
+        if multi_line_json and landing and not element_border(spark, path):
+            publish(rows, f"{landing}/{name}")
+            return read_table(spark, f"{landing}/{name}")
+        return rows
+
+    gps, inc = read(read_gps, "gps_registros"), read(read_incidents, "incidencias")
     return RawInputs(
         vehicles=read_vehicles(spark, f"{folder}/vehiculos.csv", bad_column=BAD),
         deliveries=read_deliveries(spark, f"{folder}/entregas.csv", bad_column=BAD),

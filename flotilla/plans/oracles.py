@@ -327,6 +327,10 @@ SELECT * REPLACE (CAST(placa_vehiculo AS VARCHAR) AS placa_vehiculo, CAST(client
 FROM deliveries_raw""", "deliveries_raw")
     q["read_gps_json"] = _sel(
         "SELECT * REPLACE (CAST(placa_vehiculo AS VARCHAR) AS placa_vehiculo) FROM gps_raw", "gps_raw")
+    q["read_gps_pretty_array"] = q["read_gps_json"]
+    q["misshapen_csv"] = _sel("""
+SELECT count(*) AS leidas, count(*) FILTER (WHERE placa % 7 IN (0, 1)) AS deformes,
+       count(*) FILTER (WHERE placa % 7 = 2) AS valores, count(*) FILTER (WHERE placa % 7 > 2) AS sanas FROM vehicles""", "vehicles")
     q["read_incidents_array"] = _sel(
         "SELECT * REPLACE (CAST(placa_vehiculo AS VARCHAR) AS placa_vehiculo) FROM incidents_raw", "incidents_raw")
     q["read_log_text"] = _sel("SELECT * FROM log_lines", "log_lines")

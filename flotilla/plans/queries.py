@@ -19,7 +19,7 @@ from flotilla.session import apply_runtime_defaults, scratch_path
 from flotilla.sinks import Publication, publish, read_latest, write_csv, write_json
 from flotilla.sinks.stream import append_feed, upsert_table
 from flotilla.sources import (
-    read_deliveries, read_gps, read_incidents, read_log, read_table, read_vehicles, table_stream,
+    BAD, read_deliveries, read_gps, read_incidents, read_log, read_table, read_vehicles, table_stream,
 )
 from flotilla.streaming import build_plan
 
@@ -356,6 +356,38 @@ def q_read_incidents_array(spark, sf_dir):
     return read_incidents(spark, f"{out}/*", multi_line=True)
 
 
+def q_read_gps_pretty_array(spark, sf_dir):
+    """S3 as pretty-printed arrays, an element's braces on lines of their own: read split."""
+    out = scratch_path(spark, "queries", "gps_pretty")
+    rows = _text_types(Inputs(spark, sf_dir).gps_raw(), S.GPS_RAW)
+    files = max(1, rows.count() // 5000)
+    element = F.regexp_replace(F.to_json(F.struct(*rows.columns), {"pretty": "true"}), "\n", "\n  ")
+    arrays = (rows.select("registro_id", F.concat(F.lit("  "), element).alias("e"))
+              .groupBy(F.pmod(F.xxhash64("registro_id"), F.lit(files)).alias("archivo"))
+              .agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("e"), ",\n"), F.lit("\n]")).alias("value")))
+    arrays.write.partitionBy("archivo").text(out)
+    return read_gps(spark, f"{out}/*", multi_line=True)
+
+
+def q_misshapen_csv(spark, sf_dir):
+    """Vehicle records some of which lost their tail or have two fields too many, told by the
+    reader: read, malformed by shape, with a value that doesn't fit, and whole."""
+    out = scratch_path(spark, "queries", "vehiculos_deformes")
+    v = _text_types(Inputs(spark, sf_dir).vehicles(), S.VEHICLES)
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in v.columns])
+    kind = F.col("placa").cast("long") % 7
+    shaped = F.when(kind == 0, F.substring_index(line, ",", 3)).when(kind == 1, F.concat(line, F.lit(",x,y"))) \
+        .when(kind == 2, F.regexp_replace(line, "(?<=,)[0-9]+(?=,)", "muchos")).otherwise(line)
+    files = max(1, v.count() // 5000)       # each with its header
+    (v.select("placa", shaped.alias("line")).groupBy(F.pmod(F.xxhash64("placa"), F.lit(files)).alias("archivo"))
+     .agg(F.concat(F.lit(",".join(v.columns) + "\n"), F.array_join(F.collect_list("line"), "\n")).alias("value"))
+     .write.partitionBy("archivo").text(out))
+    bad = F.col(BAD)
+    return read_vehicles(spark, f"{out}/*", bad_column=BAD).agg(
+        F.count(F.lit(1)).alias("leidas"), F.count_if(bad.contains(",x,y") | ~bad.contains("capacidad_kg")).alias("deformes"),
+        F.count_if(bad.contains("capacidad_kg")).alias("valores"), F.count_if(bad.isNull()).alias("sanas"))
+
+
 def q_read_log_text(spark, sf_dir):
     """Text lines."""
     out = scratch_path(spark, "queries", "eventos_log")
@@ -481,6 +513,8 @@ EXTRA = {
     "read_deliveries_csv": q_read_deliveries_csv,
     "read_gps_json": q_read_gps_json,
     "read_incidents_array": q_read_incidents_array,
+    "read_gps_pretty_array": q_read_gps_pretty_array,
+    "misshapen_csv": q_misshapen_csv,
     "read_log_text": q_read_log_text,
     "publish_report": q_publish_report,
     "publish_report_csv": q_publish_report_csv,

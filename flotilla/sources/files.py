@@ -1,13 +1,14 @@
 """Batch readers with explicit schemas (no inference pass over the data).
 
 CSV columns are found by the header's names, whatever their order. JSON inputs come either as
-JSON Lines (splittable, the format for volume) or as one pretty-printed array
-(``multi_line=True``). A multi-line file is read by one task, so land it once as Parquet
-(``flotilla.sinks.publish``) and read the Parquet copy afterwards.
+JSON Lines or as one array (``multi_line=True``). An array that is pretty-printed, an element's
+braces on lines of their own, is split between elements (``sources.arrays``); any other one is
+read by one task for each file, so land it once as Parquet (``flotilla.sinks.publish``) and read
+the Parquet copy afterwards.
 
 With ``bad_column`` a reader adds a text column of that name: null where the whole record fits
-the schema, else what didn't (the JSON record, or the names of the CSV fields). The record
-itself is kept, with nulls for what doesn't fit.
+the schema, else what didn't (the JSON record, a CSV record of too few or too many fields, or the
+names of the CSV fields). The record itself is kept, with nulls for what doesn't fit.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from flotilla import schemas as S
 from flotilla.notes import committed_path
+from flotilla.sources.arrays import element_border, read_elements
 
 log = logging.getLogger(__name__)
 
@@ -31,17 +33,27 @@ class UnreadableInputError(ValueError):
     pass
 
 
+MISSHAPEN = "_registro_deforme"
+
+
 def _csv(spark: SparkSession, schema: StructType, path: str, bad_column: str | None) -> DataFrame:
     # all files must have the header of the first one; the fields are text until they're chosen
-    text = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    missing = [f.name for f in schema.fields if f.name not in text.columns]
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    header = reader.csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header]
     if missing:
-        raise UnreadableInputError(f"{path}: no column {', '.join(missing)} in the header {', '.join(text.columns)}")
+        raise UnreadableInputError(f"{path}: no column {', '.join(missing)} in the header {', '.join(header)}")
+    text = reader.csv(path)
+    if bad_column:
+        # a record with another number of fields than the header is kept as text in one more column;
+        # the parser can only tell if it reads all fields
+        shape = StructType([StructField(c, StringType()) for c in [*header, MISSHAPEN]])
+        text = reader.schema(shape).option("columnNameOfCorruptRecord", MISSHAPEN).option("columnPruning", False).csv(path)
     value = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields}
     out = {f.name: value[f.name] for f in schema.fields}
     if bad_column:
         misfits = F.concat_ws(",", *[F.when(F.col(f"`{n}`").isNotNull() & v.isNull(), F.lit(n)) for n, v in value.items()])
-        out[bad_column] = F.nullif(misfits, F.lit(""))
+        out[bad_column] = F.coalesce(F.col(MISSHAPEN), F.nullif(misfits, F.lit("")))
     return text.select(*[c.alias(n) for n, c in out.items()])
 
 
@@ -56,6 +68,9 @@ def read_deliveries(spark: SparkSession, path: str, bad_column: str | None = Non
 
 
 def _json(spark: SparkSession, schema: StructType, path: str, multi_line: bool, bad_column: str | None) -> DataFrame:
+    border = element_border(spark, path) if multi_line else None
+    if border:
+        return read_elements(spark, path, schema, border, bad_column)
     reader = spark.read.option("multiLine", multi_line)
     if bad_column:
         schema = StructType([*schema.fields, StructField(bad_column, StringType(), True)])

@@ -117,3 +117,95 @@ def test_malformed_fields_become_null_not_failures(spark, tmp_dir):
     from flotilla.sources import read_incidents
     row = read_incidents(spark, j).first()
     assert row.incidencia_id == "I1" and row.resuelta is None and row.costo_estimado_soles == 12.5
+
+
+def _pretty(path, objs, newline="\n", indent=2):
+    with open(path, "w", newline="") as f:
+        f.write(json.dumps(objs, indent=indent, ensure_ascii=False).replace("\n", newline))
+
+
+def _whole_file(spark, path, schema):
+    """Spark's own reader of arrays, with what doesn't fit marked."""
+    from pyspark.sql.types import StringType, StructField, StructType
+    return spark.read.schema(StructType([*schema.fields, StructField("bad", StringType())])) \
+        .option("multiLine", True).option("columnNameOfCorruptRecord", "bad").json(path)
+
+
+@pytest.mark.parametrize("newline,indent", [("\n", 2), ("\r\n", 2), ("\n", 4), ("\n", "\t")])
+def test_pretty_arrays_are_read_by_many_tasks(spark, tmp_dir, newline, indent):
+    from flotilla.sources.arrays import element_border
+    objs = [{"registro_id": f"G{i}", "placa_vehiculo": 'a\n  },"{[', "velocidad_kmh": i / 7, "satelites": i % 9,
+             "extra": {"list": [{"x": [1, {}]}, {}], "text": "\n]"}} for i in range(3000)]
+    objs[5]["satelites"] = None
+    objs[6] = {"registro_id": "only"}
+    p = os.path.join(tmp_dir, "gps.json")
+    _pretty(p, objs, newline, indent)
+    assert element_border(spark, p)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(os.path.getsize(p) // 10))
+    try:
+        got = read_gps(spark, p, multi_line=True, bad_column="bad")
+        assert got.rdd.getNumPartitions() >= 10
+        assert got.where("bad is not null").count() == 0
+        rows = got.drop("bad").orderBy("registro_id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert rows == _whole_file(spark, p, S.GPS_RAW).drop("bad").orderBy("registro_id").collect() and len(rows) == 3000
+
+
+def test_broken_elements_spoil_only_themselves(spark, tmp_dir):
+    objs = [{"registro_id": f"G{i}", "satelites": i} for i in range(6)] + [{"registro_id": "typed", "satelites": "many"}]
+    p = os.path.join(tmp_dir, "gps.json")
+    _pretty(p, objs)
+    text = open(p).read()
+    with open(p, "w") as f:
+        f.write(text.replace('"registro_id": "G2",', '"registro_id": "G2'))
+    got = {(r.registro_id, r.satelites, r.bad is not None) for r in read_gps(spark, p, multi_line=True, bad_column="bad").collect()}
+    assert got == {(f"G{i}", i, False) for i in (0, 1, 3, 4, 5)} | {(None, None, True), ("typed", None, True)}
+    assert read_gps(spark, p, multi_line=True).count() == 7
+    assert read_gps(spark, p, multi_line=True, bad_column="bad").where("bad is not null").select("registro_id").count() == 2
+
+
+def test_elements_of_one_line_and_odd_arrays(spark, tmp_dir):
+    from flotilla.sources.arrays import element_border
+    p = os.path.join(tmp_dir, "a.json")
+    _pretty(p, [{"registro_id": "G0"}, {}, {}, {"registro_id": "G1"}, {}])
+    got = [(r.registro_id, r.bad) for r in read_gps(spark, p, multi_line=True, bad_column="bad").collect()]
+    assert sorted(got, key=str) == sorted([("G0", None), ("G1", None), (None, None), (None, None), (None, None)], key=str)
+    for name, objs, indent in (("none", [], 2), ("compact", [{"registro_id": "G0"}], None)):
+        q = os.path.join(tmp_dir, f"{name}.json")
+        _pretty(q, objs, indent=indent)
+        assert element_border(spark, q) is None and read_gps(spark, q, multi_line=True).count() == len(objs)
+    one = os.path.join(tmp_dir, "one.json")
+    _pretty(one, [{"registro_id": "G0", "satelites": 3}])
+    assert [tuple(r)[0] for r in read_gps(spark, one, multi_line=True).collect()] == ["G0"]
+    # files of different layouts: whole files
+    both = os.path.join(tmp_dir, "both")
+    os.makedirs(both)
+    _pretty(f"{both}/a.json", [{"registro_id": "A"}])
+    _pretty(f"{both}/b.json", [{"registro_id": "B"}], indent=4)
+    assert element_border(spark, both) is None and read_gps(spark, both, multi_line=True).count() == 2
+
+
+def test_filters_do_not_parse_elements_again(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "gps.json")
+    _pretty(p, [{"registro_id": f"G{i}", "satelites": i} for i in range(5)])
+    df = read_gps(spark, p, multi_line=True).where("satelites > 2")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") <= 1 and df.count() == 2
+
+
+def test_csv_records_of_another_shape_are_marked(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "vehiculos.csv")
+    with open(p, "w") as f:
+        f.write("placa,modelo,capacidad_kg,conductor_id,ano_fabricacion,tipo_combustible,activo,extra\n"
+                "A,Volvo,8000,DRV-1,2021,Diesel,True,x\n"
+                "ABC-001,M\n"                                              # its tail is lost
+                "B,Volvo,8000,DRV-1,2021,Diesel,True,x,y,z\n"             # two fields too many
+                "\n"
+                "C,Volvo,heavy,DRV-1,2021,Diesel,True,x\n"
+                'D,"Volvo, long",8000,DRV-1,2021,Diesel,True,\n')
+    got = {r.placa: r.bad for r in read_vehicles(spark, p, bad_column="bad").collect()}
+    assert got == {"A": None, "ABC-001": "ABC-001,M", "B": "B,Volvo,8000,DRV-1,2021,Diesel,True,x,y,z", "C": "capacidad_kg", "D": None}
+    assert read_vehicles(spark, p, bad_column="bad").where("bad is not null").count() == 3
+    assert read_vehicles(spark, p, bad_column="bad").select("bad").where("bad is not null").count() == 3
