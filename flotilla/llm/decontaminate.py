@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from flotilla.llm.common import Words, byte_table, column_of, documents, flat, merged, ship, slices, stored
+from flotilla.llm.common import Words, byte_table, column_of, documents, flat, merged, ship, slices, stored, trimmed
 
 WINDOW = 10
 WORD = byte_table(keep=b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
@@ -207,7 +207,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
                     pa.array([sorted(x) for x in got["items"]], pa.list_(pa.string()))],
                     ["row", "text", "n_words", "n_hit", "longest", "spans", "items"])
 
-        frame = frame.mapInArrow(look, schema)
+        frame = frame.mapInArrow(trimmed(look), schema)
         if not is_last:
             frame = stored(frame, "decontaminate")
             sent.unpersist()
@@ -253,7 +253,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             yield pa.RecordBatch.from_arrays([column_of(part, "row"), pa.array(texts, pa.string())], ["row", "text"])
 
     return found.where(F.col("n_hit") <= F.lit(max_coverage) * F.col("n_words")) \
-        .select("row", "text", "spans").mapInArrow(cut, schema)
+        .select("row", "text", "spans").mapInArrow(trimmed(cut), schema)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,8 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from flotilla.llm.common import (NOT_WHITE, Words, column_of, digest, documents, flat, id_back, id_or_last,
-                                 later_copies, mix, ship, slices, stored)
+from flotilla.llm.common import (NOT_WHITE, Words, binary_array, column_of, digest, documents, flat, id_back, id_or_last,
+                                 later_copies, mix, ship, slices, stored, trimmed)
 from flotilla.llm.components import components
 
 ROWS, BANDS = 5, 32         # a pair at 0.85 shares no band once in 10**8, one at 0.8 once in 3 * 10**5
@@ -36,6 +36,8 @@ CHANCE = 1 / 64
 SLACK = 5.7
 BLOCK = 256                 # nodes on either side of a block of comparisons
 MEMBERS = 2000              # nodes compared with one copy of a hub's set in a task
+SLICE = 2 << 20             # bytes of text that a task sketches at a time (some 20 times as much memory)
+SENT_BYTES = 4 << 20        # bytes of sets in a batch
 # Ids of the documents whose sets are needed go to all executors up to this many.
 BROADCAST_IDS = 300_000
 
@@ -149,6 +151,17 @@ def near_enough(a, b, size_a, size_b, percent: int) -> np.ndarray:
     return value >= t - SLACK * np.sqrt((t * (1 - t) * unseen + 0.004) / used)
 
 
+def _offsets(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+
+
+def _rows(table: np.ndarray, full: np.ndarray) -> pa.Array:
+    """The rows of a table of bytes as binary; null where not ``full``."""
+    off = _offsets(np.where(full, table.shape[1], 0))
+    return pa.Array.from_buffers(pa.binary(), len(full), [
+        pa.array(full).buffers()[1], pa.py_buffer(off.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(table[full]))])
+
+
 # --- the steps --------------------------------------------------------------------------
 
 def sketches(firsts: DataFrame, rule: Rule) -> DataFrame:
@@ -156,16 +169,18 @@ def sketches(firsts: DataFrame, rule: Rule) -> DataFrame:
     ship(firsts.sparkSession)
 
     def sketch(batches):
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             sets, off = shingle_sets(*flat(column_of(part, "text")), rule.words)
             full = np.diff(off) > 0
-            regs = pa.array([r.tobytes() if f else None for r, f in zip(registers(sets, off), full, strict=True)], pa.binary())
-            keys = pa.array([k[k != 0].view(np.int64).tolist() for k in band_keys(sets, off)], pa.list_(pa.int64()))
+            regs = _rows(registers(sets, off), full)
+            keys = band_keys(sets, off)
+            used = keys != 0
+            keys = pa.ListArray.from_arrays(pa.array(_offsets(used.sum(1)), pa.int32()), pa.array(keys[used].view(np.int64)))
             yield pa.RecordBatch.from_arrays([column_of(part, "id"), column_of(part, "digest"), pa.array(np.diff(off)),
                                               keys, regs], ["id", "digest", "n", "bands", "regs"])
 
     return firsts.select("id", "digest", "text") \
-        .mapInArrow(sketch, "id long, digest binary, n long, bands array<long>, regs binary")
+        .mapInArrow(trimmed(sketch), "id long, digest binary, n long, bands array<long>, regs binary")
 
 
 def _hubs(bands: DataFrame) -> DataFrame:
@@ -199,26 +214,29 @@ def verified(pairs: DataFrame, nodes: DataFrame, base: DataFrame, rule: Rule) ->
     texts = base.join(roles, ["id", "digest"])      # a row that repeats sends its set twice: no harm
 
     def build(batches):
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             sets, off = shingle_sets(*flat(column_of(part, "text")), rule.words)
-            out = []
-            for i, (node, own) in enumerate(zip(column_of(part, "node").to_pylist(), column_of(part, "roles").to_pylist(),
-                                                strict=True)):
-                raw = sets[off[i]:off[i + 1]].tobytes()
-                for r in own:
-                    out.append({"hub": r["hub"], "part": r["part"], "role": r["role"], "node": node, "set": raw})
-                    if len(out) >= 1000:
-                        yield pa.RecordBatch.from_pylist(out, schema=SENT)
-                        out = []
-            yield pa.RecordBatch.from_pylist(out, schema=SENT)
+            own = column_of(part, "roles")
+            times = own.value_lengths().to_numpy()
+            roles, text = own.flatten(), np.repeat(np.arange(part.num_rows), times)
+            whole, size = binary_array(sets.view(np.uint8), 8 * off), np.cumsum(8 * np.diff(off)[text])
+            lo = 0
+            while lo < len(text):
+                hi = max(lo + 1, int(np.searchsorted(size, SENT_BYTES + (size[lo - 1] if lo else 0), "right")))
+                at = pa.array(text[lo:hi])
+                here = roles.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*(here.field(c) for c in ("hub", "part", "role")), column_of(part, "node").take(at),
+                                                  whole.take(at).cast(pa.binary())], ["hub", "part", "role", "node", "set"])
+                lo = hi
 
     def compare(batches):
         hub, own = None, None
         for batch in batches:
+            data, off = flat(column_of(batch, "set"))
             kept = []
-            for hub_id, node, role, raw in zip(*(column_of(batch, c).to_pylist() for c in ("hub", "node", "role", "set")),
-                                               strict=True):
-                values = np.frombuffer(raw, np.uint64)
+            for i, (hub_id, node, role) in enumerate(zip(*(column_of(batch, c).to_pylist() for c in ("hub", "node", "role")),
+                                                         strict=True)):
+                values = np.frombuffer(data[off[i]:off[i + 1]].tobytes(), np.uint64)
                 if role == 0:
                     hub, own = hub_id, values
                     continue
@@ -230,13 +248,9 @@ def verified(pairs: DataFrame, nodes: DataFrame, base: DataFrame, rule: Rule) ->
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in kept], pa.int64()),
                                               pa.array([x for _, x in kept], pa.int64())], ["a", "b"])
 
-    sent = texts.mapInArrow(build, "hub long, part int, role int, node long, set binary")
+    sent = texts.mapInArrow(trimmed(build), "hub long, part int, role int, node long, set binary")
     return sent.repartition("hub", "part").sortWithinPartitions("hub", "part", "role", "node") \
-        .mapInArrow(compare, "a long, b long").distinct()
-
-
-SENT = pa.schema([("hub", pa.int64()), ("part", pa.int32()), ("role", pa.int32()), ("node", pa.int64()),
-                  ("set", pa.binary())])
+        .mapInArrow(trimmed(compare), "a long, b long").distinct()
 
 
 def _estimated(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
@@ -250,7 +264,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     side = lambda name, tag: nodes.select(
         F.col("node").alias(name), F.col("regs").alias(f"regs_{tag}"), F.col("n").alias(f"n_{tag}"))
     return pairs.join(side("hub", "a"), "hub").join(side("node", "b"), "node") \
-        .mapInArrow(look, "hub long, node long")
+        .mapInArrow(trimmed(look), "hub long, node long")
 
 
 def _across(open_members: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
@@ -319,7 +333,7 @@ def _across(open_members: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
                 found_a, found_b = [], []
         yield rows()
 
-    return dealt.mapInArrow(meet, "x long, y long") \
+    return dealt.mapInArrow(trimmed(meet), "x long, y long") \
         .select(F.least("x", "y").alias("hub"), F.greatest("x", "y").alias("node")).distinct()
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from flotilla.llm import tokens
-from flotilla.llm.common import column_of, documents, flat, ship, slices, stored
+from flotilla.llm.common import column_of, documents, flat, ship, slices, stored, trimmed
 
 CAPACITY = 2048
 
@@ -49,7 +49,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                 pa.array(length), raw.cast(pa.binary())], ["doc_id", "piece", "start", "length", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .mapInArrow(pieces, "doc_id long, piece int, start long, length long, ids binary")
+        .mapInArrow(trimmed(pieces), "doc_id long, piece int, start long, length long, ids binary")
 
 
 class Plan:
@@ -174,7 +174,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 + [pa.array(p["sequence"][at] + rank - p["rank"][at]), pa.array(p["offset"][at])],
                 [*kept, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(put, schema)
+    return ranked.mapInArrow(trimmed(put), schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:

@@ -43,6 +43,8 @@ def test_components_of_links(spark, name, rule):
 
 def test_small_blocks_and_no_broadcast(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "BLOCK", 4)
+    monkeypatch.setattr(near_dup, "SENT_BYTES", 300)
+    monkeypatch.setattr(near_dup, "SLICE", 2000)
     monkeypatch.setattr(near_dup, "MEMBERS", 3)
     monkeypatch.setattr(near_dup, "BROADCAST_IDS", 0)
     rows = noisy_groups(12)
