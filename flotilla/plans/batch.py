@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from flotilla import schemas as S
 from flotilla.operators import clean, dashboard, kpis, logs, quality, report
-from flotilla.sinks import Publication, Snapshot, publish, publish_counted, write_csv, write_json
+from flotilla.sinks import Publication, Snapshot, publish, publish_counted, publish_observed, write_csv, write_json
 from flotilla.sources import (
     BAD, read_deliveries, read_gps, read_incidents, read_log, read_optional, read_table, read_vehicles,
     refuse_if_nothing_fits,
@@ -95,7 +95,8 @@ def run_batch(spark: SparkSession, raw: RawInputs, out: str, report_time=None,
     """Publish the six tables, the report CSV, the KPI summary JSON and the stage counts.
 
     ``calidad`` has for each input the records read (``leidas``) and, where the reader marks
-    them, those that don't fit its schema (``malformadas``). The run is staged: an input none of
+    them, those that don't fit its schema (``malformadas``); for each cleaned table, the values that
+    its sums leave out (``sin_sumar``). The run is staged: an input none of
     whose records fits (or more than the share ``most_bad`` of which don't), a plate that repeats
     in the vehicle master or any other failure stops it, and what was published before stays.
 
@@ -130,17 +131,20 @@ def _stage(spark: SparkSession, raw: RawInputs, path: Callable[[str], str], repo
     tables = [("vehiculos", staged["vehiculos"]), ("entregas", deliveries), ("rutas_gps", gps),
               ("incidencias", incidents), ("eventos_sistema", log)]
 
-    def write_one(name: str, df: DataFrame) -> int:
+    def write_one(name: str, df: DataFrame) -> dict[str, int]:
+        left_out = {"misfits": kpis.misfits(df, name)} if name in kpis.SUMMED else {}
         if partition_by_day and name in DAY_COLUMNS:
-            return publish_counted(df.withColumn("dia", F.to_date(DAY_COLUMNS[name])),
-                                   path(name), f"pub_{name}", partition_by=["dia"])
-        return publish_counted(df, path(name), f"pub_{name}")
+            return publish_observed(df.withColumn("dia", F.to_date(DAY_COLUMNS[name])),
+                                    path(name), f"pub_{name}", left_out, partition_by=["dia"])
+        return publish_observed(df, path(name), f"pub_{name}", left_out)
 
     written = _concurrently({name: (lambda df=df, name=name: write_one(name, df))
                              for name, df in tables})
     for name, df in sources.items():
         rows, bad = int(read_obs[name].get["rows"]), read_obs[name].get.get("bad")
-        counts += [(name, "leidas", rows), (name, "publicadas", written[name])]
+        counts += [(name, "leidas", rows), (name, "publicadas", written[name]["rows"])]
+        if "misfits" in written[name]:
+            counts.append((name, "sin_sumar", written[name]["misfits"]))
         if bad is not None:
             counts.append((name, "malformadas", int(bad)))
             refuse_if_nothing_fits(name, rows, int(bad), most_bad)

@@ -125,17 +125,15 @@ def q_delivery_kpis(spark, sf_dir):
 
 
 def q_delivery_kpis_sql(spark, sf_dir):
-    return kpis.kpis_sql(spark, Inputs(spark, sf_dir).deliveries(), kpis.DELIVERY_KPIS_SQL,
-                         "flotilla_entregas")
+    return kpis.kpis_sql(spark, Inputs(spark, sf_dir).deliveries(), kpis.DELIVERY_KPIS_SQL)
 
 
 def q_gps_kpis_sql(spark, sf_dir):
-    return kpis.kpis_sql(spark, Inputs(spark, sf_dir).gps(), kpis.GPS_KPIS_SQL, "flotilla_gps")
+    return kpis.kpis_sql(spark, Inputs(spark, sf_dir).gps(), kpis.GPS_KPIS_SQL)
 
 
 def q_incident_kpis_sql(spark, sf_dir):
-    return kpis.kpis_sql(spark, Inputs(spark, sf_dir).incidents(), kpis.INCIDENT_KPIS_SQL,
-                         "flotilla_incidencias")
+    return kpis.kpis_sql(spark, Inputs(spark, sf_dir).incidents(), kpis.INCIDENT_KPIS_SQL)
 
 
 def q_gps_kpis(spark, sf_dir):

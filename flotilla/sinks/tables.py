@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -20,11 +20,17 @@ def publish(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwri
     w.save(path)
 
 
+def publish_observed(df: DataFrame, path: str, name: str, metrics: dict[str, Column], **kw) -> dict[str, int]:
+    """Write ``df`` and return ``rows``, the number of rows written, and other aggregates over them,
+    all computed during the write."""
+    obs = Observation(name)
+    publish(df.observe(obs, F.count(F.lit(1)).alias("rows"), *[m.alias(k) for k, m in metrics.items()]), path, **kw)
+    return {k: int(v or 0) for k, v in obs.get.items()}
+
+
 def publish_counted(df: DataFrame, path: str, name: str, **kw) -> int:
     """Write ``df`` and return how many rows were written, counted during the write."""
-    obs = Observation(name)
-    publish(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, **kw)
-    return int(obs.get["rows"])
+    return publish_observed(df, path, name, {}, **kw)["rows"]
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -248,3 +248,43 @@ def test_dedup_with_nulls_matches_brute_force(spark):
         if k not in want or tuple(map(key, cand)) < tuple(map(key, want[k])):
             want[k] = cand
     assert got == want
+
+
+def test_sums_over_limbs_equal_decimal_sums(spark):
+    """Values of all magnitudes and numbers of decimals, by group and one by one."""
+    import random
+
+    from flotilla.functions import avg_of_limbs, avg_round, misfit, sum_of_limbs, sum_round, with_limbs
+    rng = random.Random(1)
+    vals = [0.0, -0.0, 1.005, -1.005, 0.1, 1e17, -9.99e17, 1e18, -1e18, float("nan"), float("inf"), float("-inf"), None,
+            1e-10, 4.9e-11, 5e-11, -5e-11, 123456789.12345, 1e11, 99999999999.9999, 2.0 ** 53]
+    for _ in range(3000):
+        size, digits = rng.choice([1, 100, 1e5, 1e9, 1e11, 1e14, 1e17]), rng.choice([0, 1, 2, 3, 4, 5, 8, 10, 12])
+        vals.append(rng.choice([-1, 1]) * round(rng.random() * size, digits))
+    df = spark.createDataFrame([(i % 40, i, v) for i, v in enumerate(vals)], "g int, i int, x double")
+    for key in ("g", "i"):
+        new = with_limbs(df, "x").groupBy(key).agg(avg_of_limbs("x").alias("a"), sum_of_limbs("x").alias("s"))
+        old = df.groupBy(key).agg(avg_round("x").alias("a"), sum_round("x").alias("s"))
+        assert {r[0]: r[1:] for r in new.collect()} == {r[0]: r[1:] for r in old.collect()}
+    assert df.where(misfit("x")).count() == 5
+    whole = spark.createDataFrame([(2 ** 62, 7), (-(2 ** 61), 8), (None, None)], "l long, n int")
+    assert with_limbs(whole.where("abs(l) < 1000 or l is null"), "l").agg(sum_of_limbs("l"), avg_of_limbs("l")).first()[:] == (None, None)
+    assert with_limbs(whole, "n").agg(sum_of_limbs("n"), avg_of_limbs("n")).first()[:] == (15.0, 7.5)
+
+
+def test_many_large_values_do_not_overflow(spark):
+    from flotilla.functions import sum_of_limbs, with_limbs
+    df = spark.range(100_000).selectExpr("CASE WHEN id % 2 = 0 THEN 9e17D ELSE 0.01D END AS x")
+    assert with_limbs(df, "x").agg(sum_of_limbs("x")).first()[0] == 9e17 * 50_000 + 500
+    no_wide = with_limbs(df, "x").groupBy().agg(sum_of_limbs("x"))._jdf.queryExecution().executedPlan().toString()
+    assert "sum(cast" not in no_wide.lower() and "partial_sum(_x_i1" in no_wide
+
+
+def test_sql_form_replaces_no_view(spark):
+    from flotilla.operators import kpis
+    spark.range(3).createOrReplaceTempView("flotilla_gps")
+    df = spark.createDataFrame([("A", 10.0, 5, 1.0)], "placa_vehiculo string, velocidad_kmh double, satelites long, precision_gps double")
+    assert kpis.kpis_sql(spark, df, kpis.GPS_KPIS_SQL).first()[1] == 1
+    assert spark.table("flotilla_gps").columns == ["id"]
+    df.createOrReplaceTempView("pings")
+    assert kpis.kpis_sql(spark, df, kpis.GPS_KPIS_SQL, "pings").first()[1] == 1

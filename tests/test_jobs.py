@@ -45,6 +45,7 @@ def test_batch_and_dashboard_jobs(spark, tmp_dir):
               for r in run_batch(spark, raw, out, report_time="2025-02-01 00:00:00").collect()}
     assert counts[("entregas", "leidas")] == 4 and counts[("entregas", "publicadas")] == 3
     assert counts[("rutas_gps", "leidas")] == 2 and counts[("rutas_gps", "publicadas")] == 1
+    assert counts[("entregas", "sin_sumar")] == counts[("rutas_gps", "sin_sumar")] == 0
     assert counts[("eventos_sistema", "publicadas")] == 2 and counts[("eventos_sistema", "errores")] == 1
     assert counts[("reporte_flota", "publicadas")] == 2
     rep = {r.placa_vehiculo: r for r in read_table(spark, f"{out}/reporte_flota").collect()}
@@ -228,6 +229,11 @@ def test_failed_run_leaves_the_published_tables(spark, tmp_dir):
     assert unchanged()
     run_batch(spark, read_inputs(spark, src, multi_line_json=True), out, most_bad=0.2)
     assert read_table(spark, f"{out}/entregas").count() == 4 and len(_runs(out)) == 2
+    _inputs(src)
+    with open(f"{src}/entregas.csv", "a") as f:     # a distance that no sum can hold is counted
+        f.write("ORD-9,A,Lima,Callao,1.5,2025-01-01 10:00:00,Completado,30,1e19,CLI-1\n")
+    run_batch(spark, read_inputs(spark, src, multi_line_json=True), out)
+    assert ("entregas", "sin_sumar", 1) in [tuple(r) for r in read_table(spark, f"{out}/calidad").collect()]
 
 
 def test_readers_see_one_run(spark, tmp_dir):
