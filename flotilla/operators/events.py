@@ -28,12 +28,13 @@ def encode_events(events: DataFrame, key: str = "placa_vehiculo",
     )
 
 
-def decode_records(records: DataFrame, fields: list[str] | None = None) -> DataFrame:
+def decode_records(records: DataFrame, fields: list[str] | None = None, bad_column: str | None = None) -> DataFrame:
     """P1 + P2: topic records to one flat event row.
 
     ``placa_vehiculo`` is one column: the payload's plate, else the record key. Malformed
     JSON yields a row with the key and null fields; unknown fields are ignored. ``fields``
-    names the payload fields wanted (default: all); only they are parsed.
+    names the payload fields wanted (default: all); only they are parsed. With ``bad_column`` a
+    text column of that name has the payload where it doesn't fit them (empty for none), else null.
 
     The payload is parsed once per record, whatever consumes the result: the decoded fields are
     emitted by a generator (``inline`` of a one-element array). A filter on decoded fields
@@ -44,15 +45,21 @@ def decode_records(records: DataFrame, fields: list[str] | None = None) -> DataF
     """
     wanted = [c for c in S.EVENT_FIELDS if fields is None or c in fields]
     schema = T.StructType([f for f in S.EVENT.fields if f.name in wanted or f.name == "placa_vehiculo"])
+    options = {}
+    if bad_column:
+        schema.add(bad_column, T.StringType())
+        options["columnNameOfCorruptRecord"] = bad_column
     raw = records.select(
         F.col("key").cast("string").alias("_key"),
-        F.from_json(F.col("value").cast("string"), schema).alias("_d"),
+        F.from_json(F.col("value").cast("string"), schema, options).alias("_d"),
         F.col("timestamp").alias("kafka_timestamp"),
     )
     d, rest = F.col("_d"), [c for c in wanted if c != "placa_vehiculo"]
+    bad = [F.when(d.isNull(), F.lit("")).otherwise(d[bad_column]).alias(bad_column)] if bad_column else []
     row = F.struct(F.coalesce(d["placa_vehiculo"], F.col("_key")).alias("placa_vehiculo"),
-                   *[d[c].alias(c) for c in rest])
-    return raw.select("kafka_timestamp", F.inline(F.array(row))).select("placa_vehiculo", "kafka_timestamp", *rest)
+                   *[d[c].alias(c) for c in rest], *bad)
+    return raw.select("kafka_timestamp", F.inline(F.array(row))) \
+        .select("placa_vehiculo", "kafka_timestamp", *rest, *([bad_column] if bad_column else []))
 
 
 def speed_rule():

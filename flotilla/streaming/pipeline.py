@@ -25,6 +25,7 @@ from flotilla.operators.windows import (
     LATEST_KEYS, alerts_by_vehicle, event_time, events_by_type, flatten_window, roll_up_latest, vehicle_counts,
 )
 from flotilla.sinks.stream import append_feed, print_rows, shared_feed, upsert_table
+from flotilla.streaming.quality import BAD_PAYLOAD, observed
 
 
 @dataclass
@@ -44,7 +45,7 @@ def build_plan(records: DataFrame, processed_at=True, alert_time: str = "kafka_t
     after, so windows close even when alerts are rare. ``alert_time="procesado_en"`` windows
     alerts on processing time instead (results then depend on when the job runs).
     """
-    ev = decode_records(records)
+    ev = observed(decode_records(records, bad_column=BAD_PAYLOAD))
     al = alert_rules(ev, processed_at=processed_at)
     if alert_time == "kafka_timestamp":
         timed = event_time(ev, alert_time).withWatermark(alert_time, S.ALERT_WATERMARK)

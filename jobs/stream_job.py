@@ -9,7 +9,8 @@ Each sink is a named query with its own checkpoint under ``--checkpoint`` (defau
 ``_checkpoints`` in the output folder, the same after a restart), so a restart resumes offsets
 and window state. An output folder goes on with the checkpoint that wrote it and refuses others.
 ``--shuffle-partitions`` is fixed for a checkpoint's life by the first start, so it has to be
-named: about the number of cores, times what the state should grow. The job waits until any
+named: about the number of cores, times what the state should grow. ``calidad_streaming`` in the
+output folder has the records read, malformed and too late, by query (``streaming.quality``). The job waits until any
 query stops (``awaitAnyTermination``).
 """
 
@@ -22,6 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from flotilla.session import build_session  # noqa: E402
 from flotilla.sources import file_records, kafka_records  # noqa: E402
 from flotilla.streaming import build_plan, start_plan  # noqa: E402
+from flotilla.streaming.quality import StreamQuality  # noqa: E402
 
 
 def wait(spark) -> None:
@@ -72,11 +74,17 @@ def main(argv=None):
     queries = start_plan(plan, a.output, ck,
                          feed_trigger=trig or "10 seconds", summary_trigger=trig or "30 seconds",
                          latest=a.latest, console=a.console, shared_feeds=a.shared_feeds)
-    if a.available_now:
-        for q in queries:
-            q.awaitTermination()
-    else:
-        wait(spark)
+    quality = StreamQuality(spark, f"{a.output.rstrip('/')}/calidad_streaming", queries)
+    spark.streams.addListener(quality)
+    try:
+        if a.available_now:
+            for q in queries:
+                q.awaitTermination()
+        else:
+            wait(spark)
+    finally:
+        quality.catch_up(queries)       # also what came before the listener was there
+        spark.streams.removeListener(quality)
 
 
 if __name__ == "__main__":

@@ -333,3 +333,29 @@ def test_alert_windows_on_processing_time(spark, tmp_dir):
         got[r.placa_vehiculo] = got.get(r.placa_vehiculo, 0) + r.total_alertas
         assert r.ventana_fin - r.ventana_inicio == dt.timedelta(minutes=2)
     assert got == {"A": 2, "B": 1}      # all stamped in this run, whatever the event times
+
+
+def test_late_and_malformed_records_are_counted(spark, tmp_dir):
+    """The stream job's counts by query, over batches and a restart."""
+    import jobs.stream_job as job
+    from flotilla.streaming.quality import stream_counts
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+
+    def run():
+        job.main(["--records", src + "/*", "--output", out, "--available-now", "--max-files", "1", "--shuffle-partitions", "2"])
+        return {(r.tabla, r.etapa): r.filas for r in stream_counts(spark, out + "/calidad_streaming").collect()}
+    _write_slice(spark, src, [_ev(i, "gps_update", "A", _m(10)) for i in range(5)], 0)
+    _write_slice(spark, src, [_ev(10, "gps_update", "A", _m(30))], 1)
+    broken = [(b"A", b'{"evento_id": ', _m(31)), (b"A", b'{"velocidad_kmh": "fast"}', _m(31)), (b"A", None, _m(31))]
+    spark.createDataFrame(broken, S.KEYED_RECORD).coalesce(1).write.parquet(f"{src}/slice=002")
+    late = [_ev(20, "gps_update", "A", _m(1)), _ev(21, "speed_alert", "B", _m(2), 120.0)]
+    _write_slice(spark, src, late, 3)
+    got = run()
+    feed, summary = "flota_eventos_streaming", "flota_resumen_eventos"
+    assert got[(feed, "leidas")] == got[(feed, "decodificadas")] == 11 and got[(feed, "malformadas")] == 3
+    assert got[(summary, "tardias")] == 2 and got[(feed, "tardias")] == 0
+    _write_slice(spark, src, [_ev(30, "gps_update", "A", _m(1))], 4)
+    again = run()
+    assert again[(feed, "leidas")] == 12 and again[(feed, "malformadas")] == 3 and again[(summary, "tardias")] == 3
+    by_batch = stream_counts(spark, out + "/calidad_streaming", by_batch=True).where(f"tabla = '{feed}' and etapa = 'malformadas'")
+    assert sorted(r.filas for r in by_batch.collect())[-1] == 3 and by_batch.agg(F.sum("filas")).first()[0] == 3
