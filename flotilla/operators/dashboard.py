@@ -66,14 +66,15 @@ def kpi_sheet(kpis: DataFrame) -> DataFrame:
     return kpis.withColumn("texto", text)
 
 
-def value_counts(df: DataFrame, column: str, count_name: str = "cantidad") -> DataFrame:
-    """Rows per value, nulls dropped; ``puesto`` is the place in the order of K5, most
+def value_counts(df: DataFrame, column: str, count_name: str = "cantidad", counted: str | None = None) -> DataFrame:
+    """Rows per value (or the sum of ``counted``, of rows that are counts), nulls dropped; ``puesto`` is the place in the order of K5, most
     frequent first (ties by value), and the rows come in it.
 
     The order is one task's work over one row per category, not over the rows counted.
     """
-    require_columns(df, column)
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(count_name))
+    require_columns(df, column, *([counted] if counted else []))
+    n = F.sum(counted) if counted else F.count(F.lit(1))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(n.alias(count_name))
     place = F.row_number().over(Window.orderBy(F.desc(count_name), F.asc(column))).cast("long")
     return counts.withColumn("puesto", place).orderBy("puesto")
 

@@ -104,3 +104,12 @@ def alerts_by_vehicle(alerts: DataFrame, ts: str = "kafka_timestamp", duration:
     out = (df.groupBy(F.window(ts, duration).alias("window"), "placa_vehiculo", "alerta_tipo")
              .agg(F.count(F.lit(1)).alias("total_alertas")))
     return stamp(flatten_window(out), processed_at)
+
+
+DAILY_KEYS = ["fecha", "tipo_evento"]
+
+
+def daily_counts(events: DataFrame, ts: str = "kafka_timestamp") -> DataFrame:
+    """A11/A13 kept by the stream: events per day and kind. As a stream its state is one row for
+    each kind a day, so it needs no watermark and counts late rows, too."""
+    return events.groupBy(F.to_date(ts).alias("fecha"), "tipo_evento").agg(F.count(F.lit(1)).alias("cantidad"))

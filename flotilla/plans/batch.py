@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from flotilla import schemas as S
 from flotilla.operators import clean, dashboard, kpis, logs, quality, report
-from flotilla.sinks import Publication, Snapshot, publish, publish_counted, publish_observed, write_csv, write_json
+from flotilla.sinks import Publication, Snapshot, publish, publish_counted, publish_observed, read_latest, write_csv, write_json
 from flotilla.sources import (
     BAD, read_deliveries, read_gps, read_incidents, read_log, read_optional, read_table, read_vehicles,
     refuse_if_nothing_fits,
@@ -178,6 +178,20 @@ def _stage(spark: SparkSession, raw: RawInputs, path: Callable[[str], str], repo
     publish(quality.counts_table(spark, counts), path("calidad"))                            # A6
 
 
+def event_series(spark: SparkSession, published: str) -> tuple[DataFrame, bool]:
+    """Events by kind, and whether there are no events at all. From the counts per day that
+    the stream keeps (``eventos_por_dia``); the feed is only read where it keeps none."""
+    try:
+        daily = read_latest(spark, f"{published.rstrip('/')}/eventos_por_dia")
+        return dashboard.value_counts(daily, "tipo_evento", counted="cantidad"), False
+    except FileNotFoundError:
+        events = read_optional(spark, f"{published}/eventos_streaming", S.EVENT_ROW)
+    absent = events is None
+    if absent:
+        events = spark.createDataFrame([], S.EVENT_ROW)
+    return dashboard.value_counts(events, "tipo_evento"), absent
+
+
 def run_dashboard(spark: SparkSession, published: str, out: str) -> None:
     """Headline KPI sheet (O7) and chart series (A11, A12, K1, K2), from the tables of one
     published run.
@@ -186,10 +200,7 @@ def run_dashboard(spark: SparkSession, published: str, out: str) -> None:
     """
     now = Snapshot(spark, published)
     rep, deliveries, incidents = (now.table(n) for n in ("reporte_flota", "entregas", "incidencias"))
-    events = read_optional(spark, f"{published}/eventos_streaming", S.EVENT_ROW)
-    absent = events is None
-    if absent:
-        events = spark.createDataFrame([], S.EVENT_ROW)
+    series, absent = event_series(spark, published)
     publish(quality.counts_table(spark, [("eventos", "ausente", int(absent))]), f"{out}/calidad")
     sev = dashboard.value_counts(incidents, "severidad")
     _concurrently({
@@ -199,5 +210,5 @@ def run_dashboard(spark: SparkSession, published: str, out: str) -> None:
         "severidad": lambda: publish(dashboard.share_of_total(sev), f"{out}/incidencias_por_severidad"),
         "top_km": lambda: publish(dashboard.top_n(rep, "km_totales"), f"{out}/top_km"),
         "top_exito": lambda: publish(dashboard.top_n(rep, "tasa_exito_pct"), f"{out}/top_exito"),
-        "eventos": lambda: publish(dashboard.value_counts(events, "tipo_evento"), f"{out}/eventos_por_tipo"),
+        "eventos": lambda: publish(series, f"{out}/eventos_por_tipo"),
     })

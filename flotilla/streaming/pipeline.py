@@ -3,7 +3,8 @@
 records ─ decode ─┬─ event feed (append)
                   ├─ alerts (one pass over the rule table) ─┬─ alert feed (append)
                   │                                         └─ alerts per 2 min × vehicle × kind
-                  └─ events per 1 min × kind (+ distinct vehicles)
+                  ├─ events per 1 min × kind (+ distinct vehicles)
+                  └─ events per day × kind (kept current, for the dashboard)
 
 Summaries window on **event time** (the record timestamp) with a watermark and are published
 in append mode: a window is written once, when the watermark passes its end, and its state
@@ -22,7 +23,8 @@ from flotilla import schemas as S
 from flotilla.operators.events import alerts as alert_rules
 from flotilla.operators.events import decode_records
 from flotilla.operators.windows import (
-    LATEST_KEYS, alerts_by_vehicle, event_time, events_by_type, flatten_window, roll_up_latest, vehicle_counts,
+    DAILY_KEYS, LATEST_KEYS, alerts_by_vehicle, daily_counts, event_time, events_by_type, flatten_window, roll_up_latest,
+    vehicle_counts,
 )
 from flotilla.sinks.stream import append_feed, print_rows, shared_feed, upsert_table
 from flotilla.streaming.quality import BAD_PAYLOAD, observed
@@ -35,6 +37,7 @@ class StreamPlan:
     events_by_type: DataFrame
     alerts_by_vehicle: DataFrame
     events_by_type_latest: DataFrame
+    daily_counts: DataFrame
 
 
 def build_plan(records: DataFrame, processed_at=True, alert_time: str = "kafka_timestamp") -> StreamPlan:
@@ -61,15 +64,18 @@ def build_plan(records: DataFrame, processed_at=True, alert_time: str = "kafka_t
         alerts_by_vehicle=per_vehicle,
         events_by_type_latest=flatten_window(vehicle_counts(decode_records(records, ["tipo_evento"]),
                                                             watermark=S.EVENT_WATERMARK)),
+        daily_counts=daily_counts(decode_records(records, ["tipo_evento"])),
     )
 
 
 def start_plan(plan: StreamPlan, out_root: str, checkpoint_root: str,
                feed_trigger: str | None = "10 seconds", summary_trigger: str | None = "30 seconds",
                latest: bool = False, console: bool = False, prefix: str = "flota",
-               shared_feeds: bool = False, processed_at=True) -> list[StreamingQuery]:
+               shared_feeds: bool = False, processed_at=True, daily: bool = False) -> list[StreamingQuery]:
     """Start every sink as its own named query with its own checkpoint.
 
+    ``daily`` keeps ``eventos_por_dia``, events per day and kind, from which the dashboard takes its
+    event series without reading the feed.
     ``latest`` adds a summary of open windows, too, brought up to date by each micro-batch: its
     stateful step keeps one row per (window, kind, vehicle) until the watermark passes the
     window, batches write the rows they changed, by day, and ``read_latest`` with
@@ -101,6 +107,9 @@ def start_plan(plan: StreamPlan, out_root: str, checkpoint_root: str,
                            ("resumen_alertas", plan.alerts_by_vehicle, summary_trigger)]:
         out, ck = paths(name)
         qs.append(append_feed(df, f"{prefix}_{name}", out, ck, trig))
+    if daily:
+        out, ck = paths("eventos_por_dia")
+        qs.append(upsert_table(plan.daily_counts, f"{prefix}_eventos_por_dia", out, ck, DAILY_KEYS, summary_trigger, day_of="fecha"))
     if latest or console:
         out, ck = paths("resumen_eventos_actual")
         name = f"{prefix}_resumen_eventos_actual"

@@ -51,6 +51,8 @@ def main(argv=None):
                     help="write the event and alert feeds from one scan (foreachBatch)")
     ap.add_argument("--latest", action="store_true",
                     help="also keep a summary of open windows, brought up to date per batch")
+    ap.add_argument("--no-daily-counts", action="store_true",
+                    help="don't keep events per day and kind (the dashboard then reads the whole feed)")
     ap.add_argument("--allow-data-loss", action="store_true",
                     help="go on when offsets have expired unread (Kafka's failOnDataLoss=false)")
     ap.add_argument("--shuffle-partitions", type=int, required=True)
@@ -73,7 +75,8 @@ def main(argv=None):
     trig = "availableNow" if a.available_now else None
     queries = start_plan(plan, a.output, ck,
                          feed_trigger=trig or "10 seconds", summary_trigger=trig or "30 seconds",
-                         latest=a.latest, console=a.console, shared_feeds=a.shared_feeds)
+                         latest=a.latest, console=a.console, shared_feeds=a.shared_feeds,
+                         daily=not a.no_daily_counts)
     quality = StreamQuality(spark, f"{a.output.rstrip('/')}/calidad_streaming", queries)
     spark.streams.addListener(quality)
     try:

@@ -6,7 +6,7 @@ import os
 import pytest
 
 from flotilla import schemas as S
-from flotilla.plans.batch import TABLES, read_inputs, run_batch, run_dashboard
+from flotilla.plans.batch import TABLES, event_series, read_inputs, run_batch, run_dashboard
 from flotilla.sinks import Publication, Snapshot, publish
 from flotilla.sources import UnreadableInputError, read_table
 
@@ -146,6 +146,7 @@ def test_stream_job_on_driver_events_equals_the_stream_queries(spark, tmp_dir, s
 
 def test_batch_stream_and_dashboard_jobs_end_to_end(spark, tmp_dir):
     """Batch job and stream job publish into one folder; the dashboard reads both."""
+    import __spark_entry__ as E
     import jobs.stream_job as job
     from flotilla.plans.batch import read_driver_inputs
     sf = "/root/testdata/sf0.001"
@@ -158,6 +159,15 @@ def test_batch_stream_and_dashboard_jobs_end_to_end(spark, tmp_dir):
     kinds = {r.tipo_evento: r.cantidad for r in spark.read.parquet(f"{dash}/eventos_por_tipo").collect()}
     assert set(kinds) == {"gps_update", "speed_alert", "route_deviation", "delivery_status"}
     assert sum(kinds.values()) == spark.read.parquet(f"{sf}/events.parquet").count()
+    # the series comes from the counts the stream keeps, and equals a scan of the events
+    series, absent = event_series(spark, out)
+    assert not absent and "eventos_streaming" not in "".join(series.inputFiles())
+    counted = {r.tipo_evento: r.cantidad for r in E.queries()["event_type_counts"](spark, sf).collect()}
+    assert kinds == counted
+    feed_only = f"{tmp_dir}/feed_only"
+    os.makedirs(feed_only)
+    os.symlink(f"{out}/eventos_streaming", f"{feed_only}/eventos_streaming")
+    assert {r.tipo_evento: r.cantidad for r in event_series(spark, feed_only)[0].collect()} == counted
     assert spark.read.parquet(f"{dash}/top_km").count() == min(10, read_table(spark, f"{out}/reporte_flota").count())
 
 

@@ -359,3 +359,20 @@ def test_late_and_malformed_records_are_counted(spark, tmp_dir):
     assert again[(feed, "leidas")] == 12 and again[(feed, "malformadas")] == 3 and again[(summary, "tardias")] == 3
     by_batch = stream_counts(spark, out + "/calidad_streaming", by_batch=True).where(f"tabla = '{feed}' and etapa = 'malformadas'")
     assert sorted(r.filas for r in by_batch.collect())[-1] == 3 and by_batch.agg(F.sum("filas")).first()[0] == 3
+
+
+def test_daily_counts_kept_by_the_stream(spark, tmp_dir):
+    """Counts per day and kind over several batches and late rows equal a scan of all events."""
+    from flotilla.operators.dashboard import value_counts
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    for k in range(6):      # three days, the first one again at the end
+        day = dt.timedelta(days=[0, 0, 1, 2, 2, 0][k])
+        _write_slice(spark, src, [_ev(10 * k + i, ["gps_update", "speed_alert"][i % 2], "AB"[i % 2], _m(k, i) + day)
+                                  for i in range(5 + k)], k)
+    dec = events.decode_records(file_records(spark, src + "/*", max_files=1), ["tipo_evento"])
+    upsert_table(windows.daily_counts(dec), "t_daily", out, out + "_ck", windows.DAILY_KEYS, trigger="availableNow",
+                 merge_every=1, day_of="fecha").awaitTermination()
+    everything = events.decode_records(spark.read.parquet(src + "/*"))
+    kept = read_latest(spark, out)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, windows.daily_counts(everything).collect()))
+    assert value_counts(kept, "tipo_evento", counted="cantidad").collect() == value_counts(everything, "tipo_evento").collect()
