@@ -327,6 +327,7 @@ SELECT * REPLACE (CAST(placa_vehiculo AS VARCHAR) AS placa_vehiculo, CAST(client
 FROM deliveries_raw""", "deliveries_raw")
     q["read_gps_json"] = _sel(
         "SELECT * REPLACE (CAST(placa_vehiculo AS VARCHAR) AS placa_vehiculo) FROM gps_raw", "gps_raw")
+    q["clean_deliveries_landed"] = q["clean_deliveries"]
     q["read_gps_pretty_array"] = q["read_gps_json"]
     q["misshapen_csv"] = _sel("""
 SELECT count(*) AS leidas, count(*) FILTER (WHERE placa % 7 IN (0, 1)) AS deformes,

@@ -19,7 +19,7 @@ from flotilla.session import apply_runtime_defaults, scratch_path
 from flotilla.sinks import Publication, publish, read_latest, write_csv, write_json
 from flotilla.sinks.stream import append_feed, upsert_table
 from flotilla.sources import (
-    BAD, read_deliveries, read_gps, read_incidents, read_log, read_table, read_vehicles, table_stream,
+    BAD, land, read_deliveries, read_gps, read_incidents, read_landed, read_log, read_table, read_vehicles, table_stream,
 )
 from flotilla.streaming import build_plan
 
@@ -386,6 +386,13 @@ def q_misshapen_csv(spark, sf_dir):
         F.count_if(bad.contains("capacidad_kg")).alias("valores"), F.count_if(bad.isNull()).alias("sanas"))
 
 
+def q_clean_deliveries_landed(spark, sf_dir):
+    """Q1 over a table landed in buckets of the record id: the dedup window has no exchange."""
+    out = scratch_path(spark, "queries", "entregas_cubos")
+    land(Inputs(spark, sf_dir).deliveries_raw(), out, "orden_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return as_wall_clock(clean.clean_deliveries(read_landed(spark, out)))
+
+
 def q_read_log_text(spark, sf_dir):
     """Text lines."""
     out = scratch_path(spark, "queries", "eventos_log")
@@ -513,6 +520,7 @@ EXTRA = {
     "read_incidents_array": q_read_incidents_array,
     "read_gps_pretty_array": q_read_gps_pretty_array,
     "misshapen_csv": q_misshapen_csv,
+    "clean_deliveries_landed": q_clean_deliveries_landed,
     "read_log_text": q_read_log_text,
     "publish_report": q_publish_report,
     "publish_report_csv": q_publish_report_csv,

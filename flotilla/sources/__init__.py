@@ -5,3 +5,4 @@ from flotilla.sources.files import (  # noqa: F401
     read_vehicles, refuse_if_nothing_fits,
 )
 from flotilla.sources.stream import file_records, kafka_options, kafka_records, table_stream  # noqa: F401
+from flotilla.sources.landing import land, read_landed  # noqa: F401

@@ -6,6 +6,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
@@ -121,3 +122,30 @@ def test_gps_filters_stay_above_the_dedup_window(spark):
     window = next(i for i, x in enumerate(lines) if "Window [row_number()" in x)
     speed = next(i for i, x in enumerate(lines) if "Filter" in x and "velocidad_kmh" in x)
     assert speed < window            # printed above = runs after the window
+
+
+def test_dedup_of_landed_rows_has_no_exchange(spark, tmp_dir):
+    """Q1-Q3 over tables landed in buckets of the record id, in several landings."""
+    from flotilla.operators import clean
+    from flotilla.plans.standins import deliveries_raw, gps_raw, incidents_raw, table
+    from flotilla.sources import land, read_landed
+    from flotilla.sources.landing import LayoutError
+    sf = "/root/testdata/sf0.001"
+    events = table(spark, sf, "events")
+    for name, raw, key, cleaner in (("entregas", deliveries_raw(table(spark, sf, "lineitem")), "orden_id", clean.clean_deliveries),
+                                    ("gps", gps_raw(events), "registro_id", clean.clean_gps),
+                                    ("incidencias", incidents_raw(events), "incidencia_id", clean.clean_incidents)):
+        path = f"{tmp_dir}/{name}"
+        first = F.pmod(F.xxhash64(key, *raw.columns), F.lit(3)) == 0
+        land(raw.where(first), path, key, 4)
+        land(raw.where(~first), path, key, 4)
+        cleaned = cleaner(read_landed(spark, path))
+        plan = cleaned._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+        assert sorted(map(str, cleaned.collect())) == sorted(map(str, cleaner(raw).collect()))
+        with pytest.raises(LayoutError):
+            land(raw, path, key, 8)
+        with pytest.raises(LayoutError):
+            land(raw.drop(raw.columns[-1]), path, key, 4)
+    with pytest.raises(FileNotFoundError):
+        read_landed(spark, f"{tmp_dir}/none")
