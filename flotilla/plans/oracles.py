@@ -343,6 +343,11 @@ SELECT placa_vehiculo, modelo, total_entregas, tasa_exito_pct, km_totales, veloc
     q["event_feed"] = q["event_codec"]
     q["alert_feed"] = q["alerts"]
     q["events_by_type_1m_stream"] = q["events_by_type_1m"]
+    q["events_by_type_1m_bitmap"] = q["events_by_type_1m"]
+    q["events_by_type_1m_bitmap_closed"] = (q["events_by_type_1m"].rstrip()
+        + "\nHAVING date_trunc('minute', kafka_timestamp) + INTERVAL 1 MINUTE"
+          " <= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE")
+    q["delivery_clients_bitmap"] = _sel("SELECT placa_vehiculo, total_entregas, clientes_atendidos FROM delivery_kpis", "delivery_kpis")
     stamped = lambda sql: sql.replace("_fin\nFROM", "_fin, true AS procesado_despues\nFROM").rstrip()
     q["events_by_type_1m_closed"] = (stamped(q["events_by_type_1m"])
         + "\nHAVING date_trunc('minute', kafka_timestamp) + INTERVAL 1 MINUTE"

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flotilla import schemas as S
-from flotilla.operators import clean, dashboard, events, kpis, logs, quality, report, windows
+from flotilla.operators import bitmaps, clean, dashboard, events, kpis, logs, quality, report, windows
 from flotilla.plans import standins as T
 from flotilla.session import apply_runtime_defaults, scratch_path
 from flotilla.sinks import Publication, publish, read_latest, write_csv, write_json
@@ -477,6 +477,38 @@ def q_alert_feed(spark, sf_dir):
     return as_wall_clock(back.drop("procesado_en"))
 
 
+def _numbered(spark, values, name):
+    """A dictionary of a column's values."""
+    path = scratch_path(spark, "queries", name)
+    bitmaps.extend_dictionary(spark, path, values)
+    return bitmaps.dictionary(spark, path)
+
+
+def q_events_by_type_1m_bitmap(spark, sf_dir):
+    """Distinct vehicles by bitmaps over dense numbers, half of the vehicles numbered
+    beforehand and the others counted by row."""
+    only = events.decode_records(Inputs(spark, sf_dir).records(), ["tipo_evento"])
+    known = only.where(F.pmod(F.xxhash64("placa_vehiculo"), F.lit(2)) == 0).select("placa_vehiculo")
+    return as_wall_clock(bitmaps.events_by_type_bitmap(only, _numbered(spark, known, "vehiculos_dic")))
+
+
+def q_events_by_type_1m_bitmap_closed(spark, sf_dir):
+    """W5 as a stream: closed windows, state of one row for each (window, kind, 32,768 vehicles)."""
+    apply_runtime_defaults(spark)
+    only = events.decode_records(_records(spark, sf_dir), ["tipo_evento"])
+    plates = events.decode_records(Inputs(spark, sf_dir).records(), ["tipo_evento"]).select("placa_vehiculo")
+    counted = bitmaps.events_by_type_bitmap(only, _numbered(spark, plates, "vehiculos_dic"), watermark=S.EVENT_WATERMARK)
+    return as_wall_clock(_run_append(spark, counted, "events_by_type_1m_bitmap_closed"))
+
+
+def q_delivery_clients_bitmap(spark, sf_dir):
+    """A1: deliveries and distinct clients of a vehicle, clients as bits."""
+    d = Inputs(spark, sf_dir).deliveries().select("placa_vehiculo", "cliente_id")
+    out = bitmaps.distinct_by_bitmap(d, [F.col("placa_vehiculo")], "cliente_id", _numbered(spark, d.select("cliente_id"), "clientes_dic"),
+                                     "total_entregas", "clientes_atendidos")
+    return out.withColumnRenamed("_k0", "placa_vehiculo")
+
+
 def q_events_by_type_1m_closed(spark, sf_dir):
     """W1, W2, W5 (chained exact distinct): closed windows published in append mode. The stamp of
     P6 is replaced by whether it is there and not before the window's end."""
@@ -520,6 +552,9 @@ EXTRA = {
     "read_incidents_array": q_read_incidents_array,
     "read_gps_pretty_array": q_read_gps_pretty_array,
     "misshapen_csv": q_misshapen_csv,
+    "events_by_type_1m_bitmap": q_events_by_type_1m_bitmap,
+    "events_by_type_1m_bitmap_closed": q_events_by_type_1m_bitmap_closed,
+    "delivery_clients_bitmap": q_delivery_clients_bitmap,
     "clean_deliveries_landed": q_clean_deliveries_landed,
     "read_log_text": q_read_log_text,
     "publish_report": q_publish_report,
