@@ -1,11 +1,11 @@
 """Operator 11: byte-level BPE encoding and decoding with Spark's higher-order functions.
 
 Texts are split into words by the tokenizer's pattern; a task lists the distinct words of a slice
-of texts and each text as indexes into them. A word is an array of the ids of its bytes (of its
-own id, if it is a piece). ``aggregate`` folds over it: in each step the neighbours whose joint
+of texts and each text as indexes into them. A word is an array of its bytes, each with its id and
+its rank with the next one (or one entry, if it is a piece). ``aggregate`` folds over it: in each step the neighbours whose joint
 piece has the least rank (the first of several) become that piece, and the ranks on either side
-are looked up anew, until no neighbours have one. Ranks come from a literal, hashed into small
-maps, because Spark looks through a map from its beginning. Decoding joins the pieces' bytes.
+are looked up anew, until no neighbours have one. Ranks come from a literal: a hash table in an
+array, because Spark looks through a map from its beginning. Decoding joins the pieces' bytes.
 """
 
 from __future__ import annotations
@@ -20,21 +20,30 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from flotilla.llm.common import column_of, documents, ship, slices
+from flotilla.llm.common import WHITE, binary_array, column_of, documents, flat, ranges, ship, slices, trimmed
+
+# The pattern for which texts may be cut as ``_cuts`` does. A fixed value.
+KNOWN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# A pair of ids is one number, ``a * SPREAD + b``, and has two places in the table of ranks: its
+# low bits, and some of its product's with SCRAMBLE.
+SPREAD, SCRAMBLE, SHIFT = 1_000_003, 13_466_917, 22
+PLACES = 1 << 18            # a power of two, over twice the pairs
+
+
+def _places(pair: int) -> tuple[int, int]:
+    return pair & (PLACES - 1), (pair * SCRAMBLE >> SHIFT) & (PLACES - 1)
+
 
-# Odd, so that neighbouring ids of either side come to different maps.
-SPREAD = 40_503
-# Small maps of ranks (a power of two): a few entries each.
-MAPS = 1 << 17
 # Text bytes whose distinct words are listed together (or one longer text).
-SLICE = 16 << 20
+SLICE = 8 << 20
+PART = 2 << 20              # of them, bytes that are split into words at a time
 # A word of more pieces than this merges all its least neighbours in a step, a shorter one the first.
 MANY = 256
 # Words of more bytes are cut where no piece of the vocabulary could reach across.
 LONG = 64
 # A piece in the fold is one long: the rank of joining it with the next one (NONE if there is
 # none), where it starts in the word, its id. The least long is then the place to merge, the first
-# of several. One more entry, with an id of its own, stands at the word's end.
+# of several. One more entry, of an id that no piece has, stands at either end of a word.
 ID_BITS, START_BITS = 18, 26
 NONE, END_ID = 1 << ID_BITS, (1 << ID_BITS) - 1
 BELOW = ID_BITS + START_BITS
@@ -51,10 +60,6 @@ def joined(*arrays: Column) -> Column:
     return F.flatten(F.array(*arrays))
 
 
-def _nothing() -> Column:
-    return F.array().cast("array<bigint>")
-
-
 @dataclass(frozen=True)
 class Vocabulary:
     """Pieces (bytes) and their ranks, which are the token ids."""
@@ -71,17 +76,29 @@ class Vocabulary:
             raise ValueError(f"{path}: ranks of {END_ID} and more are out of range")
         return Vocabulary(ranks)
 
-    def rank_maps(self) -> Column:
-        """``array<map<pair, rank>>``: for two ids whose pieces joined are a piece, its rank. One
-        literal, folded by Catalyst; ``(a * SPREAD + b) % MAPS`` says which map."""
-        maps: list[dict[int, int]] = [{} for _ in range(MAPS)]
+    def rank_table(self) -> Column:
+        """``array<bigint>``: for two ids whose pieces joined are a piece, ``pair << ID_BITS | rank`` in
+        one of the pair's two places, -1 in places of none. One literal, folded by Catalyst; a flat one,
+        because every task gets a copy."""
+        found = {}
         for piece, rank in self.ranks.items():
             for i in range(1, len(piece)):
                 a, b = self.ranks.get(piece[:i]), self.ranks.get(piece[i:])
                 if a is not None and b is not None:
-                    maps[(a * SPREAD + b) & (MAPS - 1)][a << ID_BITS | b] = rank
-        return F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,bigint>>") \
-            .cast("array<map<bigint,bigint>>")
+                    found[a * SPREAD + b] = rank
+        table = [-1] * PLACES
+        for pair, rank in found.items():
+            entry = pair << ID_BITS | rank
+            at = pair & (PLACES - 1)
+            for _ in range(500):        # whoever is put out goes to its other place
+                entry, table[at] = table[at], entry
+                if entry < 0:
+                    break
+                one, other = _places(entry >> ID_BITS)
+                at = other if at == one else one
+            else:
+                raise ValueError(f"{len(found)} pairs don't fit into {PLACES} places")
+        return F.from_json(F.lit(json.dumps(table, separators=(",", ":"))), "array<bigint>")
 
     def pieces(self) -> Column:
         """``array<hex>`` by rank; ranks that no piece has are null."""
@@ -101,9 +118,24 @@ class Vocabulary:
 
 # --- words ----------------------------------------------------------------------------------
 
+_WHITE, _LETTER, _SIGN = (np.array([test(c) for c in range(256)]) for test in (
+    lambda c: c in WHITE, lambda c: c < 128 and chr(c).isalpha(), lambda c: 32 < c < 127 and not chr(c).isalnum()))
+_SEEN = np.array([32 < c < 127 for c in range(256)])
+
+
+def _cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Where texts start or end, or KNOWN_PATTERN always ends a match and looks no further back: at
+    white space after a visible ASCII character, at an ASCII sign after an ASCII letter. What
+    stands between two such places comes again and again."""
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = (_WHITE[data[1:]] & _SEEN[data[:-1]]) | (_SIGN[data[1:]] & _LETTER[data[:-1]])
+    cut[off] = True
+    return np.flatnonzero(cut)
+
+
 def sliced_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str, limit: int = SLICE) -> DataFrame:
     """Rows ``docs`` (array of ``doc_id, codes``) and ``words`` (array of ids): slices of texts as
-    indexes into their distinct words, words as the ids of their bytes or as their own. Words of
+    indexes into their distinct words, words as the fold starts with them. Words of
     more than LONG bytes that are no piece are cut between bytes that are neighbours in no piece:
     no merge can reach across."""
     sent = docs.sparkSession.sparkContext.broadcast((vocabulary.ranks, vocabulary.neighbours()))
@@ -112,58 +144,84 @@ def sliced_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str, limit: i
         import regex
 
         find, (ranks, joins) = regex.compile(pattern).findall, sent.value
-        single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        known = pattern == KNOWN_PATTERN
+        single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        double = np.array([ranks.get(bytes([a, b]), NONE) for a in range(256) for b in range(256)], np.int64)
 
         def cut(word: bytes) -> list[bytes]:
             b = np.frombuffer(word, np.uint8).astype(np.int64)
             at = [0, *(np.flatnonzero(~joins[256 * b[:-1] + b[1:]]) + 1).tolist(), len(word)]
             return [word[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
 
-        def ids_of(words: list[bytes]) -> pa.Array:
-            lengths = np.fromiter((1 if w in ranks else len(w) for w in words), np.int64, len(words))
+        def entries(words: list[bytes]) -> pa.Array:
+            """Each word as the fold starts with it."""
             own = np.fromiter((ranks.get(w, -1) for w in words), np.int64, len(words))
-            off = np.concatenate([[0], np.cumsum(lengths)])
-            data = single[np.frombuffer(b"".join(b"0" if w in ranks else w for w in words), np.uint8)]
-            data[off[:-1][own >= 0]] = own[own >= 0]
-            return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(data))
+            b = np.frombuffer(b"".join(w[:1] if r >= 0 else w for w, r in zip(words, own.tolist(), strict=True)), np.uint8).astype(np.int64)
+            length = np.where(own >= 0, 1, np.fromiter(map(len, words), np.int64, len(words)))
+            ends = np.cumsum(length)
+            ids = single[b]
+            ids[(ends - length)[own >= 0]] = own[own >= 0]
+            rank = np.full(len(b), NONE, np.int64)
+            rank[:-1] = double[256 * b[:-1] + b[1:]]
+            rank[ends - 1] = NONE
+            place = np.arange(len(b)) - np.repeat(ends - length, length) + 1
+            off = np.concatenate([[0], np.cumsum(length + 2)])
+            out = np.empty(int(off[-1]), np.int64)
+            inside = np.ones(len(out), bool)
+            inside[off[:-1]] = inside[off[1:] - 1] = False
+            out[inside] = rank << BELOW | place << ID_BITS | ids
+            out[off[:-1]] = NONE << BELOW | END_ID
+            out[off[1:] - 1] = NONE << BELOW | (length + 1) << ID_BITS | END_ID
+            return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(out))
 
         for part in slices(batches, limit=limit):
             index: dict[str | bytes, int] = {}
-            longer: dict[str, list[int]] = {}
-            codes, ends = array("i"), [0]
-            for text in column_of(part, "text").to_pylist():
-                for w in find(text or ""):
-                    if len(w) > LONG // 4 and w not in index:
-                        raw = w.encode()
-                        if len(raw) > LONG and raw not in ranks:
-                            if w not in longer:
-                                longer[w] = [index.setdefault(x, len(index)) for x in cut(raw)]
-                            codes.extend(longer[w])
-                            continue
-                    codes.append(index.setdefault(w, len(index)))
-                ends.append(len(codes))
-            words = ids_of([w if isinstance(w, bytes) else w.encode() for w in index])
-            own = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(codes, np.int32)))
-            rows = pa.StructArray.from_arrays([column_of(part, "doc_id"), own], ["doc_id", "codes"])
+            own = []
+            for some in slices([part], limit=PART):
+                data, off = flat(column_of(some, "text"))
+                cuts = _cuts(data, off) if known else off
+                coded = binary_array(data, cuts).dictionary_encode()
+                codes, ends = array("i"), array("q", [0])
+                for segment in coded.dictionary.to_pylist():
+                    for w in find(segment.decode()):
+                        if len(w) > LONG // 4 and len(raw := w.encode()) > LONG and raw not in ranks:
+                            codes.extend([index.setdefault(x, len(index)) for x in cut(raw)])
+                        else:
+                            codes.append(index.setdefault(w, len(index)))
+                    ends.append(len(codes))
+                first, length = np.array(ends[:-1], np.int64), np.diff(np.frombuffer(ends, np.int64))
+                which = coded.indices.to_numpy()
+                bounds = np.concatenate([[0], np.cumsum(length[which])])[np.searchsorted(cuts, off)]
+                own.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()),
+                                                    pa.array(np.array(codes, np.int32)[ranges(first[which], length[which])])))
+            words = entries([w if isinstance(w, bytes) else w.encode() for w in index])
+            rows = pa.StructArray.from_arrays([column_of(part, "doc_id"), pa.concat_arrays(own)], ["doc_id", "codes"])
             yield pa.RecordBatch.from_arrays([
                 pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
                 pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)], ["docs", "words"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(split, "docs array<struct<doc_id: bigint, codes: array<int>>>, words array<array<int>>")
+        .mapInArrow(trimmed(split), "docs array<struct<doc_id: bigint, codes: array<int>>>, words array<array<bigint>>")
 
 
 # --- the fold -------------------------------------------------------------------------------
 
 class _Fold:
-    """A step of the fold over an array ``t`` of longs (see above), given the literal maps."""
+    """A step of the fold over an array ``t`` of longs (see above), given the table of ranks."""
 
-    def __init__(self, maps: Column):
-        self.maps = maps
+    def __init__(self, table: Column):
+        self.table = table
 
     def rank(self, a: Column, b: Column) -> Column:
         """The rank of two neighbours' ids; null if their pieces joined are no piece."""
-        return F.element_at(F.get(self.maps, (a * SPREAD + b).bitwiseAND(MAPS - 1)), F.shiftleft(a, ID_BITS).bitwiseOR(b))
+        def at(pair: Column, place: Column):
+            entry = F.get(self.table, place.bitwiseAND(PLACES - 1))
+            return F.shiftright(entry, ID_BITS) == pair, entry.bitwiseAND((1 << ID_BITS) - 1)
+
+        def look(pair: Column) -> Column:
+            here, there = at(pair, pair), at(pair, F.shiftright(pair * SCRAMBLE, SHIFT))
+            return F.when(*here).when(*there)
+        return let(a * SPREAD + b, look)
 
     def id(self, x: Column) -> Column:
         return x.bitwiseAND(END_ID)
@@ -173,18 +231,22 @@ class _Fold:
         return F.shiftleft(F.coalesce(rank, F.lit(NONE).cast("long")), BELOW).bitwiseOR(x.bitwiseAND((1 << BELOW) - 1))
 
     def left(self, t: Column, i: Column, m: Column) -> Column:
-        """Piece ``i`` when ``m`` comes to stand behind it: an array, empty if there is no such piece."""
-        return F.when(i >= 0, F.array(self.ranked(self.rank(self.id(F.get(t, i)), m), F.get(t, i)))).otherwise(_nothing())
+        """Piece ``i`` when ``m`` comes to stand behind it."""
+        return self.ranked(self.rank(self.id(F.get(t, i)), m), F.get(t, i))
 
     def merged(self, t: Column, i: Column, m: Column, behind: Column) -> Column:
         """Piece ``m``, which starts where piece ``i`` did, before the id ``behind``."""
-        return F.array(self.ranked(self.rank(m, behind), F.get(t, i).bitwiseAND(-1 << ID_BITS).bitwiseOR(m)))
+        return self.ranked(self.rank(m, behind), F.get(t, i).bitwiseAND(-1 << ID_BITS).bitwiseOR(m))
 
     def merge_first(self, t: Column, least: Column) -> Column:
         """The first neighbours of least rank become one piece."""
-        return let(F.shiftright(least, BELOW), lambda m: let(F.array_position(t, least).cast("int") - 1, lambda i: joined(
-            F.slice(t, F.lit(1), F.greatest(i - 1, F.lit(0))), self.left(t, i - 1, m),
-            self.merged(t, i, m, self.id(F.get(t, i + 2))), F.slice(t, i + 3, F.size(t)))))
+        # starts ascend, so the place is the number of lesser ones (array_position leaves its loop by an
+        # exception: nine tenths of the time of the whole fold)
+        low = (1 << BELOW) - (1 << ID_BITS)
+        place = let(least.bitwiseAND(low), lambda own: F.size(F.filter(t, lambda x: x.bitwiseAND(low) < own)))
+        return let(F.shiftright(least, BELOW), lambda m: let(place, lambda i: joined(
+            F.slice(t, F.lit(1), i - 1),
+            F.array(self.left(t, i - 1, m), self.merged(t, i, m, self.id(F.get(t, i + 2)))), F.slice(t, i + 3, F.size(t)))))
 
     def merge_all(self, t: Column, least: Column) -> Column:
         """All neighbours of least rank become pieces, from the left, as long as no neighbours that
@@ -207,12 +269,12 @@ class _Fold:
             def from_one(i, j):
                 """The merged piece and what stands before the next merged one."""
                 return let(F.coalesce(F.get(c, j + 1), F.size(t)), lambda nxt: F.when(
-                    nxt == i + 2, self.merged(t, i, m, m)).otherwise(joined(
-                        self.merged(t, i, m, self.id(F.get(t, i + 2))), F.slice(t, i + 3, F.least(nxt - 1, end) - i - 2),
-                        F.when(nxt <= end, self.left(t, nxt - 1, m)).otherwise(_nothing()))))
+                    nxt == i + 2, F.array(self.merged(t, i, m, m))).otherwise(joined(
+                        F.array(self.merged(t, i, m, self.id(F.get(t, i + 2)))), F.slice(t, i + 3, F.least(nxt - 1, end) - i - 2),
+                        F.when(nxt <= end, F.array(self.left(t, nxt - 1, m))).otherwise(F.array().cast("array<bigint>")))))
 
             return let(F.get(c, F.lit(0)), lambda head: joined(
-                F.slice(t, F.lit(1), F.greatest(head - 1, F.lit(0))), self.left(t, head - 1, m),
+                F.slice(t, F.lit(1), head - 1), F.array(self.left(t, head - 1, m)),
                 F.flatten(F.transform(c, from_one)), F.slice(t, end + 1, F.lit(1))))
 
         return let(F.shiftright(least, BELOW), lambda m: let(
@@ -220,26 +282,24 @@ class _Fold:
             lambda pos: let(safe(chosen(pos), m), lambda c: build(c, m))))
 
 
-def encoded_word(word: Column, maps: Column) -> Column:
-    """The ids of one word, given as the ids of its bytes."""
-    fold, n = _Fold(maps), F.size(word)
+def encoded_word(word: Column, table: Column) -> Column:
+    """The ids of one word, given as ``sliced_words`` has it."""
+    fold, n = _Fold(table), F.size(word) - 2
 
     def state(t: Column) -> Column:
         return let(t, lambda own: F.struct(own.alias("t"), F.array_min(own).alias("least")))
 
-    def entry(i: Column) -> Column:
-        here, behind = F.get(word, i).cast("long"), F.get(word, i + 1).cast("long")
-        return fold.ranked(fold.rank(here, behind),
-                           F.shiftleft(i.cast("long"), ID_BITS).bitwiseOR(F.coalesce(here, F.lit(END_ID).cast("long"))))
+    def folded(merge) -> Column:
+        return F.aggregate(F.sequence(F.lit(2), n), state(word), lambda s, _: F.when(s["least"] >= NONE << BELOW, s).otherwise(
+            state(merge(s["t"], s["least"]))), lambda s: ids(s["t"]))
+
+    def either(t: Column, least: Column) -> Column:
+        return F.when(F.size(t) > MANY, fold.merge_all(t, least)).otherwise(fold.merge_first(t, least))
 
-    def step(s: Column, _: Column) -> Column:
-        t, least = s["t"], s["least"]
-        return F.when(least >= NONE << BELOW, s).otherwise(state(
-            F.when(F.size(t) > MANY, fold.merge_all(t, least)).otherwise(fold.merge_first(t, least))))
+    def ids(t: Column) -> Column:
+        return F.transform(F.slice(t, F.lit(2), F.size(t) - 2), lambda x: fold.id(x).cast("int"))
 
-    merged = F.aggregate(F.sequence(F.lit(2), n), state(F.transform(F.sequence(F.lit(0), n), entry)), step,
-                         lambda s: F.transform(F.slice(s["t"], F.lit(1), F.size(s["t"]) - 1), lambda x: fold.id(x).cast("int")))
-    return F.when(n < 2, word).otherwise(merged)
+    return F.when(n < 2, ids(word)).when(n > MANY, folded(either)).otherwise(folded(fold.merge_first))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, limit: int = SLICE) -> DataFrame:
@@ -251,7 +311,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, limit: int = S
     """
     ship(docs.sparkSession)
     sliced = sliced_words(docs, vocabulary, pattern, limit)
-    ids = let(vocabulary.rank_maps(), lambda maps: F.transform("words", lambda w: encoded_word(w, maps)))
+    ids = let(vocabulary.rank_table(), lambda table: F.transform("words", lambda w: encoded_word(w, table)))
     put = let(ids, lambda own: F.transform("docs", lambda d: F.struct(
         d["doc_id"].alias("doc_id"), F.flatten(F.transform(d["codes"], lambda c: F.get(own, c))).alias("ids"))))
     return sliced.select(F.inline(put))
@@ -260,8 +320,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, limit: int = S
 def decode(ids: Column | str, vocabulary: Vocabulary) -> Column:
     """The bytes that an array of ids stands for (binary); null for an id that no piece has."""
     ids = F.col(ids) if isinstance(ids, str) else ids
+    # unhex of a sign that is no digit is null
     hexed = let(vocabulary.pieces(), lambda pieces: F.transform(ids, lambda i: F.get(pieces, i)))
-    return F.when(~F.exists(hexed, lambda x: x.isNull()), F.unhex(F.array_join(hexed, "")))
+    return F.unhex(F.array_join(hexed, "", "?"))
 
 
 def op11_byte_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
