@@ -81,5 +81,46 @@ def test_run_is_the_stages(spark, stages):
 
 def test_registered():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
     assert set(entry.oracle_sql()) <= set(names) and corpus_pipeline.ORACLE_SQL is None
+
+
+def _long_enough(rows):
+    """Awkward rows, and clean documents that no rule rejects: copies, near copies, rows without an
+    id, a very long text."""
+    import random
+    rng = random.Random(6)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(n))
+    base = [words(120) for _ in range(8)]
+    good = [(1000 + i, t, "en", f"host{i % 3}") for i, t in enumerate(base)]
+    good += [(2000, base[0], "en", "host0"), (2001, base[1] + " more", "en", None), (None, base[2], None, "host1"),
+             (None, words(100), "en", "host1"), (None, words(100), "en", "host1"), (2002, words(60_000), "en", "host2")]
+    good += [good[3]] * 3
+    return [(r[0], r[1], *(list(r[2:4]) + [None, None])[:2]) for r in rows] + good
+
+
+@pytest.mark.parametrize("rows", [_long_enough(brute.awkward()), []], ids=["awkward", "empty"])
+def test_stages_take_awkward_rows_and_clashing_columns(spark, tmp_dir, rows):
+    import shutil
+
+    from flotilla.llm.common import stored
+    docs = brute.frame(spark, rows)
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    shutil.copy(f"{SMALL}/benchmark.parquet", f"{tmp_dir}/benchmark.parquet")
+    held = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        given, held = held, stored(stage(spark, held, tmp_dir), "test-stage")
+        assert held.columns == docs.columns
+        assert all(r["kept"] == r["node"] == r["row"] == "x" for r in held.collect())
+        # each stage by itself takes the rows as they are, nulls and all
+        assert stage(spark, docs, tmp_dir).count() <= len(rows)
+        if name == "near-duplicates":
+            before = texts(given)
+            want = [m for m in brute.components(before, 5, 80) if m[3]]
+            ids = [m[0] for m in want if m[0] is not None]
+            assert sorted(i for i, _ in texts(held) if i is not None) == sorted(set(ids))
+    if rows:
+        kept = dict(texts(held))
+        assert {1000, 1002, 2002} <= set(kept) and 2000 not in kept and 2001 not in kept
+    pieces = corpus_pipeline.run(spark, tmp_dir).collect()
+    assert {r["doc_id"] for r in pieces} == {i for i, _ in texts(held)}
