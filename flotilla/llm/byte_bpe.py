@@ -1,7 +1,8 @@
 """Operator 11: byte-level BPE encoding and decoding with Spark's higher-order functions.
 
 Texts are split into words by the tokenizer's pattern; a task lists the distinct words of a slice
-of texts and each text as indexes into them. A word is an array of its bytes, each with its id and
+of texts and each text as indexes into them. Words that a sample of a large table has repeatedly
+are folded beforehand, once, and sent to the tasks. A word is an array of its bytes, each with its id and
 its rank with the next one (or one entry, if it is a piece). ``aggregate`` folds over it: in each step the neighbours whose joint
 piece has the least rank (the first of several) become that piece, and the ranks on either side
 are looked up anew, until no neighbours have one. Ranks come from a literal: a hash table in an
@@ -13,11 +14,13 @@ from __future__ import annotations
 import base64
 import json
 from array import array
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flotilla.llm.common import WHITE, binary_array, column_of, documents, flat, ranges, ship, slices, trimmed
@@ -34,6 +37,11 @@ def _places(pair: int) -> tuple[int, int]:
     return pair & (PLACES - 1), (pair * SCRAMBLE >> SHIFT) & (PLACES - 1)
 
 
+# From so many rows on, words found repeatedly in a sample of the rows (so much of each) are folded
+# once for all tasks: the most frequent ones, so many at most. Which they are changes no result.
+MANY_ROWS = 96_000
+SAMPLE_ROWS, SAMPLE_CHARS = 24_000, 8_192
+FREQUENT = 300_000
 # Text bytes whose distinct words are listed together (or one longer text).
 SLICE = 8 << 20
 PART = 2 << 20              # of them, bytes that are split into words at a time
@@ -133,46 +141,101 @@ def _cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+class _Start:
+    """Words as the fold starts with them."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.double = np.array([ranks.get(bytes([a, b]), NONE) for a in range(256) for b in range(256)], np.int64)
+
+    def entries(self, words: list[bytes]) -> pa.Array:
+        b = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(length)
+        rank = np.full(len(b), NONE, np.int64)
+        rank[:-1] = self.double[256 * b[:-1] + b[1:]]
+        rank[ends - 1] = NONE
+        place = np.arange(len(b)) - np.repeat(ends - length, length) + 1
+        off = np.concatenate([[0], np.cumsum(length + 2)])
+        out = np.empty(int(off[-1]), np.int64)
+        inside = np.ones(len(out), bool)
+        inside[off[:-1]] = inside[off[1:] - 1] = False
+        out[inside] = rank << BELOW | place << ID_BITS | self.single[b]
+        out[off[:-1]] = NONE << BELOW | END_ID
+        out[off[1:] - 1] = NONE << BELOW | (length + 1) << ID_BITS | END_ID
+        return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(out))
+
+
+def frequent_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str) -> pa.Table:
+    """``word, ids``: words of no more than LONG bytes, and no pieces, that a sample of ``docs``
+    has repeatedly. Of less than MANY_ROWS rows none."""
+    rows = docs.count()
+    if rows < MANY_ROWS:
+        return pa.table({"word": pa.array([], pa.binary()), "ids": pa.array([], pa.list_(pa.int32()))})
+    ship(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary.ranks)
+
+    def count(batches):
+        import regex
+
+        find, found = regex.compile(pattern).findall, Counter()
+        for batch in batches:
+            for text in column_of(batch, "text").to_pylist():
+                found.update(find(text or ""))
+        counts = {raw: n for raw, n in ((w.encode(), n) for w, n in found.items()) if len(raw) <= LONG and raw not in sent.value}
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
+    def start(batches):
+        begin = _Start(sent.value)
+        for batch in batches:
+            words = column_of(batch, "word")
+            yield pa.RecordBatch.from_arrays([words, column_of(batch, "n"), begin.entries(words.to_pylist())], ["word", "n", "start"])
+
+    counted = docs.sample(SAMPLE_ROWS / rows, seed=11).select(F.substring(F.col("text").cast("string"), 1, SAMPLE_CHARS).alias("text")) \
+        .mapInArrow(trimmed(count), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1") \
+        .mapInArrow(trimmed(start), "word binary, n bigint, start array<bigint>")
+    ids = let(vocabulary.rank_table(), lambda table: encoded_word(F.col("start"), table))
+    return counted.select("word", "n", ids.alias("ids")).orderBy(F.desc("n"), "word").limit(FREQUENT).select("word", "ids").toArrow()
+
+
 def sliced_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str, limit: int = SLICE) -> DataFrame:
-    """Rows ``docs`` (array of ``doc_id, codes``) and ``words`` (array of ids): slices of texts as
-    indexes into their distinct words, words as the fold starts with them. Words of
+    """Rows ``docs`` (array of ``doc_id, codes``), ``known`` and ``words`` (arrays): slices of texts as
+    indexes into their distinct words: first the known ones, pieces and frequent words, as ids, then
+    others as the fold starts with them. Words of
     more than LONG bytes that are no piece are cut between bytes that are neighbours in no piece:
     no merge can reach across."""
-    sent = docs.sparkSession.sparkContext.broadcast((vocabulary.ranks, vocabulary.neighbours()))
+    sent = docs.sparkSession.sparkContext.broadcast(
+        (vocabulary.ranks, vocabulary.neighbours(), frequent_words(docs, vocabulary, pattern)))
 
     def split(batches):
         import regex
 
-        find, (ranks, joins) = regex.compile(pattern).findall, sent.value
+        find, (ranks, joins, often) = regex.compile(pattern).findall, sent.value
         known = pattern == KNOWN_PATTERN
-        single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        double = np.array([ranks.get(bytes([a, b]), NONE) for a in range(256) for b in range(256)], np.int64)
+        begin = _Start(ranks)
+        often_words, often_ids = often["word"].combine_chunks(), often["ids"].combine_chunks()
+        often_ids, often_size = often_ids.flatten().to_numpy(), often_ids.value_lengths().to_numpy()
+        often_first = np.cumsum(often_size) - often_size
 
         def cut(word: bytes) -> list[bytes]:
             b = np.frombuffer(word, np.uint8).astype(np.int64)
             at = [0, *(np.flatnonzero(~joins[256 * b[:-1] + b[1:]]) + 1).tolist(), len(word)]
             return [word[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
 
-        def entries(words: list[bytes]) -> pa.Array:
-            """Each word as the fold starts with it."""
-            own = np.fromiter((ranks.get(w, -1) for w in words), np.int64, len(words))
-            b = np.frombuffer(b"".join(w[:1] if r >= 0 else w for w, r in zip(words, own.tolist(), strict=True)), np.uint8).astype(np.int64)
-            length = np.where(own >= 0, 1, np.fromiter(map(len, words), np.int64, len(words)))
-            ends = np.cumsum(length)
-            ids = single[b]
-            ids[(ends - length)[own >= 0]] = own[own >= 0]
-            rank = np.full(len(b), NONE, np.int64)
-            rank[:-1] = double[256 * b[:-1] + b[1:]]
-            rank[ends - 1] = NONE
-            place = np.arange(len(b)) - np.repeat(ends - length, length) + 1
-            off = np.concatenate([[0], np.cumsum(length + 2)])
-            out = np.empty(int(off[-1]), np.int64)
-            inside = np.ones(len(out), bool)
-            inside[off[:-1]] = inside[off[1:] - 1] = False
-            out[inside] = rank << BELOW | place << ID_BITS | ids
-            out[off[:-1]] = NONE << BELOW | END_ID
-            out[off[1:] - 1] = NONE << BELOW | (length + 1) << ID_BITS | END_ID
-            return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(out))
+        def looked_up(words: list[bytes]) -> tuple[np.ndarray, pa.Array, pa.Array]:
+            """The index of each word among the known and the other ones, the known ones' ids, the others."""
+            own = np.fromiter((ranks.get(w, -1) for w in words), np.int32, len(words))
+            at = pc.index_in(pa.array(words, pa.binary()), value_set=often_words).fill_null(-1).to_numpy().astype(np.int64)
+            done = (own >= 0) | (at >= 0)
+            index = np.where(done, np.cumsum(done), done.sum() + np.cumsum(~done)) - 1
+            own, at = own[done], at[done]
+            piece = own >= 0
+            size, first = np.ones(len(own), np.int64), len(often_ids) + np.arange(len(own))
+            size[~piece], first[~piece] = often_size[at[~piece]], often_first[at[~piece]]
+            off = np.concatenate([[0], np.cumsum(size)])
+            ids = np.concatenate([often_ids, own])[ranges(first, size)]
+            return index.astype(np.int32), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids, pa.int32())), \
+                begin.entries([w for w, ready in zip(words, done.tolist(), strict=True) if not ready])
 
         for part in slices(batches, limit=limit):
             index: dict[str | bytes, int] = {}
@@ -192,16 +255,15 @@ def sliced_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str, limit: i
                 first, length = np.array(ends[:-1], np.int64), np.diff(np.frombuffer(ends, np.int64))
                 which = coded.indices.to_numpy()
                 bounds = np.concatenate([[0], np.cumsum(length[which])])[np.searchsorted(cuts, off)]
-                own.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()),
-                                                    pa.array(np.array(codes, np.int32)[ranges(first[which], length[which])])))
-            words = entries([w if isinstance(w, bytes) else w.encode() for w in index])
+                own.append((bounds, np.array(codes, np.int32)[ranges(first[which], length[which])]))
+            to, ready, words = looked_up([w if isinstance(w, bytes) else w.encode() for w in index])
+            own = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(to[codes])) for bounds, codes in own]
             rows = pa.StructArray.from_arrays([column_of(part, "doc_id"), pa.concat_arrays(own)], ["doc_id", "codes"])
             yield pa.RecordBatch.from_arrays([
-                pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
-                pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)], ["docs", "words"])
+                pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (rows, ready, words)], ["docs", "known", "words"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(trimmed(split), "docs array<struct<doc_id: bigint, codes: array<int>>>, words array<array<bigint>>")
+        .mapInArrow(trimmed(split), "docs array<struct<doc_id: bigint, codes: array<int>>>, known array<array<int>>, words array<array<bigint>>")
 
 
 # --- the fold -------------------------------------------------------------------------------
@@ -244,9 +306,12 @@ class _Fold:
         # exception: nine tenths of the time of the whole fold)
         low = (1 << BELOW) - (1 << ID_BITS)
         place = let(least.bitwiseAND(low), lambda own: F.size(F.filter(t, lambda x: x.bitwiseAND(low) < own)))
-        return let(F.shiftright(least, BELOW), lambda m: let(place, lambda i: joined(
-            F.slice(t, F.lit(1), i - 1),
-            F.array(self.left(t, i - 1, m), self.merged(t, i, m, self.id(F.get(t, i + 2)))), F.slice(t, i + 3, F.size(t)))))
+
+        def build(i: Column, m: Column) -> Column:
+            # no two entries are equal; slices joined take a third longer
+            return let(F.get(t, i - 1), lambda before: F.transform(F.array_remove(t, F.get(t, i + 1)), lambda x: F.when(
+                x == least, self.merged(t, i, m, self.id(F.get(t, i + 2)))).when(x == before, self.left(t, i - 1, m)).otherwise(x)))
+        return let(F.shiftright(least, BELOW), lambda m: let(place, lambda i: build(i, m)))
 
     def merge_all(self, t: Column, least: Column) -> Column:
         """All neighbours of least rank become pieces, from the left, as long as no neighbours that
@@ -306,12 +371,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, limit: int = S
     """``doc_id, ids`` (array of int) for each row of ``docs`` (``doc_id``, ``text``).
 
     Null and empty texts have no ids. Repeated rows are encoded each time, null ids stay null,
-    empty tables give no rows, other columns are ignored. A text is whole, however long; the
+    empty tables give no rows, other columns are ignored. ``docs`` is counted and, if large, sampled
+    at once; the rest is lazy. A text is whole, however long; the
     time of a single word that can't be cut grows with the square of its length at worst.
     """
     ship(docs.sparkSession)
     sliced = sliced_words(docs, vocabulary, pattern, limit)
-    ids = let(vocabulary.rank_table(), lambda table: F.transform("words", lambda w: encoded_word(w, table)))
+    ids = let(vocabulary.rank_table(), lambda table: joined(F.col("known"), F.transform("words", lambda w: encoded_word(w, table))))
     put = let(ids, lambda own: F.transform("docs", lambda d: F.struct(
         d["doc_id"].alias("doc_id"), F.flatten(F.transform(d["codes"], lambda c: F.get(own, c))).alias("ids"))))
     return sliced.select(F.inline(put))

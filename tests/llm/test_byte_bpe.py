@@ -85,6 +85,23 @@ def test_another_vocabulary(spark):
     assert {r["doc_id"]: r["ids"] for r in ids} == {i: library(path).encode_ordinary(t or "") for i, t in rows}
 
 
+def test_frequent_words_are_folded_once_beforehand(spark, monkeypatch):
+    monkeypatch.setattr(B, "MANY_ROWS", 300)
+    monkeypatch.setattr(B, "SAMPLE_ROWS", 300)
+    texts = ["zqjxvky wpfgb 中文字符测 the", "the zqjxvky éèlqzt", "zqjxvky" * 20, "", None, "once" + "qxz" * 3]
+    rows = [(i, t if i % 6 < 5 else f"{t}{i}qzx") for i, t in enumerate(texts * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    often = {r["word"]: r["ids"] for r in B.frequent_words(docs, vocabulary(), public.PATTERN).to_pylist()}
+    assert often and all(ids == library().encode_ordinary(w.decode()) for w, ids in often.items())
+    assert b"zqjxvky" in often and b"the" not in often and all(len(w) <= B.LONG for w in often)
+    found = {r["doc_id"]: r["ids"] for r in B.encode(docs, vocabulary(), public.PATTERN).collect()}
+    assert found == {i: library().encode_ordinary(t or "") for i, t in rows}
+    folded = B.sliced_words(docs, vocabulary(), public.PATTERN).select(F.sum(F.size("words"))).first()[0]
+    monkeypatch.setattr(B, "MANY_ROWS", 10 ** 9)
+    assert B.frequent_words(docs, vocabulary(), public.PATTERN).num_rows == 0
+    assert folded < B.sliced_words(docs, vocabulary(), public.PATTERN).select(F.sum(F.size("words"))).first()[0]
+
+
 def test_unknown_ids_decode_to_null(spark):
     df = spark.createDataFrame([([1, 10 ** 6],), ([],), (None,)], "ids array<int>")
     assert [r[0] for r in df.select(B.decode("ids", vocabulary())).collect()] == [None, b"", None]
