@@ -43,7 +43,7 @@ MANY_ROWS = 96_000
 SAMPLE_ROWS, SAMPLE_CHARS = 24_000, 8_192
 FREQUENT = 300_000
 # Text bytes whose distinct words are listed together (or one longer text).
-SLICE = 8 << 20
+SLICE = 12 << 20
 PART = 2 << 20              # of them, bytes that are split into words at a time
 # A word of more pieces than this merges all its least neighbours in a step, a shorter one the first.
 MANY = 256
